@@ -73,7 +73,7 @@ def dim_date_of(days: DataFrame, col: str = "full_date") -> DataFrame:
         F.quarter(d).alias("quarter"),
         F.year(d).alias("year"),
         dow.isin(1, 7).alias("is_weekend"),
-        ~dow.isin(1, 7).alias("is_weekday"),
+        (~dow.isin(1, 7)).alias("is_weekday"),
     )
 
 

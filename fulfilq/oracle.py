@@ -23,6 +23,8 @@ DEFECTS = _list(DEFECT_TYPES)
 CAUSES = _list(ROOT_CAUSES)
 REGIONS = _list(FIXTURE_REGIONS)
 CAPS = _list(FIXTURE_CAPACITY)
+CAT_ROWS = ", ".join(f"('{c}', {h})" for c, h in PRODUCT_CATEGORY_SLA_HOURS)
+CARRIER_ROWS = ", ".join(f"('{c}', '{t}')" for c, t in CARRIERS)
 
 
 def pct_sql(n: str, d: str) -> str:
@@ -200,6 +202,10 @@ dim_warehouse AS (
          LEAD(snapshot_date, 1) OVER (PARTITION BY warehouse_id ORDER BY snapshot_date ASC NULLS LAST) IS NULL
            AS is_current
   FROM fx_warehouse_capacity),
+dim_product_category AS (
+  SELECT * FROM (VALUES {CAT_ROWS}) t(category_name, sla_hours)),
+dim_carrier AS (
+  SELECT * FROM (VALUES {CARRIER_ROWS}) t(carrier_name, carrier_type)),
 dim_date AS (
   SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk, CAST(d AS DATE) AS full_date,
          dayname(d) AS day_of_week, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week_num,
@@ -308,7 +314,10 @@ SELECT MIN(event_date) AS period_start, MAX(event_date) AS period_end,
 FROM fact_order
 """
 
+from fulfilq.oracle_more import MORE  # noqa: E402
+
 QUERIES: dict[str, str] = {
+    **MORE,
     "daily_ops_scorecard": M1,
     "shift_performance": M2,
     "carrier_performance": M3,

@@ -58,3 +58,283 @@ QUERIES: dict[str, Query] = {
     "warehouse_utilization": q_warehouse_utilization,
     "executive_summary": q_executive_summary,
 }
+
+
+# ---------------------------------------------------------------------------
+# Curated datasets, dedup, derivations
+# ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from fulfilq.functions import hours_between, shift_of_hour  # noqa: E402
+from fulfilq.operators import cleanse, dims, quality, upsert as ups  # noqa: E402
+from fulfilq.plans.star import fixture_curated  # noqa: E402
+from fulfilq.schemas import ORDER_EVENTS, RETURNS_DEFECTS, SHIPMENT_TRACKING, WAREHOUSE_CAPACITY  # noqa: E402
+from fulfilq.sources import fixtures  # noqa: E402
+from fulfilq.sources.fixtures import FIXTURE_WAREHOUSE_IDS  # noqa: E402
+
+UPSERT_OLD_BEFORE = "2024-01-21"  # target holds days before this ...
+UPSERT_NEW_FROM = "2024-01-15"    # ... the batch holds days from this one (overlap = updates)
+INCREMENTAL_WATERMARK = "2024-01-15"
+
+
+def _curated(spark, sf_dir, name):
+    configure(spark)
+    return fixture_curated(spark, sf_dir)[name]
+
+
+def q_curated_orders(spark, sf_dir):
+    return _curated(spark, sf_dir, "order_events")
+
+
+def q_curated_shipments(spark, sf_dir):
+    return _curated(spark, sf_dir, "shipment_tracking")
+
+
+def q_curated_returns(spark, sf_dir):
+    return _curated(spark, sf_dir, "returns_defects")
+
+
+def q_warehouse_scd2(spark, sf_dir):
+    return _curated(spark, sf_dir, "warehouse_capacity")
+
+
+def _raw_typed(spark, sf_dir, name):
+    configure(spark)
+    raw = fixtures.raw_datasets(spark, sf_dir)[name]
+    schema = {"order_events": ORDER_EVENTS, "shipment_tracking": SHIPMENT_TRACKING,
+              "warehouse_capacity": WAREHOUSE_CAPACITY, "returns_defects": RETURNS_DEFECTS}[name]
+    return cleanse.cast_columns(raw, schema)
+
+
+def q_dedup_orders(spark, sf_dir):
+    return cleanse.dedup_latest(_raw_typed(spark, sf_dir, "order_events"), ["order_id"], "placed_at")
+
+
+def q_dedup_shipments(spark, sf_dir):
+    return cleanse.dedup_latest(_raw_typed(spark, sf_dir, "shipment_tracking"), ["shipment_id"], "shipped_at")
+
+
+def q_dedup_returns(spark, sf_dir):
+    return cleanse.dedup_latest(_raw_typed(spark, sf_dir, "returns_defects"), ["record_id"], "reported_at")
+
+
+def q_null_audit_orders(spark, sf_dir):
+    cols = ["order_id", "warehouse_id", "product_category", "order_status", "placed_at", "order_value_usd"]
+    return cleanse.null_counts(_raw_typed(spark, sf_dir, "order_events"), cols)
+
+
+def q_incremental_orders(spark, sf_dir):
+    """S3: only events on/after the watermark day enter the cleanse."""
+    raw = _raw_typed(spark, sf_dir, "order_events")
+    return cleanse.cleanse_orders(raw.where(F.col("event_date") >= F.lit(INCREMENTAL_WATERMARK).cast("date")),
+                                  stamp=False)
+
+
+def q_sla_breach_recomputed(spark, sf_dir):
+    """J8 + F11: SLA hours by category (broadcast seed dimension, default 48) and the breach rule."""
+    from fulfilq.functions import sla_breach
+    from fulfilq.schemas import DEFAULT_SLA_HOURS
+    o = _curated(spark, sf_dir, "order_events")
+    cat = F.broadcast(dims.dim_product_category(spark).select(
+        F.col("category_name").alias("product_category"), "sla_hours"))
+    j = o.join(cat, "product_category", "left")
+    sla = F.coalesce(F.col("sla_hours"), F.lit(DEFAULT_SLA_HOURS))
+    return j.select(
+        "order_id", "product_category", sla.alias("sla_hours"),
+        sla_breach("placed_at", "shipped_at", sla).alias("sla_breach_recomputed"),
+        F.col("sla_breach").alias("sla_breach_stored"),
+    )
+
+
+def q_shift_bucket(spark, sf_dir):
+    """shift from the hour the order was placed."""
+    o = _curated(spark, sf_dir, "order_events")
+    return o.select("order_id", F.hour("placed_at").alias("placed_hour"),
+                    shift_of_hour("placed_at").alias("shift_recomputed"), F.col("shift").alias("shift_stored"))
+
+
+def q_processing_hours(spark, sf_dir):
+    """(shipped - placed) hours, 2 digits; NULL when not shipped."""
+    o = _curated(spark, sf_dir, "order_events")
+    return o.select("order_id", hours_between("shipped_at", "placed_at").cast("double")
+                    .alias("processing_hours_recomputed"), F.col("processing_hours").alias("processing_hours_stored"))
+
+
+def q_late_flag(spark, sf_dir):
+    """late = actual delivery after the estimate; undelivered is not late."""
+    s = _curated(spark, sf_dir, "shipment_tracking")
+    late = F.coalesce(F.col("actual_delivery_at") > F.col("estimated_delivery_at"), F.lit(False))
+    return s.select("shipment_id", late.alias("late_recomputed"), F.col("late_delivery").alias("late_stored"))
+
+
+def q_delivery_delay(spark, sf_dir):
+    """delay hours per carrier and status (sum and count of known delays)."""
+    s = _curated(spark, sf_dir, "shipment_tracking")
+    return s.groupBy("carrier", "delivery_status").agg(
+        F.count(F.lit(1)).alias("shipments"),
+        F.count("delivery_delay_hours").alias("with_delay"),
+        F.round(F.sum(F.col("delivery_delay_hours").cast("decimal(12,2)")), 2).cast("double").alias("delay_hours_sum"),
+        F.min("delivery_delay_hours").alias("min_delay_hours"),
+        F.max("delivery_delay_hours").alias("max_delay_hours"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# Referential checks and the quality suite
+# ---------------------------------------------------------------------------
+def q_orphan_shipments(spark, sf_dir):
+    sh = _raw_typed(spark, sf_dir, "shipment_tracking")
+    return quality.orphan_shipments(sh, _raw_typed(spark, sf_dir, "order_events")).select("shipment_id", "order_id")
+
+
+def q_uncovered_orders(spark, sf_dir):
+    return quality.uncovered_orders(_raw_typed(spark, sf_dir, "order_events"),
+                                    _raw_typed(spark, sf_dir, "shipment_tracking"))
+
+
+def q_orphan_returns(spark, sf_dir):
+    r = _raw_typed(spark, sf_dir, "returns_defects")
+    return quality.orphan_returns(r, _raw_typed(spark, sf_dir, "order_events")).select("record_id", "order_id")
+
+
+def _expected_warehouses(spark):
+    return spark.createDataFrame([(w,) for w in FIXTURE_WAREHOUSE_IDS], "warehouse_id string")
+
+
+def q_unknown_warehouses(spark, sf_dir):
+    return quality.unknown_warehouses(_raw_typed(spark, sf_dir, "warehouse_capacity"), _expected_warehouses(spark))
+
+
+def q_quality_orders(spark, sf_dir):
+    return quality.quality_orders(_raw_typed(spark, sf_dir, "order_events"))
+
+
+def q_quality_shipments(spark, sf_dir):
+    return quality.quality_shipments(_raw_typed(spark, sf_dir, "shipment_tracking"),
+                                     _raw_typed(spark, sf_dir, "order_events"))
+
+
+def q_quality_capacity(spark, sf_dir):
+    return quality.quality_capacity(_raw_typed(spark, sf_dir, "warehouse_capacity"), _expected_warehouses(spark))
+
+
+def q_quality_returns(spark, sf_dir):
+    return quality.quality_returns(_raw_typed(spark, sf_dir, "returns_defects"),
+                                   _raw_typed(spark, sf_dir, "order_events"))
+
+
+def q_curated_smoke(spark, sf_dir):
+    configure(spark)
+    cur = fixture_curated(spark, sf_dir, stamp=True)
+    keys = {"order_events": ["order_id"], "shipment_tracking": ["shipment_id"],
+            "warehouse_capacity": ["warehouse_id", "effective_start_date"], "returns_defects": ["record_id"]}
+    return quality.curated_smoke(cur, keys)
+
+
+# ---------------------------------------------------------------------------
+# Upserts (S9a-d) on an old/new split of the fixture
+# ---------------------------------------------------------------------------
+def _split(df, date_col):
+    d = F.col(date_col)
+    old = df.where(d < F.lit(UPSERT_OLD_BEFORE).cast("date"))
+    new = df.where(d >= F.lit(UPSERT_NEW_FROM).cast("date"))
+    stale = d >= F.lit(UPSERT_NEW_FROM).cast("date")
+    return old, new, stale
+
+
+def q_upsert_orders(spark, sf_dir):
+    cur = _curated(spark, sf_dir, "order_events")
+    old, new, stale = _split(cur, "event_date")
+    old = old.withColumn("order_status", F.when(stale, F.lit("PLACED")).otherwise(F.col("order_status")))
+    return ups.upsert(old, new, ["order_id"])
+
+
+def q_upsert_shipments(spark, sf_dir):
+    cur = _curated(spark, sf_dir, "shipment_tracking")
+    old, new, stale = _split(cur, "event_date")
+    old = old.withColumn("late_delivery", F.when(stale, ~F.col("late_delivery")).otherwise(F.col("late_delivery")))
+    return ups.upsert(old, new, ["shipment_id"])
+
+
+def q_upsert_returns(spark, sf_dir):
+    cur = _curated(spark, sf_dir, "returns_defects")
+    old, new, stale = _split(cur, "event_date")
+    old = old.withColumn("refund_issued", F.when(stale, ~F.col("refund_issued")).otherwise(F.col("refund_issued")))
+    return ups.upsert(old, new, ["record_id"])
+
+
+def q_upsert_warehouse(spark, sf_dir):
+    """S9c + X21: the old history's last versions are re-closed by the new snapshots."""
+    snaps = cleanse.cast_columns(_raw_typed(spark, sf_dir, "warehouse_capacity"), WAREHOUSE_CAPACITY)
+    old, new, _ = _split(snaps, "snapshot_date")
+    history = cleanse.scd2_versions(old)
+    return ups.upsert_scd2(history, new)
+
+
+# ---------------------------------------------------------------------------
+# Row counts, status mix, dimensions in use
+# ---------------------------------------------------------------------------
+def q_table_row_counts(spark, sf_dir):
+    t = _star(spark, sf_dir)
+    return marts.table_row_counts({k: t[k] for k in (
+        "fact_order", "fact_shipment", "dim_warehouse", "fact_returns_defects", "dim_date", "dim_carrier",
+        "dim_product_category")})
+
+
+def q_order_status_mix(spark, sf_dir):
+    return marts.order_status_mix(_raw_typed(spark, sf_dir, "order_events"))
+
+
+def q_calendar_coverage(spark, sf_dir):
+    """D1 + X24: every calendar day between the first and last order day, with its order count."""
+    o = _star(spark, sf_dir)["fact_order"]
+    span = o.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi"))
+    days = span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("full_date"))
+    cal = dims.dim_date_of(days)
+    per_day = o.groupBy("event_date").agg(F.count(F.lit(1)).alias("orders"))
+    j = cal.join(per_day, cal["full_date"] == per_day["event_date"], "left")
+    return j.select(*cal.columns, F.coalesce(F.col("orders"), F.lit(0)).alias("orders"))
+
+
+def q_carrier_type_mix(spark, sf_dir):
+    """Shipments per carrier type via the (broadcast) carrier dimension."""
+    s = _star(spark, sf_dir)["fact_shipment"]
+    c = F.broadcast(dims.dim_carrier(spark).select(F.col("carrier_name").alias("carrier"), "carrier_type"))
+    j = s.join(c, "carrier", "left")
+    return j.groupBy("carrier_type").agg(F.count(F.lit(1)).alias("shipments"),
+                                        F.count_if(F.col("late_delivery")).alias("late_shipments"))
+
+
+QUERIES.update({
+    "table_row_counts": q_table_row_counts,
+    "order_status_mix": q_order_status_mix,
+    "curated_orders": q_curated_orders,
+    "curated_shipments": q_curated_shipments,
+    "curated_returns": q_curated_returns,
+    "warehouse_scd2": q_warehouse_scd2,
+    "dedup_orders": q_dedup_orders,
+    "dedup_shipments": q_dedup_shipments,
+    "dedup_returns": q_dedup_returns,
+    "calendar_coverage": q_calendar_coverage,
+    "carrier_type_mix": q_carrier_type_mix,
+    "upsert_orders": q_upsert_orders,
+    "upsert_shipments": q_upsert_shipments,
+    "upsert_warehouse": q_upsert_warehouse,
+    "upsert_returns": q_upsert_returns,
+    "incremental_orders": q_incremental_orders,
+    "sla_breach_recomputed": q_sla_breach_recomputed,
+    "shift_bucket": q_shift_bucket,
+    "late_flag": q_late_flag,
+    "processing_hours": q_processing_hours,
+    "delivery_delay": q_delivery_delay,
+    "orphan_shipments": q_orphan_shipments,
+    "uncovered_orders": q_uncovered_orders,
+    "orphan_returns": q_orphan_returns,
+    "unknown_warehouses": q_unknown_warehouses,
+    "null_audit_orders": q_null_audit_orders,
+    "quality_orders": q_quality_orders,
+    "quality_shipments": q_quality_shipments,
+    "quality_capacity": q_quality_capacity,
+    "quality_returns": q_quality_returns,
+    "curated_smoke": q_curated_smoke,
+})

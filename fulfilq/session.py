@@ -32,7 +32,7 @@ def get_spark(master: str | None = None, app_name: str = "fulfilq", **conf: str)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in {**_REQUIRED_CONF, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
