@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 from fulfilq.schemas import AUDIT_LOG
 
 
-def observed(df: DataFrame, name: str, date_col: str | None = "event_date") -> tuple[DataFrame, Observation]:
-    """Attach a row count (and max date) metric that is filled in by the next action on ``df``."""
-    obs = Observation(name)
+def observation(df: DataFrame, name: str, date_col: str | None = "event_date") -> tuple[Observation, list]:
+    """A row count (and max date) metric for ``df``, to attach where the writer executes it once.
+
+    Pass the pair to ``storage.write_partitioned`` / ``write_flat`` (``observe=``);
+    ``Observation.get`` is filled when that write finishes.
+    """
     metrics = [F.count(F.lit(1)).alias("rows")]
     if date_col and date_col in df.columns:
         metrics.append(F.max(date_col).alias("max_date"))
-    return df.observe(obs, *metrics), obs
+    return Observation(name), metrics
 
 
 def audit_entries(spark: SparkSession, entries: list[dict]) -> DataFrame:

@@ -21,7 +21,7 @@ from fulfilq.operators.cleanse import scd2_versions
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is absent from the batch, plus every batch row."""
     keys = list(keys)
-    kept = target.join(batch.select(*keys), on=keys, how="left_anti")
+    kept = target.join(batch.select(*keys), on=keys, how="left_anti").select(*target.columns)
     return kept.unionByName(batch.select(*target.columns))
 
 

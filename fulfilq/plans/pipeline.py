@@ -68,30 +68,38 @@ def run_cleanse(spark: SparkSession, layout: Layout, watermark: str | None = Non
         if raw.isEmpty():  # S4: nothing new since the watermark
             results[name] = None
             continue
-        cur, obs = audit.observed(cleanse.CLEANSERS[name](raw), name)
+        cur = cleanse.CLEANSERS[name](raw)
+        obs = audit.observation(cur, name)
         if spec.partitioned:
-            storage.write_partitioned(cur, layout.cur(name), spec.keys)
+            storage.write_partitioned(cur, layout.cur(name), spec.keys, observe=obs)
         else:
-            storage.write_flat(cur, layout.cur(name), sort_cols=spec.keys)
-        results[name] = obs.get.get("rows")
+            storage.write_flat(cur, layout.cur(name), sort_cols=spec.keys, observe=obs)
+        results[name] = obs[0].get.get("rows")
     return results
 
 
-def _write_table(spark: SparkSession, df: DataFrame, path: str, keys, partitioned: bool) -> None:
+def _write_table(spark: SparkSession, df: DataFrame, path: str, keys, partitioned: bool, observe=None) -> None:
     if partitioned:
-        storage.write_partitioned(df, path, keys)
+        storage.write_partitioned(df, path, keys, observe=observe)
     else:
         staged = scratch_path(spark, "table")
-        storage.write_flat(df, staged, sort_cols=keys)
+        storage.write_flat(df, staged, sort_cols=keys, observe=observe)
         storage.swap_in(spark, staged, path)
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, partitioned: bool,
-                 scd2: bool = False) -> None:
-    """Upsert ``batch`` into the table at ``path`` (created if absent)."""
+                 scd2: bool = False) -> dict:
+    """Upsert ``batch`` into the table at ``path`` (created if absent).
+
+    Returns the batch metrics (rows, max partition date) observed while the
+    batch was materialized, so counting costs no extra pass.
+    """
+    obs = audit.observation(batch, "batch", storage.PART_COL if partitioned else None)
     if not storage.path_exists(spark, path):
-        _write_table(spark, batch, path, keys, partitioned)
-        return
+        _write_table(spark, batch, path, keys, partitioned, observe=obs)
+        return obs[0].get
+    staged_batch = storage.materialize(spark, batch, "batch", observe=obs)
+    batch = staged_batch
     target = storage.read_curated(spark, path).select(*batch.columns)
     if scd2:
         merged = upsert_scd2(target, batch.select(*SPECS["warehouse_capacity"].schema.names),
@@ -116,6 +124,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, partiti
         fresh = scratch_path(spark, "table")
         storage.write_flat(staged, fresh, sort_cols=keys)
         storage.swap_in(spark, fresh, path)
+    return obs[0].get
 
 
 def _drop_emptied_partitions(spark: SparkSession, path: str, values) -> None:
@@ -139,11 +148,8 @@ def run_load(spark: SparkSession, layout: Layout, watermark: str | None = None,
             cur = storage.read_curated(spark, layout.cur(name))
             if spec.partitioned and watermark is not None:
                 cur = cur.where(F.col(storage.PART_COL) >= F.lit(watermark).cast("date"))
-            batch, obs = audit.observed(dims.to_table(cur, table), table,
-                                        storage.PART_COL if spec.partitioned else None)
-            upsert_table(spark, layout.table(table), batch, keys, spec.partitioned,
-                         scd2=(table == "dim_warehouse"))
-            m = obs.get
+            m = upsert_table(spark, layout.table(table), dims.to_table(cur, table), keys, spec.partitioned,
+                             scd2=(table == "dim_warehouse"))
             counts[table] = m.get("rows")
             entries.append({"job_name": job_name, "target_table": table, "rows_loaded": m.get("rows"),
                             "run_status": "SUCCESS", "watermark_date": m.get("max_date")})

@@ -67,19 +67,28 @@ def write_landing(df: DataFrame, path: str, partitioned: bool = True, date_col:
 # Curated / warehouse layer (Parquet)
 # ---------------------------------------------------------------------------
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], part_col: str = PART_COL,
-                      mode: str = "overwrite") -> None:
-    """Parquet partitioned by ``part_col``; only the batch's partitions are replaced."""
-    (df.repartitionByRange(F.col(part_col), *[F.col(k) for k in keys])
-       .sortWithinPartitions(part_col, *keys)
-       .write.mode(mode)
+                      mode: str = "overwrite", observe=None) -> None:
+    """Parquet partitioned by ``part_col``; only the batch's partitions are replaced.
+
+    ``observe`` = ``(Observation, [metric columns])`` is attached after the range
+    exchange: the range partitioner samples its input in a separate job, which
+    would otherwise count every row twice.
+    """
+    out = df.repartitionByRange(F.col(part_col), *[F.col(k) for k in keys]).sortWithinPartitions(part_col, *keys)
+    if observe is not None:
+        out = out.observe(observe[0], *observe[1])
+    (out.write.mode(mode)
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(part_col)
        .parquet(path))
 
 
-def write_flat(df: DataFrame, path: str, sort_cols: Sequence[str] = (), mode: str = "overwrite") -> None:
+def write_flat(df: DataFrame, path: str, sort_cols: Sequence[str] = (), mode: str = "overwrite",
+               observe=None) -> None:
     """Unpartitioned Parquet (no ``coalesce(1)``: one writer task would not scale)."""
     out = df.sortWithinPartitions(*sort_cols) if sort_cols else df
+    if observe is not None:
+        out = out.observe(observe[0], *observe[1])
     out.write.mode(mode).parquet(path)
 
 
@@ -115,12 +124,13 @@ def swap_in(spark: SparkSession, new_path: str, target: str) -> None:
         fs.delete(old, True)
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def materialize(spark: SparkSession, df: DataFrame, name: str, observe=None) -> DataFrame:
     """Write ``df`` to a fresh path in the shared checkpoint folder and read it back.
 
     Cuts lineage (a lost executor re-reads files instead of recomputing the
     plan) and decouples the result from the inputs it was computed from.
     """
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    out = df.observe(observe[0], *observe[1]) if observe is not None else df
+    out.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
