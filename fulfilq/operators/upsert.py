@@ -19,10 +19,17 @@ from fulfilq.operators.cleanse import scd2_versions
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is absent from the batch, plus every batch row."""
+    """Target rows whose key is absent from the batch, plus every batch row.
+
+    Target rows with a NULL key component can never match, so they bypass the
+    join: however many there are, they are not hashed into one join partition.
+    """
     keys = list(keys)
-    kept = target.join(batch.select(*keys), on=keys, how="left_anti").select(*target.columns)
-    return kept.unionByName(batch.select(*target.columns))
+    has_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+    matchable = target.where(~has_null)
+    batch_keys = batch.select(*keys).where(~has_null)
+    kept = matchable.join(batch_keys, on=keys, how="left_anti").select(*target.columns)
+    return target.where(has_null).unionByName(kept).unionByName(batch.select(*target.columns))
 
 
 def touched_values(target: DataFrame, batch: DataFrame, keys: Sequence[str], part_col: str) -> DataFrame:
