@@ -235,7 +235,18 @@ TABLE_ROW_COUNTS = "\nUNION ALL\n".join(
                       ("fact_order", "fact_order"), ("fact_returns_defects", "curated_returns"),
                       ("fact_shipment", "curated_shipments")])
 
+PIPELINE_AUDIT = "\nUNION ALL\n".join(
+    f"SELECT 'fulfilq_load' AS job_name, '{t}' AS target_table, (SELECT COUNT(*) FROM {src}) AS rows_loaded, "
+    f"'SUCCESS' AS run_status, {wm} AS watermark_date"
+    for t, src, wm in [
+        ("fact_order", "curated_orders", "(SELECT MAX(event_date) FROM curated_orders)"),
+        ("fact_shipment", "curated_shipments", "(SELECT MAX(event_date) FROM curated_shipments)"),
+        ("dim_warehouse", "dim_warehouse", "CAST(NULL AS DATE)"),
+        ("fact_returns_defects", "curated_returns", "CAST(NULL AS DATE)"),
+    ])
+
 MORE: dict[str, str] = {
+    "pipeline_audit": PIPELINE_AUDIT,
     "table_row_counts": TABLE_ROW_COUNTS,
     "order_status_mix": f"""
 SELECT order_status, COUNT(*) AS orders, {pct_sql("COUNT(*)", "SUM(COUNT(*)) OVER ()")} AS share_pct

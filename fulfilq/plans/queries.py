@@ -338,3 +338,24 @@ QUERIES.update({
     "quality_returns": q_quality_returns,
     "curated_smoke": q_curated_smoke,
 })
+
+
+# ---------------------------------------------------------------------------
+# End to end through storage: land -> cleanse -> upsert -> audit
+# ---------------------------------------------------------------------------
+def q_pipeline_audit(spark, sf_dir):
+    """Run the batch pipeline into a fresh folder under the shared checkpoint dir; return its audit rows."""
+    from fulfilq.plans import pipeline
+    from fulfilq.session import scratch_path
+
+    configure(spark)
+    root = scratch_path(spark, "pipeline")
+    layout = pipeline.Layout(f"{root}/raw", f"{root}/curated", f"{root}/warehouse")
+    pipeline.land(spark, layout, fixtures.raw_datasets(spark, sf_dir))
+    pipeline.run_cleanse(spark, layout)
+    pipeline.run_load(spark, layout)
+    return spark.read.parquet(layout.audit).select(
+        "job_name", "target_table", "rows_loaded", "run_status", "watermark_date")
+
+
+QUERIES["pipeline_audit"] = q_pipeline_audit
