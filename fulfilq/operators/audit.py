@@ -45,6 +45,28 @@ def append_audit(spark: SparkSession, path: str, entries: list[dict]) -> None:
     audit_entries(spark, entries).coalesce(1).write.mode("append").parquet(path)
 
 
+DEFAULT_LOOKBACK_DAYS = 30
+
+
+def resolve_watermark(spark: SparkSession, audit_path: str | None, target: str = "fact_order",
+                      lookback_days: int = DEFAULT_LOOKBACK_DAYS) -> str:
+    """Lower bound for an incremental run.
+
+    The latest successful watermark recorded for ``target`` in the audit log;
+    without one, today minus ``lookback_days`` (the reference's default).
+    """
+    if audit_path:
+        try:
+            log = spark.read.parquet(audit_path)
+        except Exception:  # no audit log yet
+            log = None
+        if log is not None:
+            row = next_watermark(log, target).first()
+            if row is not None and row["next_watermark"] is not None:
+                return row["next_watermark"].isoformat()
+    return (dt.date.today() - dt.timedelta(days=lookback_days)).isoformat()
+
+
 def next_watermark(audit: DataFrame, target: str | None = None) -> DataFrame:
     """Per target table, the latest watermark of successful runs (lower bound of the next run)."""
     ok = audit.where(F.col("run_status") == "SUCCESS")

@@ -72,8 +72,10 @@ def quality_orders(orders: DataFrame) -> DataFrame:
         F.count_if(st.isin(*SHIPPED_STATUSES) & F.col("shipped_at").isNull()).alias("no_ship_ts"),
         F.count_if((st == "DELIVERED") & F.col("delivered_at").isNull()).alias("no_deliv_ts"),
         F.datediff(F.max("event_date"), F.min("event_date")).alias("span"),
+        F.count_distinct("event_date").alias("n_days"),
     )
     n = F.col("n")
+    missing_days = F.col("span") + 1 - F.col("n_days")
     sla = _ratio(F.col("breaches"), F.col("breach_known"))
     cancel = _ratio(F.col("cancelled"), n)
     ret = _ratio(F.col("returned"), n)
@@ -95,6 +97,8 @@ def quality_orders(orders: DataFrame) -> DataFrame:
         ("Q14", "Delivered orders have delivered_at", "error", F.col("no_deliv_ts"), None, _zero("no_deliv_ts")),
         ("Q15", "Date range spans >= 28 days", "error", None, F.col("span"),
          F.coalesce(F.col("span") >= 28, F.lit(False))),
+        # The span test alone cannot see a missing day inside the range.
+        ("Q15b", "No missing days in range", "warn", missing_days, None, F.coalesce(missing_days == 0, F.lit(True))),
     ])
 
 

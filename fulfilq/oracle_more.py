@@ -72,7 +72,8 @@ _Q_ORDERS_SRC = f"""(SELECT COUNT(*) AS n, COUNT(DISTINCT order_id) AS n_ids,
    COUNT(*) FILTER (WHERE order_status = 'RETURNED') AS returned,
    COUNT(*) FILTER (WHERE order_status IN {SHIPPED} AND shipped_at IS NULL) AS no_ship_ts,
    COUNT(*) FILTER (WHERE order_status = 'DELIVERED' AND delivered_at IS NULL) AS no_deliv_ts,
-   date_diff('day', MIN(event_date), MAX(event_date)) AS span
+   date_diff('day', MIN(event_date), MAX(event_date)) AS span,
+   COUNT(DISTINCT event_date) AS n_days
  FROM fx_order_events_dirty) a"""
 _SLA = "(CAST(breaches AS DOUBLE) / NULLIF(breach_known, 0))"
 _CAN = "(CAST(cancelled AS DOUBLE) / NULLIF(n, 0))"
@@ -93,6 +94,7 @@ QUALITY_ORDERS = _checks_sql("order_events", _Q_ORDERS_SRC, [
     ("Q13", "Shipped orders have shipped_at", "error", "no_ship_ts", None, "no_ship_ts = 0"),
     ("Q14", "Delivered orders have delivered_at", "error", "no_deliv_ts", None, "no_deliv_ts = 0"),
     ("Q15", "Date range spans >= 28 days", "error", None, "span", "COALESCE(span >= 28, FALSE)"),
+    ("Q15b", "No missing days in range", "warn", "span + 1 - n_days", None, "COALESCE(span + 1 - n_days = 0, TRUE)"),
 ])
 
 ORPHAN_SHIPMENTS = f"""

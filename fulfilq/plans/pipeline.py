@@ -190,7 +190,13 @@ def register_views(star: dict[str, DataFrame], mart_frames: dict[str, DataFrame]
 
 
 def run(spark: SparkSession, layout: Layout, watermark: str | None = None) -> dict[str, DataFrame]:
-    """Cleanse, load and expose the marts; returns the (lazy) mart DataFrames."""
+    """Cleanse, load and expose the marts; returns the (lazy) mart DataFrames.
+
+    ``watermark``: ``None`` = full load; a ``YYYY-MM-DD`` day = only folders from
+    that day on; ``"auto"`` = resume from the audit log, else today - 30 days.
+    """
+    if watermark == "auto":
+        watermark = audit.resolve_watermark(spark, layout.audit)
     run_cleanse(spark, layout, watermark)
     run_load(spark, layout, watermark)
     star = load_star(spark, layout)

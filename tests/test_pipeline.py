@@ -68,3 +68,17 @@ def test_incremental_run_keeps_old_partitions(spark, tmp_root):
     cur = spark.read.parquet(layout.cur("order_events"))
     assert cur.count() == n_all                       # dynamic overwrite: older days survive (X4)
     assert cur.where(F.col("event_date") < "2024-01-20").count() > 0
+
+
+def test_resolve_watermark(spark, tmp_root):
+    import datetime as dt
+
+    path = f"{tmp_root}/audit"
+    assert audit.resolve_watermark(spark, path) == (dt.date.today() - dt.timedelta(days=30)).isoformat()
+    audit.append_audit(spark, path, [
+        {"job_name": "j", "target_table": "fact_order", "rows_loaded": 5, "run_status": "SUCCESS",
+         "watermark_date": dt.date(2024, 1, 20)},
+        {"job_name": "j", "target_table": "fact_order", "rows_loaded": None, "run_status": "FAILED",
+         "watermark_date": dt.date(2024, 1, 25)},
+    ])
+    assert audit.resolve_watermark(spark, path) == "2024-01-20"
