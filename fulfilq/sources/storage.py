@@ -7,10 +7,12 @@ Scale notes
 * The incremental scan filters on the ``date=`` folder column, which Spark
   turns into ``PartitionFilters`` (folders below the watermark are never
   listed into tasks), then drops the folder column.
-* Partitioned writes range-partition on (event_date, key): a hot day is split
-  across many tasks/files (no one-task-per-day bottleneck), each file holds a
-  contiguous key range (tight row-group statistics), and AQE may coalesce.
-  ``partitionOverwriteMode=dynamic`` replaces only the days present in the batch.
+* Partitioned writes use the ``REBALANCE(event_date)`` hint: AQE splits a hot
+  day across several tasks/files (no one-task-per-day bottleneck) and merges
+  small ones, with no sampling pass over the input (a range partitioner would
+  re-run the upstream stage to sample it). Rows are sorted by key within each
+  file for tight row-group statistics. ``partitionOverwriteMode=dynamic``
+  replaces only the days present in the batch.
 * Never overwrite a path that the same plan reads: rewrites go to a fresh
   path under the shared checkpoint folder and are then swapped in.
 """
@@ -57,7 +59,7 @@ def write_landing(df: DataFrame, path: str, partitioned: bool = True, date_col:
     writer = out
     if partitioned:
         writer = out.withColumn(FOLDER_COL, F.coalesce(F.col(date_col), F.lit("unknown")))
-        writer = writer.repartitionByRange(F.col(FOLDER_COL))
+        writer = writer.hint("rebalance", FOLDER_COL)
         writer.write.mode("overwrite").option("header", True).partitionBy(FOLDER_COL).csv(path)
     else:
         writer.write.mode("overwrite").option("header", True).csv(path)
@@ -70,11 +72,10 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], part_col: s
                       mode: str = "overwrite", observe=None) -> None:
     """Parquet partitioned by ``part_col``; only the batch's partitions are replaced.
 
-    ``observe`` = ``(Observation, [metric columns])`` is attached after the range
-    exchange: the range partitioner samples its input in a separate job, which
-    would otherwise count every row twice.
+    ``observe`` = ``(Observation, [metric columns])`` is attached after the
+    exchange, where the write executes each row exactly once.
     """
-    out = df.repartitionByRange(F.col(part_col), *[F.col(k) for k in keys]).sortWithinPartitions(part_col, *keys)
+    out = df.hint("rebalance", part_col).sortWithinPartitions(part_col, *keys)
     if observe is not None:
         out = out.observe(observe[0], *observe[1])
     (out.write.mode(mode)
