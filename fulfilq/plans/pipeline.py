@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fulfilq.operators import audit, cleanse, dims, marts
@@ -58,23 +58,31 @@ def land(spark: SparkSession, layout: Layout, raw: dict[str, DataFrame]) -> None
         storage.write_landing(df, layout.raw(name), partitioned=SPECS[name].partitioned)
 
 
-def run_cleanse(spark: SparkSession, layout: Layout, watermark: str | None = None) -> dict[str, int | None]:
-    """Raw -> curated for the four datasets; returns rows written per dataset."""
+def run_cleanse(spark: SparkSession, layout: Layout, watermark: str | None = None) -> dict[str, dict | None]:
+    """Raw -> curated for the four datasets.
+
+    Returns per dataset ``{"raw_rows", "rows", "removed"}`` (S16, A15: rows read,
+    rows written, incomplete + duplicate rows removed), or ``None`` when no new
+    folder exists (S4). Both counts are ``Observation`` metrics of the single
+    write job: no extra scan.
+    """
     configure(spark)
-    results: dict[str, int | None] = {}
+    results: dict[str, dict | None] = {}
     for name, spec in SPECS.items():
         raw = storage.read_landing(spark, layout.raw(name), spec.schema, spec.partitioned,
                                    watermark if spec.partitioned else None)
         if raw.isEmpty():  # S4: nothing new since the watermark
             results[name] = None
             continue
-        cur = cleanse.CLEANSERS[name](raw)
+        raw_obs = Observation(f"{name}_raw")
+        cur = cleanse.CLEANSERS[name](raw.observe(raw_obs, F.count(F.lit(1)).alias("rows")))
         obs = audit.observation(cur, name)
         if spec.partitioned:
             storage.write_partitioned(cur, layout.cur(name), spec.keys, observe=obs)
         else:
             storage.write_flat(cur, layout.cur(name), sort_cols=spec.keys, observe=obs)
-        results[name] = obs[0].get.get("rows")
+        n_raw, n_out = raw_obs.get.get("rows"), obs[0].get.get("rows")
+        results[name] = {"raw_rows": n_raw, "rows": n_out, "removed": n_raw - n_out}
     return results
 
 

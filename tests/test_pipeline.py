@@ -23,7 +23,9 @@ def test_pipeline_end_to_end_matches_lazy_plan_and_is_idempotent(spark, tmp_root
     assert os.path.isdir(f"{tmp_root}/raw/order_events/date=2024-01-05")
 
     counts = pipeline.run_cleanse(spark, layout)
-    assert counts["order_events"] == fixtures.order_events(spark, SF).count()
+    n_orders = fixtures.order_events(spark, SF).count()
+    raw_orders = fixtures.raw_datasets(spark, SF)["order_events"].count()
+    assert counts["order_events"] == {"raw_rows": raw_orders, "rows": n_orders, "removed": raw_orders - n_orders}
     pipeline.run_load(spark, layout)
     star = pipeline.load_star(spark, layout)
     lazy = fixture_star(spark, SF)
