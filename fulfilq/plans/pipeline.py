@@ -103,6 +103,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, partiti
     batch was materialized, so counting costs no extra pass.
     """
     obs = audit.observation(batch, "batch", storage.PART_COL if partitioned else None)
+    storage.recover_swap(spark, path)
     if not storage.path_exists(spark, path):
         _write_table(spark, batch, path, keys, partitioned, observe=obs)
         return obs[0].get

@@ -105,15 +105,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def swap_in(spark: SparkSession, new_path: str, target: str) -> None:
-    """Replace ``target`` by ``new_path`` (rename; the old copy is moved aside, then removed)."""
+def _fs_paths(spark: SparkSession, target: str):
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     tgt = jvm.org.apache.hadoop.fs.Path(target)
-    fs = tgt.getFileSystem(conf)
-    old = jvm.org.apache.hadoop.fs.Path(target.rstrip("/") + ".old-swap")
+    fs = tgt.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return jvm, fs, tgt, jvm.org.apache.hadoop.fs.Path(target.rstrip("/") + ".old-swap")
+
+
+def recover_swap(spark: SparkSession, target: str) -> None:
+    """Finish or undo a swap interrupted between its two renames.
+
+    Target missing but the moved-aside copy present: the new copy never
+    arrived, so the old one is restored. Both present: the swap completed and
+    only the cleanup was lost.
+    """
+    _, fs, tgt, old = _fs_paths(spark, target)
     if fs.exists(old):
-        fs.delete(old, True)
+        if fs.exists(tgt):
+            fs.delete(old, True)
+        else:
+            fs.rename(old, tgt)
+
+
+def swap_in(spark: SparkSession, new_path: str, target: str) -> None:
+    """Replace ``target`` by ``new_path`` (rename; the old copy is moved aside, then removed)."""
+    recover_swap(spark, target)
+    jvm, fs, tgt, old = _fs_paths(spark, target)
     if fs.exists(tgt):
         fs.rename(tgt, old)
     parent = tgt.getParent()

@@ -84,3 +84,21 @@ def test_resolve_watermark(spark, tmp_root):
          "watermark_date": dt.date(2024, 1, 25)},
     ])
     assert audit.resolve_watermark(spark, path) == "2024-01-20"
+
+
+def test_interrupted_swap_is_recovered(spark, tmp_root):
+    from fulfilq.sources import storage
+
+    target = f"{tmp_root}/t"
+    spark.range(3).write.parquet(target)
+    storage.swap_in(spark, _written(spark, f"{tmp_root}/n1", 5), target)
+    assert spark.read.parquet(target).count() == 5
+    # crash after moving the old copy aside, before the new one arrived
+    os.rename(target, target + ".old-swap")
+    storage.recover_swap(spark, target)
+    assert spark.read.parquet(target).count() == 5 and not os.path.exists(target + ".old-swap")
+
+
+def _written(spark, path, n):
+    spark.range(n).write.parquet(path)
+    return path
