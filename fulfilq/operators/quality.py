@@ -1,7 +1,9 @@
 """Data-quality suite (Q1-Q33) as Spark aggregates.
 
 Each dataset's checks are ONE global aggregate (partial per task, one row
-out); referential checks are anti joins on the order key. The result is a
+out); referential checks are anti joins on the order key whose probe side is
+reduced to distinct ids first (a partial aggregate before the shuffle, so a
+hot id cannot pile into one join task). The result is a
 DataFrame with one row per check:
 
     dataset, check_id, check_name, severity ('error' | 'warn'),
@@ -104,19 +106,24 @@ def quality_orders(orders: DataFrame) -> DataFrame:
 
 def orphan_shipments(shipments: DataFrame, orders: DataFrame) -> DataFrame:
     """Shipments whose order_id is not a shipped order (NULL order_id is an orphan)."""
-    shipped = orders.where(F.col("order_status").isin(*SHIPPED_STATUSES)).select("order_id")
+    shipped = orders.where(F.col("order_status").isin(*SHIPPED_STATUSES)).select("order_id").distinct()
     return shipments.join(shipped, "order_id", "left_anti")
 
 
 def uncovered_orders(orders: DataFrame, shipments: DataFrame) -> DataFrame:
-    """Distinct shipped order ids without any shipment row."""
-    shipped = orders.where(F.col("order_status").isin(*SHIPPED_STATUSES)).select("order_id")
-    return shipped.join(shipments.select("order_id"), "order_id", "left_anti").distinct()
+    """Distinct shipped order ids without any shipment row.
+
+    Both sides are reduced to distinct ids first (partial aggregation map-side),
+    so an order with a huge number of shipment rows is one row per task before
+    the shuffle.
+    """
+    shipped = orders.where(F.col("order_status").isin(*SHIPPED_STATUSES)).select("order_id").distinct()
+    return shipped.join(shipments.select("order_id").distinct(), "order_id", "left_anti")
 
 
 def orphan_returns(returns: DataFrame, orders: DataFrame) -> DataFrame:
     """RETURN reports whose order is not a RETURNED order."""
-    returned = orders.where(F.col("order_status") == "RETURNED").select("order_id")
+    returned = orders.where(F.col("order_status") == "RETURNED").select("order_id").distinct()
     return returns.where(F.col("report_type") == "RETURN").join(returned, "order_id", "left_anti")
 
 

@@ -27,7 +27,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFram
     keys = list(keys)
     has_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
     matchable = target.where(~has_null)
-    batch_keys = batch.select(*keys).where(~has_null)
+    batch_keys = batch.select(*keys).where(~has_null).distinct()  # partial aggregate: hot keys collapse map-side
     kept = matchable.join(batch_keys, on=keys, how="left_anti").select(*target.columns)
     return target.where(has_null).unionByName(kept).unionByName(batch.select(*target.columns))
 
@@ -39,7 +39,7 @@ def touched_values(target: DataFrame, batch: DataFrame, keys: Sequence[str], par
     date); the old partition must then be rewritten too.
     """
     keys = list(keys)
-    moved_from = target.select(*keys, part_col).join(batch.select(*keys), on=keys, how="left_semi")
+    moved_from = target.select(*keys, part_col).join(batch.select(*keys).distinct(), on=keys, how="left_semi")
     return batch.select(part_col).union(moved_from.select(part_col)).distinct()
 
 

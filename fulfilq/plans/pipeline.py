@@ -96,9 +96,15 @@ def _write_table(spark: SparkSession, df: DataFrame, path: str, keys, partitione
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, partitioned: bool,
-                 scd2: bool = False) -> dict:
+                 scd2: bool = False, keys_may_move: bool = True) -> dict:
     """Upsert ``batch`` into the table at ``path`` (created if absent).
 
+    For partitioned tables only the touched ``event_date`` partitions are read
+    and rewritten. ``keys_may_move=True`` also finds the partitions where the
+    batch's keys live today (a semi join over the target's key and date
+    columns only), so a key whose date changed leaves no stale copy; with
+    ``False`` the batch's own dates are used and the target is not scanned.
+
     Returns the batch metrics (rows, max partition date) observed while the
     batch was materialized, so counting costs no extra pass.
     """
@@ -119,7 +125,9 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, partiti
         # Only partitions the batch touches are read and rewritten (partition-value
         # list is bounded by the number of days, so it is collected as literals
         # for partition pruning).
-        days = [r[0] for r in touched_values(target, batch, keys, storage.PART_COL).collect()]
+        touched = (touched_values(target, batch, keys, storage.PART_COL) if keys_may_move
+                   else batch.select(storage.PART_COL).distinct())
+        days = [r[0] for r in touched.collect()]
         target = target.where(F.col(storage.PART_COL).isin(days))
         result = upsert(target, batch, keys)
     else:
