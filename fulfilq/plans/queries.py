@@ -11,10 +11,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from fulfilq.operators import marts
-from fulfilq.plans.star import fixture_star
-from fulfilq.session import configure
+from pyspark.sql import functions as F
+
+from fulfilq.functions import hours_between, shift_of_hour, sla_breach
+from fulfilq.operators import cleanse, dims, marts, quality
+from fulfilq.operators import upsert as ups
+from fulfilq.plans import pipeline
+from fulfilq.plans.star import fixture_curated, fixture_star
+from fulfilq.schemas import (
+    DEFAULT_SLA_HOURS,
+    ORDER_EVENTS,
+    RETURNS_DEFECTS,
+    SHIPMENT_TRACKING,
+    WAREHOUSE_CAPACITY,
+)
+from fulfilq.session import configure, scratch_path
+from fulfilq.sources import fixtures
+from fulfilq.sources.fixtures import FIXTURE_WAREHOUSE_IDS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,14 +76,6 @@ QUERIES: dict[str, Query] = {
 # ---------------------------------------------------------------------------
 # Curated datasets, dedup, derivations
 # ---------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from fulfilq.functions import hours_between, shift_of_hour  # noqa: E402
-from fulfilq.operators import cleanse, dims, quality, upsert as ups  # noqa: E402
-from fulfilq.plans.star import fixture_curated  # noqa: E402
-from fulfilq.schemas import ORDER_EVENTS, RETURNS_DEFECTS, SHIPMENT_TRACKING, WAREHOUSE_CAPACITY  # noqa: E402
-from fulfilq.sources import fixtures  # noqa: E402
-from fulfilq.sources.fixtures import FIXTURE_WAREHOUSE_IDS  # noqa: E402
 
 UPSERT_OLD_BEFORE = "2024-01-21"  # target holds days before this ...
 UPSERT_NEW_FROM = "2024-01-15"    # ... the batch holds days from this one (overlap = updates)
@@ -132,8 +137,6 @@ def q_incremental_orders(spark, sf_dir):
 
 def q_sla_breach_recomputed(spark, sf_dir):
     """J8 + F11: SLA hours by category (broadcast seed dimension, default 48) and the breach rule."""
-    from fulfilq.functions import sla_breach
-    from fulfilq.schemas import DEFAULT_SLA_HOURS
     o = _curated(spark, sf_dir, "order_events")
     cat = F.broadcast(dims.dim_product_category(spark).select(
         F.col("category_name").alias("product_category"), "sla_hours"))
@@ -345,9 +348,6 @@ QUERIES.update({
 # ---------------------------------------------------------------------------
 def q_pipeline_audit(spark, sf_dir):
     """Run the batch pipeline into a fresh folder under the shared checkpoint dir; return its audit rows."""
-    from fulfilq.plans import pipeline
-    from fulfilq.session import scratch_path
-
     configure(spark)
     root = scratch_path(spark, "pipeline")
     layout = pipeline.Layout(f"{root}/raw", f"{root}/curated", f"{root}/warehouse")
