@@ -220,3 +220,25 @@ def run(spark: SparkSession, layout: Layout, watermark: str | None = None) -> di
     m = build_marts(star)
     register_views(star, m)
     return m
+
+
+def validate(spark: SparkSession, layout: Layout, expected_warehouses: list[str]) -> DataFrame:
+    """Run the quality suite (Q1-Q32) over the raw landing datasets; one row per check."""
+    from fulfilq.operators import quality
+
+    configure(spark)
+    raw = {name: cleanse.cast_columns(storage.read_landing(spark, layout.raw(name), spec.schema, spec.partitioned),
+                                      spec.schema)
+           for name, spec in SPECS.items()}
+    expected = spark.createDataFrame([(w,) for w in expected_warehouses], "warehouse_id string")
+    orders = raw["order_events"]
+    return (quality.quality_orders(orders)
+            .unionByName(quality.quality_shipments(raw["shipment_tracking"], orders))
+            .unionByName(quality.quality_capacity(raw["warehouse_capacity"], expected))
+            .unionByName(quality.quality_returns(raw["returns_defects"], orders)))
+
+
+def write_marts(star: dict[str, DataFrame], path: str) -> None:
+    """Persist each mart as Parquet under ``path/<mart>`` (small outputs: one global aggregate grain each)."""
+    for name, df in build_marts(star).items():
+        df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")

@@ -102,3 +102,19 @@ def test_interrupted_swap_is_recovered(spark, tmp_root):
 def _written(spark, path, n):
     spark.range(n).write.parquet(path)
     return path
+
+
+def test_cli_validate_and_run(spark, tmp_root):
+    from fulfilq.__main__ import main
+    from fulfilq.sources.fixtures import FIXTURE_WAREHOUSE_IDS
+
+    layout = pipeline.Layout(landing=f"{tmp_root}/raw", curated=f"{tmp_root}/cur", warehouse=f"{tmp_root}/wh")
+    pipeline.land(spark, layout, fixtures.raw_datasets(spark, SF))
+    common = ["--landing", layout.landing, "--curated", layout.curated, "--warehouse", layout.warehouse,
+              "--expected-warehouses", ",".join(FIXTURE_WAREHOUSE_IDS)]
+    # the fixture's raw data has duplicate ids and orphans by design: validation must fail
+    assert main(["validate", *common]) == 1
+    checks = {r.check_id: r for r in pipeline.validate(spark, layout, FIXTURE_WAREHOUSE_IDS).collect()}
+    assert checks["Q2"].passed is False and checks["Q23"].passed is True and checks["Q1"].passed is True
+    assert main(["run", *common, "--out", f"{tmp_root}/marts"]) == 0
+    assert spark.read.parquet(f"{tmp_root}/marts/executive_summary").count() == 1
