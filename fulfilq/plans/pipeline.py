@@ -141,6 +141,10 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, partiti
         fresh = scratch_path(spark, "table")
         storage.write_flat(staged, fresh, sort_cols=keys)
         storage.swap_in(spark, fresh, path)
+    # Success: the staged copies in the shared scratch folder are no longer needed.
+    # (On failure they stay, and a re-run starts from the unchanged target.)
+    for scratch in (staged_batch._scratch_path, staged._scratch_path):
+        storage.remove(spark, scratch)
     return obs[0].get
 
 

@@ -142,6 +142,13 @@ def swap_in(spark: SparkSession, new_path: str, target: str) -> None:
         fs.delete(old, True)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path (recursive); missing paths are ignored."""
+    _, fs, p, _ = _fs_paths(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def materialize(spark: SparkSession, df: DataFrame, name: str, observe=None) -> DataFrame:
     """Write ``df`` to a fresh path in the shared checkpoint folder and read it back.
 
@@ -151,4 +158,6 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, observe=None) ->
     path = scratch_path(spark, name)
     out = df.observe(observe[0], *observe[1]) if observe is not None else df
     out.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    staged = spark.read.parquet(path)
+    staged._scratch_path = path  # so the caller can remove it once the data is consumed
+    return staged
