@@ -37,20 +37,20 @@ FOLDER_COL = "date"
 # ---------------------------------------------------------------------------
 def read_landing(spark: SparkSession, path: str, typed: T.StructType, partitioned: bool = True,
                  watermark: str | None = None) -> DataFrame:
-    """Read raw CSV (header) as strings; optionally only folders ``date >= watermark``.
+    """Read raw CSV (header) as text; optionally only folders ``date >= watermark``.
 
-    For partitioned datasets the ``date=YYYY-MM-DD`` folder value is read as a
-    string partition column, filtered (partition pruning), and dropped.
+    Columns are matched by header name, not position: no inference pass (every
+    column stays a string until the lenient cast), a missing column becomes
+    NULL and an extra one is ignored. For partitioned datasets the
+    ``date=YYYY-MM-DD`` folder value is filtered (``PartitionFilters``: pruned
+    folders are never read) and dropped.
     """
-    schema = raw_schema(typed)
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if partitioned:
-        full = T.StructType(schema.fields + [T.StructField(FOLDER_COL, T.StringType())])
-        df = reader.schema(full).csv(path)
-        if watermark is not None:
-            df = df.where(F.col(FOLDER_COL) >= F.lit(watermark))
-        return df.drop(FOLDER_COL)
-    return reader.schema(schema).csv(path)
+    df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    if partitioned and watermark is not None and FOLDER_COL in df.columns:
+        df = df.where(F.col(FOLDER_COL).cast("string") >= F.lit(watermark))
+    present = set(df.columns)
+    return df.select(*[F.col(c).cast("string").alias(c) if c in present else F.lit(None).cast("string").alias(c)
+                       for c in raw_schema(typed).names])
 
 
 def write_landing(df: DataFrame, path: str, partitioned: bool = True, date_col: str = PART_COL) -> None:
