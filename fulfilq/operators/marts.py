@@ -191,7 +191,12 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def order_status_mix(orders: DataFrame) -> DataFrame:
-    """Orders per status and their share of all orders (percent, 2 digits)."""
+    """Orders per status and their share of all orders (percent, 2 digits).
+
+    The total is a window over the per-status counts (one row per distinct
+    status), not over orders: the single window partition holds a handful of
+    aggregated rows whatever the data size.
+    """
     counts = orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("orders"))
     total = F.sum("orders").over(Window.partitionBy())
     return counts.select("order_status", "orders", pct(F.col("orders"), total).alias("share_pct"))

@@ -23,7 +23,12 @@ from fulfilq.sources.storage import FOLDER_COL
 
 
 def landing_stream(spark: SparkSession, layout: Layout, dataset: str, max_files: int = 1000) -> DataFrame:
-    """A streaming DataFrame over the dataset's landing folder (all columns as text)."""
+    """A streaming DataFrame over the dataset's landing folder (all columns as text).
+
+    A file stream needs its schema up front, so CSV columns are taken by
+    position in the dataset's column order (the order the landing writer and
+    the reference's simulator use); the batch reader matches them by header name.
+    """
     spec = SPECS[dataset]
     schema = raw_schema(spec.schema)
     if spec.partitioned:
