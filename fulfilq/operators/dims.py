@@ -93,26 +93,28 @@ def dim_product_category(spark: SparkSession) -> DataFrame:
     return df.select(surrogate_key("category_name").alias("category_sk"), "category_name", "sla_hours")
 
 
-def _narrow(df: DataFrame, table: str) -> DataFrame:
-    casts = FACT_DECIMALS[table]
-    return df.select(*[F.col(c).cast(casts[c]).alias(c) if c in casts else F.col(c) for c in df.columns])
-
-
 def to_table(curated: DataFrame, table: str) -> DataFrame:
-    """Project a curated dataset onto a star-schema table by name.
+    """Project a curated dataset onto a star-schema table by name (P14, X10), in one projection.
 
     Adds the deterministic surrogate key and narrows doubles to the table's
     DECIMAL types; a missing ``ingested_at`` becomes NULL so the same function
     serves oracle-compared (unstamped) plans.
     """
     columns, keys = TABLE_COLUMNS[table]
-    df = curated
-    if "ingested_at" not in df.columns:
-        df = df.withColumn("ingested_at", F.lit(None).cast("timestamp"))
-    if table == "dim_warehouse" and "snapshot_date" not in df.columns:
-        df = df.withColumn("snapshot_date", F.col("effective_start_date"))
-    df = df.withColumn(columns[0], surrogate_key(*keys))
-    return _narrow(df.select(*columns), table)
+    casts = FACT_DECIMALS[table]
+    present = set(curated.columns)
+    exprs = []
+    for c in columns:
+        if c == columns[0]:
+            e = surrogate_key(*keys)
+        elif c == "ingested_at" and c not in present:
+            e = F.lit(None).cast("timestamp")
+        elif c == "snapshot_date" and c not in present:
+            e = F.col("effective_start_date")
+        else:
+            e = F.col(c)
+        exprs.append((e.cast(casts[c]) if c in casts else e).alias(c))
+    return curated.select(*exprs)
 
 
 def fact_order(curated_orders: DataFrame) -> DataFrame:
