@@ -347,15 +347,24 @@ QUERIES.update({
 # End to end through storage: land -> cleanse -> upsert -> audit
 # ---------------------------------------------------------------------------
 def q_pipeline_audit(spark, sf_dir):
-    """Run the batch pipeline into a fresh folder under the shared checkpoint dir; return its audit rows."""
+    """Run the batch pipeline into a fresh folder under the shared checkpoint dir; return its audit rows.
+
+    The audit log holds one row per target table (bounded metadata), so it is
+    kept as a small DataFrame and the pipeline's folder is removed.
+    """
+    from fulfilq.sources import storage
+
     configure(spark)
     root = scratch_path(spark, "pipeline")
     layout = pipeline.Layout(f"{root}/raw", f"{root}/curated", f"{root}/warehouse")
     pipeline.land(spark, layout, fixtures.raw_datasets(spark, sf_dir))
     pipeline.run_cleanse(spark, layout)
     pipeline.run_load(spark, layout)
-    return spark.read.parquet(layout.audit).select(
+    audit_rows = spark.read.parquet(layout.audit).select(
         "job_name", "target_table", "rows_loaded", "run_status", "watermark_date")
+    result = spark.createDataFrame(audit_rows.collect(), audit_rows.schema)
+    storage.remove(spark, root)
+    return result
 
 
 QUERIES["pipeline_audit"] = q_pipeline_audit
