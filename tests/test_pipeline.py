@@ -118,3 +118,14 @@ def test_cli_validate_and_run(spark, tmp_root):
     assert checks["Q2"].passed is False and checks["Q23"].passed is True and checks["Q1"].passed is True
     assert main(["run", *common, "--out", f"{tmp_root}/marts"]) == 0
     assert spark.read.parquet(f"{tmp_root}/marts/executive_summary").count() == 1
+
+
+def test_views_are_queryable_with_sql(spark):
+    star = fixture_star(spark, SF)
+    m = pipeline.build_marts(star)
+    pipeline.register_views({k: star[k] for k in ("fact_order", "dim_date")}, m)
+    top = spark.sql("SELECT event_date, warehouse_id FROM v_daily_ops_scorecard "
+                    "ORDER BY event_date DESC NULLS FIRST, warehouse_id LIMIT 1").first()
+    assert str(top.event_date) == "2024-01-30"
+    n = spark.sql("SELECT total_orders FROM v_executive_summary").first()[0]
+    assert n == spark.sql("SELECT COUNT(*) FROM fact_order").first()[0] == 1500
