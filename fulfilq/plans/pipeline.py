@@ -69,6 +69,9 @@ def run_cleanse(spark: SparkSession, layout: Layout, watermark: str | None = Non
     configure(spark)
     results: dict[str, dict | None] = {}
     for name, spec in SPECS.items():
+        if not storage.path_exists(spark, layout.raw(name)):  # S4: nothing landed for this dataset
+            results[name] = None
+            continue
         raw = storage.read_landing(spark, layout.raw(name), spec.schema, spec.partitioned,
                                    watermark if spec.partitioned else None)
         if raw.isEmpty():  # S4: nothing new since the watermark

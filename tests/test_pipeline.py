@@ -129,3 +129,13 @@ def test_views_are_queryable_with_sql(spark):
     assert str(top.event_date) == "2024-01-30"
     n = spark.sql("SELECT total_orders FROM v_executive_summary").first()[0]
     assert n == spark.sql("SELECT COUNT(*) FROM fact_order").first()[0] == 1500
+
+
+def test_cleanse_skips_missing_and_empty_inputs(spark, tmp_root):
+    layout = pipeline.Layout(landing=f"{tmp_root}/raw", curated=f"{tmp_root}/cur", warehouse=f"{tmp_root}/wh")
+    pipeline.land(spark, layout, {"order_events": fixtures.raw_datasets(spark, SF)["order_events"]})
+    got = pipeline.run_cleanse(spark, layout, watermark="2030-01-01")   # nothing that new
+    assert got == {"order_events": None, "shipment_tracking": None, "warehouse_capacity": None,
+                   "returns_defects": None}
+    got = pipeline.run_cleanse(spark, layout)
+    assert got["order_events"]["rows"] == 1500 and got["shipment_tracking"] is None
