@@ -168,6 +168,11 @@ def run_load(spark: SparkSession, layout: Layout, watermark: str | None = None,
     entries, counts = [], {}
     for name, (table, keys) in TARGETS.items():
         spec = SPECS[name]
+        if not storage.path_exists(spark, layout.cur(name)):  # nothing curated for this dataset yet
+            counts[table] = None
+            entries.append({"job_name": job_name, "target_table": table, "rows_loaded": None,
+                            "run_status": "SKIPPED"})
+            continue
         try:
             cur = storage.read_curated(spark, layout.cur(name))
             if spec.partitioned and watermark is not None:

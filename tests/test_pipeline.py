@@ -139,3 +139,9 @@ def test_cleanse_skips_missing_and_empty_inputs(spark, tmp_root):
                    "returns_defects": None}
     got = pipeline.run_cleanse(spark, layout)
     assert got["order_events"]["rows"] == 1500 and got["shipment_tracking"] is None
+    loaded = pipeline.run_load(spark, layout)
+    assert loaded == {"fact_order": 1500, "fact_shipment": None, "dim_warehouse": None,
+                      "fact_returns_defects": None}
+    status = {r.target_table: r.run_status for r in spark.read.parquet(layout.audit).collect()}
+    assert status == {"fact_order": "SUCCESS", "fact_shipment": "SKIPPED", "dim_warehouse": "SKIPPED",
+                      "fact_returns_defects": "SKIPPED"}
