@@ -64,3 +64,18 @@ def test_touched_partitions_include_moved_keys(spark):
     batch = _facts(spark, [("o1", "DELIVERED", D(2024, 1, 2))])  # o1 moves from Jan 1 to Jan 2
     got = sorted(r[0] for r in upsert.touched_values(target, batch, ["order_id"], "event_date").collect())
     assert got == [D(2024, 1, 1), D(2024, 1, 2)]
+
+
+def test_scd2_invariants_on_fixture(spark):
+    from fulfilq.plans.star import fixture_curated
+
+    hist = fixture_curated(spark, "/root/testdata/sf0.001")["warehouse_capacity"]
+    by_wh = {}
+    for r in hist.select("warehouse_id", "effective_start_date", "effective_end_date", "is_current").collect():
+        by_wh.setdefault(r.warehouse_id, []).append(r)
+    assert len(by_wh) == 6
+    for rows in by_wh.values():
+        rows.sort(key=lambda r: r.effective_start_date)
+        assert [r.is_current for r in rows].count(True) == 1 and rows[-1].is_current
+        for a, b in zip(rows, rows[1:]):
+            assert a.effective_end_date == b.effective_start_date   # half-open, contiguous
