@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from fulfilq.operators import audit, cleanse, dims, marts
 from fulfilq.operators.upsert import touched_values, upsert, upsert_scd2
 from fulfilq.schemas import SPECS
-from fulfilq.session import configure, scratch_path
+from fulfilq.session import configure, input_bytes, scratch_path, size_shuffles
 from fulfilq.sources import storage
 
 TARGETS = {
@@ -72,6 +72,7 @@ def run_cleanse(spark: SparkSession, layout: Layout, watermark: str | None = Non
         if not storage.path_exists(spark, layout.raw(name)):  # S4: nothing landed for this dataset
             results[name] = None
             continue
+        size_shuffles(spark, input_bytes(spark, layout.raw(name)))
         raw = storage.read_landing(spark, layout.raw(name), spec.schema, spec.partitioned,
                                    watermark if spec.partitioned else None)
         if raw.isEmpty():  # S4: nothing new since the watermark
@@ -174,6 +175,7 @@ def run_load(spark: SparkSession, layout: Layout, watermark: str | None = None,
                             "run_status": "SKIPPED"})
             continue
         try:
+            size_shuffles(spark, input_bytes(spark, layout.cur(name)) + input_bytes(spark, layout.table(table)))
             cur = storage.read_curated(spark, layout.cur(name))
             if spec.partitioned and watermark is not None:
                 cur = cur.where(F.col(storage.PART_COL) >= F.lit(watermark).cast("date"))

@@ -73,3 +73,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/fulfilq-tables/{name}-{uuid.uuid4().hex}"
+
+
+TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (file-system metadata only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def size_shuffles(spark: SparkSession, nbytes: int, target: int = TARGET_SHUFFLE_PARTITION_BYTES) -> int:
+    """Start shuffles with about one partition per ``target`` bytes of input.
+
+    AQE can merge small shuffle partitions but cannot split uniformly large
+    ones, so the initial count must scale with the input: at 100 TB the default
+    200 would mean ~500 GB per reduce task. This raises
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` (never lowers a
+    value the cluster set); AQE then coalesces down to the advisory size.
+    Returns the initial partition count in effect.
+    """
+    want = -(-nbytes // target)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = spark.conf.get(key, None)
+    base = int(current) if current else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if want > base:
+        spark.conf.set(key, str(want))
+        return want
+    return base

@@ -145,3 +145,19 @@ def test_cleanse_skips_missing_and_empty_inputs(spark, tmp_root):
     status = {r.target_table: r.run_status for r in spark.read.parquet(layout.audit).collect()}
     assert status == {"fact_order": "SUCCESS", "fact_shipment": "SKIPPED", "dim_warehouse": "SKIPPED",
                       "fact_returns_defects": "SKIPPED"}
+
+
+def test_shuffle_sizing_scales_with_input(spark):
+    from fulfilq.session import size_shuffles
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    try:
+        assert size_shuffles(spark, 10 * 1024 * 1024) == int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+        assert size_shuffles(spark, 100 * 1024 ** 4) == 409600        # 100 TB / 256 MB
+        assert size_shuffles(spark, 1024) == 409600                   # never lowered
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
