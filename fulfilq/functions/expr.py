@@ -97,5 +97,10 @@ def date_key(d: str | Column) -> Column:
 
 
 def surrogate_key(*business_key: str | Column) -> Column:
-    """Deterministic 64-bit surrogate key from the business key (stable across reloads)."""
+    """Deterministic 64-bit surrogate key from the business key (stable across reloads).
+
+    A convenience key like the reference's identity column: every join, dedup
+    and upsert in this library uses the business key, because 64-bit hashes
+    of ~10^10 distinct keys are expected to collide somewhere.
+    """
     return F.xxhash64(*[_col(c) for c in business_key])
