@@ -25,7 +25,7 @@ from fulfilq.schemas import (
     SHIPMENT_TRACKING,
     WAREHOUSE_CAPACITY,
 )
-from fulfilq.session import configure, scratch_path
+from fulfilq.session import configure, cut_lineage, scratch_path
 from fulfilq.sources import fixtures
 from fulfilq.sources.fixtures import FIXTURE_WAREHOUSE_IDS
 
@@ -237,6 +237,16 @@ def q_curated_smoke(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Upserts (S9a-d) on an old/new split of the fixture
 # ---------------------------------------------------------------------------
+def _snapshot(spark, sf_dir, name):
+    """The curated dataset both sides of an upsert scenario come from, computed once.
+
+    Old target and new batch are two filters of it; without the checkpoint
+    each branch would re-run the dedup window (filters on the date cannot
+    move below a window partitioned by the business key).
+    """
+    return cut_lineage(_curated(spark, sf_dir, name))
+
+
 def _split(df, date_col):
     d = F.col(date_col)
     old = df.where(d < F.lit(UPSERT_OLD_BEFORE).cast("date"))
@@ -246,21 +256,21 @@ def _split(df, date_col):
 
 
 def q_upsert_orders(spark, sf_dir):
-    cur = _curated(spark, sf_dir, "order_events")
+    cur = _snapshot(spark, sf_dir, "order_events")
     old, new, stale = _split(cur, "event_date")
     old = old.withColumn("order_status", F.when(stale, F.lit("PLACED")).otherwise(F.col("order_status")))
     return ups.upsert(old, new, ["order_id"])
 
 
 def q_upsert_shipments(spark, sf_dir):
-    cur = _curated(spark, sf_dir, "shipment_tracking")
+    cur = _snapshot(spark, sf_dir, "shipment_tracking")
     old, new, stale = _split(cur, "event_date")
     old = old.withColumn("late_delivery", F.when(stale, ~F.col("late_delivery")).otherwise(F.col("late_delivery")))
     return ups.upsert(old, new, ["shipment_id"])
 
 
 def q_upsert_returns(spark, sf_dir):
-    cur = _curated(spark, sf_dir, "returns_defects")
+    cur = _snapshot(spark, sf_dir, "returns_defects")
     old, new, stale = _split(cur, "event_date")
     old = old.withColumn("refund_issued", F.when(stale, ~F.col("refund_issued")).otherwise(F.col("refund_issued")))
     return ups.upsert(old, new, ["record_id"])

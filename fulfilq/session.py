@@ -33,6 +33,8 @@ def get_spark(master: str | None = None, app_name: str = "fulfilq", **conf: str)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # checkpoint files are removed once their data is garbage-collected (startup-only setting)
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for k, v in {**_REQUIRED_CONF, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -69,6 +71,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def cut_lineage(df):
+    """Reliable checkpoint into the shared checkpoint folder (never a local checkpoint).
+
+    Used where one computed result feeds several branches of a plan: it is
+    computed once, and a lost executor re-reads it instead of recomputing it.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
