@@ -161,3 +161,14 @@ def test_shuffle_sizing_scales_with_input(spark):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def test_cut_lineage_writes_to_the_shared_checkpoint_dir(spark):
+    from fulfilq.session import checkpoint_dir, cut_lineage
+
+    base = checkpoint_dir(spark)
+    df = cut_lineage(spark.range(100).selectExpr("id", "id * 2 AS twice"))
+    assert df.count() == 100
+    assert "ExistingRDD" in df._jdf.queryExecution().executedPlan().toString()
+    ckpt = spark.sparkContext.getCheckpointDir()
+    assert ckpt is not None and base.rstrip("/").split(":")[-1] in ckpt
