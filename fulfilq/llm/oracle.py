@@ -52,7 +52,7 @@ def op5(templates=license_join.TEMPLATES) -> str:
     sets = license_join.template_sets(templates)
     values = ", ".join(f"({k}, '{label}', '{t}', {len(s)}, {license_join.need(len(s))})" for k, (label, s) in enumerate(sets) for t in s)
     union = " union all ".join(
-        f"select r, '{label}' label, i - 1 at from (select r, w, unnest(range(1, len(w) + 1)) i from d) "
+        f"select r, '{label}' label, i - 1 pos from (select r, w, unnest(range(1, len(w) + 1)) i from d) "
         f"where list_slice(w, i, i + {len(p.split()) - 1}) = [{', '.join(repr(x) for x in p.split())}]"
         for p, label in license_join.PHRASES.items()
     )
@@ -60,7 +60,7 @@ def op5(templates=license_join.TEMPLATES) -> str:
 with d as (select row_number() over () r, doc_id, text, {_words("text")} w from documents),
 place as ({union}),
 base as (
-  select r, count(*) n_base, min(at) first_word, max(at) last_word, string_agg(distinct label, ',' order by label) base_labels
+  select r, count(*) n_base, min(pos) first_word, max(pos) last_word, string_agg(distinct label, ',' order by label) base_labels
   from place group by r
 ),
 t(k, label, token, size, need) as (values {values}),

@@ -5,13 +5,13 @@ own (the excess goes to the others by weight). A document's expected copies are
 target / source size; the whole part is taken, the fractional parts are
 rounded together: units are paired, word mass moves between the two in a random
 direction until one of them is integral, the other goes on to the next pair, so
-the words taken stay at the target. Units are first folded in blocks of about
-``FANOUT`` of one source and size class; the one unit left of each block goes
-up a reduction tree (blocks of ``FANOUT`` residuals) until a source has a
-single one, which is rounded to the nearer side. Above the first level units
-are folded by falling size and mass keeps its direction until the larger unit
-is integral, so what stays open at the end is small. Every choice is a hash of
-the seed and the document: reruns agree.
+the words taken stay at the target. Units are folded in blocks of about
+``FANOUT`` of one source; the one unit left of each block goes up a reduction
+tree (blocks of ``FANOUT`` residuals) until a source has a single one, which is
+rounded to the nearer side. A block is folded by falling size, and the mass of
+a unit keeps the direction drawn for it until it is integral, so what stays
+open at the end is a small unit. Every choice is a hash of the seed and the
+document: reruns agree.
 
 DataFrame functions only. Null text: size 0, no words taken. A null source is a
 source of its own, last in order. Repeated rows are units of their own. No
@@ -52,7 +52,7 @@ def numbered(u: DataFrame) -> DataFrame:
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
-    """Adds ``target`` to (source, source_size): one small row per source."""
+    """Adds ``target`` to rows of (source, source_size, ...): one row per source."""
     in_order = Window.orderBy(F.col("source").asc_nulls_last())
     cap = F.col("cap")
     rank = F.row_number().over(in_order) - 1
@@ -72,14 +72,14 @@ def targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     s = s.withColumn("level", (F.col("all_size") - F.col("capped")) / F.col("open"))
     holds = F.when(F.col("level") <= cap / F.col("weight") * (1 + 1e-12), F.struct("k", "level"))
     s = s.withColumn("fill", F.min(holds).over(every)["level"])
-    return s.select("source", "source_size", F.least(cap, F.col("weight") * F.col("fill")).alias("target"))
+    return s.select(*sizes.columns, F.least(cap, F.col("weight") * F.col("fill")).alias("target"))
 
 
 def uniform(*cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(2**53))
 
 
-def fold(members: Column, keep_direction: bool) -> Column:
+def fold(members: Column) -> Column:
     """Folds an array of units (id, nth, size, p, u): (open, unit, done), done with the copies of the decided ones."""
 
     def unit(x, p):
@@ -97,7 +97,7 @@ def fold(members: Column, keep_direction: bool) -> Column:
         b_up, b_down = (1 - b["p"]) * b["size"], b["p"] * b["size"]
         rise, sink = F.least(a_up, b_down), F.least(a_down, b_up)
         drawn = F.when(b["u"] * (rise + sink) < sink, 1).otherwise(-1)
-        way = F.when(was != 0, was).otherwise(drawn) if keep_direction else drawn
+        way = F.when(was != 0, was).otherwise(drawn)
         up = way > 0
         moved = way * F.when(up, rise).otherwise(sink)
         a_done = F.when(up, a_up <= b_down).otherwise(a_down <= b_up)
@@ -122,44 +122,32 @@ def fold(members: Column, keep_direction: bool) -> Column:
     return F.aggregate(F.slice(members, F.lit(2), F.size(members)), start, step)
 
 
-def fold_blocks(u: DataFrame, keys: list[str], carried: list[str], level: int, seed: int) -> DataFrame:
-    """One row per block of units: ``carried``, and ``r`` with the open unit and the decided ones."""
-    u = u.withColumn("u", uniform(F.lit(seed), F.lit(level), "id", "nth"))
-    member = F.struct((-F.col("size")).alias("o"), "u", "id", "nth", "size", "p")
-    if level == 0:
-        member = F.struct("u", "id", "nth", "size", "p")
-    blocks = u.groupBy(*keys).agg(F.array_sort(F.collect_list(member)).alias("m"), *[F.first(c).alias(c) for c in carried])
-    return blocks.select("source", *carried, fold(F.col("m"), level > 0).alias("r"))
+def fold_blocks(u: DataFrame, level: int, seed: int) -> DataFrame:
+    """One row per (source, block) of units: residuals, and ``r`` with the open unit and the decided ones."""
+    draw = uniform(F.lit(seed), F.lit(level), "id", "nth").alias("u")
+    member = F.struct((-F.col("size")).alias("falling"), draw, "id", "nth", "size", "p")
+    blocks = u.groupBy("source", "block").agg(
+        F.array_sort(F.collect_list(member)).alias("m"), F.first("residuals").alias("residuals")
+    )
+    return blocks.select("source", "residuals", fold(F.col("m")).alias("r"))
 
 
 def copies(u: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = SEED) -> DataFrame:
     """(id, nth, source, size, source_size, target, copies) of every unit of ``u`` (id, source, size)."""
-    u = materialize(numbered(u).withColumn("class", F.length(F.bin("size"))), "mix-units")
-    per_class = u.groupBy("source", "class").agg(F.sum("size").alias("class_size"), F.count("*").alias("n"))
-    per_source = per_class.groupBy("source").agg(
-        F.sum("class_size").alias("source_size"), F.sum(F.ceil(F.col("n") / FANOUT)).alias("residuals")
-    )
-    # one row per source (and size class): dimension tables, joined with a null-safe key
+    u = materialize(numbered(u), "mix-units")
+    per_source = u.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    # one row per source: a dimension table, joined with a null-safe key
     goal = materialize(
-        targets(per_source.select("source", "source_size"), weights, most)
-        .withColumnRenamed("source", "s")
-        .join(per_source.select("source", "residuals"), F.col("s").eqNullSafe(F.col("source")))
-        .select("source", "source_size", "target", "residuals"),
-        "mix-targets",
-    )
-    most_residuals = goal.agg(F.max("residuals")).first()[0] or 0
-    dims = (
-        per_class.withColumnsRenamed({"source": "s", "class": "c"})
-        .join(goal, F.col("s").eqNullSafe(F.col("source")))
-        .select("s", "c", F.ceil(F.col("n") / FANOUT).alias("blocks"), "source_size", "target", "residuals")
+        targets(per_source, weights, most).withColumn("residuals", F.ceil(F.col("n") / FANOUT)), "mix-targets"
     )
+    left = goal.agg(F.max("residuals")).first()[0] or 0
+    dims = goal.withColumnRenamed("source", "s").drop("n")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    u = u.join(dims, F.col("source").eqNullSafe(F.col("s")) & (F.col("class") == F.col("c"))).drop("s", "c")
-    u = u.withColumn("p", rate - F.floor(rate))
+    u = u.join(dims, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("p", rate - F.floor(rate))
     paired = (F.col("size") > 0) & (F.col("p") > 0)
-    block = F.pmod(F.xxhash64(F.lit(seed), "id", "nth"), F.col("blocks")).alias("block")
-    level0 = u.where(paired).select("id", "nth", "source", "size", "p", "class", "residuals", block)
-    done, folded, left = [], fold_blocks(level0, ["source", "class", "block"], ["residuals"], 0, seed), most_residuals
+    block = F.pmod(F.xxhash64(F.lit(seed), "id", "nth"), F.col("residuals")).alias("block")
+    level0 = u.where(paired).select("id", "nth", "source", "size", "p", "residuals", block)
+    done, folded = [], fold_blocks(level0, 0, seed)
     level = 0
     while True:
         folded = materialize(folded, f"mix-level{level}")
@@ -170,7 +158,7 @@ def copies(u: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = SEED) ->
         level, left = level + 1, -(-left // FANOUT)
         rest = rest.withColumn("residuals", F.ceil(F.col("residuals") / FANOUT))
         block = F.pmod(F.xxhash64(F.lit(seed + level), "id", "nth"), F.col("residuals"))
-        folded = fold_blocks(rest.withColumn("block", block), ["source", "block"], ["residuals"], level, seed)
+        folded = fold_blocks(rest.withColumn("block", block), level, seed)
     nearest = F.when(F.col("p") >= 0.5, 1).otherwise(0).alias("extra")
     done.append(rest.select("source", "id", "nth", nearest))
     # sizes and fractions are recomputed from the unit table; only decisions are united
