@@ -22,11 +22,11 @@ win as (
   from (select item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) i from b where len(w) > 0)
 ),
 sizes as (select distinct k from win),
-at as (
+place as (
   select r, i, k, list_slice(w, i, i + k - 1) g
   from (select r, k, w, unnest(range(1, len(w) - k + 2)) i from d, sizes where len(w) >= k)
 ),
-occ as (select at.r, at.i, at.k, win.item_id from at join win on at.k = win.k and at.g = win.g),
+occ as (select p.r, p.i, p.k, win.item_id from place p join win on p.k = win.k and p.g = win.g),
 hit as (select r, count(distinct p) n_hit from (select r, unnest(range(i, i + k)) p from occ) group by r),
 items as (
   select r, count(*) n_items, string_agg(item_id, ',' order by item_id) s from (select distinct r, item_id from occ) group by r

@@ -79,8 +79,11 @@ def uniform(*cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(2**53))
 
 
-def fold(members: Column) -> Column:
-    """Folds an array of units (id, nth, size, p, u): (open, unit, done), done with the copies of the decided ones."""
+def fold(members: Column, final: Column) -> Column:
+    """Folds an array of units (id, nth, size, p, u): (open, unit, done), done with the copies of the decided ones.
+
+    ``final``: no level follows, so where the rest of the block has room for one direction only, that one is taken.
+    """
 
     def unit(x, p):
         return F.struct(x["id"].alias("id"), x["nth"].alias("nth"), x["size"].alias("size"), p.alias("p"), x["u"].alias("u"))
@@ -88,8 +91,10 @@ def fold(members: Column) -> Column:
     def decided(x, one):
         return F.struct(x["id"].alias("id"), x["nth"].alias("nth"), F.when(one, 1).otherwise(0).alias("extra"))
 
-    def state(is_open, x, way, done):
-        return F.struct(is_open.alias("open"), x.alias("unit"), way.alias("way"), done.alias("done"))
+    def state(is_open, x, way, gives, takes, done):
+        return F.struct(
+            is_open.alias("open"), x.alias("unit"), way.alias("way"), gives.alias("gives"), takes.alias("takes"), done.alias("done")
+        )
 
     def step(acc, b):
         a, was = acc["unit"], acc["way"]
@@ -97,6 +102,8 @@ def fold(members: Column) -> Column:
         b_up, b_down = (1 - b["p"]) * b["size"], b["p"] * b["size"]
         rise, sink = F.least(a_up, b_down), F.least(a_down, b_up)
         drawn = F.when(b["u"] * (rise + sink) < sink, 1).otherwise(-1)
+        can_rise, can_sink = a_up <= acc["gives"], a_down <= acc["takes"]
+        drawn = F.when(final & (can_rise != can_sink), F.when(can_rise, 1).otherwise(-1)).otherwise(drawn)
         way = F.when(was != 0, was).otherwise(drawn)
         up = way > 0
         moved = way * F.when(up, rise).otherwise(sink)
@@ -108,18 +115,28 @@ def fold(members: Column) -> Column:
             F.when(b_done, F.array(decided(b, ~up))).otherwise(F.slice(F.array(decided(b, ~up)), 1, 0)),
         )
         rest_a, rest_b = unit(a, a["p"] + moved / a["size"]), unit(b, b["p"] - moved / b["size"])
+        gives, takes = acc["gives"] - b_down, acc["takes"] - b_up
         paired = state(
             ~(a_done & b_done),
             F.when(a_done, rest_b).otherwise(rest_a),
             F.when(a_done, 0).otherwise(way),
+            gives,
+            takes,
             done,
         )
-        return F.when(acc["open"], paired).otherwise(state(F.lit(True), unit(b, b["p"]), F.lit(0), acc["done"]))
+        return F.when(acc["open"], paired).otherwise(
+            state(F.lit(True), unit(b, b["p"]), F.lit(0), gives, takes, acc["done"])
+        )
+
+    def total(x, of):
+        return F.aggregate(x, F.lit(0.0), lambda n, m: n + of(m))
 
-    first = F.element_at(members, 1)
+    first, others = F.element_at(members, 1), F.slice(members, F.lit(2), F.size(members))
     none = F.slice(F.array(decided(first, F.lit(True))), 1, 0)
-    start = state(F.lit(True), unit(first, first["p"]), F.lit(0), none)
-    return F.aggregate(F.slice(members, F.lit(2), F.size(members)), start, step)
+    gives = total(others, lambda m: m["p"] * m["size"])
+    takes = total(others, lambda m: (1 - m["p"]) * m["size"])
+    start = state(F.lit(True), unit(first, first["p"]), F.lit(0), gives, takes, none)
+    return F.aggregate(others, start, step)
 
 
 def fold_blocks(u: DataFrame, level: int, seed: int) -> DataFrame:
@@ -129,7 +146,7 @@ def fold_blocks(u: DataFrame, level: int, seed: int) -> DataFrame:
     blocks = u.groupBy("source", "block").agg(
         F.array_sort(F.collect_list(member)).alias("m"), F.first("residuals").alias("residuals")
     )
-    return blocks.select("source", "residuals", fold(F.col("m")).alias("r"))
+    return blocks.select("source", "residuals", fold(F.col("m"), F.col("residuals") <= 1).alias("r"))
 
 
 def copies(u: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = SEED) -> DataFrame:
