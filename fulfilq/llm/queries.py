@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulfilq.llm import decontaminate, fertility, length_histogram, license_join, line_bitmap, pivotal_mix
+from fulfilq.llm import dart_minhash, decontaminate, fertility, length_histogram, license_join, line_bitmap, pivotal_mix
 from fulfilq.llm.common import slices, table
 
 
@@ -16,6 +16,12 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge(fertility.measure(table(spark, sf_dir, "documents")))
 
 
+def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dart_minhash.classes(table(spark, sf_dir, "documents"))
+    stays = F.col("node").eqNullSafe(F.col("lead")) & F.col("doc").eqNullSafe(F.col("class_id"))
+    return found.select(F.col("doc").alias("doc_id"), "class_id", "class_size", stays.alias("kept"))
+
+
 def op4_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram.histogram(length_histogram.lengths(table(spark, sf_dir, "documents")))
 
@@ -78,6 +84,7 @@ def op10_line_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_fertility": op1_fertility,
+    "op3_dart_minhash": op3_dart_minhash,
     "op4_length_histogram": op4_length_histogram,
     "op5_license_join": op5_license_join,
     "op8_pivotal_mix": op8_pivotal_mix,
