@@ -8,7 +8,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulfilq.llm import dart_minhash, decontaminate, fertility, length_histogram, license_join, line_bitmap, pivotal_mix
+from fulfilq.llm import (
+    dart_minhash,
+    decontaminate,
+    fertility,
+    kneser_ney,
+    length_histogram,
+    license_join,
+    line_bitmap,
+    pivotal_mix,
+    url_markov,
+)
 from fulfilq.llm.common import slices, table
 
 
@@ -16,6 +26,12 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge(fertility.measure(table(spark, sf_dir, "documents")))
 
 
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    trusted = labels.where((F.col("quality") == 1) & (F.col("toxic") == 0))
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), trusted)
+
+
 def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dart_minhash.classes(table(spark, sf_dir, "documents"))
     stays = F.col("node").eqNullSafe(F.col("lead")) & F.col("doc").eqNullSafe(F.col("class_id"))
@@ -30,6 +46,10 @@ def op5_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_url_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_markov.judge(table(spark, sf_dir, "pages"))
+
+
 def op8_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = pivotal_mix.copies(pivotal_mix.units(table(spark, sf_dir, "documents")))
     return plan.select(
@@ -84,9 +104,11 @@ def op10_line_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_fertility": op1_fertility,
+    "op2_kneser_ney": op2_kneser_ney,
     "op3_dart_minhash": op3_dart_minhash,
     "op4_length_histogram": op4_length_histogram,
     "op5_license_join": op5_license_join,
+    "op6_url_markov": op6_url_markov,
     "op8_pivotal_mix": op8_pivotal_mix,
     "op9_fm_decontamination": op9_fm_decontamination,
     "op10_line_bitmap": op10_line_bitmap,
