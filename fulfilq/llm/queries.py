@@ -16,10 +16,12 @@ from fulfilq.llm import (
     length_histogram,
     license_join,
     line_bitmap,
+    pii_tagger,
     pivotal_mix,
     url_markov,
 )
 from fulfilq.llm.common import slices, table
+from fulfilq.llm.pii_rules import KINDS
 
 
 def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +52,19 @@ def op6_url_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_markov.judge(table(spark, sf_dir, "pages"))
 
 
+def op7_pii_tagger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii_tagger.find(docs, pii_tagger.train(docs))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda x: x.startswith(kind + ":"))).cast("bigint").alias(f"n_{kind}")
+
+    n = [count(kind) for kind in KINDS]
+    return found.select(
+        "doc_id", *n, F.sha2(F.array_join("base", ","), 256).alias("base_sha256"), F.array_join("spans", ",").alias("spans")
+    )
+
+
 def op8_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = pivotal_mix.copies(pivotal_mix.units(table(spark, sf_dir, "documents")))
     return plan.select(
@@ -109,6 +124,7 @@ QUERIES = {
     "op4_length_histogram": op4_length_histogram,
     "op5_license_join": op5_license_join,
     "op6_url_markov": op6_url_markov,
+    "op7_pii_tagger": op7_pii_tagger,
     "op8_pivotal_mix": op8_pivotal_mix,
     "op9_fm_decontamination": op9_fm_decontamination,
     "op10_line_bitmap": op10_line_bitmap,
