@@ -163,8 +163,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float
         "row",
         n_words.alias("n_words"),
         sum((n for n, _, _ in places.values()), F.lit(0)).cast("bigint").alias("n_base"),
-        F.least(*[f for _, f, _ in places.values()]).cast("bigint").alias("first_word"),
-        F.least(*[x for _, _, x in places.values()]).cast("bigint").alias("to_end"),
+        F.array_min(F.array(*[f for _, f, _ in places.values()])).cast("bigint").alias("first_word"),
+        F.array_min(F.array(*[x for _, _, x in places.values()])).cast("bigint").alias("to_end"),
         base.alias("base"),
     )
     d = d.join(found, F.col("doc").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")), "left")
