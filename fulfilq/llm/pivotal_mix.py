@@ -9,8 +9,10 @@ the words taken stay at the target. Units are folded in blocks of about
 ``FANOUT`` of one source; the one unit left of each block goes up a reduction
 tree (blocks of ``FANOUT`` residuals) until a source has a single one, which is
 rounded to the nearer side. A block is folded by falling size, and the mass of
-a unit keeps the direction drawn for it until it is integral, so what stays
-open at the end is a small unit. Every choice is a hash of the seed and the
+a unit keeps the direction drawn for it until it is integral; where the rest of
+the block has room for one direction only, that one is taken. So what stays
+open at the end is a small unit, and only the last units of a block deviate
+from their copy probability. Every choice is a hash of the seed and the
 document: reruns agree.
 
 DataFrame functions only. Null text: size 0, no words taken. A null source is a
@@ -29,7 +31,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (1, 2, 3)
 MOST = 3
-FANOUT = 64
+FANOUT = 512
 SEED = 20_11
 
 
@@ -79,10 +81,11 @@ def uniform(*cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(2**53))
 
 
-def fold(members: Column, final: Column) -> Column:
+def fold(members: Column) -> Column:
     """Folds an array of units (id, nth, size, p, u): (open, unit, done), done with the copies of the decided ones.
 
-    ``final``: no level follows, so where the rest of the block has room for one direction only, that one is taken.
+    Where the rest of the block has room for one direction of a unit only, that one is taken; where it
+    has for neither, the one that lacks less.
     """
 
     def unit(x, p):
@@ -103,7 +106,8 @@ def fold(members: Column, final: Column) -> Column:
         rise, sink = F.least(a_up, b_down), F.least(a_down, b_up)
         drawn = F.when(b["u"] * (rise + sink) < sink, 1).otherwise(-1)
         can_rise, can_sink = a_up <= acc["gives"], a_down <= acc["takes"]
-        drawn = F.when(final & (can_rise != can_sink), F.when(can_rise, 1).otherwise(-1)).otherwise(drawn)
+        lacks_less = a_up - acc["gives"] < a_down - acc["takes"]
+        drawn = F.when(can_rise & can_sink, drawn).otherwise(F.when(lacks_less, 1).otherwise(-1))
         way = F.when(was != 0, was).otherwise(drawn)
         up = way > 0
         moved = way * F.when(up, rise).otherwise(sink)
@@ -146,7 +150,7 @@ def fold_blocks(u: DataFrame, level: int, seed: int) -> DataFrame:
     blocks = u.groupBy("source", "block").agg(
         F.array_sort(F.collect_list(member)).alias("m"), F.first("residuals").alias("residuals")
     )
-    return blocks.select("source", "residuals", fold(F.col("m"), F.col("residuals") <= 1).alias("r"))
+    return blocks.select("source", "residuals", fold(F.col("m")).alias("r"))
 
 
 def copies(u: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = SEED) -> DataFrame:
