@@ -66,8 +66,9 @@ def words(col: Column) -> Column:
 
 def blocks(docs: DataFrame) -> DataFrame:
     """(doc, row, tokens): the distinct words of every block that has some; doc and row are the document's key."""
-    b = docs.select("doc", "row", F.explode(F.split("text", BLOCK_END)).alias("block"))
-    return b.select("doc", "row", F.array_distinct(words(F.col("block"))).alias("tokens")).where(F.size("tokens") > 0)
+    # token arrays leave the generator, below which no filter on them is pushed: each block is split once
+    tokens = F.explode(F.transform(F.split("text", BLOCK_END), lambda block: F.array_distinct(words(block))))
+    return docs.select("doc", "row", tokens.alias("tokens")).where(F.size("tokens") > 0)
 
 
 def frequencies(b: DataFrame, sets) -> dict[str, int]:
