@@ -45,26 +45,27 @@ def append_audit(spark: SparkSession, path: str, entries: list[dict]) -> None:
     audit_entries(spark, entries).coalesce(1).write.mode("append").parquet(path)
 
 
-DEFAULT_LOOKBACK_DAYS = 30
-
-
-def resolve_watermark(spark: SparkSession, audit_path: str | None, target: str = "fact_order",
-                      lookback_days: int = DEFAULT_LOOKBACK_DAYS) -> str:
-    """Lower bound for an incremental run.
-
-    The latest successful watermark recorded for ``target`` in the audit log;
-    without one, today minus ``lookback_days`` (the reference's default).
+def resolve_watermarks(spark: SparkSession, audit_path: str, targets: list[str], overlap_days: int = 0,
+                       lookback_days: int | None = None) -> dict[str, str | None]:
+    """Lower bound of an incremental run per target table.
+
+    A target's bound is its own latest successful watermark, ``overlap_days``
+    earlier (for folders that land late); a table that failed resumes where it
+    last succeeded, whatever the others did. A target without a mark gets
+    ``None``, a full load, or today minus ``lookback_days`` where that is passed.
     """
-    if audit_path:
-        try:
-            log = spark.read.parquet(audit_path)
-        except Exception:  # no audit log yet
-            log = None
-        if log is not None:
-            row = next_watermark(log, target).first()
-            if row is not None and row["next_watermark"] is not None:
-                return row["next_watermark"].isoformat()
-    return (dt.date.today() - dt.timedelta(days=lookback_days)).isoformat()
+    from fulfilq.sources.storage import path_exists
+
+    marks: dict = {}
+    if path_exists(spark, audit_path):
+        rows = next_watermark(spark.read.schema(AUDIT_LOG).parquet(audit_path)).collect()  # one row per target
+        marks = {r["target_table"]: r["next_watermark"] for r in rows if r["next_watermark"] is not None}
+    first = None if lookback_days is None else dt.date.today() - dt.timedelta(days=lookback_days)
+    out = {}
+    for t in targets:
+        day = marks[t] - dt.timedelta(days=overlap_days) if t in marks else first
+        out[t] = None if day is None else day.isoformat()
+    return out
 
 
 def next_watermark(audit: DataFrame, target: str | None = None) -> DataFrame:

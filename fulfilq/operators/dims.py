@@ -115,20 +115,3 @@ def to_table(curated: DataFrame, table: str) -> DataFrame:
             e = F.col(c)
         exprs.append((e.cast(casts[c]) if c in casts else e).alias(c))
     return curated.select(*exprs)
-
-
-def fact_order(curated_orders: DataFrame) -> DataFrame:
-    return to_table(curated_orders, "fact_order")
-
-
-def fact_shipment(curated_shipments: DataFrame) -> DataFrame:
-    return to_table(curated_shipments, "fact_shipment")
-
-
-def dim_warehouse(curated_capacity: DataFrame) -> DataFrame:
-    """SCD2 warehouse versions as a dimension (carries snapshot_date, X6)."""
-    return to_table(curated_capacity, "dim_warehouse")
-
-
-def fact_returns_defects(curated_returns: DataFrame) -> DataFrame:
-    return to_table(curated_returns, "fact_returns_defects")

@@ -193,13 +193,13 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def order_status_mix(orders: DataFrame) -> DataFrame:
     """Orders per status and their share of all orders (percent, 2 digits).
 
-    The total is a window over the per-status counts (one row per distinct
-    status), not over orders: the single window partition holds a handful of
-    aggregated rows whatever the data size.
+    The total is one row joined back to the per-status counts, so raw text with
+    many distinct statuses never meets in one task.
     """
-    counts = orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("orders"))
-    total = F.sum("orders").over(Window.partitionBy())
-    return counts.select("order_status", "orders", pct(F.col("orders"), total).alias("share_pct"))
+    counts = orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("orders")).withColumn("_one", F.lit(1))
+    total = orders.agg(F.count(F.lit(1)).alias("_total"), F.lit(1).alias("_one"))
+    j = counts.join(total, "_one")
+    return j.select("order_status", "orders", pct(F.col("orders"), F.col("_total")).alias("share_pct"))
 
 
 # The reference views' ORDER BY: (column, descending). NULLs first when descending,

@@ -3,9 +3,14 @@
 ``DELETE FROM target USING staging WHERE key = key; INSERT staging`` is a
 left-anti join of the target against the batch keys plus a union with the
 batch. The anti join is a hash-partitioned join on the business key (AQE
-broadcasts the batch side when it is measured small); NULL keys never match,
-so such target rows are kept, as with ``DELETE USING``. Running the same
-batch twice gives the same table (idempotent).
+broadcasts the batch side when it is measured small). Required keys are never
+NULL (the cleanse jobs drop such rows); if a target holds one all the same, it
+never matches and is kept, as with ``DELETE USING``. Capacity snapshots have no
+required columns, so there NULL keys match each other and a re-run replaces
+them. Running the same batch twice gives the same table (idempotent).
+
+With ``latest_by`` the newest record of a key wins, whether the table or the
+batch holds it, so the result does not depend on the order of the batches.
 """
 
 from __future__ import annotations
@@ -15,17 +20,40 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulfilq.operators.cleanse import scd2_versions
+from fulfilq.operators.cleanse import dedup_latest, scd2_versions
+
+#: Never decides which of two records is newer: it says when a row was loaded.
+LOAD_STAMP = "ingested_at"
+
+
+def newest(df: DataFrame, keys: Sequence[str], latest_by: str | None) -> DataFrame:
+    """One row per key: the latest (ties by the other columns, load time last); rows with a NULL key all stay."""
+    has_null = _has_null(keys)
+    order = latest_by if latest_by is not None else F.lit(0)
+    ties = [c for c in df.columns if c not in (*keys, latest_by, LOAD_STAMP)]
+    ties += [LOAD_STAMP] if LOAD_STAMP in df.columns else []
+    one = dedup_latest(df.where(~has_null), keys, F.col(latest_by) if latest_by else order, tiebreak=ties)
+    return one.unionByName(df.where(has_null))
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _has_null(keys: Sequence[str]):
+    keys = list(keys)
+    return F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+
+
+def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], latest_by: str | None = None) -> DataFrame:
     """Target rows whose key is absent from the batch, plus every batch row.
 
+    ``latest_by``: of a key that both hold, the newer record stays (at equal
+    times the one whose other columns are greater, as in the dedup).
+
     Target rows with a NULL key component can never match, so they bypass the
     join: however many there are, they are not hashed into one join partition.
     """
     keys = list(keys)
-    has_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+    if latest_by is not None:
+        return newest(target.unionByName(batch.select(*target.columns)), keys, latest_by)
+    has_null = _has_null(keys)
     matchable = target.where(~has_null)
     batch_keys = batch.select(*keys).where(~has_null).distinct()  # partial aggregate: hot keys collapse map-side
     kept = matchable.join(batch_keys, on=keys, how="left_anti").select(*target.columns)
@@ -54,11 +82,14 @@ def upsert_scd2(target: DataFrame, batch_snapshots: DataFrame, entity: str = "wa
     is per entity over daily rows: bounded by days, not by fact volume.
     """
     snap_cols = [c for c in batch_snapshots.columns]
-    touched = batch_snapshots.select(entity).distinct()
-    history = target.join(touched, entity, "left_semi").select(*snap_cols)
-    merged = upsert(history, batch_snapshots.select(*snap_cols), [entity, start])
+    touched = batch_snapshots.select(F.col(entity).alias("_entity")).distinct()
+    same = F.col(entity).eqNullSafe(F.col("_entity"))
+    history = target.join(touched, same, "left_semi").select(*snap_cols)
+    renewed = batch_snapshots.select(F.col(entity).alias("_entity"), F.col(start).alias("_start")).distinct()
+    kept = history.join(renewed, same & F.col(start).eqNullSafe(F.col("_start")), "left_anti")
+    merged = kept.unionByName(batch_snapshots.select(*snap_cols).distinct())
     reversioned = scd2_versions(merged, entity, start)
-    untouched = target.join(touched, entity, "left_anti")
+    untouched = target.join(touched, same, "left_anti")
     extra = [c for c in target.columns if c not in reversioned.columns]
     for c in extra:
         reversioned = reversioned.withColumn(c, F.lit(None).cast(target.schema[c].dataType))

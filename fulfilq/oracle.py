@@ -8,8 +8,19 @@ into DOUBLE; the Spark side rounds in DECIMAL. Both present DOUBLE.
 
 from __future__ import annotations
 
-from fulfilq.schemas import CARRIERS, DEFECT_TYPES, PRODUCT_CATEGORY_SLA_HOURS, ROOT_CAUSES
-from fulfilq.sources.fixtures import FIXTURE_CAPACITY, FIXTURE_REGIONS
+# Fixed values, restated here so that a wrong constant of the library shows.
+PRODUCT_CATEGORY_SLA_HOURS = [
+    ("Electronics", 24), ("Books", 48), ("Apparel", 36), ("Home & Kitchen", 48), ("Sports", 48),
+    ("Toys", 36), ("Beauty", 24), ("Grocery", 12), ("Tools", 48), ("Pet Supplies", 36),
+]
+CARRIERS = [
+    ("UPS", "National"), ("FedEx", "National"), ("USPS", "National"), ("Amazon Logistics", "Internal"),
+    ("OnTrac", "Regional"),
+]
+DEFECT_TYPES = ["Damaged in transit", "Wrong item", "Missing item", "Late delivery", "Packaging defect"]
+ROOT_CAUSES = ["Carrier", "Warehouse", "Supplier", "Customer error"]
+FIXTURE_REGIONS = ["North", "Central", "Coast", "North", "Central", "Coast"]
+FIXTURE_CAPACITY = [3600, 4250, 4900, 5550, 6200, 6850]
 
 
 def _list(values) -> str:
@@ -124,6 +135,15 @@ fx_shipment_tracking AS (
          COALESCE(_delay_min > 0, FALSE) AS late_delivery,
          event_date
   FROM fx_s2),
+fx_shipments_dirty AS (
+  SELECT * FROM fx_shipment_tracking
+  UNION ALL
+  SELECT * REPLACE (CAST(NULL AS VARCHAR) AS order_id, shipped_at + INTERVAL 1 HOUR AS shipped_at)
+  FROM fx_shipment_tracking WHERE CAST(substr(tracking_number, 3) AS BIGINT) % 97 = 0
+  UNION ALL
+  SELECT * REPLACE ('BAD-' || shipment_id AS shipment_id, CAST(NULL AS VARCHAR) AS tracking_number,
+                    CAST(NULL AS BOOLEAN) AS late_delivery)
+  FROM fx_shipment_tracking WHERE CAST(substr(tracking_number, 3) AS BIGINT) % 101 = 0),
 fx_cap0 AS (
   SELECT warehouse_id, event_date, COUNT(*) AS _n, CAST(substr(warehouse_id, 5, 1) AS INTEGER) AS _i,
          5500 + (COUNT(*) * 137) % 4400 AS _bp
@@ -149,6 +169,17 @@ fx_returns_defects AS (
          event_date
   FROM fx_order_events_k
   WHERE order_status = 'RETURNED' OR (order_status = 'DELIVERED' AND _k % 25 = 0)),
+fx_returns_dirty AS (
+  SELECT * FROM fx_returns_defects
+  UNION ALL
+  SELECT * REPLACE (reported_at - INTERVAL 1 DAY AS reported_at, CAST(0 AS INTEGER) AS units_affected)
+  FROM fx_returns_defects WHERE CAST(substr(record_id, 4) AS BIGINT) % 3 = 0
+  UNION ALL
+  SELECT * REPLACE ('BAD-' || record_id AS record_id, CAST(NULL AS VARCHAR) AS report_type)
+  FROM fx_returns_defects WHERE CAST(substr(record_id, 4) AS BIGINT) % 7 = 0
+  UNION ALL
+  SELECT * REPLACE (record_id || '-R' AS record_id, 'RETURN' AS report_type)
+  FROM fx_returns_defects WHERE report_type = 'DEFECT' AND CAST(substr(record_id, 4) AS BIGINT) % 50 = 0),
 curated_orders AS (
   SELECT order_id, warehouse_id, product_category, order_status, placed_at, shipped_at, delivered_at, shift,
          units_ordered, CAST(order_value_usd AS DOUBLE) AS order_value_usd, prime_member, sla_breach,
@@ -171,7 +202,7 @@ shipments_ranked AS (
                     estimated_delivery_at DESC NULLS LAST, actual_delivery_at DESC NULLS LAST,
                     delivery_status DESC NULLS LAST, late_delivery DESC NULLS LAST,
                     event_date DESC NULLS LAST) AS _rn
-  FROM fx_shipment_tracking),
+  FROM fx_shipments_dirty),
 dedup_shipments AS (SELECT * EXCLUDE (_rn) FROM shipments_ranked WHERE _rn = 1),
 curated_shipments AS (
   SELECT * EXCLUDE (late_delivery),
@@ -192,7 +223,7 @@ curated_returns AS (
                       product_category DESC NULLS LAST, report_type DESC NULLS LAST, defect_type DESC NULLS LAST,
                       units_affected DESC NULLS LAST, refund_issued DESC NULLS LAST,
                       root_cause_category DESC NULLS LAST, event_date DESC NULLS LAST) AS _rn
-    FROM fx_returns_defects
+    FROM fx_returns_dirty
     WHERE record_id IS NOT NULL AND order_id IS NOT NULL AND report_type IS NOT NULL)
   WHERE _rn = 1),
 dim_warehouse AS (

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from fulfilq.oracle import pct_sql
-from fulfilq.schemas import ORDER_STATUSES, REPORT_TYPES, SHIPPED_STATUSES
-from fulfilq.sources.fixtures import FIXTURE_WAREHOUSE_IDS
+
+# Fixed values, restated here so that a wrong constant of the library shows.
+ORDER_STATUSES = ["PLACED", "PICKED", "PACKED", "SHIPPED", "DELIVERED", "CANCELLED", "RETURNED"]
+SHIPPED_STATUSES = ["SHIPPED", "DELIVERED", "RETURNED"]
+REPORT_TYPES = ["RETURN", "DEFECT"]
+EXPECTED_WAREHOUSE_IDS = ["FC_01", "FC_02", "FC_03", "FC_04", "FC_05", "FC_99"]
 
 
 def _in(values) -> str:
@@ -48,7 +52,7 @@ WHERE _rn = 1
 DEDUP_RETURNS = f"""
 SELECT * EXCLUDE (_rn) FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY record_id ORDER BY reported_at DESC NULLS LAST, {_desc(RETURN_COLS)}) AS _rn
-  FROM fx_returns_defects)
+  FROM fx_returns_dirty)
 WHERE _rn = 1
 """
 
@@ -79,40 +83,40 @@ _SLA = "(CAST(breaches AS DOUBLE) / NULLIF(breach_known, 0))"
 _CAN = "(CAST(cancelled AS DOUBLE) / NULLIF(n, 0))"
 _RET = "(CAST(returned AS DOUBLE) / NULLIF(n, 0))"
 QUALITY_ORDERS = _checks_sql("order_events", _Q_ORDERS_SRC, [
-    ("Q1", "Row count >= 1,000", "error", None, "n", "n >= 1000"),
-    ("Q2", "No duplicate order_ids", "error", "n - n_ids", None, "n = n_ids"),
-    ("Q3", "order_id not null", "error", "null_id", None, "null_id = 0"),
-    ("Q4", "warehouse_id not null", "error", "null_wh", None, "null_wh = 0"),
-    ("Q5", "order_status not null", "error", "null_status", None, "null_status = 0"),
-    ("Q6", "placed_at not null", "error", "null_placed", None, "null_placed = 0"),
-    ("Q7", "order_status values valid", "error", "bad_status", None, "bad_status = 0"),
-    ("Q8", "order_value_usd > 0", "error", "bad_value", None, "bad_value = 0"),
-    ("Q9", "units_ordered >= 1", "error", "bad_units", None, "bad_units = 0"),
-    ("Q10", "SLA breach rate < 15%", "warn", None, _SLA, f"COALESCE({_SLA} < 0.15, FALSE)"),
-    ("Q11", "Cancel rate between 1-10%", "error", None, _CAN, f"COALESCE({_CAN} BETWEEN 0.01 AND 0.10, FALSE)"),
-    ("Q12", "Return rate between 1-10%", "error", None, _RET, f"COALESCE({_RET} BETWEEN 0.01 AND 0.10, FALSE)"),
-    ("Q13", "Shipped orders have shipped_at", "error", "no_ship_ts", None, "no_ship_ts = 0"),
-    ("Q14", "Delivered orders have delivered_at", "error", "no_deliv_ts", None, "no_deliv_ts = 0"),
-    ("Q15", "Date range spans >= 28 days", "error", None, "span", "COALESCE(span >= 28, FALSE)"),
-    ("Q15b", "No missing days in range", "warn", "span + 1 - n_days", None, "COALESCE(span + 1 - n_days = 0, TRUE)"),
+    ("Q1", "row count: at least 1000", "error", None, "n", "n >= 1000"),
+    ("Q2", "order_id: unique", "error", "n - n_ids", None, "n = n_ids"),
+    ("Q3", "order_id: no NULLs", "error", "null_id", None, "null_id = 0"),
+    ("Q4", "warehouse_id: no NULLs", "error", "null_wh", None, "null_wh = 0"),
+    ("Q5", "order_status: no NULLs", "error", "null_status", None, "null_status = 0"),
+    ("Q6", "placed_at: no NULLs", "error", "null_placed", None, "null_placed = 0"),
+    ("Q7", "order_status: in domain", "error", "bad_status", None, "bad_status = 0"),
+    ("Q8", "order_value_usd: above 0", "error", "bad_value", None, "bad_value = 0"),
+    ("Q9", "units_ordered: at least 1", "error", "bad_units", None, "bad_units = 0"),
+    ("Q10", "sla_breach share: below 0.15", "warn", None, _SLA, f"COALESCE({_SLA} < 0.15, FALSE)"),
+    ("Q11", "CANCELLED share: between 0.01 and 0.1", "error", None, _CAN, f"COALESCE({_CAN} BETWEEN 0.01 AND 0.10, FALSE)"),
+    ("Q12", "RETURNED share: between 0.01 and 0.1", "error", None, _RET, f"COALESCE({_RET} BETWEEN 0.01 AND 0.10, FALSE)"),
+    ("Q13", "shipped_at: present once shipped", "error", "no_ship_ts", None, "no_ship_ts = 0"),
+    ("Q14", "delivered_at: present once delivered", "error", "no_deliv_ts", None, "no_deliv_ts = 0"),
+    ("Q15", "event_date span: at least 28", "error", None, "span", "COALESCE(span >= 28, FALSE)"),
+    ("Q15b", "event_date: no missing days", "warn", "span + 1 - n_days", None, "COALESCE(span + 1 - n_days = 0, TRUE)"),
 ])
 
 ORPHAN_SHIPMENTS = f"""
-SELECT s.shipment_id, s.order_id FROM fx_shipment_tracking s
+SELECT s.shipment_id, s.order_id FROM fx_shipments_dirty s
 WHERE NOT EXISTS (SELECT 1 FROM fx_order_events_dirty o
                   WHERE o.order_status IN {SHIPPED} AND o.order_id = s.order_id)
 """
 UNCOVERED_ORDERS = f"""
 SELECT DISTINCT o.order_id FROM fx_order_events_dirty o
 WHERE o.order_status IN {SHIPPED}
-  AND NOT EXISTS (SELECT 1 FROM fx_shipment_tracking s WHERE s.order_id = o.order_id)
+  AND NOT EXISTS (SELECT 1 FROM fx_shipments_dirty s WHERE s.order_id = o.order_id)
 """
 ORPHAN_RETURNS = """
-SELECT r.record_id, r.order_id FROM fx_returns_defects r
+SELECT r.record_id, r.order_id FROM fx_returns_dirty r
 WHERE r.report_type = 'RETURN'
   AND NOT EXISTS (SELECT 1 FROM fx_order_events_dirty o WHERE o.order_status = 'RETURNED' AND o.order_id = r.order_id)
 """
-_EXPECTED = "(SELECT * FROM (VALUES " + ", ".join(f"('{w}')" for w in FIXTURE_WAREHOUSE_IDS) + ") t(warehouse_id))"
+_EXPECTED = "(SELECT * FROM (VALUES " + ", ".join(f"('{w}')" for w in EXPECTED_WAREHOUSE_IDS) + ") t(warehouse_id))"
 UNKNOWN_WAREHOUSES = f"""
 SELECT f.warehouse_id, 'unexpected' AS issue FROM (SELECT DISTINCT warehouse_id FROM fx_warehouse_capacity) f
 WHERE NOT EXISTS (SELECT 1 FROM {_EXPECTED} e WHERE e.warehouse_id = f.warehouse_id)
@@ -125,19 +129,19 @@ _Q_SHIP_SRC = """(SELECT COUNT(*) AS n, COUNT(DISTINCT shipment_id) AS n_ids,
    COUNT(*) FILTER (WHERE carrier IS NULL) AS null_carrier,
    COUNT(*) FILTER (WHERE tracking_number IS NULL) AS null_tracking,
    SUM(CAST(late_delivery AS INTEGER)) AS late, COUNT(late_delivery) AS late_known
- FROM fx_shipment_tracking) a"""
+ FROM fx_shipments_dirty) a"""
 _LATE = "(CAST(late AS DOUBLE) / NULLIF(late_known, 0))"
 QUALITY_SHIPMENTS = "\nUNION ALL\n".join([
     _checks_sql("shipment_tracking", f"(SELECT COUNT(*) AS orphans FROM ({ORPHAN_SHIPMENTS}) x) a", [
-        ("Q20", "All shipments reference shipped orders", "error", "orphans", None, "orphans = 0")]),
+        ("Q20", "order_id: refers to a shipped order", "error", "orphans", None, "orphans = 0")]),
     _checks_sql("shipment_tracking", f"(SELECT COUNT(*) AS missing FROM ({UNCOVERED_ORDERS}) x) a", [
-        ("Q21", "All shipped orders have a shipment record", "warn", "missing", None, "missing = 0")]),
+        ("Q21", "shipped order_id: has a shipment", "warn", "missing", None, "missing = 0")]),
     _checks_sql("shipment_tracking", _Q_SHIP_SRC, [
-        ("Q16", "Row count > 0", "error", None, "n", "n > 0"),
-        ("Q17", "No duplicate shipment_ids", "error", "n - n_ids", None, "n = n_ids"),
-        ("Q18", "carrier not null", "error", "null_carrier", None, "null_carrier = 0"),
-        ("Q19", "tracking_number not null", "error", "null_tracking", None, "null_tracking = 0"),
-        ("Q22", "Late delivery rate < 15%", "warn", None, _LATE, f"COALESCE({_LATE} < 0.15, FALSE)"),
+        ("Q16", "row count: above 0", "error", None, "n", "n > 0"),
+        ("Q17", "shipment_id: unique", "error", "n - n_ids", None, "n = n_ids"),
+        ("Q18", "carrier: no NULLs", "error", "null_carrier", None, "null_carrier = 0"),
+        ("Q19", "tracking_number: no NULLs", "error", "null_tracking", None, "null_tracking = 0"),
+        ("Q22", "late_delivery share: below 0.15", "warn", None, _LATE, f"COALESCE({_LATE} < 0.15, FALSE)"),
     ]),
 ])
 
@@ -148,12 +152,12 @@ _Q_CAP_SRC = f"""(SELECT {_fails("utilization_pct BETWEEN 0 AND 100")} AS bad_ut
  FROM fx_warehouse_capacity) a"""
 QUALITY_CAPACITY = "\nUNION ALL\n".join([
     _checks_sql("warehouse_capacity", f"(SELECT COUNT(*) AS wh_diff FROM ({UNKNOWN_WAREHOUSES}) x) a", [
-        ("Q23", "All expected FCs present", "error", "wh_diff", None, "wh_diff = 0")]),
+        ("Q23", "warehouse_id: as expected", "error", "wh_diff", None, "wh_diff = 0")]),
     _checks_sql("warehouse_capacity", _Q_CAP_SRC, [
-        ("Q24", "utilization_pct between 0-100", "error", "bad_util", None, "bad_util = 0"),
-        ("Q25", "units_processed <= max_daily_capacity", "error", "over_cap", None, "over_cap = 0"),
-        ("Q26", "headcount > 0", "error", "bad_headcount", None, "bad_headcount = 0"),
-        ("Q27", "Capacity snapshot spans >= 28 days", "error", None, "span", "COALESCE(span >= 28, FALSE)"),
+        ("Q24", "utilization_pct: between 0 and 100", "error", "bad_util", None, "bad_util = 0"),
+        ("Q25", "units_processed: at most max_daily_capacity", "error", "over_cap", None, "over_cap = 0"),
+        ("Q26", "headcount: above 0", "error", "bad_headcount", None, "bad_headcount = 0"),
+        ("Q27", "snapshot_date span: at least 28", "error", None, "span", "COALESCE(span >= 28, FALSE)"),
     ]),
 ])
 
@@ -163,15 +167,15 @@ _Q_RET_SRC = f"""(SELECT COUNT(*) AS n,
    COUNT(DISTINCT record_id) AS n_ids,
    {_fails(f"report_type IN {_in(REPORT_TYPES)}")} AS bad_type,
    {_fails("units_affected >= 1")} AS bad_units
- FROM fx_returns_defects) a"""
+ FROM fx_returns_dirty) a"""
 QUALITY_RETURNS = "\nUNION ALL\n".join([
     _checks_sql("returns_defects", f"(SELECT COUNT(*) AS orphans FROM ({ORPHAN_RETURNS}) x) a", [
-        ("Q32", "Return records tie back to RETURNED orders", "error", "orphans", None, "orphans = 0")]),
+        ("Q32", "order_id: refers to a returned order", "error", "orphans", None, "orphans = 0")]),
     _checks_sql("returns_defects", _Q_RET_SRC, [
-        ("Q28", "Row count > 0", "error", None, "n", "(rows_with_null = 0 OR n > 0)"),
-        ("Q29", "No duplicate record_ids", "error", "n - n_ids", None, "n = n_ids"),
-        ("Q30", "report_type values valid", "error", "bad_type", None, "bad_type = 0"),
-        ("Q31", "units_affected >= 1", "error", "bad_units", None, "bad_units = 0"),
+        ("Q28", "row count: above 0", "error", None, "n", "(rows_with_null = 0 OR n > 0)"),
+        ("Q29", "record_id: unique", "error", "n - n_ids", None, "n = n_ids"),
+        ("Q30", "report_type: in domain", "error", "bad_type", None, "bad_type = 0"),
+        ("Q31", "units_affected: at least 1", "error", "bad_units", None, "bad_units = 0"),
     ]),
 ])
 
@@ -179,9 +183,9 @@ QUALITY_RETURNS = "\nUNION ALL\n".join([
 def _smoke(dataset: str, table: str, null_key: str) -> str:
     src = f"(SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE {null_key}) AS null_keys FROM {table}) a"
     return _checks_sql(dataset, src, [
-        ("Q33a", "rows > 0", "error", None, "n", "n > 0"),
-        ("Q33b", "has ingested_at", "error", None, None, "TRUE"),
-        ("Q33c", "no NULL key", "error", "null_keys", None, "null_keys = 0"),
+        ("Q33a", "row count: above 0", "error", None, "n", "n > 0"),
+        ("Q33b", "ingested_at: present", "error", None, None, "TRUE"),
+        ("Q33c", "key: no NULLs", "error", "null_keys", None, "null_keys = 0"),
     ])
 
 
@@ -247,7 +251,41 @@ PIPELINE_AUDIT = "\nUNION ALL\n".join(
         ("fact_returns_defects", "curated_returns", "CAST(NULL AS DATE)"),
     ])
 
+# What two batches must leave: every row once, the undated ones without a date.
+STORED_ORDERS = """
+SELECT order_id, warehouse_id, product_category, order_status, placed_at, shipped_at, delivered_at, shift,
+       units_ordered, CAST(order_value_usd AS DOUBLE) AS order_value_usd, prime_member, sla_breach,
+       CAST(processing_hours AS DOUBLE) AS processing_hours, order_day_of_week, is_weekend, fulfillment_speed_tier,
+       CASE WHEN units_ordered <> 5 THEN event_date END AS event_date
+FROM fact_order"""
+STORED_SHIPMENTS = """
+SELECT shipment_id, order_id, warehouse_id, carrier, tracking_number, shipped_at, estimated_delivery_at,
+       actual_delivery_at, delivery_status, late_delivery, CAST(delivery_delay_hours AS DOUBLE) AS delivery_delay_hours,
+       CASE WHEN carrier <> 'OnTrac' THEN event_date END AS event_date
+FROM fact_shipment"""
+# The second run reads from the first mark on. Keys whose newest row of either run's days is complete are loaded.
+_RUNS = ("event_date <= DATE '2024-01-15'", "event_date >= DATE '2024-01-15'")
+_LOADED_SHIPMENTS = " UNION ".join(
+    "SELECT shipment_id FROM (SELECT *, MAX(shipped_at) OVER (PARTITION BY shipment_id) AS newest "
+    f"FROM fx_shipments_dirty WHERE {days}) WHERE shipped_at = newest AND order_id IS NOT NULL" for days in _RUNS)
+WATERMARKS = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS target_table, MAX(event_date) FILTER (WHERE event_date <= DATE '2024-01-15') AS first_mark, "
+    f"MAX(event_date) AS second_mark, (SELECT COUNT(*) FROM ({keys})) AS row_count FROM {t}"
+    for t, keys in (("fact_order", "SELECT order_id FROM fact_order"), ("fact_shipment", _LOADED_SHIPMENTS)))
+LANDED_ORDERS = """
+SELECT order_id, warehouse_id, product_category, order_status,
+       CASE WHEN units_ordered <> 3 THEN placed_at END AS placed_at, shipped_at, delivered_at, shift,
+       CASE WHEN units_ordered <> 7 THEN units_ordered END AS units_ordered,
+       CASE WHEN units_ordered <> 6 THEN CAST(order_value_usd AS DOUBLE) END AS order_value_usd,
+       CASE WHEN units_ordered <> 2 THEN prime_member END AS prime_member, sla_breach,
+       CAST(processing_hours AS DOUBLE) AS processing_hours, event_date
+FROM fx_order_events_dirty"""
+
 MORE: dict[str, str] = {
+    "stored_upsert_orders": STORED_ORDERS,
+    "stored_upsert_shipments": STORED_SHIPMENTS,
+    "watermark_advance": WATERMARKS,
+    "landed_orders": LANDED_ORDERS,
     "pipeline_audit": PIPELINE_AUDIT,
     "table_row_counts": TABLE_ROW_COUNTS,
     "order_status_mix": f"""

@@ -3,10 +3,11 @@
 Entry 1 (``run_cleanse``): per dataset one lazy plan (read -> B1..B4 -> write)
 with an ``Observation`` for the row count: one job per dataset, no re-scans.
 Entry 2 (``run_load``): per target, upsert the curated batch into the star
-table and append an audit row (B5, S15). Rewrites go to a fresh path in the
-shared checkpoint folder first, then replace only the touched partitions (or
-swap the whole flat table), so a failed or retried job never leaves a table
-half-written and never overwrites a path it is reading.
+table and append an audit row (B5, S15). Only the touched partitions are
+replaced, by a dynamic overwrite that moves its staged files in place when all
+tasks are done (partition by partition, so a crash in that last step can leave
+some days new and some old; a re-run completes it). Whole flat tables are
+written beside the old copy and swapped in.
 """
 
 from __future__ import annotations
@@ -17,9 +18,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fulfilq.operators import audit, cleanse, dims, marts
-from fulfilq.operators.upsert import touched_values, upsert, upsert_scd2
+from fulfilq.operators.upsert import newest, touched_values, upsert, upsert_scd2
 from fulfilq.schemas import SPECS
-from fulfilq.session import configure, input_bytes, scratch_path, size_shuffles
+from fulfilq.session import configure, input_bytes, sized_shuffles
 from fulfilq.sources import storage
 
 TARGETS = {
@@ -58,13 +59,24 @@ def land(spark: SparkSession, layout: Layout, raw: dict[str, DataFrame]) -> None
         storage.write_landing(df, layout.raw(name), partitioned=SPECS[name].partitioned)
 
 
-def run_cleanse(spark: SparkSession, layout: Layout, watermark: str | None = None) -> dict[str, dict | None]:
+def _mark(watermark, table: str) -> str | None:
+    """The lower bound for one target: of a day for all, or a dict by target table."""
+    mark = watermark.get(table) if isinstance(watermark, dict) else watermark
+    return None if mark is None else str(mark)
+
+
+def run_cleanse(spark: SparkSession, layout: Layout, watermark=None) -> dict[str, dict | None]:
     """Raw -> curated for the four datasets.
 
-    Returns per dataset ``{"raw_rows", "rows", "removed"}`` (S16, A15: rows read,
-    rows written, incomplete + duplicate rows removed), or ``None`` when no new
-    folder exists (S4). Both counts are ``Observation`` metrics of the single
-    write job: no extra scan.
+    ``watermark``: one ``YYYY-MM-DD`` for all datasets, or a dict by target
+    table; ``None`` reads everything. A full run replaces the days it read; an
+    incremental one upserts by key, so a record that came again under another
+    day is there once.
+
+    Returns per dataset ``{"raw_rows", "rows", "removed", "nulls"}`` (S16, A15, P6: rows
+    read, rows of the batch, incomplete + duplicate rows removed, NULLs by raw
+    column after the cast), or ``None`` when no new folder exists (S4). All are
+    ``Observation`` metrics of the write job: no extra scan.
     """
     configure(spark)
     results: dict[str, dict | None] = {}
@@ -72,100 +84,123 @@ def run_cleanse(spark: SparkSession, layout: Layout, watermark: str | None = Non
         if not storage.path_exists(spark, layout.raw(name)):  # S4: nothing landed for this dataset
             results[name] = None
             continue
-        size_shuffles(spark, input_bytes(spark, layout.raw(name)))
-        raw = storage.read_landing(spark, layout.raw(name), spec.schema, spec.partitioned,
-                                   watermark if spec.partitioned else None)
+        mark = _mark(watermark, TARGETS[name][0]) if spec.partitioned else None
+        raw = storage.read_landing(spark, layout.raw(name), spec.schema, spec.partitioned, mark)
         if raw.isEmpty():  # S4: nothing new since the watermark
             results[name] = None
             continue
-        raw_obs = Observation(f"{name}_raw")
-        cur = cleanse.CLEANSERS[name](raw.observe(raw_obs, F.count(F.lit(1)).alias("rows")))
-        obs = audit.observation(cur, name)
-        if spec.partitioned:
-            storage.write_partitioned(cur, layout.cur(name), spec.keys, observe=obs)
-        else:
-            storage.write_flat(cur, layout.cur(name), sort_cols=spec.keys, observe=obs)
-        n_raw, n_out = raw_obs.get.get("rows"), obs[0].get.get("rows")
-        results[name] = {"raw_rows": n_raw, "rows": n_out, "removed": n_raw - n_out}
+        with sized_shuffles(spark, input_bytes(spark, layout.raw(name))):
+            raw_obs = Observation(f"{name}_raw")
+            typed = cleanse.cast_columns(raw, spec.schema)
+            nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in typed.columns]
+            cur = cleanse.CLEANSERS[name](typed.observe(raw_obs, F.count(F.lit(1)).alias("rows"), *nulls))
+            path = layout.cur(name)
+            if mark is not None and storage.path_exists(spark, path):
+                n_out = upsert_table(spark, path, cur, spec.keys, True, latest_by=spec.latest_by).get("rows")
+            else:
+                obs = audit.observation(cur, name)
+                if spec.partitioned:
+                    storage.write_partitioned(cur, path, spec.keys, observe=obs)
+                else:
+                    _replace_flat(spark, cur, path, spec.keys, observe=obs)
+                n_out = obs[0].get.get("rows")
+        got = raw_obs.get
+        results[name] = {
+            "raw_rows": got["rows"], "rows": n_out, "removed": got["rows"] - n_out,
+            "nulls": {c: got[f"null_{c}"] for c in typed.columns},
+        }
     return results
 
 
-def _write_table(spark: SparkSession, df: DataFrame, path: str, keys, partitioned: bool, observe=None) -> None:
-    if partitioned:
-        storage.write_partitioned(df, path, keys, observe=observe)
-    else:
-        staged = scratch_path(spark, "table")
-        storage.write_flat(df, staged, sort_cols=keys, observe=observe)
-        storage.swap_in(spark, staged, path)
+def _replace_flat(spark: SparkSession, df: DataFrame, path: str, keys, observe=None) -> None:
+    """Write a whole flat table beside the old one, then swap it in."""
+    staged = storage.beside(path)
+    storage.write_flat(df, staged, sort_cols=keys, observe=observe)
+    storage.swap_in(spark, staged, path)
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, partitioned: bool,
-                 scd2: bool = False, keys_may_move: bool = True) -> dict:
+                 scd2: bool = False, keys_may_move: bool = True, latest_by: str | None = None) -> dict:
     """Upsert ``batch`` into the table at ``path`` (created if absent).
 
-    For partitioned tables only the touched ``event_date`` partitions are read
-    and rewritten. ``keys_may_move=True`` also finds the partitions where the
-    batch's keys live today (a semi join over the target's key and date
-    columns only), so a key whose date changed leaves no stale copy; with
-    ``False`` the batch's own dates are used and the target is not scanned.
+    The batch is first reduced to one row per key. ``latest_by``: of a key that
+    table and batch both hold, the newer record stays; without it the batch's.
+
+    For partitioned tables only the touched ``event_date`` partitions (NULL is
+    one of them) are read, and their merged rows are written once, by a dynamic
+    overwrite of those partitions. ``keys_may_move=True`` also finds the
+    partitions where the batch's keys live today (a semi join over the target's
+    key and date columns only), so a key whose date changed leaves no stale
+    copy; with ``False`` the batch's own dates are used and the target's keys
+    are not scanned: the cost follows the batch.
 
     Returns the batch metrics (rows, max partition date) observed while the
     batch was materialized, so counting costs no extra pass.
     """
     obs = audit.observation(batch, "batch", storage.PART_COL if partitioned else None)
     storage.recover_swap(spark, path)
+    batch = batch.distinct() if scd2 else newest(batch, keys, latest_by)
     if not storage.path_exists(spark, path):
-        _write_table(spark, batch, path, keys, partitioned, observe=obs)
+        if partitioned:
+            storage.write_partitioned(batch, path, keys, observe=obs)
+        else:
+            _replace_flat(spark, batch, path, keys, observe=obs)
         return obs[0].get
-    staged_batch = storage.materialize(spark, batch, "batch", observe=obs)
-    batch = staged_batch
+    batch = storage.materialize(spark, batch, "batch", observe=obs)
+    scratch = batch._scratch_path
     target = storage.read_curated(spark, path).select(*batch.columns)
     if scd2:
         merged = upsert_scd2(target, batch.select(*SPECS["warehouse_capacity"].schema.names),
                              "warehouse_id", "snapshot_date")
         merged = dims.to_table(merged.withColumn("ingested_at", F.current_timestamp()), "dim_warehouse")
-        result = merged.select(*batch.columns)
+        _replace_flat(spark, merged.select(*batch.columns), path, keys)
     elif partitioned:
-        # Only partitions the batch touches are read and rewritten (partition-value
-        # list is bounded by the number of days, so it is collected as literals
-        # for partition pruning).
+        # The partition-value list is bounded by the number of days, so it is
+        # collected as literals for partition pruning.
         touched = (touched_values(target, batch, keys, storage.PART_COL) if keys_may_move
                    else batch.select(storage.PART_COL).distinct())
         days = [r[0] for r in touched.collect()]
-        target = target.where(F.col(storage.PART_COL).isin(days))
-        result = upsert(target, batch, keys)
+        result = upsert(target.where(_in_days(days)), batch, keys, latest_by)
+        # days whose last row leaves them are not overwritten, so they are removed
+        left = {r[0] for r in result.select(storage.PART_COL).distinct().collect()}
+        storage.write_partitioned(result, path, keys)
+        _drop_emptied_partitions(spark, path, [d for d in days if d not in left])
     else:
-        result = upsert(target, batch, keys)
-    staged = storage.materialize(spark, result, "upsert")
-    if partitioned and not scd2:
-        storage.write_partitioned(staged, path, keys)
-        present = {r[0] for r in staged.select(storage.PART_COL).distinct().collect()}
-        _drop_emptied_partitions(spark, path, [d for d in days if d not in present])
-    else:
-        fresh = scratch_path(spark, "table")
-        storage.write_flat(staged, fresh, sort_cols=keys)
-        storage.swap_in(spark, fresh, path)
-    # Success: the staged copies in the shared scratch folder are no longer needed.
-    # (On failure they stay, and a re-run starts from the unchanged target.)
-    for scratch in (staged_batch._scratch_path, staged._scratch_path):
-        storage.remove(spark, scratch)
+        _replace_flat(spark, upsert(target, batch, keys, latest_by), path, keys)
+    spark.catalog.refreshByPath(path)
+    # Success: the staged batch in the shared scratch folder is no longer needed.
+    # (On failure it stays, and a re-run starts from the old days.)
+    storage.remove(spark, scratch)
     return obs[0].get
 
 
+def _in_days(days: list):
+    """Rows of these partitions, the NULL partition included where it is listed."""
+    day = F.col(storage.PART_COL)
+    known = day.isin([d for d in days if d is not None])
+    return known | day.isNull() if None in days else known
+
+
+#: Folder of a NULL partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _drop_emptied_partitions(spark: SparkSession, path: str, values) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for v in values:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{storage.PART_COL}={v}")
-        fs = p.getFileSystem(conf)
-        if fs.exists(p):
-            fs.delete(p, True)
+        folder = NULL_FOLDER if v is None else v
+        storage.remove(spark, f"{path.rstrip('/')}/{storage.PART_COL}={folder}")
+
 
+def run_load(spark: SparkSession, layout: Layout, watermark=None,
+             job_name: str = "fulfilq_load", keys_may_move: bool = True) -> dict[str, int | None]:
+    """Curated -> star tables via upsert, with an audit row per target.
 
-def run_load(spark: SparkSession, layout: Layout, watermark: str | None = None,
-             job_name: str = "fulfilq_load") -> dict[str, int | None]:
-    """Curated -> star tables via upsert, with an audit row per target."""
+    ``watermark``: one day for all targets or a dict by target table. Rows
+    without an event date are always loaded. The seed dimensions are upserted
+    by name.
+    """
     configure(spark)
+    load_seeds(spark, layout)
     entries, counts = [], {}
     for name, (table, keys) in TARGETS.items():
         spec = SPECS[name]
@@ -174,16 +209,19 @@ def run_load(spark: SparkSession, layout: Layout, watermark: str | None = None,
             entries.append({"job_name": job_name, "target_table": table, "rows_loaded": None,
                             "run_status": "SKIPPED"})
             continue
+        mark = _mark(watermark, table)
         try:
-            size_shuffles(spark, input_bytes(spark, layout.cur(name)) + input_bytes(spark, layout.table(table)))
             cur = storage.read_curated(spark, layout.cur(name))
-            if spec.partitioned and watermark is not None:
-                cur = cur.where(F.col(storage.PART_COL) >= F.lit(watermark).cast("date"))
-            m = upsert_table(spark, layout.table(table), dims.to_table(cur, table), keys, spec.partitioned,
-                             scd2=(table == "dim_warehouse"))
+            day = F.col(storage.PART_COL)
+            if spec.partitioned and mark is not None:
+                cur = cur.where((day >= F.lit(mark).cast("date")) | day.isNull())
+            with sized_shuffles(spark, input_bytes(spark, layout.cur(name))):
+                m = upsert_table(spark, layout.table(table), dims.to_table(cur, table), keys, spec.table_partitioned,
+                                 scd2=(table == "dim_warehouse"), keys_may_move=keys_may_move, latest_by=spec.latest_by)
             counts[table] = m.get("rows")
             entries.append({"job_name": job_name, "target_table": table, "rows_loaded": m.get("rows"),
-                            "run_status": "SUCCESS", "watermark_date": m.get("max_date")})
+                            "run_status": "SUCCESS",
+                            "watermark_date": m.get("max_date") if spec.partitioned else None})
         except Exception:
             entries.append({"job_name": job_name, "target_table": table, "rows_loaded": None,
                             "run_status": "FAILED"})
@@ -193,12 +231,38 @@ def run_load(spark: SparkSession, layout: Layout, watermark: str | None = None,
     return counts
 
 
+SEEDS = {
+    "dim_date": (dims.dim_date, ("date_sk",)),
+    "dim_carrier": (dims.dim_carrier, ("carrier_name",)),
+    "dim_product_category": (dims.dim_product_category, ("category_name",)),
+}
+
+
+def load_seeds(spark: SparkSession, layout: Layout) -> None:
+    """Create the seed dimensions, or add the seed rows a stored one lacks (rows a user added or changed stay)."""
+    for table, (seed, key) in SEEDS.items():
+        path = layout.table(table)
+        storage.recover_swap(spark, path)
+        rows = seed(spark)
+        if storage.path_exists(spark, path):
+            stored = storage.read_curated(spark, path)
+            missing = rows.join(stored.select(*key), list(key), "left_anti")
+            if missing.isEmpty():
+                continue
+            rows = stored.unionByName(missing.select(*stored.columns))
+        _replace_flat(spark, rows, path, key)
+
+
+def upsert_dimension(spark: SparkSession, layout: Layout, table: str, rows: DataFrame) -> None:
+    """Add or change rows of a stored seed dimension by its name key."""
+    _, key = SEEDS[table]
+    upsert_table(spark, layout.table(table), rows, key, partitioned=False)
+
+
 def load_star(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """Read the star tables back (plus the seed dimensions)."""
-    out = {t: storage.read_curated(spark, layout.table(t)) for t, _ in TARGETS.values()}
-    out.update({"dim_date": dims.dim_date(spark), "dim_carrier": dims.dim_carrier(spark),
-                "dim_product_category": dims.dim_product_category(spark)})
-    return out
+    """Read the star tables back: facts, warehouse versions and seed dimensions."""
+    names = [t for t, _ in TARGETS.values()] + list(SEEDS)
+    return {t: storage.read_curated(spark, layout.table(t)) for t in names if storage.path_exists(spark, layout.table(t))}
 
 
 def build_marts(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -220,14 +284,15 @@ def register_views(star: dict[str, DataFrame], mart_frames: dict[str, DataFrame]
         df.createOrReplaceTempView(f"v_{name}")
 
 
-def run(spark: SparkSession, layout: Layout, watermark: str | None = None) -> dict[str, DataFrame]:
+def run(spark: SparkSession, layout: Layout, watermark=None, overlap_days: int = 0) -> dict[str, DataFrame]:
     """Cleanse, load and expose the marts; returns the (lazy) mart DataFrames.
 
     ``watermark``: ``None`` = full load; a ``YYYY-MM-DD`` day = only folders from
-    that day on; ``"auto"`` = resume from the audit log, else today - 30 days.
+    that day on; ``"auto"`` = each target resumes from its own mark in the audit
+    log, ``overlap_days`` earlier; a target without one is loaded in full.
     """
     if watermark == "auto":
-        watermark = audit.resolve_watermark(spark, layout.audit)
+        watermark = audit.resolve_watermarks(spark, layout.audit, [t for t, _ in TARGETS.values()], overlap_days)
     run_cleanse(spark, layout, watermark)
     run_load(spark, layout, watermark)
     star = load_star(spark, layout)
@@ -252,6 +317,14 @@ def validate(spark: SparkSession, layout: Layout, expected_warehouses: list[str]
             .unionByName(quality.quality_returns(raw["returns_defects"], orders)))
 
 
+def smoke(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Q33 over the curated files just written: rows, load stamp and unique key of each dataset."""
+    from fulfilq.operators import quality
+
+    stored = {n: storage.read_curated(spark, layout.cur(n)) for n in SPECS if storage.path_exists(spark, layout.cur(n))}
+    return quality.curated_smoke(stored, {n: list(SPECS[n].keys) for n in stored})
+
+
 def write_marts(star: dict[str, DataFrame], path: str) -> None:
     """Persist each mart as Parquet under ``path/<mart>`` (small outputs: one global aggregate grain each)."""
     for name, df in build_marts(star).items():

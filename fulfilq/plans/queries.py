@@ -25,9 +25,10 @@ from fulfilq.schemas import (
     SHIPMENT_TRACKING,
     WAREHOUSE_CAPACITY,
 )
-from fulfilq.session import configure, cut_lineage, scratch_path
+from fulfilq.session import configure, scratch_path
 from fulfilq.sources import fixtures
-from fulfilq.sources.fixtures import FIXTURE_WAREHOUSE_IDS
+from fulfilq.sources import storage
+from fulfilq.sources.fixtures import EXPECTED_WAREHOUSE_IDS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -201,7 +202,7 @@ def q_orphan_returns(spark, sf_dir):
 
 
 def _expected_warehouses(spark):
-    return spark.createDataFrame([(w,) for w in FIXTURE_WAREHOUSE_IDS], "warehouse_id string")
+    return spark.createDataFrame([(w,) for w in EXPECTED_WAREHOUSE_IDS], "warehouse_id string")
 
 
 def q_unknown_warehouses(spark, sf_dir):
@@ -240,11 +241,12 @@ def q_curated_smoke(spark, sf_dir):
 def _snapshot(spark, sf_dir, name):
     """The curated dataset both sides of an upsert scenario come from, computed once.
 
-    Old target and new batch are two filters of it; without the checkpoint
+    Old target and new batch are two filters of it; without the copy
     each branch would re-run the dedup window (filters on the date cannot
-    move below a window partitioned by the business key).
+    move below a window partitioned by the business key). It is Parquet in the
+    shared checkpoint folder, so each branch reads its columns and days only.
     """
-    return cut_lineage(_curated(spark, sf_dir, name))
+    return storage.materialize(spark, _curated(spark, sf_dir, name), "snapshot")
 
 
 def _split(df, date_col):
@@ -362,8 +364,6 @@ def q_pipeline_audit(spark, sf_dir):
     The audit log holds one row per target table (bounded metadata), so it is
     kept as a small DataFrame and the pipeline's folder is removed.
     """
-    from fulfilq.sources import storage
-
     configure(spark)
     root = scratch_path(spark, "pipeline")
     layout = pipeline.Layout(f"{root}/raw", f"{root}/curated", f"{root}/warehouse")
@@ -378,3 +378,101 @@ def q_pipeline_audit(spark, sf_dir):
 
 
 QUERIES["pipeline_audit"] = q_pipeline_audit
+
+
+# ---------------------------------------------------------------------------
+# Stored tables: what two batches leave behind (S9a, S9b), marks (T1, T2), landed text
+# ---------------------------------------------------------------------------
+BATCH_CUT = "2024-01-15"  # the first batch holds the days up to this one
+
+
+def _stored_upsert(spark, table, rows, keys, latest_by, roles):
+    """The stored table after two batches; ``rows`` is what must be left.
+
+    ``roles`` marks rows by column predicates: ``undated`` rows have no event
+    date; ``moved`` keys come first as an older record of another day; ``stale``
+    records come again, older, with the second batch; ``twice`` keys are in the
+    second batch twice.
+    """
+    configure(spark)
+    rows = rows.drop("ingested_at")
+    early = F.col("event_date") <= F.lit(BATCH_CUT).cast("date")
+    dated = F.when(~roles["undated"], F.col("event_date"))
+
+    def older(df, hours, day_back=0):
+        at = F.timestamp_seconds(F.unix_timestamp(latest_by) - 3600 * hours)
+        return df.withColumns({latest_by: at, "event_date": F.date_sub("event_date", day_back)})
+
+    first = rows.where(early).withColumn("event_date", dated)
+    first = first.unionByName(older(rows.where(~early & roles["moved"]), 24, 1))
+    second = rows.where(~early).withColumn("event_date", dated)
+    second = second.unionByName(older(rows.where(early & roles["stale"]), 1))
+    second = second.unionByName(older(rows.where(~early & roles["twice"]), 2))
+    path = scratch_path(spark, f"stored-{table}")
+    for batch in (first, second):
+        pipeline.upsert_table(spark, path, batch, keys, True, latest_by=latest_by)
+    doubles = {c: F.col(c).cast("double") for c, t in rows.dtypes if t.startswith("decimal")}
+    return storage.read_curated(spark, path).withColumns(doubles).select(*rows.columns[1:])
+
+
+def q_stored_upsert_orders(spark, sf_dir):
+    u = F.col("units_ordered")
+    roles = {"undated": u == 5, "moved": u == 3, "stale": u == 2, "twice": u == 4}
+    return _stored_upsert(spark, "orders", _star(spark, sf_dir)["fact_order"], ["order_id"], "placed_at", roles)
+
+
+def q_stored_upsert_shipments(spark, sf_dir):
+    c = F.col("carrier")
+    roles = {"undated": c == "OnTrac", "moved": c == "FedEx", "stale": c == "UPS", "twice": c == "USPS"}
+    return _stored_upsert(spark, "shipments", _star(spark, sf_dir)["fact_shipment"], ["shipment_id"], "shipped_at", roles)
+
+
+def q_watermark_advance(spark, sf_dir):
+    """Each target's mark after a first run over the early days and after an ``auto`` run over all, with its rows."""
+    from fulfilq.operators import audit
+
+    configure(spark)
+    root = scratch_path(spark, "marks")
+    layout = pipeline.Layout(f"{root}/raw", f"{root}/curated", f"{root}/warehouse")
+    names = ("order_events", "shipment_tracking")
+    raw = {n: fixtures.raw_datasets(spark, sf_dir)[n] for n in names}
+    early = F.col("event_date") <= F.lit(BATCH_CUT).cast("date")
+    targets = [pipeline.TARGETS[n][0] for n in names]
+    marks = []
+    for part in ({n: df.where(early) for n, df in raw.items()}, raw):
+        pipeline.land(spark, layout, part)
+        since = audit.resolve_watermarks(spark, layout.audit, targets)
+        pipeline.run_cleanse(spark, layout, since)
+        pipeline.run_load(spark, layout, since)
+        marks.append(audit.resolve_watermarks(spark, layout.audit, targets))
+    parts = [
+        storage.read_curated(spark, layout.table(t)).agg(
+            F.lit(t).alias("target_table"), F.lit(marks[0][t]).cast("date").alias("first_mark"),
+            F.lit(marks[1][t]).cast("date").alias("second_mark"), F.count(F.lit(1)).alias("row_count"))
+        for t in targets
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def q_landed_orders(spark, sf_dir):
+    """S1 + P1-P3: orders landed as CSV text, some of it malformed, read back by header and cast."""
+    configure(spark)
+    raw = fixtures.raw_datasets(spark, sf_dir)["order_events"]
+    u = F.col("units_ordered")
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]).withColumns({
+        "placed_at": F.when(u == 3, F.lit("2024-13-45 99:00")).otherwise(F.col("placed_at").cast("string")),
+        "prime_member": F.when(u == 2, F.lit("perhaps")).otherwise(F.col("prime_member").cast("string")),
+        "order_value_usd": F.when(u == 6, F.lit("12,x")).otherwise(F.col("order_value_usd").cast("string")),
+        "units_ordered": F.when(u == 7, F.lit("many")).otherwise(u.cast("string")),
+    })
+    path = f"{scratch_path(spark, 'landed')}/order_events"
+    storage.write_landing(text, path)
+    return cleanse.cast_columns(storage.read_landing(spark, path, ORDER_EVENTS), ORDER_EVENTS)
+
+
+QUERIES.update({
+    "stored_upsert_orders": q_stored_upsert_orders,
+    "stored_upsert_shipments": q_stored_upsert_shipments,
+    "watermark_advance": q_watermark_advance,
+    "landed_orders": q_landed_orders,
+})

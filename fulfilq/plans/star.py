@@ -39,7 +39,7 @@ def star(spark: SparkSession, curated: Mapping[str, DataFrame]) -> Mapping[str,
 
 
 def fixture_raw(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
-    return fixtures.raw_datasets(spark, sf_dir, dirty_orders=True)
+    return fixtures.raw_datasets(spark, sf_dir)
 
 
 def fixture_curated(spark: SparkSession, sf_dir: str, stamp: bool = False) -> Mapping[str, DataFrame]:

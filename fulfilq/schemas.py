@@ -149,8 +149,7 @@ class DatasetSpec:
     required: tuple[str, ...] = ()
     fill: dict = field(default_factory=dict)
     partitioned: bool = True  # event_date folders on landing and curated layers
-    target: str = ""
-    surrogate: str = ""
+    table_partitioned: bool = True  # event_date folders in the warehouse
 
 
 ORDERS_SPEC = DatasetSpec(
@@ -160,8 +159,6 @@ ORDERS_SPEC = DatasetSpec(
     latest_by="placed_at",
     required=("order_id", "placed_at", "order_status"),
     fill={"processing_hours": PROCESSING_HOURS_FILL, "prime_member": False, "sla_breach": False},
-    target="fact_order",
-    surrogate="order_sk",
 )
 SHIPMENTS_SPEC = DatasetSpec(
     name="shipment_tracking",
@@ -170,8 +167,6 @@ SHIPMENTS_SPEC = DatasetSpec(
     latest_by="shipped_at",
     required=("shipment_id", "order_id", "shipped_at"),
     fill={"late_delivery": False},
-    target="fact_shipment",
-    surrogate="shipment_sk",
 )
 CAPACITY_SPEC = DatasetSpec(
     name="warehouse_capacity",
@@ -179,8 +174,7 @@ CAPACITY_SPEC = DatasetSpec(
     keys=("warehouse_id", "effective_start_date"),
     latest_by=None,
     partitioned=False,
-    target="dim_warehouse",
-    surrogate="warehouse_sk",
+    table_partitioned=False,
 )
 RETURNS_SPEC = DatasetSpec(
     name="returns_defects",
@@ -189,7 +183,5 @@ RETURNS_SPEC = DatasetSpec(
     latest_by="reported_at",
     required=("record_id", "order_id", "report_type"),
     partitioned=False,
-    target="fact_returns_defects",
-    surrogate="record_sk",
 )
 SPECS = {s.name: s for s in (ORDERS_SPEC, SHIPMENTS_SPEC, CAPACITY_SPEC, RETURNS_SPEC)}

@@ -8,6 +8,7 @@ shuffle partitions, checkpoint location) belongs to the cluster.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -52,8 +53,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    A folder of our own is created only when the setting is unset (local tests);
-    on a cluster the shared location always wins.
+    Only a local master may do without the setting: it gets a temporary folder.
+    On a cluster a folder of one machine would be invisible to the others, so an
+    unset location raises there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -65,12 +67,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not _is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="fulfilq-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """``local``, ``local[N]``: driver and executors are one process (``local-cluster`` is not)."""
+    master = spark.sparkContext.master or ""
+    return master == "local" or master.startswith("local[")
+
+
 def cut_lineage(df):
     """Reliable checkpoint into the shared checkpoint folder (never a local checkpoint).
 
@@ -98,21 +108,29 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
 
-def size_shuffles(spark: SparkSession, nbytes: int, target: int = TARGET_SHUFFLE_PARTITION_BYTES) -> int:
-    """Start shuffles with about one partition per ``target`` bytes of input.
+@contextlib.contextmanager
+def sized_shuffles(spark: SparkSession, nbytes: int, target: int = TARGET_SHUFFLE_PARTITION_BYTES):
+    """Within the block, start shuffles with about one partition per ``target`` bytes of input.
 
     AQE can merge small shuffle partitions but cannot split uniformly large
     ones, so the initial count must scale with the input: at 100 TB the default
     200 would mean ~500 GB per reduce task. This raises
-    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` (never lowers a
-    value the cluster set); AQE then coalesces down to the advisory size.
-    Returns the initial partition count in effect.
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` (never below
+    what the cluster set) and puts the old value back, so one large dataset does
+    not size the shuffles of later small ones. Yields the count in effect.
     """
     want = -(-nbytes // target)
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     current = spark.conf.get(key, None)
     base = int(current) if current else int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if want > base:
-        spark.conf.set(key, str(want))
-        return want
-    return base
+    if want <= base:
+        yield base
+        return
+    spark.conf.set(key, str(want))
+    try:
+        yield want
+    finally:
+        if current is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, current)

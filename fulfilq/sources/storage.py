@@ -13,12 +13,14 @@ Scale notes
   re-run the upstream stage to sample it). Rows are sorted by key within each
   file for tight row-group statistics. ``partitionOverwriteMode=dynamic``
   replaces only the days present in the batch.
-* Never overwrite a path that the same plan reads: rewrites go to a fresh
-  path under the shared checkpoint folder and are then swapped in.
+* A dynamic partition overwrite stages its files inside the table and replaces
+  day folders only when all tasks are done, so a plan may read the days it
+  rewrites. A whole flat table is written beside the old one and then swapped in.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,20 +41,29 @@ def read_landing(spark: SparkSession, path: str, typed: T.StructType, partitione
                  watermark: str | None = None) -> DataFrame:
     """Read raw CSV (header) as text; optionally only folders ``date >= watermark``.
 
-    Columns are matched by header name, not position: no inference pass (every
-    column stays a string until the lenient cast), a missing column becomes
-    NULL and an extra one is ignored. For partitioned datasets the
-    ``date=YYYY-MM-DD`` folder value is filtered (``PartitionFilters``: pruned
-    folders are never read) and dropped.
+    Columns are taken by the header's names: no inference pass (every column
+    stays a string until the lenient cast), a missing column becomes NULL and an
+    extra one is ignored. All files must have the header of the first: Spark's
+    CSV reader is positional, so each file's header is checked against it
+    (``enforceSchema=false``) and a file with another one fails the read instead
+    of filling wrong columns. For partitioned datasets the ``date=YYYY-MM-DD``
+    folder value is filtered (``PartitionFilters``: pruned folders are never
+    read; ``date=unknown`` always is) and dropped.
     """
-    df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    header = spark.read.option("header", True).csv(path).columns
+    reader = spark.read.schema(text_schema(header)).option("header", True).option("enforceSchema", False)
+    df = reader.option("mode", "PERMISSIVE").csv(path)
     if partitioned and watermark is not None and FOLDER_COL in df.columns:
-        df = df.where(F.col(FOLDER_COL).cast("string") >= F.lit(watermark))
+        df = df.where(F.col(FOLDER_COL) >= F.lit(watermark))
     present = set(df.columns)
     return df.select(*[F.col(c).cast("string").alias(c) if c in present else F.lit(None).cast("string").alias(c)
                        for c in raw_schema(typed).names])
 
 
+def text_schema(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in names])
+
+
 def write_landing(df: DataFrame, path: str, partitioned: bool = True, date_col: str = PART_COL) -> None:
     """Land a dataset as CSV with header; ``date=`` folders, missing date -> ``unknown``."""
     out = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
@@ -131,17 +142,23 @@ def swap_in(spark: SparkSession, new_path: str, target: str) -> None:
     """Replace ``target`` by ``new_path`` (rename; the old copy is moved aside, then removed)."""
     recover_swap(spark, target)
     jvm, fs, tgt, old = _fs_paths(spark, target)
-    if fs.exists(tgt):
-        fs.rename(tgt, old)
-    parent = tgt.getParent()
-    if parent is not None and not fs.exists(parent):
-        fs.mkdirs(parent)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(new_path), tgt):
+    new = jvm.org.apache.hadoop.fs.Path(new_path)
+    if not fs.exists(new):  # another file system, or nothing written: leave the old copy where it is
+        raise OSError(f"{new_path} is not there, or not on the file system of {target}")
+    moved = fs.exists(tgt) and fs.rename(tgt, old)
+    if not fs.rename(new, tgt):
+        if moved:
+            fs.rename(old, tgt)
         raise OSError(f"could not move {new_path} to {target}")
-    if fs.exists(old):
+    if moved:
         fs.delete(old, True)
 
 
+def beside(path: str) -> str:
+    """A fresh path next to ``path``: the same parent, so the same file system."""
+    return f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch path (recursive); missing paths are ignored."""
     _, fs, p, _ = _fs_paths(spark, path)

@@ -4,7 +4,11 @@ New CSV files landing under a dataset's folder are picked up by a file
 stream; each micro-batch is cleansed (B1-B4) and upserted into its star table
 inside ``foreachBatch``. The upsert is idempotent, so a micro-batch replayed
 after a failure (the checkpoint records which files were committed) leaves
-the same table: effectively exactly-once. ``availableNow`` processes all
+the same table: effectively exactly-once. The newest record of a key wins
+whichever micro-batch brings it, so the table does not depend on where the
+stream is cut. One difference from the batch job remains: B2 drops a shipment
+whose newest row is incomplete, and a stream that sees that row in a later
+batch has already loaded the complete older one, which stays. ``availableNow`` processes all
 pending files in bounded batches and stops, the streaming form of the
 reference's scheduled batch with a high-water mark (T1/T2).
 """
@@ -25,9 +29,10 @@ from fulfilq.sources.storage import FOLDER_COL
 def landing_stream(spark: SparkSession, layout: Layout, dataset: str, max_files: int = 1000) -> DataFrame:
     """A streaming DataFrame over the dataset's landing folder (all columns as text).
 
-    A file stream needs its schema up front, so CSV columns are taken by
-    position in the dataset's column order (the order the landing writer and
-    the reference's simulator use); the batch reader matches them by header name.
+    A file stream needs its schema up front: the dataset's columns in their
+    order. Each file's header is checked against it (``enforceSchema=false``); a
+    file with other or reordered columns fails the batch instead of filling
+    wrong ones.
     """
     spec = SPECS[dataset]
     schema = raw_schema(spec.schema)
@@ -35,13 +40,19 @@ def landing_stream(spark: SparkSession, layout: Layout, dataset: str, max_files:
         schema = T.StructType(schema.fields + [T.StructField(FOLDER_COL, T.StringType())])
     return (spark.readStream.schema(schema)
             .option("header", True)
+            .option("enforceSchema", False)
             .option("maxFilesPerTrigger", max_files)
             .csv(layout.raw(dataset)))
 
 
 def start_ingest(spark: SparkSession, layout: Layout, dataset: str, checkpoint: str,
-                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Start the stream -> cleanse -> upsert query for one dataset."""
+                 available_now: bool = True, processing_time: str | None = None, max_files: int = 1000,
+                 keys_may_move: bool = True) -> StreamingQuery:
+    """Start the stream -> cleanse -> upsert query for one dataset.
+
+    ``max_files``: files of one micro-batch. ``keys_may_move=False`` states that
+    a key never changes its day, which spares the search for its old one.
+    """
     configure(spark)
     spec = SPECS[dataset]
     table, keys = TARGETS[dataset]
@@ -49,10 +60,10 @@ def start_ingest(spark: SparkSession, layout: Layout, dataset: str, checkpoint:
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         raw = batch.drop(FOLDER_COL) if FOLDER_COL in batch.columns else batch
         cur = cleanse.CLEANSERS[dataset](raw)
-        upsert_table(batch.sparkSession, layout.table(table), dims.to_table(cur, table), keys, spec.partitioned,
-                     scd2=(table == "dim_warehouse"))
+        upsert_table(batch.sparkSession, layout.table(table), dims.to_table(cur, table), keys, spec.table_partitioned,
+                     scd2=(table == "dim_warehouse"), keys_may_move=keys_may_move, latest_by=spec.latest_by)
 
-    writer = landing_stream(spark, layout, dataset).writeStream.foreachBatch(load_batch) \
+    writer = landing_stream(spark, layout, dataset, max_files).writeStream.foreachBatch(load_batch) \
         .option("checkpointLocation", checkpoint).queryName(f"ingest_{dataset}")
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -25,7 +25,10 @@ def test_pipeline_end_to_end_matches_lazy_plan_and_is_idempotent(spark, tmp_root
     counts = pipeline.run_cleanse(spark, layout)
     n_orders = fixtures.order_events(spark, SF).count()
     raw_orders = fixtures.raw_datasets(spark, SF)["order_events"].count()
-    assert counts["order_events"] == {"raw_rows": raw_orders, "rows": n_orders, "removed": raw_orders - n_orders}
+    got = counts["order_events"]
+    assert (got["raw_rows"], got["rows"], got["removed"]) == (raw_orders, n_orders, raw_orders - n_orders)
+    raw_status = fixtures.raw_datasets(spark, SF)["order_events"].where("order_status is null").count()
+    assert got["nulls"]["order_status"] == raw_status > 0 and got["nulls"]["order_id"] == 0
     pipeline.run_load(spark, layout)
     star = pipeline.load_star(spark, layout)
     lazy = fixture_star(spark, SF)
@@ -72,18 +75,22 @@ def test_incremental_run_keeps_old_partitions(spark, tmp_root):
     assert cur.where(F.col("event_date") < "2024-01-20").count() > 0
 
 
-def test_resolve_watermark(spark, tmp_root):
+def test_resolve_watermarks_per_target(spark, tmp_root):
     import datetime as dt
 
-    path = f"{tmp_root}/audit"
-    assert audit.resolve_watermark(spark, path) == (dt.date.today() - dt.timedelta(days=30)).isoformat()
+    path, targets = f"{tmp_root}/audit", ["fact_order", "fact_shipment"]
+    none = {"fact_order": None, "fact_shipment": None}
+    assert audit.resolve_watermarks(spark, path, targets) == none           # a first run loads everything
+    back = (dt.date.today() - dt.timedelta(days=30)).isoformat()
+    assert audit.resolve_watermarks(spark, path, targets, lookback_days=30) == dict.fromkeys(targets, back)
     audit.append_audit(spark, path, [
         {"job_name": "j", "target_table": "fact_order", "rows_loaded": 5, "run_status": "SUCCESS",
          "watermark_date": dt.date(2024, 1, 20)},
-        {"job_name": "j", "target_table": "fact_order", "rows_loaded": None, "run_status": "FAILED",
+        {"job_name": "j", "target_table": "fact_shipment", "rows_loaded": None, "run_status": "FAILED",
          "watermark_date": dt.date(2024, 1, 25)},
     ])
-    assert audit.resolve_watermark(spark, path) == "2024-01-20"
+    assert audit.resolve_watermarks(spark, path, targets) == {"fact_order": "2024-01-20", "fact_shipment": None}
+    assert audit.resolve_watermarks(spark, path, targets, overlap_days=3)["fact_order"] == "2024-01-17"
 
 
 def test_interrupted_swap_is_recovered(spark, tmp_root):
@@ -147,20 +154,17 @@ def test_cleanse_skips_missing_and_empty_inputs(spark, tmp_root):
                       "fact_returns_defects": "SKIPPED"}
 
 
-def test_shuffle_sizing_scales_with_input(spark):
-    from fulfilq.session import size_shuffles
+def test_shuffle_sizing_scales_with_input_and_is_undone(spark):
+    from fulfilq.session import sized_shuffles
 
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     before = spark.conf.get(key, None)
-    try:
-        assert size_shuffles(spark, 10 * 1024 * 1024) == int(before or spark.conf.get("spark.sql.shuffle.partitions"))
-        assert size_shuffles(spark, 100 * 1024 ** 4) == 409600        # 100 TB / 256 MB
-        assert size_shuffles(spark, 1024) == 409600                   # never lowered
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+    base = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    with sized_shuffles(spark, 10 * 1024 * 1024) as n:
+        assert n == base
+    with sized_shuffles(spark, 100 * 1024 ** 4) as n:              # 100 TB / 256 MB
+        assert n == 409600 and spark.conf.get(key) == "409600"
+    assert spark.conf.get(key, None) == before
 
 
 def test_cut_lineage_writes_to_the_shared_checkpoint_dir(spark):
