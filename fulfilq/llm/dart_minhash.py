@@ -10,12 +10,17 @@ Equal coordinates have the probability of the weighted Jaccard similarity;
 where a coordinate stayed empty, t is doubled for that document.
 
 Exact copies are one node (digest of the text) from the start. Bands of the
-signature join nodes into buckets. A bucket is never expanded into its pairs:
-a pivot is compared with the members that are not yet in its component, over
-rounds with ever more pivots, until every bucket lies in one component or all
-its members have been pivots; so no candidate pair between two components stays
-untested. Each comparison is exact (weighted Jaccard of the shingle sets,
-``SIMILARITY`` or more), and links make classes by label propagation.
+signature join nodes into buckets. A bucket is never expanded into its pairs.
+First its members are compared with its hub, the node that shares most buckets
+with others; links make components by label propagation. Then, in buckets that
+still hold several components, the members outside the hub's are compared with
+those of other components, where two bounds leave a chance: the triangle
+inequality of the Jaccard distance over the hub (exact), and a longer one-bit
+signature whose estimate is less than three standard deviations below the
+threshold. Each comparison is exact (weighted Jaccard of the shingle sets,
+``SIMILARITY`` or more). A pair of texts at the very threshold is missed with a
+probability of 0.002 by the bands and of 0.001 by the estimate, a closer one
+with less.
 
 All state is written to the shared checkpoint folder between steps. Texts of
 1-4 words are one shingle. A text without words, or empty, has exact copies
@@ -27,6 +32,7 @@ rows: no result.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -36,11 +42,14 @@ from fulfilq.llm.common import ALNUM, LOWER, Words, materialize, mix64, slices,
 
 SHINGLE = 5
 SIMILARITY = 0.8
-COORDINATES = 128  # a power of two: the coordinate is the low bits of a dart's hash
+#: Coordinates of the signature; a power of two, as the coordinate is the low bits of a dart's hash.
+COORDINATES = 128
 BANDS, ROWS = 21, 6
-DARTS = COORDINATES * (np.log(COORDINATES) + 3)
-#: Pivots per bucket grow by this factor from round to round.
-GROWTH = 8
+#: Coordinates of the one-bit signature that estimates a pair's similarity, and the most differing bits of a candidate.
+BITS = 1024
+MOST_BITS = int(BITS / 2 * (1 - SIMILARITY) + 3 * np.sqrt(BITS * (1 - SIMILARITY) / 2 * (1 + SIMILARITY) / 2))
+#: Shingle sets that a comparing task holds, in bytes, about.
+BLOCK_BYTES = 16 << 20
 SLICE = 2 << 20
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -82,9 +91,10 @@ def shingle_sets(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     return doc[first], h[first], weight, np.bincount(doc, minlength=n_docs)
 
 
-def signatures(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, total: np.ndarray, darts: float = DARTS) -> np.ndarray:
+def signatures(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, total: np.ndarray, k: int = COORDINATES) -> np.ndarray:
     """Rank of the earliest dart per document and coordinate; inf where a document has no element."""
-    sig = np.full((len(total), COORDINATES), np.inf)
+    sig = np.full((len(total), k), np.inf)
+    darts = k * (np.log(k) + 3)
     # one strip of weight 1 per occurrence of an element
     strip_doc = np.repeat(doc, weight)
     nth = np.arange(len(strip_doc)) - np.repeat(np.cumsum(weight) - weight, weight)
@@ -100,8 +110,8 @@ def signatures(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, total: np.nda
         d = np.repeat(np.repeat(strip_doc, cells), n)
         rank = np.repeat(cell, n) + (dart >> np.uint64(11)).astype(np.float64) * 2.0**-53
         seen = rank < theta[d]
-        coordinate = (dart[seen] & np.uint64(COORDINATES - 1)).astype(np.int64)
-        np.minimum.at(sig.reshape(-1), d[seen] * COORDINATES + coordinate, rank[seen])
+        coordinate = (dart[seen] & np.uint64(k - 1)).astype(np.int64)
+        np.minimum.at(sig.reshape(-1), d[seen] * k + coordinate, rank[seen])
         gap = np.isinf(sig).any(axis=1)
         again = gap[strip_doc]
         strip, strip_doc, darts = strip[again], strip_doc[again], darts * 2
@@ -132,14 +142,18 @@ def sign_batches(batches):
 
 
 def set_batches(batches):
-    """The shingle set of each text: sorted 64-bit shingles and their weights, as bytes."""
-    for b in slices(batches, "text", SLICE):
+    """The shingle set of each text (sorted 64-bit shingles and their weights, as bytes) and its one-bit signature."""
+    for b in slices(batches, "text", SLICE // 4):
         doc, h, weight, total = shingle_sets(b.column("text"))
+        with np.errstate(divide="ignore"):
+            ranks = signatures(doc, h, weight, total, BITS).view(np.uint64)
+        bits = np.packbits((mix64(ranks) & np.uint64(1)).astype(bool), axis=1).view(np.int64)
         at = np.searchsorted(doc, np.arange(len(total) + 1))
         sets = [
             h[i:j].tobytes() + weight[i:j].astype(np.uint32).tobytes() for i, j in zip(at[:-1], at[1:], strict=True)
         ]
-        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary())], ["node", "elements"])
+        longs = pa.ListArray.from_arrays(pa.array(np.arange(len(total) + 1, dtype=np.int32) * (BITS // 64)), pa.array(bits.reshape(-1)))
+        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary()), longs], ["node", "elements", "bits"])
 
 
 def similarity(x: bytes, y: bytes) -> float:
@@ -158,12 +172,29 @@ def similarity(x: bytes, y: bytes) -> float:
     return common / (int(wx.sum()) + int(wy.sum()) - common)
 
 
-def link_batches(batches):
-    for b in batches:
-        pairs = zip(b.column("xa").to_pylist(), b.column("xb").to_pylist(), strict=True)
-        like = pa.array([similarity(x, y) for x, y in pairs], pa.float64())
-        out = pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), like], ["a", "b", "similarity"])
-        yield out.filter(pa.compute.greater_equal(like, SIMILARITY))
+def compare_group(pairs, sets):
+    """Similarities of a group's pairs; ``sets`` has their nodes' shingle sets."""
+    of = dict(zip(sets["node"].map(bytes), sets["elements"], strict=True))
+    like = [similarity(of[bytes(a)], of[bytes(b)]) for a, b in zip(pairs["a"], pairs["b"], strict=True)]
+    return pd.DataFrame({"a": pairs["a"], "b": pairs["b"], "similarity": like})
+
+
+def compared(pairs: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
+    """(a, b, similarity) of every pair (a, b), exactly.
+
+    Nodes fall into ``blocks`` by hash; a group is a pair of blocks, and a node's
+    set travels once to each group that needs it, however many of its pairs are there.
+    """
+
+    def block(c):
+        return F.pmod(F.xxhash64(c), F.lit(blocks))
+
+    p = materialize(pairs.select("a", "b", block("a").alias("ga"), block("b").alias("gb")), "dart-pairs")
+    group = [F.col("ga").alias("ha"), F.col("gb").alias("hb")]
+    wanted = p.select(*group, F.col("a").alias("node")).unionByName(p.select(*group, F.col("b").alias("node")))
+    held = wanted.distinct().join(sets.select("node", "elements"), "node")
+    both = p.groupBy("ga", "gb").cogroup(held.groupBy("ha", "hb"))
+    return both.applyInPandas(compare_group, "a binary, b binary, similarity double")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -210,48 +241,56 @@ def classes(docs: DataFrame) -> DataFrame:
     )
     nodes = materialize(nodes, "dart-nodes")
     in_bucket = nodes.select("node", F.explode("bands").alias("bucket"))
-    # priority of a node as pivot; its place in (0, 1) decides the round
-    order = F.xxhash64("node")
-    stats = in_bucket.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct(order.alias("o"), "node")).alias("top"))
-    stats = stats.where(F.col("n") > 1).select("bucket", "n", F.col("top.node").alias("top"))
-    members = materialize(in_bucket.join(stats, "bucket").withColumn("o", order), "dart-members")
+    shared = in_bucket.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = materialize(in_bucket.join(shared, "bucket"), "dart-members")
+    score = members.groupBy("node").agg((-F.sum("n")).alias("least"))
+    ranked = members.join(score, "node")
+    hub = ranked.groupBy("bucket").agg(F.min(F.struct("least", F.xxhash64("node").alias("o"), "node"))["node"].alias("hub"))
+    members = materialize(members.join(hub, "bucket"), "dart-hubs")
     needed = members.select("node").distinct().join(nodes, "node").select(F.col("doc").alias("d"), F.col("node").alias("k"))
     mine = F.col("doc").eqNullSafe(F.col("d")) & (F.col("node") == F.col("k"))
-    sets = texts.join(needed, mine, "left_semi").mapInArrow(set_batches, "node binary, elements binary")
+    sets = texts.join(needed, mine, "left_semi").mapInArrow(set_batches, "node binary, elements binary, bits array<bigint>")
     sets = materialize(sets.dropDuplicates(["node"]), "dart-sets")
-
-    comp = links = tested = None
-    pivots_now, pivots_before = 0, 0
-    while True:
-        m = members
-        if comp is None:
-            m = m.withColumn("comp", F.col("node"))
-            pairs = m.select(F.col("node").alias("x"), F.col("top").alias("y")).where("x != y")
-        else:
-            m = m.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            split = m.where("n > 2").groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-            m = materialize(m.join(split.where("lo != hi").select("bucket"), "bucket", "left_semi"), "dart-open")
-            most = m.agg(F.max("n")).first()[0] or 0
-            if most <= pivots_before:
-                break
-            share = F.shiftrightunsigned("o", 11) / F.lit(float(2**53)) * F.col("n")
-            pivot = m.where((share >= pivots_before) & (share < pivots_now)).select(
-                "bucket", F.col("node").alias("y"), F.col("comp").alias("yc")
-            )
-            pairs = m.join(pivot, "bucket").where("comp != yc").select(F.col("node").alias("x"), "y")
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "dart-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        xa = sets.withColumnsRenamed({"node": "a", "elements": "xa"})
-        xb = sets.withColumnsRenamed({"node": "b", "elements": "xb"})
-        checked = pairs.join(xb, "b").join(xa, "a").select("a", "b", "xa", "xb")
-        found = materialize(checked.mapInArrow(link_batches, "a binary, b binary, similarity double"), "dart-links")
-        links = found if links is None else links.unionByName(found)
-        if comp is None or not found.isEmpty():
-            comp = components(links, comp)
-        pivots_before, pivots_now = pivots_now, max(1, pivots_now) * GROWTH
+    size = sets.agg(F.sum(F.length("elements"))).first()[0] or 0
+    blocks = max(8, -(-size // BLOCK_BYTES))
+
+    def pair(x, y):
+        return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+
+    spokes = members.where("node != hub").select(*pair("node", "hub")).distinct()
+    spokes = materialize(compared(spokes, sets, blocks), "dart-spokes")
+    links = spokes.where(F.col("similarity") >= SIMILARITY).select("a", "b")
+    comp = components(links, None)
+
+    # buckets of several components, with each member's similarity to the hub and its bits
+    m = members.where("n > 2").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    split = m.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
+    m = m.join(split.select("bucket"), "bucket", "left_semi")
+    m = m.withColumns(dict(zip(("a", "b"), pair("node", "hub"), strict=True))).join(spokes, ["a", "b"], "left")
+    near = F.coalesce("similarity", F.lit(1.0)).alias("near")  # the hub itself
+    of_hub = comp.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
+    m = m.select("bucket", "node", "hub", "comp", near).join(of_hub, "hub", "left")
+    outside = F.col("comp") != F.coalesce("hub_comp", "hub")
+    m = materialize(
+        m.withColumn("outside", outside).join(sets.select("node", "bits"), "node").drop("hub", "hub_comp"), "dart-open"
+    )
+    x, y = m.where("outside").alias("x"), m.alias("y")
+    differ = sum(
+        (F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(BITS // 64)), F.lit(0)
+    )
+    # of two members outside one is x; a hub's distance to both bounds theirs: 1 - similarity is a metric
+    rest = (
+        (F.col("x.bucket") == F.col("y.bucket"))
+        & (F.col("x.comp") != F.col("y.comp"))
+        & (~F.col("y.outside") | (F.col("x.node") < F.col("y.node")))
+        & (F.abs(F.col("x.near") - F.col("y.near")) <= 1 - SIMILARITY + 1e-9)
+        & (differ <= MOST_BITS)
+    )
+    rest = x.join(y, rest).select(*pair(F.col("x.node"), F.col("y.node"))).distinct()
+    rest = rest.join(spokes.select("a", "b"), ["a", "b"], "left_anti")
+    found = materialize(compared(rest, sets, blocks), "dart-rest").where(F.col("similarity") >= SIMILARITY)
+    if not found.isEmpty():
+        comp = components(links.unionByName(found.select("a", "b")), comp)
     label = nodes.select("node", "doc", "n").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     per_class = label.groupBy("comp").agg(
         F.min(F.struct("doc", "node")).alias("lead"), F.sum("n").alias("class_size")
