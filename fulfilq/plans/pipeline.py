@@ -95,7 +95,7 @@ def run_cleanse(spark: SparkSession, layout: Layout, watermark=None) -> dict[str
             nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in typed.columns]
             cur = cleanse.CLEANSERS[name](typed.observe(raw_obs, F.count(F.lit(1)).alias("rows"), *nulls))
             path = layout.cur(name)
-            if mark is not None and storage.path_exists(spark, path):
+            if mark is not None and storage.has_data(spark, path):
                 n_out = upsert_table(spark, path, cur, spec.keys, True, latest_by=spec.latest_by).get("rows")
             else:
                 obs = audit.observation(cur, name)
@@ -140,7 +140,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, partiti
     obs = audit.observation(batch, "batch", storage.PART_COL if partitioned else None)
     storage.recover_swap(spark, path)
     batch = batch.distinct() if scd2 else newest(batch, keys, latest_by)
-    if not storage.path_exists(spark, path):
+    if not storage.has_data(spark, path):
         if partitioned:
             storage.write_partitioned(batch, path, keys, observe=obs)
         else:
@@ -204,7 +204,7 @@ def run_load(spark: SparkSession, layout: Layout, watermark=None,
     entries, counts = [], {}
     for name, (table, keys) in TARGETS.items():
         spec = SPECS[name]
-        if not storage.path_exists(spark, layout.cur(name)):  # nothing curated for this dataset yet
+        if not storage.has_data(spark, layout.cur(name)):  # nothing curated for this dataset yet
             counts[table] = None
             entries.append({"job_name": job_name, "target_table": table, "rows_loaded": None,
                             "run_status": "SKIPPED"})
@@ -244,7 +244,7 @@ def load_seeds(spark: SparkSession, layout: Layout) -> None:
         path = layout.table(table)
         storage.recover_swap(spark, path)
         rows = seed(spark)
-        if storage.path_exists(spark, path):
+        if storage.has_data(spark, path):
             stored = storage.read_curated(spark, path)
             missing = rows.join(stored.select(*key), list(key), "left_anti")
             if missing.isEmpty():
@@ -262,7 +262,7 @@ def upsert_dimension(spark: SparkSession, layout: Layout, table: str, rows: Data
 def load_star(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """Read the star tables back: facts, warehouse versions and seed dimensions."""
     names = [t for t, _ in TARGETS.values()] + list(SEEDS)
-    return {t: storage.read_curated(spark, layout.table(t)) for t in names if storage.path_exists(spark, layout.table(t))}
+    return {t: storage.read_curated(spark, layout.table(t)) for t in names if storage.has_data(spark, layout.table(t))}
 
 
 def build_marts(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -321,7 +321,7 @@ def smoke(spark: SparkSession, layout: Layout) -> DataFrame:
     """Q33 over the curated files just written: rows, load stamp and unique key of each dataset."""
     from fulfilq.operators import quality
 
-    stored = {n: storage.read_curated(spark, layout.cur(n)) for n in SPECS if storage.path_exists(spark, layout.cur(n))}
+    stored = {n: storage.read_curated(spark, layout.cur(n)) for n in SPECS if storage.has_data(spark, layout.cur(n))}
     return quality.curated_smoke(stored, {n: list(SPECS[n].keys) for n in stored})
 
 

@@ -116,6 +116,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """A table is there: an empty partitioned write leaves a folder with marker files only."""
+    if not path_exists(spark, path):
+        return False
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = (s.getPath().getName() for s in fs.listStatus(p))  # day folders or part files
+    return any(not n.startswith(("_", ".")) for n in names)
+
+
 def _fs_paths(spark: SparkSession, target: str):
     jvm = spark.sparkContext._jvm
     tgt = jvm.org.apache.hadoop.fs.Path(target)

@@ -59,6 +59,13 @@ def test_null_date_rows_survive_an_upsert(spark, tmp_root):
     assert len(stored(spark, path)) == 4
 
 
+def test_an_empty_first_batch_leaves_no_broken_table(spark, tmp_root):
+    path = f"{tmp_root}/t"
+    put(spark, path)
+    put(spark, path, order("A", 1))
+    assert [r[0] for r in stored(spark, path)] == ["A"]
+
+
 def test_a_stale_record_does_not_win(spark, tmp_root):
     path = f"{tmp_root}/t"
     put(spark, path, order("A", 5, hour=10))
@@ -152,7 +159,7 @@ def test_the_stream_does_not_depend_on_where_it_is_cut(spark, tmp_root):
         if max_files == 1:
             for i, r in enumerate([order("A", 1, 10), order("A", 1, 9, "PLACED"), order("B", 0), order("A", 2, 8, "RETURNED"), order("B", 3)]):
                 one = f"{tmp_root}/one{i}"
-                storage.write_landing(orders(spark, r), one, partitioned=False)
+                storage.write_landing(orders(spark, r).coalesce(1), one, partitioned=False)
                 os.makedirs(f"{layout.raw('order_events')}/date={r[-1] or 'unknown'}", exist_ok=True)
                 part = next(f for f in os.listdir(one) if f.endswith(".csv"))
                 os.rename(f"{one}/{part}", f"{layout.raw('order_events')}/date={r[-1] or 'unknown'}/{i}.csv")
