@@ -39,6 +39,8 @@ FOLDS = 5
 BROADCAST_IDS = 2_000_000
 #: Distinct grams a task holds before it hands them on.
 HELD = 2_000_000
+#: Text handled at once: a dozen 64-bit arrays over its bytes are held meanwhile.
+SLICE = 1 << 20
 
 _FOLD = LOWER.copy()
 _FOLD[48:58] = 48
@@ -71,7 +73,7 @@ def count_batches(batches):
         lang = names.take(pa.array(keys >> (8 * ORDER)))
         return pa.RecordBatch.from_arrays([lang, pa.array(keys & ((1 << 8 * ORDER) - 1)), pa.array(sums)], ["lang", "g", "c"])
 
-    for b in slices(batches, "text"):
+    for b in slices(batches, "text", SLICE):
         of = np.array([langs.setdefault(x, len(langs)) for x in b.column("lang").to_pylist()], np.int64)
         trusted = b.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
         doc, gram = text_grams(b.column("text"))
@@ -155,6 +157,15 @@ def probabilities(grams: DataFrame) -> DataFrame:
     return p.select("lang", "g", F.log("p").alias("logp"))
 
 
+def by_language(t: pa.Table) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """{lang: (grams, log probabilities and a last 0 for any other gram)} of a shard of the table."""
+    lang = t.column("lang").combine_chunks().dictionary_encode()
+    if isinstance(lang, pa.ChunkedArray):
+        lang = lang.combine_chunks()
+    of, g, logp = lang.indices.to_numpy(), t.column("g").to_numpy(), t.column("logp").to_numpy()
+    return {x: (g[of == i], np.append(logp[of == i], 0.0)) for i, x in enumerate(lang.dictionary.to_pylist())}
+
+
 def add_scores(d: DataFrame, table: DataFrame, shard_rows: int) -> DataFrame:
     """Adds ``logp`` and ``found`` (bytes with a probability) to rows with lang and text."""
     names = d.columns
@@ -163,16 +174,11 @@ def add_scores(d: DataFrame, table: DataFrame, shard_rows: int) -> DataFrame:
     n = max(1, -(-table.count() // shard_rows))
     for k in range(n):
         part = table if n == 1 else table.where(F.pmod(F.xxhash64("lang", "g"), F.lit(n)) == k)
-        shared = d.sparkSession.sparkContext.broadcast(part.toArrow())
+        shared = d.sparkSession.sparkContext.broadcast(by_language(part.toArrow()))
 
         def run(batches, shared=shared):
-            t = shared.value.combine_chunks()
-            lang = t.column("lang").to_numpy(zero_copy_only=False) if t.num_rows else np.zeros(0, object)
-            models = {}
-            for x in set(lang):
-                at = np.flatnonzero(lang == x)
-                models[x] = pa.array(t.column("g").to_numpy()[at]), np.append(t.column("logp").to_numpy()[at], 0.0)
-            for b in slices(batches, "text"):
+            models = {x: (pa.array(keys), value) for x, (keys, value) in shared.value.items()}
+            for b in slices(batches, "text", SLICE):
                 doc, gram = text_grams(b.column("text"))
                 of = np.array(b.column("lang").to_pylist(), object)
                 logp = b.column("logp").to_numpy().copy()
