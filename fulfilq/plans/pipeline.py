@@ -161,10 +161,12 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, partiti
                    else batch.select(storage.PART_COL).distinct())
         days = [r[0] for r in touched.collect()]
         result = upsert(target.where(_in_days(days)), batch, keys, latest_by)
-        # days whose last row leaves them are not overwritten, so they are removed
-        left = {r[0] for r in result.select(storage.PART_COL).distinct().collect()}
+        before = {d: storage.files(spark, _day_folder(path, d)) for d in days}
         storage.write_partitioned(result, path, keys)
-        _drop_emptied_partitions(spark, path, [d for d in days if d not in left])
+        # a touched day that still has its old files got no rows: its last row left it
+        for day, old in before.items():
+            if old and storage.files(spark, _day_folder(path, day)) == old:
+                storage.remove(spark, _day_folder(path, day))
     else:
         _replace_flat(spark, upsert(target, batch, keys, latest_by), path, keys)
     spark.catalog.refreshByPath(path)
@@ -185,10 +187,8 @@ def _in_days(days: list):
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _drop_emptied_partitions(spark: SparkSession, path: str, values) -> None:
-    for v in values:
-        folder = NULL_FOLDER if v is None else v
-        storage.remove(spark, f"{path.rstrip('/')}/{storage.PART_COL}={folder}")
+def _day_folder(path: str, day) -> str:
+    return f"{path.rstrip('/')}/{storage.PART_COL}={NULL_FOLDER if day is None else day}"
 
 
 def run_load(spark: SparkSession, layout: Layout, watermark=None,

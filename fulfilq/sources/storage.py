@@ -116,15 +116,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def has_data(spark: SparkSession, path: str) -> bool:
-    """A table is there: an empty partitioned write leaves a folder with marker files only."""
+def files(spark: SparkSession, path: str) -> set[str]:
+    """Names of the data files or day folders directly under ``path`` (metadata only; nothing there: empty)."""
     if not path_exists(spark, path):
-        return False
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+        return set()
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = (s.getPath().getName() for s in fs.listStatus(p))  # day folders or part files
-    return any(not n.startswith(("_", ".")) for n in names)
+    names = {s.getPath().getName() for s in fs.listStatus(p)}
+    return {n for n in names if not n.startswith(("_", "."))}
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """A table is there: an empty partitioned write leaves a folder with marker files only."""
+    return bool(files(spark, path))
 
 
 def _fs_paths(spark: SparkSession, target: str):
