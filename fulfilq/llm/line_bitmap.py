@@ -5,9 +5,9 @@ hashed to 128 bits. The records (hash, document, row, position) are
 range-partitioned and sorted; each partition streams its run of equal hashes
 once: the first document of a run keeps its lines, later ones lose theirs. A
 run can go over partition borders (a hot line is dealt over many), so every
-partition reports where its last run began and hands the rows of its first run
-on as pending; they are settled against those reports, of which there are no
-more than partitions. The result is a zlib-compressed keep bitmap per document,
+partition reports where its first and its last run begin and hands the rows of
+its first run on as pending; they are settled against those reports, of which
+there are two per partition. The result is a zlib-compressed keep bitmap per document,
 no text.
 
 Rows with the same doc_id and text are the same document. Null or empty text:
@@ -63,9 +63,10 @@ FIELDS = ["kind", "h", "doc", "row", "pos"]
 
 
 def stream_runs(batches):
-    """Dropped lines of the runs that begin here; the first run's rows as pending; where the last run began."""
+    """Dropped lines of the runs that begin here; the first run's rows as pending; where the first and last run begin."""
     first_hash = run_hash = None
-    run_doc, in_first = 0, True
+    first_doc = run_doc = 0
+    in_first = True
     for b in batches:
         n = b.num_rows
         if not n:
@@ -74,7 +75,7 @@ def stream_runs(batches):
         doc = b.column("doc").to_numpy(zero_copy_only=False)
         if first_hash is None:
             first_hash = run_hash = hashes[0]
-            run_doc = int(doc[0])
+            first_doc = run_doc = int(doc[0])
         starts = np.fromiter((i for i in range(n) if hashes[i] != (hashes[i - 1] if i else run_hash)), np.int64)
         of = np.searchsorted(starts, np.arange(n), side="right") - 1  # -1: the run that came in
         lead = np.where(of >= 0, doc[starts[of]] if len(starts) else run_doc, run_doc)
@@ -89,11 +90,11 @@ def stream_runs(batches):
     if run_hash is not None:
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([BORDER], pa.int32()),
-                pa.array([run_hash], pa.binary()),
-                pa.array([run_doc], pa.int64()),
-                pa.array([0], pa.int64()),
-                pa.array([0], pa.int32()),
+                pa.array([BORDER] * 2, pa.int32()),
+                pa.array([first_hash, run_hash], pa.binary()),
+                pa.array([first_doc, run_doc], pa.int64()),
+                pa.array([0, 0], pa.int64()),
+                pa.array([0, 0], pa.int32()),
             ],
             FIELDS,
         )
@@ -106,7 +107,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     runs = lines.repartitionByRange(*order).sortWithinPartitions(*order)
     out = materialize(runs.mapInArrow(stream_runs, "kind int, h binary, doc bigint, row bigint, pos int"), "line-runs")
     pending = out.where(F.col("kind") == PENDING)
-    # one border row per partition at most, so this side is bounded by the partition count
+    # two border rows per partition, so this side is bounded by the partition count
     lead = out.where(F.col("kind") == BORDER).groupBy("h").agg(F.min("doc").alias("lead"))
     late = pending.join(F.broadcast(lead), "h").where(F.col("doc") > F.col("lead"))
     return out.where(F.col("kind") == DROP).select("doc", "row", "pos").unionByName(late.select("doc", "row", "pos"))

@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import SCHEMA, alnum_words, edge_docs, edge_rows, low, no_docs, row
 
@@ -154,3 +155,34 @@ def test_bitmap_round_trip_and_empty(spark):
         assert (np.flatnonzero(~mask) == gone).all()
     assert line_bitmap.without_repeats(no_docs(spark)).count() == 0
     assert hashlib.sha256(line_bitmap.kept_text("", line_bitmap.pack(1, []), 1).encode()).hexdigest().startswith("e3b0")
+
+
+def test_runs_cut_anywhere_lose_the_same_lines():
+    """Partitions and batches that begin and end inside and between runs, settled by their border rows."""
+    rng = np.random.default_rng(11)
+    rows = sorted((bytes([h]) * 16, int(d), int(d), int(p)) for h in range(12) for d in rng.integers(0, 9, rng.integers(1, 7)) for p in range(2))
+    least = {}
+    for h, d, _, _ in rows:
+        least[h] = min(least.get(h, d), d)
+    want = sorted((d, r, p) for h, d, r, p in rows if d > least[h])
+
+    def batch(part):
+        h, d, r, p = zip(*part, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(h, pa.binary()), pa.array(d, pa.int64()), pa.array(r, pa.int64()), pa.array(p, pa.int32())], ["h", "doc", "row", "pos"]
+        )
+
+    for _ in range(300):
+        cuts = [0, *sorted(rng.integers(0, len(rows) + 1, rng.integers(0, 9))), len(rows)]
+        found = []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            step = int(rng.integers(1, 8))
+            for out in line_bitmap.stream_runs(batch(rows[i : min(i + step, b)]) for i in range(a, b, step)):
+                found += out.to_pylist()
+        lead = {}
+        for x in found:
+            if x["kind"] == line_bitmap.BORDER:
+                lead[x["h"]] = min(lead.get(x["h"], x["doc"]), x["doc"])
+        gone = [x for x in found if x["kind"] == line_bitmap.DROP]
+        gone += [x for x in found if x["kind"] == line_bitmap.PENDING and x["doc"] > lead[x["h"]]]
+        assert sorted((x["doc"], x["row"], x["pos"]) for x in gone) == want
