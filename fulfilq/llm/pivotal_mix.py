@@ -202,15 +202,16 @@ def copies(u: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = SEED) ->
 def mixed(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = SEED) -> DataFrame:
     """``docs`` as the mix takes them: one row per copy, with the copy's number in ``copy``."""
     plan = copies(units(docs), weights, most, seed)
-    by_row = plan.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("nth", "copies"))).alias("__plan"))
-    by_row = by_row.select(F.col("id.doc_id").alias("__doc"), F.col("id.row").alias("__row"), "__plan")
+    # rows that are equal share their copies evenly, so a hot repeated row is a count, not a list
+    by_row = plan.groupBy("id").agg(F.sum("copies").alias("__all"), F.count("*").alias("__m"))
+    by_row = by_row.select(F.col("id.doc_id").alias("__d"), F.col("id.row").alias("__r"), "__all", "__m")
     names = docs.columns
     d = docs.withColumns({"__doc": F.col("doc_id"), "__row": F.xxhash64("text")})
     same = Window.partitionBy("__doc", "__row").orderBy("__doc")
     d = d.withColumn("__nth", F.row_number().over(same))
-    plan_key = by_row.withColumnsRenamed({"__doc": "__d", "__row": "__r"})
-    d = d.join(plan_key, F.col("__doc").eqNullSafe(F.col("__d")) & (F.col("__row") == F.col("__r")))
-    n = F.element_at("__plan", F.col("__nth"))["copies"]
+    d = d.join(by_row, F.col("__doc").eqNullSafe(F.col("__d")) & (F.col("__row") == F.col("__r")))
+    one_more = F.when(F.col("__nth") <= F.col("__all") % F.col("__m"), 1).otherwise(0)
+    n = F.floor(F.col("__all") / F.col("__m")) + one_more
     copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n"))).alias("copy")
     out = [F.col(c) for c in names if c != "copy"]
     return d.withColumn("__n", n).where("__n > 0").select(*out, copy)
