@@ -6,7 +6,7 @@ next stage's ``docs``. All but the last return the columns of ``documents``.
 The last returns the mix: a row per copy taken, numbered by ``copy``.
 
 ``run`` writes each stage to the shared checkpoint folder, so a lost executor
-costs at most the running stage.
+costs at most the running stage, and removes it when the next one is written.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fulfilq.llm import dart_minhash, decontaminate, fertility, line_bitmap, pivotal_mix
-from fulfilq.llm.common import materialize, table
+from fulfilq.llm.common import discard, materialize, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        if last is not None:
+            discard(last)
+        last = docs
     return docs

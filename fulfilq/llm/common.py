@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fulfilq.session import scratch_path
+from fulfilq.sources.storage import remove
 
 #: ASCII white space, [\x20\x09-\x0D].
 SPACE = bytes([32, 9, 10, 11, 12, 13])
@@ -27,7 +28,7 @@ LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.
 LOWER_BYTES = bytes(LOWER)
 
 #: Text handled at once inside a task; a longer single document is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +39,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back (cuts lineage, survives lost executors)."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``materialize`` that no later step reads."""
+    for t in tables:
+        remove(t.sparkSession, t._scratch)
 
 
 def flat(arr) -> pa.Array:

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulfilq.llm.common import ALNUM, LOWER, Words, materialize, mix64, slices, text_buffer
+from fulfilq.llm.common import ALNUM, LOWER, Words, discard, materialize, mix64, slices, text_buffer
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -179,8 +179,8 @@ def compare_group(pairs, sets):
     return pd.DataFrame({"a": pairs["a"], "b": pairs["b"], "similarity": like})
 
 
-def compared(pairs: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
-    """(a, b, similarity) of every pair (a, b), exactly.
+def compared(pairs: DataFrame, sets: DataFrame, blocks: int, name: str) -> DataFrame:
+    """Table of (a, b, similarity) of every pair (a, b), exactly.
 
     Nodes fall into ``blocks`` by hash; a group is a pair of blocks, and a node's
     set travels once to each group that needs it, however many of its pairs are there.
@@ -194,7 +194,9 @@ def compared(pairs: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
     wanted = p.select(*group, F.col("a").alias("node")).unionByName(p.select(*group, F.col("b").alias("node")))
     held = wanted.distinct().join(sets.select("node", "elements"), "node")
     both = p.groupBy("ga", "gb").cogroup(held.groupBy("ha", "hb"))
-    return both.applyInPandas(compare_group, "a binary, b binary, similarity double")
+    out = materialize(both.applyInPandas(compare_group, "a binary, b binary, similarity double"), name)
+    discard(p)
+    return out
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -222,9 +224,13 @@ def components(links: DataFrame, start: DataFrame | None) -> DataFrame:
         )
         jump = label.withColumnsRenamed({"node": "next", "comp": "after"})
         new = new.join(jump, "next").select("node", "was", F.least("next", "after").alias("comp"))
-        new = materialize(new, "dart-labels")
+        new, old = materialize(new, "dart-labels"), label
+        moved = not new.where(F.col("was") != F.col("comp")).isEmpty()
+        discard(old)
         label = new.select("node", "comp")
-        if new.where(F.col("was") != F.col("comp")).isEmpty():
+        label._scratch = new._scratch
+        if not moved:
+            discard(both)
             return label
 
 
@@ -242,11 +248,12 @@ def classes(docs: DataFrame) -> DataFrame:
     nodes = materialize(nodes, "dart-nodes")
     in_bucket = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = in_bucket.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = materialize(in_bucket.join(shared, "bucket"), "dart-members")
-    score = members.groupBy("node").agg((-F.sum("n")).alias("least"))
-    ranked = members.join(score, "node")
+    in_buckets = materialize(in_bucket.join(shared, "bucket"), "dart-members")
+    score = in_buckets.groupBy("node").agg((-F.sum("n")).alias("least"))
+    ranked = in_buckets.join(score, "node")
     hub = ranked.groupBy("bucket").agg(F.min(F.struct("least", F.xxhash64("node").alias("o"), "node"))["node"].alias("hub"))
-    members = materialize(members.join(hub, "bucket"), "dart-hubs")
+    members = materialize(in_buckets.join(hub, "bucket"), "dart-hubs")
+    discard(in_buckets)
     needed = members.select("node").distinct().join(nodes, "node").select(F.col("doc").alias("d"), F.col("node").alias("k"))
     mine = F.col("doc").eqNullSafe(F.col("d")) & (F.col("node") == F.col("k"))
     sets = texts.join(needed, mine, "left_semi").mapInArrow(set_batches, "node binary, elements binary, bits array<bigint>")
@@ -258,7 +265,7 @@ def classes(docs: DataFrame) -> DataFrame:
         return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
     spokes = members.where("node != hub").select(*pair("node", "hub")).distinct()
-    spokes = materialize(compared(spokes, sets, blocks), "dart-spokes")
+    spokes = compared(spokes, sets, blocks, "dart-spokes")
     links = spokes.where(F.col("similarity") >= SIMILARITY).select("a", "b")
     comp = components(links, None)
 
@@ -271,9 +278,8 @@ def classes(docs: DataFrame) -> DataFrame:
     of_hub = comp.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
     m = m.select("bucket", "node", "hub", "comp", near).join(of_hub, "hub", "left")
     outside = F.col("comp") != F.coalesce("hub_comp", "hub")
-    m = materialize(
-        m.withColumn("outside", outside).join(sets.select("node", "bits"), "node").drop("hub", "hub_comp"), "dart-open"
-    )
+    in_open = m.withColumn("outside", outside).join(sets.select("node", "bits"), "node").drop("hub", "hub_comp")
+    m = materialize(in_open, "dart-open")
     x, y = m.where("outside").alias("x"), m.alias("y")
     differ = sum(
         (F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(BITS // 64)), F.lit(0)
@@ -288,9 +294,12 @@ def classes(docs: DataFrame) -> DataFrame:
     )
     rest = x.join(y, rest).select(*pair(F.col("x.node"), F.col("y.node"))).distinct()
     rest = rest.join(spokes.select("a", "b"), ["a", "b"], "left_anti")
-    found = materialize(compared(rest, sets, blocks), "dart-rest").where(F.col("similarity") >= SIMILARITY)
+    rest = compared(rest, sets, blocks, "dart-rest")
+    found = rest.where(F.col("similarity") >= SIMILARITY)
     if not found.isEmpty():
-        comp = components(links.unionByName(found.select("a", "b")), comp)
+        comp, old = components(links.unionByName(found.select("a", "b")), comp), comp
+        discard(old)
+    discard(members, sets, spokes, m, rest)
     label = nodes.select("node", "doc", "n").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     per_class = label.groupBy("comp").agg(
         F.min(F.struct("doc", "node")).alias("lead"), F.sum("n").alias("class_size")
@@ -301,6 +310,7 @@ def classes(docs: DataFrame) -> DataFrame:
         ),
         "dart-classes",
     )
+    discard(nodes, comp)
     rows = signed.select("doc", "node").join(of_node, F.col("node") == F.col("k")).drop("k")
     alone = all_docs.where(F.col("text").isNull()).select(
         "doc", "node", F.col("doc").alias("class_id"), F.lit(1).cast("bigint").alias("class_size"), F.col("node").alias("lead")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fulfilq.llm.common import LOWER, materialize, slices, text_buffer
+from fulfilq.llm.common import LOWER, discard, materialize, slices, text_buffer
 
 ORDER = 5
 SHARD_ROWS = 2_000_000
@@ -126,12 +126,14 @@ def discounts(counts: DataFrame) -> DataFrame:
 
 
 def probabilities(grams: DataFrame) -> DataFrame:
-    """(lang, g, logp) of every gram of ``grams`` (lang, g, c) in a language with counts."""
+    """Table of (lang, g, logp) of every gram of ``grams`` (lang, g, c) in a language with counts."""
+    steps = []
     counts, asked = {ORDER: grams.where("c > 0")}, {ORDER: grams.select("lang", "g")}
     for n in range(ORDER - 1, 0, -1):
         g = low(F.col("g"), n).alias("g")
         counts[n] = materialize(counts[n + 1].groupBy("lang", g).agg(F.count("*").alias("c")), f"kn-counts{n}")
         asked[n] = materialize(asked[n + 1].select("lang", g).distinct(), f"kn-asked{n}")
+        steps += [counts[n], asked[n]]
     p = None
     for n in range(1, ORDER + 1):
         head = F.shiftright("g", 8).alias("h")
@@ -154,7 +156,10 @@ def probabilities(grams: DataFrame) -> DataFrame:
         p = r.select("lang", "g", F.when(F.col("total").isNull(), F.col("lower")).otherwise(own).alias("p"))
         if n < ORDER:
             p = materialize(p, f"kn-p{n}")
-    return p.select("lang", "g", F.log("p").alias("logp"))
+            steps.append(p)
+    out = materialize(p.select("lang", "g", F.log("p").alias("logp")), "kn-model")
+    discard(*steps)
+    return out
 
 
 def by_language(t: pa.Table) -> dict[str, tuple[np.ndarray, np.ndarray]]:
@@ -205,10 +210,11 @@ def classify(
     d = flagged(docs, trusted_ids)
     parts = d.mapInArrow(count_batches, "lang string, g bigint, c bigint")
     grams = materialize(parts.groupBy("lang", "g").agg(F.sum("c").alias("c")), "kn-grams")
-    table = materialize(probabilities(grams), "kn-model")
+    table = probabilities(grams)
     scored = add_scores(d, table, shard_rows).select("doc_id", "lang", "held", "logp", "found")
     scored = scored.withColumn("perplexity", F.when(F.col("found") > 0, F.exp(-F.col("logp") / F.col("found"))))
     scored = materialize(scored, "kn-scored")
+    discard(grams, table)
     at = F.percentile_approx("perplexity", quantile, 10_000)
     limit = scored.where("held").groupBy("lang").agg((at * slack).alias("threshold"))
     out = scored.join(limit.withColumnRenamed("lang", "l"), F.col("lang") == F.col("l"), "left")
