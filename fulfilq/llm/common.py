@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fulfilq.llm import reach_workers
 from fulfilq.session import scratch_path
 from fulfilq.sources.storage import remove
 
@@ -32,6 +33,7 @@ SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_workers()
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
