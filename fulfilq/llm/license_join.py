@@ -9,6 +9,12 @@ least need(T) distinct tokens (length filter), and, from its first common token
 on, leave room for need(T) in both ordered sets (positional filter). The pairs
 that remain are counted exactly, so the join loses none.
 
+With ``across_lines`` (the registered query) a block also goes on over single
+line breaks, up to an empty line or the end of a sentence. There the 0.8 must be
+met in one line, as without it, or within ``SPAN`` times the notice's number of
+words, so a wrapped notice is found at any width and a long list of lines does
+not add up to one. The filters run on the whole block, which holds both.
+
 DataFrame functions only. Null or empty text: no words, no labels, score 0.
 Repeated rows: one result row each. No rows: no result.
 """
@@ -25,6 +31,10 @@ from fulfilq.llm.common import ascii_lower
 
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BLOCK_END = r"\n|[.!?][ \t]"
+#: An empty line, or the end of a sentence; "v. 2.0" is none.
+BREAK = r"\n[ \t\r]*\n|[.!?](?:[ \t]|\r?\n)(?![ \t\r\n]*[0-9])"
+#: Twice a notice's words: each may come with one of its own, such as a comment mark.
+SPAN = 2
 THRESHOLD = 0.8
 #: phrase -> label, found as consecutive words.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -46,11 +56,12 @@ TEMPLATES = (
 MOST_TOKENS = 20_000
 
 
+def notice_words(notice: str) -> list[str]:
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), notice))
+
+
 def template_sets(templates=TEMPLATES) -> list[tuple[str, list[str]]]:
-    out = []
-    for label, notice in templates:
-        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), notice))
-        out.append((label, sorted(set(words))))
+    out = [(label, sorted(set(notice_words(notice)))) for label, notice in templates]
     if sum(len(t) for _, t in out) > MOST_TOKENS:
         raise ValueError(f"templates hold more than {MOST_TOKENS} tokens; scan in several calls")
     return out
@@ -64,13 +75,41 @@ def words(col: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(col), GAP), "")
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """(doc, row, tokens): the distinct words of every block that has some; doc and row are the document's key."""
+def blocks(docs: DataFrame, across_lines: bool = False) -> DataFrame:
+    """(doc, row, tokens): the distinct words of every block that has some; doc and row are the document's key.
+
+    ``across_lines`` adds the block's text as ``block``.
+    """
     # token arrays leave the generator, below which no filter on them is pushed: each block is split once
+    if across_lines:
+        parts = F.transform(
+            F.split("text", BREAK), lambda block: F.struct(block.alias("block"), F.array_distinct(words(block)).alias("tokens"))
+        )
+        return docs.select("doc", "row", F.inline(parts)).where(F.size("tokens") > 0)
     tokens = F.explode(F.transform(F.split("text", BLOCK_END), lambda block: F.array_distinct(words(block))))
     return docs.select("doc", "row", tokens.alias("tokens")).where(F.size("tokens") > 0)
 
 
+def closest(block: Column, t: Column, span: Column) -> Column:
+    """Most tokens of ``t`` in one line of ``block``, or in ``span`` consecutive words of it."""
+
+    def held(part):
+        return F.size(F.array_intersect(t, part))
+
+    def let(value, use):
+        # the value is computed once, not in every step of the loops inside
+        return F.element_at(F.transform(F.array(value), use), 1)
+
+    def spans(w):
+        starts = F.filter(F.sequence(F.lit(1), F.size(w)), lambda i: F.array_contains(t, F.element_at(w, i)))
+        return F.array_max(F.transform(starts, lambda i: held(F.slice(w, i, span))))
+
+    def best(lines):
+        return F.greatest(F.array_max(F.transform(lines, held)), let(F.flatten(lines), spans))
+
+    return let(F.transform(F.split(block, BLOCK_END), words), best)
+
+
 def frequencies(b: DataFrame, sets) -> dict[str, int]:
     """Blocks that hold each template token, over all blocks."""
     every = sorted({t for _, tokens in sets for t in tokens})
@@ -80,8 +119,11 @@ def frequencies(b: DataFrame, sets) -> dict[str, int]:
     return {t: found.get(t, 0) for t in every}
 
 
-def matches(b: DataFrame, sets, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc, row, label, containment) of every block and template that meet the threshold."""
+def matches(b: DataFrame, sets, threshold: float = THRESHOLD, spans: list[int] | None = None) -> DataFrame:
+    """(doc, row, label, containment) of every block and template that meet the threshold.
+
+    ``spans``: words of each template within which blocks across lines must meet it.
+    """
     freq = frequencies(b, sets)
     order = {t: i for i, t in enumerate(sorted(freq, key=lambda t: (freq[t], t)))}
     index = []
@@ -96,6 +138,7 @@ def matches(b: DataFrame, sets, threshold: float = THRESHOLD) -> DataFrame:
         F.struct(
             F.lit(token).alias("token"), F.lit(k).alias("template"), F.lit(label).alias("label"),
             F.lit(i).alias("at"), F.lit(least).alias("least"), F.array(*map(F.lit, tokens)).alias("t"),
+            F.lit(spans[k] if spans else 0).alias("span"),
         )
         for token, k, label, i, least, tokens in index
     ]
@@ -118,9 +161,13 @@ def matches(b: DataFrame, sets, threshold: float = THRESHOLD) -> DataFrame:
     pairs = pairs.where(F.element_at(common, 1) == F.col("token"))
     room = 1 + F.least(F.size("t") - F.col("at") - 1, F.size("b") - F.array_position("b", F.col("token")).cast("int"))
     pairs = pairs.where(room >= F.col("least"))
-    return pairs.where(F.size(common) >= F.col("least")).select(
-        "doc", "row", "label", (F.size(common) / F.size("t")).alias("containment")
-    )
+    pairs = pairs.where(F.size(common) >= F.col("least"))
+    if not spans:
+        return pairs.select("doc", "row", "label", (F.size(common) / F.size("t")).alias("containment"))
+    # a generator again: only the pairs that are left are counted, and once
+    n = F.explode(F.array(closest(F.col("block"), F.col("t"), F.col("span"))))
+    pairs = pairs.select("doc", "row", "label", "least", F.size("t").alias("size"), n.alias("n"))
+    return pairs.where(F.col("n") >= F.col("least")).select("doc", "row", "label", (F.col("n") / F.col("size")).alias("containment"))
 
 
 def phrase_places(s: Column, phrase: str) -> tuple[Column, Column, Column]:
@@ -137,10 +184,13 @@ def phrase_places(s: Column, phrase: str) -> tuple[Column, Column, Column]:
     return n, first, last
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD) -> DataFrame:
+def scan(
+    docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD, across_lines: bool = False
+) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): places of the phrases, labels of phrases and templates, score.
 
     ``score`` is 1 where a phrase was found, else the best containment found, else 0.
+    ``across_lines`` also finds notices that are wrapped over several lines.
     """
     sets = template_sets(templates)
     d = docs.select(
@@ -148,7 +198,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    found = matches(blocks(d), sets, threshold)
+    spans = [SPAN * len(notice_words(notice)) for _, notice in templates] if across_lines else None
+    found = matches(blocks(d, across_lines), sets, threshold, spans)
     found = found.groupBy(F.col("doc").alias("d"), F.col("row").alias("r")).agg(
         F.collect_set("label").alias("own"), F.max("containment").alias("best")
     )

@@ -45,7 +45,7 @@ def op4_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_join.scan(table(spark, sf_dir, "documents"))
+    return license_join.scan(table(spark, sf_dir, "documents"), across_lines=True)
 
 
 def op6_url_markov(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -167,6 +167,56 @@ def test_license_filters_lose_nothing(spark):
         assert got[i] == (",".join(sorted(labels)), pytest.approx(best))
 
 
+def test_license_wrapped_notices(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy"
+    narrow = "# " + "\n# dnl ".join(bsd.replace("\n", " ").split())
+    texts = {
+        1: bsd,
+        2: mpl,
+        3: "/*\n * " + mpl.replace("\n", "\r\n * ") + "\r\n */",
+        4: narrow,
+        5: "Some words first. " + bsd.replace("\n", "\n\n"),  # an empty line ends the notice
+        6: "\n".join(f"{w} {'other ' * 30}" for w in bsd.split()),  # its words in a long list of lines
+        7: "subject to the terms of the Mozilla Public License, v. 2.0",
+        8: mpl.replace("License, v. 2.0", "wood. License, v. 2.0"),  # a sentence ends in between
+    }
+    docs = spark.createDataFrame([row(k, v) for k, v in texts.items()] + [row(1, texts[1])], SCHEMA)
+    found = [(r["doc_id"], r["labels"], r["score"]) for r in license_join.scan(docs, across_lines=True).collect()]
+    assert len(found) == 9
+    got = {k: (labels, score) for k, labels, score in found}
+    for k in (1, 4):
+        assert got[k] == ("bsd", 1.0)
+    for k in (2, 3, 7):
+        assert got[k] == ("mpl", 1.0)
+    for k in (5, 6, 8):
+        assert got[k] == ("", 0.0)
+    assert license_join.scan(edge_docs(spark), across_lines=True).count() == len(edge_rows())
+    assert license_join.scan(no_docs(spark), across_lines=True).count() == 0
+
+
+def test_license_across_lines_loses_nothing(spark):
+    rng = np.random.default_rng(5)
+    vocab = [f"t{i}" for i in range(30)]
+    templates = [(f"l{k}", " ".join(rng.choice(vocab, int(rng.integers(3, 9)), replace=False))) for k in range(12)]
+    texts = ["\n".join(" ".join(rng.choice(vocab, int(rng.integers(0, 7)))) for _ in range(9)) for _ in range(60)]
+    docs = spark.createDataFrame([row(i, t) for i, t in enumerate(texts)], SCHEMA)
+    out = license_join.scan(docs, templates, {"zz zz": "none"}, across_lines=True)
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in out.collect()}
+    for i, t in enumerate(texts):
+        labels, best = set(), 0.0
+        for block in re.split(r"\n\n+", t):
+            w = block.split()
+            for label, notice in templates:
+                s = set(notice.split())
+                parts = block.split("\n") + [" ".join(w[j : j + 2 * len(s)]) for j in range(len(w))]
+                n = max(len(s & set(p.split())) for p in parts)
+                if n >= license_join.need(len(s)):
+                    labels.add(label)
+                    best = max(best, n / len(s))
+        assert got[i] == (",".join(sorted(labels)), pytest.approx(best))
+
+
 def test_url_parts_and_rules(spark):
     urls = [
         None, "", "no scheme", "http://EXAMPLE.org/es/1", "http://a.example.org/en/12?x=/fr/", "https://x.com/fr/", "http://x.com/FR/",
