@@ -8,8 +8,10 @@ task and sums them by gram; lower orders are continuation counts of the order
 above; discounts come from each order's counts of counts. Joins of grams with
 counts, contexts and the next lower order give the probability of every gram
 that any document holds. Those probabilities, cut by hash into shards of at
-most ``SHARD_ROWS`` rows, are joined with the documents one broadcast shard
-after another, which sums the log-likelihood of every whole text.
+about ``SHARD_ROWS`` rows, are joined with the documents one broadcast shard
+after another: the partial scores of a shard are written and its broadcast is
+released before the next is fetched, so driver and executors hold one shard
+whatever the number of grams. Their sum is the log-likelihood of every whole text.
 
 A document is kept if its perplexity per byte is at most ``SLACK`` times the
 ``QUANTILE`` of the held-out trusted documents of its language.
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fulfilq.llm.common import LOWER, discard, materialize, slices, text_buffer
+from fulfilq.session import scratch_path
+from fulfilq.sources.storage import remove
 
 ORDER = 5
 SHARD_ROWS = 2_000_000
@@ -171,35 +175,60 @@ def by_language(t: pa.Table) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     return {x: (g[of == i], np.append(logp[of == i], 0.0)) for i, x in enumerate(lang.dictionary.to_pylist())}
 
 
+def score_with(d: DataFrame, shared) -> DataFrame:
+    """``d`` (with lang and text) without its text, and the ``logp`` and ``found`` that a broadcast shard gives it."""
+    names = [c for c in d.columns if c != "text"]
+    fields = [f for f in d.schema.fields if f.name != "text"]
+    schema = T.StructType([*fields, T.StructField("logp", T.DoubleType()), T.StructField("found", T.LongType())])
+
+    def run(batches):
+        models = {x: (pa.array(keys), value) for x, (keys, value) in shared.value.items()}
+        for b in slices(batches, "text", SLICE):
+            doc, gram = text_grams(b.column("text"))
+            of = np.array(b.column("lang").to_pylist(), object)
+            logp, found = np.zeros(len(of)), np.zeros(len(of), np.int64)
+            for x in {*of} & {*models}:
+                keys, value = models[x]
+                mine = np.flatnonzero((of == x)[doc]) if len({*of}) > 1 else np.arange(len(doc))
+                at = pa.compute.index_in(pa.array(gram[mine]), value_set=keys)
+                at = at.fill_null(len(keys)).to_numpy(zero_copy_only=False)
+                logp += np.bincount(doc[mine], weights=value[at], minlength=len(of))
+                found += np.bincount(doc[mine], weights=at < len(keys), minlength=len(of)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in names), pa.array(logp), pa.array(found)], [*names, "logp", "found"]
+            )
+
+    return d.mapInArrow(run, schema)
+
+
 def add_scores(d: DataFrame, table: DataFrame, shard_rows: int) -> DataFrame:
-    """Adds ``logp`` and ``found`` (bytes with a probability) to rows with lang and text."""
-    names = d.columns
-    out = d.withColumns({"logp": F.lit(0.0), "found": F.lit(0).cast("bigint")})
-    schema = T.StructType([*out.schema.fields])
+    """Table of the rows of ``d`` (doc_id, lang, text, held) without text, with ``logp`` and ``found`` (bytes with a probability)."""
+    context = d.sparkSession.sparkContext
+    d = d.select("doc_id", "lang", "held", "text")
     n = max(1, -(-table.count() // shard_rows))
+    if n == 1:
+        shared = context.broadcast(by_language(table.toArrow()))
+        out = materialize(score_with(d, shared), "kn-scored")
+        shared.destroy()
+        return out
+    # rows of one id, language and text have one score: 128 bits stand for the text
+    d = d.withColumns({"x": F.xxhash64("text"), "y": F.xxhash64(F.lit(1), "text")})
+    path = scratch_path(d.sparkSession, "kn-parts")
     for k in range(n):
-        part = table if n == 1 else table.where(F.pmod(F.xxhash64("lang", "g"), F.lit(n)) == k)
-        shared = d.sparkSession.sparkContext.broadcast(by_language(part.toArrow()))
-
-        def run(batches, shared=shared):
-            models = {x: (pa.array(keys), value) for x, (keys, value) in shared.value.items()}
-            for b in slices(batches, "text", SLICE):
-                doc, gram = text_grams(b.column("text"))
-                of = np.array(b.column("lang").to_pylist(), object)
-                logp = b.column("logp").to_numpy().copy()
-                found = b.column("found").to_numpy().copy()
-                for x in {*of} & {*models}:
-                    keys, value = models[x]
-                    mine = np.flatnonzero((of == x)[doc]) if len({*of}) > 1 else np.arange(len(doc))
-                    at = pa.compute.index_in(pa.array(gram[mine]), value_set=keys)
-                    at = at.fill_null(len(keys)).to_numpy(zero_copy_only=False)
-                    logp += np.bincount(doc[mine], weights=value[at], minlength=len(of))
-                    found += np.bincount(doc[mine], weights=at < len(keys), minlength=len(of)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [*(b.column(c) for c in names), pa.array(logp), pa.array(found)], [*names, "logp", "found"]
-                )
-
-        out = out.mapInArrow(run, schema)
+        part = table.where(F.pmod(F.xxhash64("lang", "g"), F.lit(n)) == k)
+        shared = context.broadcast(by_language(part.toArrow()))
+        scored = score_with(d, shared).withColumn("shard", F.lit(k))
+        scored.write.mode("append").parquet(path)
+        shared.destroy()
+    parts = d.sparkSession.read.schema(scored.schema).parquet(path)
+    key = ["doc_id", "lang", "held", "x", "y"]
+    once = parts.groupBy(*key, "shard").agg(F.max("logp").alias("logp"), F.max("found").alias("found"), F.count("*").alias("rows"))
+    total = once.groupBy(*key).agg(F.sum("logp").alias("logp"), F.sum("found").alias("found"), F.max("rows").alias("rows"))
+    # repeated rows: one result each
+    again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows")))
+    out = total.select("doc_id", "lang", "held", "logp", "found", again).drop("col")
+    out = materialize(out, "kn-scored")
+    remove(d.sparkSession, path)
     return out
 
 
@@ -211,10 +240,9 @@ def classify(
     parts = d.mapInArrow(count_batches, "lang string, g bigint, c bigint")
     grams = materialize(parts.groupBy("lang", "g").agg(F.sum("c").alias("c")), "kn-grams")
     table = probabilities(grams)
-    scored = add_scores(d, table, shard_rows).select("doc_id", "lang", "held", "logp", "found")
-    scored = scored.withColumn("perplexity", F.when(F.col("found") > 0, F.exp(-F.col("logp") / F.col("found"))))
-    scored = materialize(scored, "kn-scored")
+    scored = add_scores(d, table, shard_rows)
     discard(grams, table)
+    scored = scored.withColumn("perplexity", F.when(F.col("found") > 0, F.exp(-F.col("logp") / F.col("found"))))
     at = F.percentile_approx("perplexity", quantile, 10_000)
     limit = scored.where("held").groupBy("lang").agg((at * slack).alias("threshold"))
     out = scored.join(limit.withColumnRenamed("lang", "l"), F.col("lang") == F.col("l"), "left")

@@ -3,6 +3,7 @@
 import collections
 import itertools
 import math
+import os
 import re
 
 import numpy as np
@@ -101,6 +102,30 @@ def test_kneser_ney_edges(spark):
     assert kneser_ney.classify(edge_docs(spark), ids.where("doc_id < 0")).where("kept").count() == len(edge_rows())
 
 
+def test_kneser_ney_holds_one_shard_at_a_time(spark, monkeypatch):
+    made, alive = [], []
+    plain = type(spark.sparkContext).broadcast
+
+    def broadcast(self, value):
+        alive.append(sum(os.path.exists(b._path) for b in made))
+        made.append(plain(self, value))
+        return made[-1]
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    ids = spark.createDataFrame([(1,), (2,), (3,), (8,), (9,)], "doc_id bigint")
+    docs = edge_docs(spark).where("doc_id is null or doc_id <> 7")
+    docs = docs.unionByName(docs)
+    whole = kneser_ney.classify(docs, ids).collect()
+    assert alive == [0]
+    shards = kneser_ney.classify(docs, ids, shard_rows=20).collect()
+    assert len(alive) > 3 and not any(alive) and not any(os.path.exists(b._path) for b in made)
+
+    def shown(rows):
+        return sorted(str([round(x, 6) if isinstance(x, float) else x for x in r]) for r in rows)
+
+    assert len(whole) == docs.count() and shown(shards) == shown(whole)
+
+
 # --- operator 3
 
 
