@@ -1,6 +1,6 @@
 """Quality classifier: interpolated modified Kneser-Ney n-gram model (operator 2).
 
-The units are UTF-8 bytes (A-Z lower-cased, digits as 0), so a gram of
+The units are UTF-8 bytes (case as it is, digits as 0), so a gram of
 ``ORDER`` bytes is one integer and every language is covered. One model per
 language is trained on all its trusted documents but a fifth, chosen by hash,
 which calibrates the threshold. A Spark pass counts grams per
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fulfilq.llm.common import LOWER, discard, materialize, slices, text_buffer
+from fulfilq.llm.common import discard, materialize, slices, text_buffer
 from fulfilq.session import scratch_path
 from fulfilq.sources.storage import remove
 
@@ -46,7 +46,7 @@ HELD = 2_000_000
 #: Text handled at once: a dozen 64-bit arrays over its bytes are held meanwhile.
 SLICE = 1 << 20
 
-_FOLD = LOWER.copy()
+_FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[48:58] = 48
 _FOLD[0] = 32  # 0 stands before a text
 

@@ -126,6 +126,16 @@ def test_kneser_ney_holds_one_shard_at_a_time(spark, monkeypatch):
     assert len(whole) == docs.count() and shown(shards) == shown(whole)
 
 
+def test_kneser_ney_sees_case(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en' and length(text) > 300").select("doc_id", "lang", "text")
+    good = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1 and toxic = 0").select("doc_id")
+    docs = docs.join(good, "doc_id")
+    loud = docs.select((F.col("doc_id") + 1_000_000).alias("doc_id"), "lang", F.upper("text").alias("text"))
+    kept = {r["doc_id"]: r["kept"] for r in kneser_ney.classify(docs.unionByName(loud), good).collect()}
+    assert len(kept) > 40 and all(k for i, k in kept.items() if i < 1_000_000)
+    assert not any(k for i, k in kept.items() if i >= 1_000_000)
+
+
 # --- operator 3
 
 
