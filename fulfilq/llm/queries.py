@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +14,16 @@ from fulfilq.llm import (
     dart_minhash,
     decontaminate,
     fertility,
+    hash_ring,
     kneser_ney,
     length_histogram,
     license_join,
     line_bitmap,
+    periodic_runs,
     pii_tagger,
     pivotal_mix,
     url_markov,
+    whitening,
 )
 from fulfilq.llm.common import slices, table
 from fulfilq.llm.pii_rules import KINDS
@@ -117,6 +122,59 @@ def op10_line_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_source(doc_id, n: int):
+    """Every tenth document repeats a stretch of its words up to its end: the word number each word is copied from."""
+    if doc_id is None or not n or (h := zlib.crc32(str(doc_id).encode())) % 10:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return np.concatenate([np.arange(a), a + np.arange(n - a) % p])
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find(table(spark, sf_dir, "documents"), planted_source)
+    runs = F.col("runs")
+    # greatest length / period; runs come by start, then period, so an equal one never replaces the first
+    best = F.aggregate(
+        runs, F.get(runs, 0), lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b)
+    )
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size(runs).cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        (F.octet_length(text) + 16).cast("bigint").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    placed = hash_ring.assign(rows, ["doc_id"], 40)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_fertility": op1_fertility,
     "op2_kneser_ney": op2_kneser_ney,
@@ -128,4 +186,7 @@ QUERIES = {
     "op8_pivotal_mix": op8_pivotal_mix,
     "op9_fm_decontamination": op9_fm_decontamination,
     "op10_line_bitmap": op10_line_bitmap,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_whitening": op12_whitening,
+    "op13_hash_ring": op13_hash_ring,
 }
