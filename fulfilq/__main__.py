@@ -16,7 +16,6 @@ import json
 import sys
 
 from fulfilq.plans import pipeline
-from fulfilq.schemas import REFERENCE_WAREHOUSE_IDS
 from fulfilq.session import get_spark
 
 
@@ -31,9 +30,12 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--lookback-days", type=int, default=None, help="with 'auto': bound of a target without a mark")
     ap.add_argument("--validate", action="store_true", help="with 'run': stop if an error-severity check fails")
     ap.add_argument("--out", default=None, help="where marts are written")
-    ap.add_argument("--expected-warehouses", default=",".join(REFERENCE_WAREHOUSE_IDS))
+    ap.add_argument("--expected-warehouses", default=None, help="ids that validation expects, comma-separated")
     args = ap.parse_args(argv)
 
+    validating = args.command == "validate" or (args.command == "run" and args.validate)
+    if validating and not args.expected_warehouses:
+        ap.error("--expected-warehouses is required to validate")
     spark = get_spark(app_name=f"fulfilq-{args.command}")
     layout = pipeline.Layout(args.landing, args.curated, args.warehouse)
     wm = args.watermark
@@ -43,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
         targets = [t for t, _ in pipeline.TARGETS.values()]
         wm = resolve_watermarks(spark, layout.audit, targets, args.overlap_days, args.lookback_days)
 
-    if args.command == "validate" or (args.command == "run" and args.validate):
+    if validating:
         rows = pipeline.validate(spark, layout, args.expected_warehouses.split(",")).collect()
         for r in rows:
             print(json.dumps(r.asDict(), default=str))

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from fulfilq.schemas import AUDIT_LOG
+from fulfilq.schemas import AUDIT_LOG, GONE
 
 
 def observation(df: DataFrame, name: str, date_col: str | None = "event_date") -> tuple[Observation, list]:
@@ -22,9 +22,10 @@ def observation(df: DataFrame, name: str, date_col: str | None = "event_date") -
     Pass the pair to ``storage.write_partitioned`` / ``write_flat`` (``observe=``);
     ``Observation.get`` is filled when that write finishes.
     """
-    metrics = [F.count(F.lit(1)).alias("rows")]
+    live = ~F.col(GONE) if GONE in df.columns else F.lit(True)
+    metrics = [F.count_if(live).alias("rows")]
     if date_col and date_col in df.columns:
-        metrics.append(F.max(date_col).alias("max_date"))
+        metrics.append(F.max(F.when(live, F.col(date_col))).alias("max_date"))
     return Observation(name), metrics
 
 

@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from fulfilq.functions import delay_hours, is_weekend, speed_tier
 from fulfilq.schemas import (
     CAPACITY_SPEC,
+    GONE,
+    LOAD_SEQ,
     ORDERS_SPEC,
     RETURNS_SPEC,
     SHIPMENTS_SPEC,
@@ -67,9 +69,10 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], latest_by: str | Column,
                  tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Keep the latest row per key (``latest_by`` DESC, NULLs last).
 
-    Equal timestamps are broken by ``tiebreak`` columns (default: every other
-    column, descending, NULLs last), so the result never depends on input
-    order. ``row_number() = 1`` lets Spark plan a ``WindowGroupLimit`` whose
+    Equal timestamps are broken by the order of arrival where the rows carry it
+    (``load_seq``: the later file wins), then by ``tiebreak`` columns (default:
+    every other column, descending, NULLs last), so the result never depends on
+    input order. ``row_number() = 1`` lets Spark plan a ``WindowGroupLimit`` whose
     partial half runs before the shuffle.
 
     The window is partitioned by ``xxhash64(keys)`` *and* the keys: the same
@@ -81,6 +84,8 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], latest_by: str | Column,
     if tiebreak is None:
         skip = set(keys) | ({latest_by} if isinstance(latest_by, str) else set())
         tiebreak = [c for c in df.columns if c not in skip]
+    if LOAD_SEQ in df.columns:
+        tiebreak = [LOAD_SEQ, *[c for c in tiebreak if c != LOAD_SEQ]]
     w = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(
         order.desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tiebreak])
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
@@ -125,17 +130,22 @@ def cleanse_orders(raw: DataFrame, tier_on_raw: bool = False, stamp: bool = True
 # ---------------------------------------------------------------------------
 # B2 shipments
 # ---------------------------------------------------------------------------
-def cleanse_shipments(raw: DataFrame, stamp: bool = True) -> DataFrame:
+def cleanse_shipments(raw: DataFrame, stamp: bool = True, keep_incomplete: bool = False) -> DataFrame:
     """B2: cast -> dedup -> require -> fill -> delay.
 
     Order is the reference's: dedup runs before the required-column filter, so a
     shipment whose newest row lacks ``order_id`` disappears even if an older row
-    is complete.
+    is complete. ``keep_incomplete`` keeps those newest rows, marked ``_gone``, so
+    that an increment can take their keys out of the table.
     """
     spec = SHIPMENTS_SPEC
     df = cast_columns(raw, spec.schema)
     df = dedup_latest(df, spec.keys, spec.latest_by)
-    df = require(df, spec.required)
+    if keep_incomplete:
+        lacking = F.greatest(*[F.col(c).isNull() for c in spec.required])
+        df = require(df, spec.keys).withColumn(GONE, lacking)
+    else:
+        df = require(df, spec.required)
     df = fill_defaults(df, spec.fill)
     df = df.withColumn("delivery_delay_hours", delay_hours("actual_delivery_at", "estimated_delivery_at"))
     return with_ingested_at(df) if stamp else df
@@ -163,7 +173,7 @@ def scd2_versions(snapshots: DataFrame, key: str = "warehouse_id", start: str =
 
 def cleanse_warehouse_capacity(raw: DataFrame, stamp: bool = True) -> DataFrame:
     """Cast -> SCD2 versions."""
-    df = scd2_versions(cast_columns(raw, CAPACITY_SPEC.schema))
+    df = scd2_versions(cast_columns(raw, CAPACITY_SPEC.schema).drop(LOAD_SEQ))
     return with_ingested_at(df) if stamp else df
 
 
@@ -179,6 +189,12 @@ def cleanse_returns_defects(raw: DataFrame, stamp: bool = True) -> DataFrame:
     return with_ingested_at(df) if stamp else df
 
 
+def cleanse_increment(dataset: str, raw: DataFrame) -> DataFrame:
+    """The dataset's cleanse for a run that upserts: incomplete newest records stay, marked."""
+    more = {"keep_incomplete": True} if dataset == SHIPMENTS_SPEC.name else {}
+    return CLEANSERS[dataset](raw, **more)
+
+
 CLEANSERS = {
     "order_events": cleanse_orders,
     "shipment_tracking": cleanse_shipments,

@@ -18,6 +18,8 @@ from fulfilq.schemas import (
     DIM_DATE_END,
     DIM_DATE_START,
     FACT_DECIMALS,
+    GONE,
+    LOAD_SEQ,
     PRODUCT_CATEGORY_SLA_HOURS,
 )
 
@@ -98,7 +100,8 @@ def to_table(curated: DataFrame, table: str) -> DataFrame:
 
     Adds the deterministic surrogate key and narrows doubles to the table's
     DECIMAL types; a missing ``ingested_at`` becomes NULL so the same function
-    serves oracle-compared (unstamped) plans.
+    serves oracle-compared (unstamped) plans. The order of arrival and the mark
+    of incomplete records pass through where the dataset has them.
     """
     columns, keys = TABLE_COLUMNS[table]
     casts = FACT_DECIMALS[table]
@@ -114,4 +117,4 @@ def to_table(curated: DataFrame, table: str) -> DataFrame:
         else:
             e = F.col(c)
         exprs.append((e.cast(casts[c]) if c in casts else e).alias(c))
-    return curated.select(*exprs)
+    return curated.select(*exprs, *[c for c in (LOAD_SEQ, GONE) if c in present])

@@ -9,28 +9,29 @@ never matches and is kept, as with ``DELETE USING``. Capacity snapshots have no
 required columns, so there NULL keys match each other and a re-run replaces
 them. Running the same batch twice gives the same table (idempotent).
 
-With ``latest_by`` the newest record of a key wins, whether the table or the
-batch holds it, so the result does not depend on the order of the batches.
+With ``latest_by`` a batch row loses only against a newer record of its key: one
+with a greater ``latest_by`` or, at equal times, a greater order of arrival
+(``load_seq``, where both sides carry it). The batch wins every other tie: it
+arrived later. So an update at the same event time is taken, a stale record is
+not, and with ``load_seq`` the result does not depend on the order of the batches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fulfilq.operators.cleanse import dedup_latest, scd2_versions
-
-#: Never decides which of two records is newer: it says when a row was loaded.
-LOAD_STAMP = "ingested_at"
+from fulfilq.schemas import GONE, LOAD_SEQ, LOAD_STAMP
 
 
 def newest(df: DataFrame, keys: Sequence[str], latest_by: str | None) -> DataFrame:
-    """One row per key: the latest (ties by the other columns, load time last); rows with a NULL key all stay."""
+    """One row per key: the latest (ties by order of arrival, the other columns, load time last); rows with a NULL key all stay."""
     has_null = _has_null(keys)
     order = latest_by if latest_by is not None else F.lit(0)
-    ties = [c for c in df.columns if c not in (*keys, latest_by, LOAD_STAMP)]
+    ties = [c for c in df.columns if c not in (*keys, latest_by, LOAD_STAMP, LOAD_SEQ)]
     ties += [LOAD_STAMP] if LOAD_STAMP in df.columns else []
     one = dedup_latest(df.where(~has_null), keys, F.col(latest_by) if latest_by else order, tiebreak=ties)
     return one.unionByName(df.where(has_null))
@@ -41,23 +42,68 @@ def _has_null(keys: Sequence[str]):
     return F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
 
 
+def order_columns(df: DataFrame, latest_by: str | None) -> list[Column]:
+    """``_at`` and ``_seq`` of a row: what decides which of two records of a key is newer."""
+    at = F.col(latest_by) if latest_by is not None else F.lit(None)
+    seq = F.col(LOAD_SEQ) if LOAD_SEQ in df.columns else F.lit(None)
+    return [at.cast("timestamp").alias("_at"), seq.cast("bigint").alias("_seq")]
+
+
+def meetings(stored: DataFrame, batch: DataFrame, keys: Sequence[str], latest_by: str | None,
+             columns: Sequence[str] = ()) -> DataFrame:
+    """Keys that ``stored`` and ``batch`` both hold, with ``columns`` of the stored row and ``stored_newer``.
+
+    Both sides are narrow (keys and order); the batch has one row per key. NULL keys do not meet.
+    """
+    keys = list(keys)
+    theirs = stored.where(~_has_null(keys)).select(*keys, *columns, *order_columns(stored, latest_by))
+    ours = batch.where(~_has_null(keys)).select(*keys, *[c.alias("_batch" + n) for c, n in zip(
+        order_columns(batch, latest_by), ("_at", "_seq"), strict=True)])
+    later = (F.col("_at") > F.col("_batch_at")) | (F.col("_at").isNotNull() & F.col("_batch_at").isNull())
+    tie = F.col("_at").eqNullSafe(F.col("_batch_at")) & (F.col("_seq") > F.col("_batch_seq"))
+    newer = F.coalesce(later, F.lit(False)) | F.coalesce(tie, F.lit(False))
+    return theirs.join(ours, keys).select(*keys, *columns, newer.alias("stored_newer"))
+
+
+def without_keys(rows: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not among ``gone``. NULL keys bypass the join: they are not hashed into one partition."""
+    keys = list(keys)
+    has_null = _has_null(keys)
+    kept = rows.where(~has_null).join(gone.select(*keys).distinct(), on=keys, how="left_anti").select(*rows.columns)
+    return rows.where(has_null).unionByName(kept)
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], latest_by: str | None = None) -> DataFrame:
     """Target rows whose key is absent from the batch, plus every batch row.
 
-    ``latest_by``: of a key that both hold, the newer record stays (at equal
-    times the one whose other columns are greater, as in the dedup).
-
-    Target rows with a NULL key component can never match, so they bypass the
-    join: however many there are, they are not hashed into one join partition.
+    ``latest_by``: a batch row (one per key) whose key the target holds in a newer
+    record stays out, and that record stays.
     """
     keys = list(keys)
     if latest_by is not None:
-        return newest(target.unionByName(batch.select(*target.columns)), keys, latest_by)
-    has_null = _has_null(keys)
-    matchable = target.where(~has_null)
-    batch_keys = batch.select(*keys).where(~has_null).distinct()  # partial aggregate: hot keys collapse map-side
-    kept = matchable.join(batch_keys, on=keys, how="left_anti").select(*target.columns)
-    return target.where(has_null).unionByName(kept).unionByName(batch.select(*target.columns))
+        newer = meetings(target, batch, keys, latest_by).where("stored_newer")
+        batch = without_keys(batch, newer, keys)
+    batch_keys = batch.select(*keys).where(~_has_null(keys))  # distinct below: hot keys collapse map-side
+    return without_keys(target, batch_keys, keys).unionByName(batch.select(*target.columns))
+
+
+def settle_quarantine(batch: DataFrame, quarantine: DataFrame | None, keys: Sequence[str],
+                      latest_by: str) -> tuple[DataFrame, DataFrame]:
+    """(batch without the rows that a quarantined record beats, the new quarantine).
+
+    The quarantine remembers the keys whose newest record is incomplete, with
+    that record's time and order of arrival: a complete but older record that
+    comes later must not bring the key back. It is small: one row per such key.
+    """
+    keys = list(keys)
+    shape = [F.col(k) for k in keys] + [F.col(latest_by).cast("timestamp").alias(latest_by),
+                                       (F.col(LOAD_SEQ) if LOAD_SEQ in batch.columns else F.lit(None)).cast("bigint").alias(LOAD_SEQ)]
+    if quarantine is None:
+        return batch, batch.where(GONE).select(*shape)
+    met = meetings(quarantine, batch, keys, latest_by)
+    batch = without_keys(batch, met.where("stored_newer"), keys)
+    left = without_keys(quarantine, met.where(~F.col("stored_newer")), keys)
+    return batch, left.unionByName(batch.where(GONE).select(*shape))
 
 
 def touched_values(target: DataFrame, batch: DataFrame, keys: Sequence[str], part_col: str) -> DataFrame:
@@ -71,6 +117,17 @@ def touched_values(target: DataFrame, batch: DataFrame, keys: Sequence[str], par
     return batch.select(part_col).union(moved_from.select(part_col)).distinct()
 
 
+def changed_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Batch rows that the target does not hold as they are (load time and order of arrival aside)."""
+    other = [c for c in batch.columns if c not in (*keys, LOAD_STAMP, LOAD_SEQ)]
+    held = target.select(*[F.col(c).alias(f"_t_{c}") for c in (*keys, *other)])
+    same = [F.col(k) == F.col(f"_t_{k}") for k in keys] + [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in other]
+    on = same[0]
+    for s in same[1:]:
+        on = on & s
+    return batch.join(held, on, "left_anti")
+
+
 def upsert_scd2(target: DataFrame, batch_snapshots: DataFrame, entity: str = "warehouse_id",
                 start: str = "snapshot_date") -> DataFrame:
     """Upsert daily snapshots into an SCD2 history and re-close the affected intervals.

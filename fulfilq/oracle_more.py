@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fulfilq.oracle import pct_sql
+from fulfilq.oracle import M3, pct_sql
 
 # Fixed values, restated here so that a wrong constant of the library shows.
 ORDER_STATUSES = ["PLACED", "PICKED", "PACKED", "SHIPPED", "DELIVERED", "CANCELLED", "RETURNED"]
@@ -263,15 +263,24 @@ SELECT shipment_id, order_id, warehouse_id, carrier, tracking_number, shipped_at
        actual_delivery_at, delivery_status, late_delivery, CAST(delivery_delay_hours AS DOUBLE) AS delivery_delay_hours,
        CASE WHEN carrier <> 'OnTrac' THEN event_date END AS event_date
 FROM fact_shipment"""
-# The second run reads from the first mark on. Keys whose newest row of either run's days is complete are loaded.
-_RUNS = ("event_date <= DATE '2024-01-15'", "event_date >= DATE '2024-01-15'")
-_LOADED_SHIPMENTS = " UNION ".join(
-    "SELECT shipment_id FROM (SELECT *, MAX(shipped_at) OVER (PARTITION BY shipment_id) AS newest "
-    f"FROM fx_shipments_dirty WHERE {days}) WHERE shipped_at = newest AND order_id IS NOT NULL" for days in _RUNS)
+# The second run reads from the first mark on and leaves what one run over all days would.
 WATERMARKS = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS target_table, MAX(event_date) FILTER (WHERE event_date <= DATE '2024-01-15') AS first_mark, "
-    f"MAX(event_date) AS second_mark, (SELECT COUNT(*) FROM ({keys})) AS row_count FROM {t}"
-    for t, keys in (("fact_order", "SELECT order_id FROM fact_order"), ("fact_shipment", _LOADED_SHIPMENTS)))
+    f"MAX(event_date) AS second_mark, COUNT(*) AS row_count FROM {t}" for t in ("fact_order", "fact_shipment"))
+STORED_RETURNS = """
+SELECT record_id, order_id, warehouse_id, product_category, report_type, defect_type, reported_at, units_affected,
+       refund_issued, root_cause_category, CASE WHEN units_affected <> 5 THEN event_date END AS event_date
+FROM curated_returns"""
+LANDED_RETURNS = """
+SELECT * REPLACE (CASE WHEN report_type IS DISTINCT FROM 'RETURN' THEN root_cause_category END AS root_cause_category)
+FROM fx_returns_dirty"""
+CLEANSE_COUNTS = "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS dataset, r AS raw_rows, c AS curated_rows, r - c AS removed_rows "
+    f"FROM (SELECT (SELECT COUNT(*) FROM {raw}) AS r, (SELECT COUNT(*) FROM {cur}) AS c)"
+    for n, raw, cur in (("order_events", "fx_order_events_dirty", "curated_orders"),
+                        ("shipment_tracking", "fx_shipments_dirty", "curated_shipments"),
+                        ("warehouse_capacity", "fx_warehouse_capacity", "dim_warehouse"),
+                        ("returns_defects", "fx_returns_dirty", "curated_returns")))
 LANDED_ORDERS = """
 SELECT order_id, warehouse_id, product_category, order_status,
        CASE WHEN units_ordered <> 3 THEN placed_at END AS placed_at, shipped_at, delivered_at, shift,
@@ -284,6 +293,24 @@ FROM fx_order_events_dirty"""
 MORE: dict[str, str] = {
     "stored_upsert_orders": STORED_ORDERS,
     "stored_upsert_shipments": STORED_SHIPMENTS,
+    "stored_upsert_returns": STORED_RETURNS,
+    "landed_returns": LANDED_RETURNS,
+    "curated_rerun": "SELECT * FROM curated_orders",
+    "curated_files_smoke": CURATED_SMOKE,
+    "cleanse_counts": CLEANSE_COUNTS,
+    "calendar_orders": """
+SELECT d.*, COALESCE(c.orders, 0) AS orders
+FROM dim_date d
+LEFT JOIN (SELECT event_date, COUNT(*) AS orders FROM fact_order GROUP BY event_date) c ON c.event_date = d.full_date""",
+    "carrier_ranking": f"""
+SELECT event_date, carrier, on_time_rate_pct,
+       ROW_NUMBER() OVER (ORDER BY event_date DESC NULLS FIRST, on_time_rate_pct ASC NULLS LAST, carrier) AS position
+FROM ({M3})""",
+    "view_scorecard": """
+SELECT warehouse_id, COUNT(*) AS days, MAX(n) AS most_orders, CAST(SUM(n) AS BIGINT) AS orders
+FROM (SELECT event_date, warehouse_id, COUNT(*) AS n FROM fact_order WHERE event_date IN (SELECT full_date FROM dim_date)
+      GROUP BY event_date, warehouse_id)
+GROUP BY warehouse_id""",
     "watermark_advance": WATERMARKS,
     "landed_orders": LANDED_ORDERS,
     "pipeline_audit": PIPELINE_AUDIT,

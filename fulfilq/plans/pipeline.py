@@ -3,25 +3,27 @@
 Entry 1 (``run_cleanse``): per dataset one lazy plan (read -> B1..B4 -> write)
 with an ``Observation`` for the row count: one job per dataset, no re-scans.
 Entry 2 (``run_load``): per target, upsert the curated batch into the star
-table and append an audit row (B5, S15). Only the touched partitions are
-replaced, by a dynamic overwrite that moves its staged files in place when all
-tasks are done (partition by partition, so a crash in that last step can leave
-some days new and some old; a re-run completes it). Whole flat tables are
-written beside the old copy and swapped in.
+table and append an audit row (B5, S15). Only the touched days are replaced, by
+a journal of moves that a crash cannot leave half done (``storage.replace_days``).
+Whole flat tables are written beside the old copy and swapped in. Flat datasets
+whose files did not change since the last run are skipped (``sources.ledger``).
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fulfilq.operators import audit, cleanse, dims, marts
-from fulfilq.operators.upsert import newest, touched_values, upsert, upsert_scd2
-from fulfilq.schemas import SPECS
+from fulfilq.operators.upsert import changed_rows, meetings, newest, settle_quarantine, upsert_scd2, without_keys
+from fulfilq.schemas import GONE, LOAD_SEQ, SPECS
 from fulfilq.session import configure, input_bytes, sized_shuffles
-from fulfilq.sources import storage
+from fulfilq.sources import ledger, storage
+
+log = logging.getLogger(__name__)
 
 TARGETS = {
     "order_events": ("fact_order", ("order_id",)),
@@ -52,6 +54,10 @@ class Layout:
     def audit(self) -> str:
         return f"{self.warehouse.rstrip('/')}/_audit/pipeline_run_log"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.warehouse.rstrip('/')}/_audit/files"
+
 
 def land(spark: SparkSession, layout: Layout, raw: dict[str, DataFrame]) -> None:
     """Write raw datasets into the landing zone (the simulator's output format)."""
@@ -69,45 +75,53 @@ def run_cleanse(spark: SparkSession, layout: Layout, watermark=None) -> dict[str
     """Raw -> curated for the four datasets.
 
     ``watermark``: one ``YYYY-MM-DD`` for all datasets, or a dict by target
-    table; ``None`` reads everything. A full run replaces the days it read; an
-    incremental one upserts by key, so a record that came again under another
-    day is there once.
-
-    Returns per dataset ``{"raw_rows", "rows", "removed", "nulls"}`` (S16, A15, P6: rows
-    read, rows of the batch, incomplete + duplicate rows removed, NULLs by raw
-    column after the cast), or ``None`` when no new folder exists (S4). All are
-    ``Observation`` metrics of the write job: no extra scan.
+    table; ``None`` reads everything. A full run makes curated what the landing
+    zone holds: days that no longer have rows go. An incremental one upserts by
+    key, so a record that came again under another day is there once, and a
+    shipment whose newest record is incomplete leaves (the quarantine beside the
+    table remembers it), as in a full run.
+
+    Returns per dataset ``{"raw_rows", "rows", "removed", "nulls", "unknown_columns"}``
+    (S16, A15, P6: rows read, rows of the batch, incomplete + duplicate rows
+    removed, NULLs by raw column after the cast, header columns that the dataset
+    does not have), or ``None`` when nothing new landed (S4): no folder from the
+    mark on, or a flat dataset's files unchanged. The counts are ``Observation``
+    metrics of the write job: no extra scan.
     """
     configure(spark)
     results: dict[str, dict | None] = {}
     for name, spec in SPECS.items():
-        if not storage.path_exists(spark, layout.raw(name)):  # S4: nothing landed for this dataset
-            results[name] = None
-            continue
+        path, results[name] = layout.cur(name), None
+        storage.recover(spark, path)
         mark = _mark(watermark, TARGETS[name][0]) if spec.partitioned else None
+        files = storage.landed_files(spark, layout.raw(name), mark)
+        if not files:  # S4: nothing landed, or nothing since the watermark
+            continue
+        if not spec.partitioned and storage.has_data(spark, path) and ledger.unchanged(spark, layout.ledger, f"raw_{name}", files):
+            continue
         raw = storage.read_landing(spark, layout.raw(name), spec.schema, spec.partitioned, mark)
-        if raw.isEmpty():  # S4: nothing new since the watermark
-            results[name] = None
+        if raw.isEmpty():
             continue
-        with sized_shuffles(spark, input_bytes(spark, layout.raw(name))):
+        unknown = storage.unknown_columns(spark, layout.raw(name), spec.schema, mark)
+        if unknown:
+            log.warning("%s: columns %s are not part of the dataset and were not read", name, unknown)
+        with sized_shuffles(spark, sum(f.size for f in files)):
             raw_obs = Observation(f"{name}_raw")
             typed = cleanse.cast_columns(raw, spec.schema)
-            nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in typed.columns]
-            cur = cleanse.CLEANSERS[name](typed.observe(raw_obs, F.count(F.lit(1)).alias("rows"), *nulls))
-            path = layout.cur(name)
-            if mark is not None and storage.has_data(spark, path):
-                n_out = upsert_table(spark, path, cur, spec.keys, True, latest_by=spec.latest_by).get("rows")
+            nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in spec.schema.names]
+            cur = cleanse.cleanse_increment(name, typed.observe(raw_obs, F.count(F.lit(1)).alias("rows"), *nulls))
+            if spec.partitioned:
+                n_out = upsert_table(spark, path, cur, spec.keys, True, latest_by=spec.latest_by, unique=True,
+                                     whole=mark is None).get("rows")
             else:
                 obs = audit.observation(cur, name)
-                if spec.partitioned:
-                    storage.write_partitioned(cur, path, spec.keys, observe=obs)
-                else:
-                    _replace_flat(spark, cur, path, spec.keys, observe=obs)
+                _replace_flat(spark, cur, path, spec.keys, observe=obs)
+                ledger.record(spark, layout.ledger, f"raw_{name}", files)
                 n_out = obs[0].get.get("rows")
         got = raw_obs.get
         results[name] = {
             "raw_rows": got["rows"], "rows": n_out, "removed": got["rows"] - n_out,
-            "nulls": {c: got[f"null_{c}"] for c in typed.columns},
+            "nulls": {c: got[f"null_{c}"] for c in spec.schema.names}, "unknown_columns": unknown,
         }
     return results
 
@@ -120,62 +134,116 @@ def _replace_flat(spark: SparkSession, df: DataFrame, path: str, keys, observe=N
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, partitioned: bool,
-                 scd2: bool = False, keys_may_move: bool = True, latest_by: str | None = None) -> dict:
+                 scd2: bool = False, keys_may_move: bool = True, latest_by: str | None = None,
+                 unique: bool = False, whole: bool = False, quarantined: DataFrame | None = None) -> dict:
     """Upsert ``batch`` into the table at ``path`` (created if absent).
 
-    The batch is first reduced to one row per key. ``latest_by``: of a key that
-    table and batch both hold, the newer record stays; without it the batch's.
-
-    For partitioned tables only the touched ``event_date`` partitions (NULL is
-    one of them) are read, and their merged rows are written once, by a dynamic
-    overwrite of those partitions. ``keys_may_move=True`` also finds the
-    partitions where the batch's keys live today (a semi join over the target's
-    key and date columns only), so a key whose date changed leaves no stale
-    copy; with ``False`` the batch's own dates are used and the target's keys
-    are not scanned: the cost follows the batch.
+    The batch is first reduced to one row per key (``unique``: it already is, as
+    every cleanse leaves it). Of a key that table and batch both hold, the batch's
+    record wins unless the table's is newer by ``latest_by`` or, at equal times,
+    by order of arrival; see ``operators.upsert``. Rows marked ``_gone`` take their
+    key out of the table and are remembered in the quarantine beside it.
+    ``quarantined``: further such keys, of a table upstream. ``whole``: the batch is
+    all there is, the table becomes just that.
+
+    For partitioned tables only the touched ``event_date`` days (NULL is one of
+    them) are read, and their merged rows are written once and moved in by a
+    journal. ``keys_may_move=True`` also finds the days where the batch's keys
+    live today (a join over the target's key, date and order columns only), so a
+    key whose date changed leaves no stale copy; with ``False`` only the batch's
+    own days are looked at: the cost follows the batch.
 
     Returns the batch metrics (rows, max partition date) observed while the
-    batch was materialized, so counting costs no extra pass.
+    batch was written, so counting costs no extra pass.
     """
     obs = audit.observation(batch, "batch", storage.PART_COL if partitioned else None)
-    storage.recover_swap(spark, path)
-    batch = batch.distinct() if scd2 else newest(batch, keys, latest_by)
-    if not storage.has_data(spark, path):
+    storage.recover(spark, path)
+    batch = batch.distinct() if scd2 else batch if unique else newest(batch, keys, latest_by)
+    marked = GONE in batch.columns
+    stored = storage.has_data(spark, path)
+    if not marked and quarantined is None and (whole or not stored):
         if partitioned:
-            storage.write_partitioned(batch, path, keys, observe=obs)
+            storage.replace_days(spark, batch, path, keys, observe=obs)
         else:
             _replace_flat(spark, batch, path, keys, observe=obs)
         return obs[0].get
     batch = storage.materialize(spark, batch, "batch", observe=obs)
-    scratch = batch._scratch_path
-    target = storage.read_curated(spark, path).select(*batch.columns)
+    scratch = [batch._scratch_path]
+    rows = batch.where(~F.col(GONE)).drop(GONE) if marked else batch
     if scd2:
+        target = storage.read_curated(spark, path).select(*batch.columns)
         merged = upsert_scd2(target, batch.select(*SPECS["warehouse_capacity"].schema.names),
                              "warehouse_id", "snapshot_date")
         merged = dims.to_table(merged.withColumn("ingested_at", F.current_timestamp()), "dim_warehouse")
         _replace_flat(spark, merged.select(*batch.columns), path, keys)
-    elif partitioned:
-        # The partition-value list is bounded by the number of days, so it is
-        # collected as literals for partition pruning.
-        touched = (touched_values(target, batch, keys, storage.PART_COL) if keys_may_move
-                   else batch.select(storage.PART_COL).distinct())
-        days = [r[0] for r in touched.collect()]
-        result = upsert(target.where(_in_days(days)), batch, keys, latest_by)
-        before = {d: storage.files(spark, _day_folder(path, d)) for d in days}
-        storage.write_partitioned(result, path, keys)
-        # a touched day that still has its old files got no rows: its last row left it
-        for day, old in before.items():
-            if old and storage.files(spark, _day_folder(path, day)) == old:
-                storage.remove(spark, _day_folder(path, day))
+    elif not partitioned:
+        target = _target(spark, path, rows)
+        hits = meetings(target, batch, keys, latest_by)
+        rows = without_keys(rows, hits.where("stored_newer"), keys)
+        _replace_flat(spark, without_keys(target, rows, keys).unionByName(rows), path, keys)
     else:
-        _replace_flat(spark, upsert(target, batch, keys, latest_by), path, keys)
+        remembered = None
+        if marked:
+            old = None if whole or not storage.has_data(spark, _quarantine(path)) else spark.read.parquet(_quarantine(path))
+            batch, remembered = settle_quarantine(batch, old, keys, latest_by)
+        if quarantined is not None:
+            more = quarantined.select(*keys, latest_by, LOAD_SEQ).withColumn(GONE, F.lit(True))
+            # a quarantined key that the batch brings is one the upstream table holds again
+            more = without_keys(more, batch, keys)
+            batch = (batch if marked else batch.withColumn(GONE, F.lit(False))).unionByName(more, allowMissingColumns=True)
+        scratch += _merge_days(spark, path, batch, keys, latest_by, keys_may_move, whole or not stored)
+        if remembered is not None and (old is not None or not remembered.isEmpty()):
+            _replace_flat(spark, remembered, _quarantine(path), keys)
+        elif marked and whole and storage.has_data(spark, _quarantine(path)):
+            storage.remove(spark, _quarantine(path))
     spark.catalog.refreshByPath(path)
-    # Success: the staged batch in the shared scratch folder is no longer needed.
-    # (On failure it stays, and a re-run starts from the old days.)
-    storage.remove(spark, scratch)
+    # Success: staged copies in the shared scratch folder are no longer needed.
+    # (On failure they stay, and a re-run starts from the old days.)
+    for s in scratch:
+        storage.remove(spark, s)
     return obs[0].get
 
 
+def _merge_days(spark, path, batch, keys, latest_by, keys_may_move, alone) -> list[str]:
+    """Replace the touched days of the table by their merge with the batch; returns the scratch tables used."""
+    part = storage.PART_COL
+    marked = GONE in batch.columns
+
+    def live(df):
+        return df.where(~F.col(GONE)).drop(GONE) if marked else df
+
+    if alone:
+        storage.replace_days(spark, live(batch), path, keys)
+        return []
+    target = _target(spark, path, live(batch))
+    if not keys_may_move:
+        target = target.where(_in_days([r[0] for r in batch.select(part).distinct().collect()]))
+    hits = storage.materialize(spark, meetings(target, batch, keys, latest_by, [part]), "hits")
+    # day values are bounded by the number of days, so they are collected as literals for partition pruning
+    met = hits.groupBy(part, "stored_newer").count().collect()
+    if any(r["stored_newer"] for r in met):
+        batch = without_keys(batch, hits.where("stored_newer"), keys)
+    leaving = {r[part] for r in met if not r["stored_newer"]}
+    days = leaving | {r[0] for r in live(batch).select(part).distinct().collect()}
+    rest = target.where(_in_days(list(days)))
+    if leaving:
+        rest = without_keys(rest, hits.where(~F.col("stored_newer")), keys)
+    if days:
+        storage.replace_days(spark, rest.unionByName(live(batch)), path, keys, list(days))
+    return [hits._scratch_path]
+
+
+def _target(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The stored table with the columns of ``like``; one that it lacks (an older table) is NULL."""
+    stored = storage.read_curated(spark, path)
+    return stored.select(*[F.col(c) if c in stored.columns else F.lit(None).cast(like.schema[c].dataType).alias(c) for c in like.columns])
+
+
+def _quarantine(path: str) -> str:
+    """Keys of the table at ``path`` whose newest record is incomplete."""
+    return path.rstrip("/") + ".quarantine"
+
+
 def _in_days(days: list):
     """Rows of these partitions, the NULL partition included where it is listed."""
     day = F.col(storage.PART_COL)
@@ -184,11 +252,7 @@ def _in_days(days: list):
 
 
 #: Folder of a NULL partition value.
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _day_folder(path: str, day) -> str:
-    return f"{path.rstrip('/')}/{storage.PART_COL}={NULL_FOLDER if day is None else day}"
+NULL_FOLDER = storage.NULL_FOLDER
 
 
 def run_load(spark: SparkSession, layout: Layout, watermark=None,
@@ -197,27 +261,41 @@ def run_load(spark: SparkSession, layout: Layout, watermark=None,
 
     ``watermark``: one day for all targets or a dict by target table. Rows
     without an event date are always loaded. The seed dimensions are upserted
-    by name.
+    by name. A flat dataset (capacity, returns) whose curated files are those of
+    the last load is SKIPPED; else only the rows that differ from the target go
+    into the upsert, so only their days are rewritten.
     """
     configure(spark)
     load_seeds(spark, layout)
     entries, counts = [], {}
     for name, (table, keys) in TARGETS.items():
         spec = SPECS[name]
-        if not storage.has_data(spark, layout.cur(name)):  # nothing curated for this dataset yet
+        source, path = layout.cur(name), layout.table(table)
+        for p in (source, path):
+            storage.recover(spark, p)
+        flat = None if spec.partitioned else storage.landed_files(spark, source)
+        done = flat and storage.has_data(spark, path) and ledger.unchanged(spark, layout.ledger, f"load_{table}", flat)
+        if done or not storage.has_data(spark, source):  # loaded already, or nothing curated for this dataset yet
             counts[table] = None
             entries.append({"job_name": job_name, "target_table": table, "rows_loaded": None,
                             "run_status": "SKIPPED"})
             continue
         mark = _mark(watermark, table)
         try:
-            cur = storage.read_curated(spark, layout.cur(name))
+            cur = storage.read_curated(spark, source)
             day = F.col(storage.PART_COL)
             if spec.partitioned and mark is not None:
                 cur = cur.where((day >= F.lit(mark).cast("date")) | day.isNull())
-            with sized_shuffles(spark, input_bytes(spark, layout.cur(name))):
-                m = upsert_table(spark, layout.table(table), dims.to_table(cur, table), keys, spec.table_partitioned,
-                                 scd2=(table == "dim_warehouse"), keys_may_move=keys_may_move, latest_by=spec.latest_by)
+            batch = dims.to_table(cur, table)
+            if flat and spec.table_partitioned and storage.has_data(spark, path):
+                batch = changed_rows(batch, _target(spark, path, batch), keys)
+            left = spark.read.parquet(_quarantine(source)) if storage.has_data(spark, _quarantine(source)) else None
+            with sized_shuffles(spark, input_bytes(spark, source)):
+                m = upsert_table(spark, path, batch, keys, spec.table_partitioned,
+                                 scd2=(table == "dim_warehouse"), keys_may_move=keys_may_move,
+                                 latest_by=spec.latest_by, unique=True, quarantined=left)
+            if flat:
+                ledger.record(spark, layout.ledger, f"load_{table}", flat)
             counts[table] = m.get("rows")
             entries.append({"job_name": job_name, "target_table": table, "rows_loaded": m.get("rows"),
                             "run_status": "SUCCESS",
@@ -260,9 +338,12 @@ def upsert_dimension(spark: SparkSession, layout: Layout, table: str, rows: Data
 
 
 def load_star(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """Read the star tables back: facts, warehouse versions and seed dimensions."""
+    """Read the star tables back: facts, warehouse versions and seed dimensions (without the order of arrival)."""
     names = [t for t, _ in TARGETS.values()] + list(SEEDS)
-    return {t: storage.read_curated(spark, layout.table(t)) for t in names if storage.has_data(spark, layout.table(t))}
+    for t in names:
+        storage.recover(spark, layout.table(t))
+    return {t: storage.read_curated(spark, layout.table(t)).drop(LOAD_SEQ)
+            for t in names if storage.has_data(spark, layout.table(t))}
 
 
 def build_marts(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -307,7 +388,7 @@ def validate(spark: SparkSession, layout: Layout, expected_warehouses: list[str]
 
     configure(spark)
     raw = {name: cleanse.cast_columns(storage.read_landing(spark, layout.raw(name), spec.schema, spec.partitioned),
-                                      spec.schema)
+                                      spec.schema).drop(LOAD_SEQ)
            for name, spec in SPECS.items()}
     expected = spark.createDataFrame([(w,) for w in expected_warehouses], "warehouse_id string")
     orders = raw["order_events"]

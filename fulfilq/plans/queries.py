@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fulfilq.functions import hours_between, shift_of_hour, sla_breach
@@ -20,6 +20,7 @@ from fulfilq.plans import pipeline
 from fulfilq.plans.star import fixture_curated, fixture_star
 from fulfilq.schemas import (
     DEFAULT_SLA_HOURS,
+    LOAD_SEQ,
     ORDER_EVENTS,
     RETURNS_DEFECTS,
     SHIPMENT_TRACKING,
@@ -386,13 +387,14 @@ QUERIES["pipeline_audit"] = q_pipeline_audit
 BATCH_CUT = "2024-01-15"  # the first batch holds the days up to this one
 
 
-def _stored_upsert(spark, table, rows, keys, latest_by, roles):
+def _stored_upsert(spark, table, rows, keys, latest_by, roles, before):
     """The stored table after two batches; ``rows`` is what must be left.
 
     ``roles`` marks rows by column predicates: ``undated`` rows have no event
     date; ``moved`` keys come first as an older record of another day; ``stale``
     records come again, older, with the second batch; ``twice`` keys are in the
-    second batch twice.
+    second batch twice; ``tie`` records come first with the values of ``before``
+    and the same time, and then as they are: the later arrival wins.
     """
     configure(spark)
     rows = rows.drop("ingested_at")
@@ -403,9 +405,12 @@ def _stored_upsert(spark, table, rows, keys, latest_by, roles):
         at = F.timestamp_seconds(F.unix_timestamp(latest_by) - 3600 * hours)
         return df.withColumns({latest_by: at, "event_date": F.date_sub("event_date", day_back)})
 
-    first = rows.where(early).withColumn("event_date", dated)
+    tie = roles["tie"]
+    first = rows.where(early).withColumn("event_date", dated).withColumns(
+        {c: F.when(tie, v.cast(rows.schema[c].dataType)).otherwise(F.col(c)) for c, v in before.items()})
     first = first.unionByName(older(rows.where(~early & roles["moved"]), 24, 1))
-    second = rows.where(~early).withColumn("event_date", dated)
+    second = rows.where(~early).withColumn("event_date", dated).unionByName(
+        rows.where(early & tie).withColumn("event_date", dated))
     second = second.unionByName(older(rows.where(early & roles["stale"]), 1))
     second = second.unionByName(older(rows.where(~early & roles["twice"]), 2))
     path = scratch_path(spark, f"stored-{table}")
@@ -417,14 +422,25 @@ def _stored_upsert(spark, table, rows, keys, latest_by, roles):
 
 def q_stored_upsert_orders(spark, sf_dir):
     u = F.col("units_ordered")
-    roles = {"undated": u == 5, "moved": u == 3, "stale": u == 2, "twice": u == 4}
-    return _stored_upsert(spark, "orders", _star(spark, sf_dir)["fact_order"], ["order_id"], "placed_at", roles)
+    roles = {"undated": u == 5, "moved": u == 3, "stale": u == 2, "twice": u == 4, "tie": u.isin(6, 7, 8)}
+    # statuses before and after in the alphabet, a greater and a smaller value than the later arrival's
+    before = {"order_status": F.when(u == 6, F.lit("A")).otherwise(F.lit("ZZ")),
+              "order_value_usd": F.col("order_value_usd") + F.when(u == 7, F.lit(10)).otherwise(F.lit(-1))}
+    return _stored_upsert(spark, "orders", _star(spark, sf_dir)["fact_order"], ["order_id"], "placed_at", roles, before)
 
 
 def q_stored_upsert_shipments(spark, sf_dir):
     c = F.col("carrier")
-    roles = {"undated": c == "OnTrac", "moved": c == "FedEx", "stale": c == "UPS", "twice": c == "USPS"}
-    return _stored_upsert(spark, "shipments", _star(spark, sf_dir)["fact_shipment"], ["shipment_id"], "shipped_at", roles)
+    roles = {"undated": c == "OnTrac", "moved": c == "FedEx", "stale": c == "UPS", "twice": c == "USPS", "tie": c == "Amazon Logistics"}
+    before = {"late_delivery": ~F.col("late_delivery"), "delivery_status": F.lit("SHIPPED"), "actual_delivery_at": F.lit(None)}
+    return _stored_upsert(spark, "shipments", _star(spark, sf_dir)["fact_shipment"], ["shipment_id"], "shipped_at", roles, before)
+
+
+def q_stored_upsert_returns(spark, sf_dir):
+    u = F.col("units_affected")
+    roles = {"undated": u == 5, "moved": u == 3, "stale": u == 2, "twice": u == 4, "tie": u.isin(1, 6)}
+    before = {"refund_issued": ~F.col("refund_issued"), "units_affected": u + 9, "defect_type": F.lit(None)}
+    return _stored_upsert(spark, "returns", _star(spark, sf_dir)["fact_returns_defects"], ["record_id"], "reported_at", roles, before)
 
 
 def q_watermark_advance(spark, sf_dir):
@@ -467,7 +483,100 @@ def q_landed_orders(spark, sf_dir):
     })
     path = f"{scratch_path(spark, 'landed')}/order_events"
     storage.write_landing(text, path)
-    return cleanse.cast_columns(storage.read_landing(spark, path, ORDER_EVENTS), ORDER_EVENTS)
+    return cleanse.cast_columns(storage.read_landing(spark, path, ORDER_EVENTS).drop(LOAD_SEQ), ORDER_EVENTS)
+
+
+def q_landed_returns(spark, sf_dir):
+    """Returns landed in two files with unlike headers, read back by name.
+
+    The first has its columns in reverse order and lacks the root cause, the
+    second has one column more.
+    """
+    configure(spark)
+    raw = fixtures.raw_datasets(spark, sf_dir)["returns_defects"]
+    path = f"{scratch_path(spark, 'landed')}/returns_defects"
+    first = raw.where(F.col("report_type").eqNullSafe("RETURN")).select(*raw.columns[::-1]).drop("root_cause_category")
+    second = raw.where(~F.col("report_type").eqNullSafe("RETURN")).withColumn("inspector", F.lit("x"))
+    for name, part in (("first", first), ("second", second)):
+        storage.write_landing(part, f"{path}/{name}", partitioned=False)
+    return cleanse.cast_columns(storage.read_landing(spark, path, RETURNS_DEFECTS, False).drop(LOAD_SEQ), RETURNS_DEFECTS)
+
+
+def q_curated_rerun(spark, sf_dir):
+    """Curated orders after two full runs; keys moved to another day in between, and a day has no rows any more."""
+    configure(spark)
+    root = scratch_path(spark, "rerun")
+    raw = fixtures.raw_datasets(spark, sf_dir)["order_events"]
+    u = F.col("units_ordered")
+    day = F.when(u == 8, F.lit("2023-12-31").cast("date")).when(u == 3, F.date_add("event_date", 1)).otherwise(F.col("event_date"))
+    for i, landed in enumerate((raw.withColumn("event_date", day), raw)):
+        layout = pipeline.Layout(f"{root}/raw{i}", f"{root}/curated", f"{root}/warehouse")
+        pipeline.land(spark, layout, {"order_events": landed})
+        pipeline.run_cleanse(spark, layout)
+    return storage.read_curated(spark, layout.cur("order_events")).drop(LOAD_SEQ, "ingested_at")
+
+
+def _cleansed(spark, sf_dir):
+    """The four datasets landed and cleansed through files; (layout, what ``run_cleanse`` reports)."""
+    configure(spark)
+    root = scratch_path(spark, "cleansed")
+    layout = pipeline.Layout(f"{root}/raw", f"{root}/curated", f"{root}/warehouse")
+    pipeline.land(spark, layout, fixtures.raw_datasets(spark, sf_dir))
+    return layout, pipeline.run_cleanse(spark, layout)
+
+
+def q_curated_files_smoke(spark, sf_dir):
+    """Q33 over the curated files of a run (S6, S13: two of them flat)."""
+    return pipeline.smoke(spark, _cleansed(spark, sf_dir)[0])
+
+
+def q_cleanse_counts(spark, sf_dir):
+    """S16 + A15: rows read, kept and removed per dataset, as the run reports them (one row per dataset)."""
+    _, got = _cleansed(spark, sf_dir)
+    rows = [(n, r["raw_rows"], r["rows"], r["removed"]) for n, r in got.items()]
+    return spark.createDataFrame(rows, "dataset string, raw_rows bigint, curated_rows bigint, removed_rows bigint")
+
+
+def q_calendar_orders(spark, sf_dir):
+    """The whole calendar, with the orders of each day."""
+    o = _star(spark, sf_dir)["fact_order"]
+    per_day = o.groupBy("event_date").agg(F.count(F.lit(1)).alias("orders"))
+    cal = dims.dim_date(spark)
+    j = cal.join(per_day, cal["full_date"] == per_day["event_date"], "left")
+    return j.select(*cal.columns, F.coalesce(F.col("orders"), F.lit(0)).alias("orders"))
+
+
+def q_carrier_ranking(spark, sf_dir):
+    """O1: the carrier mart in the order it is presented, with each row's position."""
+    m = marts.carrier_performance(_star(spark, sf_dir)["fact_shipment"])
+    # a mart is an aggregate of days x carriers, so it may be numbered in one task
+    w = Window.orderBy(*marts.presentation_columns("carrier_performance"), "carrier")
+    return m.select("event_date", "carrier", "on_time_rate_pct", F.row_number().over(w).cast("bigint").alias("position"))
+
+
+def q_view_scorecard(spark, sf_dir):
+    """The registered views queried with SQL."""
+    t = _star(spark, sf_dir)
+    star = {n: t[n] for n in ("fact_order", "dim_date")}
+    pipeline.register_views(star, {"daily_ops_scorecard": marts.daily_ops_scorecard(t["fact_order"], t["dim_date"])})
+    return spark.sql("""
+        SELECT f.warehouse_id, COUNT(*) AS days, MAX(v.total_orders) AS most_orders, SUM(f.orders) AS orders
+        FROM v_daily_ops_scorecard v
+        JOIN (SELECT event_date, warehouse_id, COUNT(*) AS orders FROM fact_order GROUP BY event_date, warehouse_id) f
+          ON f.event_date = v.event_date AND f.warehouse_id = v.warehouse_id
+        GROUP BY f.warehouse_id""")
+
+
+QUERIES.update({
+    "stored_upsert_returns": q_stored_upsert_returns,
+    "landed_returns": q_landed_returns,
+    "curated_rerun": q_curated_rerun,
+    "curated_files_smoke": q_curated_files_smoke,
+    "cleanse_counts": q_cleanse_counts,
+    "calendar_orders": q_calendar_orders,
+    "carrier_ranking": q_carrier_ranking,
+    "view_scorecard": q_view_scorecard,
+})
 
 
 QUERIES.update({

@@ -120,6 +120,13 @@ FACT_DECIMALS = {
     "fact_returns_defects": {},
 }
 
+#: When a row was loaded; never decides which of two records is newer.
+LOAD_STAMP = "ingested_at"
+#: Order of arrival of a record's file; breaks ties of ``latest_by`` (the later arrival wins).
+LOAD_SEQ = "load_seq"
+#: Marks a key's newest record as incomplete: the key leaves the table (B2).
+GONE = "_gone"
+
 AUDIT_LOG = T.StructType(
     [
         T.StructField("log_id", T.LongType()),

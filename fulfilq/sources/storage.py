@@ -13,21 +13,26 @@ Scale notes
   re-run the upstream stage to sample it). Rows are sorted by key within each
   file for tight row-group statistics. ``partitionOverwriteMode=dynamic``
   replaces only the days present in the batch.
-* A dynamic partition overwrite stages its files inside the table and replaces
-  day folders only when all tasks are done, so a plan may read the days it
-  rewrites. A whole flat table is written beside the old one and then swapped in.
+* Days of a stored table are written beside it and moved in by a journal
+  (``replace_days``): a crash at any point leaves all old days or is finished by
+  the next run. A whole flat table is written beside the old one and swapped in.
 """
 
 from __future__ import annotations
 
+import csv
+import functools
+import json
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fulfilq.schemas import raw_schema
+from fulfilq.schemas import LOAD_SEQ, raw_schema
 from fulfilq.session import scratch_path
 
 PART_COL = "event_date"
@@ -38,26 +43,107 @@ FOLDER_COL = "date"
 # Landing zone (raw CSV)
 # ---------------------------------------------------------------------------
 def read_landing(spark: SparkSession, path: str, typed: T.StructType, partitioned: bool = True,
-                 watermark: str | None = None) -> DataFrame:
-    """Read raw CSV (header) as text; optionally only folders ``date >= watermark``.
+                 watermark: str | None = None, files: Sequence[str] | None = None) -> DataFrame:
+    """Read raw CSV (header) as text; optionally only folders ``date >= watermark``, or only ``files``.
 
     Columns are taken by the header's names: no inference pass (every column
     stays a string until the lenient cast), a missing column becomes NULL and an
-    extra one is ignored. All files must have the header of the first: Spark's
-    CSV reader is positional, so each file's header is checked against it
-    (``enforceSchema=false``) and a file with another one fails the read instead
-    of filling wrong columns. For partitioned datasets the ``date=YYYY-MM-DD``
+    extra one is ignored (``unknown_columns`` lists those). Spark's CSV reader is
+    positional, so files are grouped by their header: one reader per distinct
+    header, united by name. For partitioned datasets the ``date=YYYY-MM-DD``
     folder value is filtered (``PartitionFilters``: pruned folders are never
     read; ``date=unknown`` always is) and dropped.
+
+    ``load_seq`` numbers the arrival of a record: its file's modification time
+    in milliseconds, then a hash of the file's name.
     """
-    header = spark.read.option("header", True).csv(path).columns
-    reader = spark.read.schema(text_schema(header)).option("header", True).option("enforceSchema", False)
-    df = reader.option("mode", "PERMISSIVE").csv(path)
-    if partitioned and watermark is not None and FOLDER_COL in df.columns:
-        df = df.where(F.col(FOLDER_COL) >= F.lit(watermark))
-    present = set(df.columns)
-    return df.select(*[F.col(c).cast("string").alias(c) if c in present else F.lit(None).cast("string").alias(c)
-                       for c in raw_schema(typed).names])
+    mark = watermark if partitioned else None
+    groups = header_groups(spark, path, mark, files)
+    if not groups:
+        return spark.createDataFrame([], T.StructType([*raw_schema(typed).fields, T.StructField(LOAD_SEQ, T.LongType())]))
+    parts = []
+    for header, members in groups.items():
+        # each header was read from its files: a file that changes meanwhile fails the read
+        reader = spark.read.schema(text_schema(header)).option("header", True).option("enforceSchema", False)
+        reader = reader.option("mode", "PERMISSIVE")
+        whole = len(groups) == 1 and files is None
+        df = reader.csv(path) if whole else reader.option("basePath", path).csv(members)
+        df = df.withColumn(LOAD_SEQ, _arrival())
+        if mark is not None and FOLDER_COL in df.columns:
+            df = df.where(F.col(FOLDER_COL) >= F.lit(mark))
+        present = set(df.columns)
+        parts.append(df.select(*[F.col(c).cast("string").alias(c) if c in present else F.lit(None).cast("string").alias(c)
+                                 for c in raw_schema(typed).names], LOAD_SEQ))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _arrival():
+    modified = F.unix_millis(F.col("_metadata.file_modification_time"))
+    name = F.crc32(F.col("_metadata.file_name").cast("binary"))
+    return modified * F.lit(1 << 20) + F.pmod(name, F.lit(1 << 20))
+
+
+class FileInfo(NamedTuple):
+    path: str
+    size: int
+    modified: int
+
+
+def landed_files(spark: SparkSession, path: str, watermark: str | None = None) -> list[FileInfo]:
+    """Data files below ``path`` (metadata only); of ``date=`` folders those from ``watermark`` on."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    out = []
+
+    def walk(folder):
+        for status in fs.listStatus(folder):
+            name = status.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            if status.isDirectory():
+                key, _, value = name.partition("=")
+                if watermark is None or key != FOLDER_COL or value >= watermark:
+                    walk(status.getPath())
+            elif status.getLen():
+                out.append(FileInfo(status.getPath().toString(), status.getLen(), status.getModificationTime()))
+
+    walk(root)
+    return sorted(out)
+
+
+def header_groups(spark: SparkSession, path: str, watermark: str | None = None,
+                  files: Sequence[str] | None = None) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header line. Reads one line of each file (several at a time) and holds a path per file."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def header(file: str) -> tuple[str, ...]:
+        p = jvm.org.apache.hadoop.fs.Path(file)
+        stream = p.getFileSystem(conf).open(p)
+        try:
+            codec = codecs.getCodec(p)
+            lines = jvm.java.io.BufferedReader(
+                jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec is not None else stream, "UTF-8"))
+            line = lines.readLine()
+        finally:
+            stream.close()
+        return tuple(next(csv.reader([(line or "").lstrip("\ufeff")]), ()))
+
+    names = list(files) if files is not None else [f.path for f in landed_files(spark, path, watermark)]
+    out: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for name, head in zip(names, pool.map(header, names), strict=True):
+            if head:
+                out.setdefault(head, []).append(name)
+    return out
+
+
+def unknown_columns(spark: SparkSession, path: str, typed: T.StructType, watermark: str | None = None) -> list[str]:
+    """Columns in the landed headers that the dataset does not have."""
+    return sorted({c for head in header_groups(spark, path, watermark) for c in head} - set(typed.names))
 
 
 def text_schema(names: Sequence[str]) -> T.StructType:
@@ -169,6 +255,95 @@ def swap_in(spark: SparkSession, new_path: str, target: str) -> None:
         fs.delete(old, True)
 
 
+#: Folder of a NULL partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def day_folder(day, part_col: str = PART_COL) -> str:
+    return f"{part_col}={NULL_FOLDER if day is None else day}"
+
+
+def replace_days(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], days: Sequence | None = None,
+                 part_col: str = PART_COL, observe=None) -> None:
+    """Make ``df`` the content of ``days`` (values of ``part_col``; ``None``: of the whole table), all or nothing.
+
+    The new days are written beside the table, so ``df`` may read the days it
+    replaces. Then a journal that names every move is written by a rename, the
+    point from which the change counts; the moves follow, and a crash among them
+    is finished by the next ``recover``. A day of ``days`` without rows in ``df`` goes.
+    Moves are renames: one file system, one writer per table. A reader that lists
+    the table during the moves may miss a day.
+    """
+    recover(spark, path)
+    run = uuid.uuid4().hex
+    staged, aside = f"{path.rstrip('/')}.new-{run}", f"{path.rstrip('/')}.old-{run}"
+    out = df.hint("rebalance", part_col).sortWithinPartitions(part_col, *keys)
+    if observe is not None:
+        out = out.observe(observe[0], *observe[1])
+    out.write.partitionBy(part_col).parquet(staged)
+    new = {n for n in files(spark, staged) if n.startswith(part_col + "=")}
+    old = {n for n in files(spark, path) if n.startswith(part_col + "=")}
+    named = old if days is None else {day_folder(d, part_col) for d in days}
+    if not new & old <= named:
+        raise ValueError(f"rows of days that are not to be replaced: {sorted(new & old - named)}")
+    _write_text(spark, _journal(path), json.dumps({"staged": staged, "aside": aside, "new": sorted(new), "gone": sorted((named & old) - new)}))
+    recover(spark, path)
+
+
+def _journal(path: str) -> str:
+    return path.rstrip("/") + ".swap-journal"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish the replacement of days, or the swap of a whole table, that a crash interrupted. Run before every use."""
+    recover_swap(spark, path)
+    text = _read_text(spark, _journal(path))
+    if text is None:
+        return
+    plan, table = json.loads(text), path.rstrip("/")
+    for day in plan["new"]:
+        if path_exists(spark, f"{plan['staged']}/{day}"):  # not moved in yet
+            if path_exists(spark, f"{table}/{day}"):
+                _move(spark, f"{table}/{day}", f"{plan['aside']}/{day}")
+            _move(spark, f"{plan['staged']}/{day}", f"{table}/{day}")
+    for day in plan["gone"]:
+        if path_exists(spark, f"{table}/{day}"):
+            _move(spark, f"{table}/{day}", f"{plan['aside']}/{day}")
+    remove(spark, plan["staged"])
+    remove(spark, plan["aside"])
+    remove(spark, _journal(path))
+    spark.catalog.refreshByPath(path)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    jvm, fs, tgt, _ = _fs_paths(spark, target)
+    fs.mkdirs(tgt.getParent())
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(source), tgt):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all."""
+    jvm, fs, tgt, _ = _fs_paths(spark, path)
+    part = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(part)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(part, tgt):
+        raise OSError(f"could not write {path}")
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    jvm, fs, tgt, _ = _fs_paths(spark, path)
+    if not fs.exists(tgt):
+        return None
+    stream = fs.open(tgt)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def beside(path: str) -> str:
     """A fresh path next to ``path``: the same parent, so the same file system."""
     return f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"

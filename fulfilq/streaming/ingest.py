@@ -1,48 +1,42 @@
 """Incremental ingestion as a Structured Streaming file source.
 
-New CSV files landing under a dataset's folder are picked up by a file
-stream; each micro-batch is cleansed (B1-B4) and upserted into its star table
-inside ``foreachBatch``. The upsert is idempotent, so a micro-batch replayed
-after a failure (the checkpoint records which files were committed) leaves
-the same table: effectively exactly-once. The newest record of a key wins
-whichever micro-batch brings it, so the table does not depend on where the
-stream is cut. One difference from the batch job remains: B2 drops a shipment
-whose newest row is incomplete, and a stream that sees that row in a later
-batch has already loaded the complete older one, which stays. ``availableNow`` processes all
-pending files in bounded batches and stops, the streaming form of the
-reference's scheduled batch with a high-water mark (T1/T2).
+New CSV files landing under a dataset's folder are picked up by a file stream
+that sees names only (the content column is pruned); each micro-batch reads its
+files by their headers, cleanses them (B1-B4) and upserts them into the star
+table inside ``foreachBatch``. The upsert is idempotent, so a micro-batch
+replayed after a failure (the checkpoint records which files were committed)
+leaves the same table: effectively exactly-once. The newest record of a key wins,
+at equal times the one whose file arrived later, whichever micro-batch brings
+it, and a shipment whose newest record is incomplete is out (the quarantine
+remembers it): the table does not depend on where the stream is cut and equals
+that of a batch run over all files. ``availableNow`` processes all pending files
+in bounded batches and stops, the streaming form of the reference's scheduled
+batch with a high-water mark (T1/T2).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fulfilq.operators import cleanse, dims
 from fulfilq.plans.pipeline import TARGETS, Layout, upsert_table
-from fulfilq.schemas import SPECS, raw_schema
+from fulfilq.schemas import SPECS
 from fulfilq.session import configure
-from fulfilq.sources.storage import FOLDER_COL
+from fulfilq.sources import storage
 
 
-def landing_stream(spark: SparkSession, layout: Layout, dataset: str, max_files: int = 1000) -> DataFrame:
-    """A streaming DataFrame over the dataset's landing folder (all columns as text).
+#: Columns of Spark's file listing source; only ``path`` is ever read.
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
-    A file stream needs its schema up front: the dataset's columns in their
-    order. Each file's header is checked against it (``enforceSchema=false``); a
-    file with other or reordered columns fails the batch instead of filling
-    wrong ones.
-    """
-    spec = SPECS[dataset]
-    schema = raw_schema(spec.schema)
-    if spec.partitioned:
-        schema = T.StructType(schema.fields + [T.StructField(FOLDER_COL, T.StringType())])
-    return (spark.readStream.schema(schema)
-            .option("header", True)
-            .option("enforceSchema", False)
+
+def landing_stream(spark: SparkSession, layout: Layout, dataset: str, max_files: int = 1000) -> DataFrame:
+    """A streaming DataFrame of the paths of new files in the dataset's landing folder, at most ``max_files`` a batch."""
+    return (spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
+            .option("recursiveFileLookup", True)
             .option("maxFilesPerTrigger", max_files)
-            .csv(layout.raw(dataset)))
+            .load(layout.raw(dataset))
+            .select("path"))
 
 
 def start_ingest(spark: SparkSession, layout: Layout, dataset: str, checkpoint: str,
@@ -58,10 +52,12 @@ def start_ingest(spark: SparkSession, layout: Layout, dataset: str, checkpoint:
     table, keys = TARGETS[dataset]
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        raw = batch.drop(FOLDER_COL) if FOLDER_COL in batch.columns else batch
-        cur = cleanse.CLEANSERS[dataset](raw)
-        upsert_table(batch.sparkSession, layout.table(table), dims.to_table(cur, table), keys, spec.table_partitioned,
-                     scd2=(table == "dim_warehouse"), keys_may_move=keys_may_move, latest_by=spec.latest_by)
+        session = batch.sparkSession
+        files = [r["path"] for r in batch.collect()]  # at most max_files
+        raw = storage.read_landing(session, layout.raw(dataset), spec.schema, spec.partitioned, files=files)
+        cur = cleanse.cleanse_increment(dataset, raw)
+        upsert_table(session, layout.table(table), dims.to_table(cur, table), keys, spec.table_partitioned,
+                     scd2=(table == "dim_warehouse"), keys_may_move=keys_may_move, latest_by=spec.latest_by, unique=True)
 
     writer = landing_stream(spark, layout, dataset, max_files).writeStream.foreachBatch(load_batch) \
         .option("checkpointLocation", checkpoint).queryName(f"ingest_{dataset}")

@@ -46,7 +46,9 @@ def test_pipeline_end_to_end_matches_lazy_plan_and_is_idempotent(spark, tmp_root
     assert _rows(star2["fact_order"].drop("ingested_at")) == before
     log = spark.read.parquet(layout.audit)
     assert log.count() == 8
-    assert log.where(F.col("run_status") != "SUCCESS").count() == 0
+    # the flat datasets' files did not change: nothing to load
+    skipped = {r["target_table"] for r in log.where(F.col("run_status") != "SUCCESS").collect()}
+    assert skipped == {"dim_warehouse", "fact_returns_defects"}
     wm = {r.target_table: r.next_watermark for r in audit.next_watermark(log).collect()}
     assert str(wm["fact_order"]) == "2024-01-30" and wm["dim_warehouse"] is None
 

@@ -1,7 +1,7 @@
 import os
 
 from fulfilq.operators import cleanse
-from fulfilq.schemas import RETURNS_DEFECTS
+from fulfilq.schemas import LOAD_SEQ, RETURNS_DEFECTS
 from fulfilq.sources import storage
 
 
@@ -14,7 +14,8 @@ def test_landing_columns_matched_by_header_name(spark, tmp_root):
         f.write("2,RD-1,x,ORD-1,RETURN,2024-01-05T10:00:00,True\n")
         f.write("oops,RD-2,y,ORD-2,DEFECT,2024-01-06T11:30:00,False\n")
     raw = storage.read_landing(spark, path, RETURNS_DEFECTS, partitioned=False)
-    assert raw.columns == RETURNS_DEFECTS.names
+    assert raw.columns == [*RETURNS_DEFECTS.names, LOAD_SEQ]
+    assert storage.unknown_columns(spark, path, RETURNS_DEFECTS) == ["extra"]
     rows = {r.record_id: r for r in cleanse.cast_columns(raw, RETURNS_DEFECTS).collect()}
     assert rows["RD-1"].units_affected == 2 and rows["RD-1"].refund_issued is True
     assert rows["RD-2"].units_affected is None and rows["RD-2"].root_cause_category is None

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from fulfilq.operators import dims
 from fulfilq.plans import pipeline
-from fulfilq.schemas import ORDER_EVENTS, SHIPMENT_TRACKING, WAREHOUSE_CAPACITY
+from fulfilq.operators import upsert as ups
+from fulfilq.schemas import LOAD_SEQ, ORDER_EVENTS, RETURNS_DEFECTS, SHIPMENT_TRACKING, WAREHOUSE_CAPACITY
 from fulfilq.sources import storage
 from fulfilq.streaming.ingest import start_ingest
 
@@ -138,18 +139,30 @@ def test_capacity_rows_with_null_keys_are_replaced_on_a_rerun(spark, tmp_root):
         assert spark.read.parquet(f"{tmp_root}/w").count() == 3
 
 
-def test_a_file_with_another_header_fails_the_read(spark, layout):
-    raw = layout.raw("order_events")
+def csv_file(path, names, *rows):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write("\n".join([",".join(names), *(",".join(str(r.get(n, "")) for n in names) for r in rows)]) + "\n")
+
+
+def test_files_with_unlike_headers_are_united_by_name(spark, layout):
+    raw, names = layout.raw("order_events"), ORDER_EVENTS.names
     storage.write_landing(orders(spark, order("A", 1)), raw)
-    names = ORDER_EVENTS.names
-    swapped = [names[1], names[0], *names[2:]]
-    os.makedirs(f"{raw}/date=2024-01-02")
-    with open(f"{raw}/date=2024-01-02/part.csv", "w") as f:
-        f.write(",".join(swapped) + "\n" + ",".join(["FC_00", "W"] + [""] * (len(names) - 2)) + "\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        storage.read_landing(spark, raw, ORDER_EVENTS).collect()
-    with pytest.raises(Exception, match="(?i)header"):
-        start_ingest(spark, layout, "order_events", layout.landing + "/ckpt").awaitTermination()
+    row = {"order_id": "B", "warehouse_id": "W", "order_status": "SHIPPED", "placed_at": "2024-01-02T08:00:00", "event_date": "2024-01-02", "gate": "7"}
+    csv_file(f"{raw}/date=2024-01-02/swapped.csv", [names[3], "gate", names[0], *names[1:3], *names[4:]], row)  # swapped, one more
+    csv_file(f"{raw}/date=2024-01-03/short.csv", names[:5], {**row, "order_id": "C"})  # several missing
+    csv_file(f"{raw}/date=2024-01-03/only-a-header.csv", names)
+    open(f"{raw}/date=2024-01-03/empty.csv", "w").close()
+    got = {r["order_id"]: r for r in storage.read_landing(spark, raw, ORDER_EVENTS).collect()}
+    assert sorted(got) == ["A", "B", "C"] and got["B"]["warehouse_id"] == "W" and got["B"]["order_status"] == "SHIPPED"
+    assert got["C"]["placed_at"] == "2024-01-02T08:00:00" and got["C"]["event_date"] is None
+    late = storage.read_landing(spark, raw, ORDER_EVENTS, True, "2024-01-02").collect()
+    assert sorted(r["order_id"] for r in late) == ["B", "C"]
+    report = pipeline.run_cleanse(spark, layout)["order_events"]
+    assert report["unknown_columns"] == ["gate"] and report["rows"] == 3
+    start_ingest(spark, layout, "order_events", layout.landing + "/ckpt").awaitTermination()
+    assert stored(spark, layout.table("fact_order"), "warehouse_id", "event_date") == [
+        ("A", "FC_00", "2024-01-01"), ("B", "W", "2024-01-02"), ("C", "W", "None")]
 
 
 def test_the_stream_does_not_depend_on_where_it_is_cut(spark, tmp_root):
@@ -157,15 +170,17 @@ def test_the_stream_does_not_depend_on_where_it_is_cut(spark, tmp_root):
     for max_files in (1, 1000):
         layout = pipeline.Layout(f"{tmp_root}/raw", f"{tmp_root}/cur", f"{tmp_root}/wh{max_files}")
         if max_files == 1:
-            for i, r in enumerate([order("A", 1, 10), order("A", 1, 9, "PLACED"), order("B", 0), order("A", 2, 8, "RETURNED"), order("B", 3)]):
+            for i, r in enumerate([order("A", 1, 10), order("A", 1, 9, "PLACED"), order("B", 0), order("A", 2, 8, "RETURNED"), order("B", 3),
+                                   order("C", 4, 8, "SHIPPED"), order("C", 4, 8, "DELIVERED"), order("C", 4, 8, "RETURNED"), order("C", 4, 8, "PLACED")]):
                 one = f"{tmp_root}/one{i}"
                 storage.write_landing(orders(spark, r).coalesce(1), one, partitioned=False)
                 os.makedirs(f"{layout.raw('order_events')}/date={r[-1] or 'unknown'}", exist_ok=True)
                 part = next(f for f in os.listdir(one) if f.endswith(".csv"))
                 os.rename(f"{one}/{part}", f"{layout.raw('order_events')}/date={r[-1] or 'unknown'}/{i}.csv")
+                os.utime(f"{layout.raw('order_events')}/date={r[-1] or 'unknown'}/{i}.csv", (1_700_000_000 + i,) * 2)
         start_ingest(spark, layout, "order_events", f"{tmp_root}/ckpt{max_files}", max_files=max_files).awaitTermination()
         tables.append(stored(spark, layout.table("fact_order"), "order_status", "event_date"))
-    assert tables[0] == tables[1] == [("A", "RETURNED", "2024-01-02"), ("B", "DELIVERED", "2024-01-03")]
+    assert tables[0] == tables[1] == [("A", "RETURNED", "2024-01-02"), ("B", "DELIVERED", "2024-01-03"), ("C", "PLACED", "2024-01-04")]
 
 
 def test_swap_leaves_the_old_copy_when_the_new_is_missing(spark, tmp_root):
@@ -214,3 +229,170 @@ def test_smoke_reads_the_curated_files(spark, layout):
     got = pipeline.run_cleanse(spark, layout)["order_events"]
     assert got["nulls"]["order_id"] == 0 and got["raw_rows"] == 2
     assert all(r.passed for r in pipeline.smoke(spark, layout).collect())
+
+
+# ---------------------------------------------------------------------------
+# The later arrival wins a tie
+# ---------------------------------------------------------------------------
+def test_an_update_at_the_same_time_is_taken(spark, tmp_root):
+    path = f"{tmp_root}/t"
+    put(spark, path, order("A", 1, status="PLACED"), order("B", 1, status="ZZ"))
+    for status in ("DELIVERED", "PLACED", "SHIPPED"):  # later and earlier in the alphabet
+        put(spark, path, order("A", 1, status=status))
+        assert stored(spark, path, "order_status") == [("A", status), ("B", "ZZ")]
+
+
+def test_the_order_of_arrival_decides_not_the_order_of_batches(spark):
+    def frame(*rows):
+        return spark.createDataFrame(list(rows), f"k string, at timestamp, v int, {LOAD_SEQ} bigint")
+
+    t = dt.datetime(2024, 1, 1)
+    batches = [frame(("a", t, 1, 10)), frame(("a", t, 2, 30)), frame(("a", t, 3, 20)), frame(("a", None, 4, 40))]
+    for order_ in ((0, 1, 2, 3), (3, 1, 2, 0)):
+        table = batches[order_[0]]
+        for i in order_[1:]:
+            merged = ups.upsert(table, batches[i], ["k"], "at")
+            table = spark.createDataFrame(merged.collect(), merged.schema)
+        assert [r["v"] for r in table.collect()] == [2]
+
+
+def land(layout, dataset, name, names, *rows, at):
+    path = f"{layout.raw(dataset)}/{name}"
+    csv_file(path, names, *rows)
+    os.utime(path, (at, at))
+
+
+def test_land_load_land_load(spark, layout):
+    names = ORDER_EVENTS.names
+    row = {"order_id": "A", "order_status": "PLACED", "placed_at": "2024-01-02T08:00:00", "event_date": "2024-01-02", "order_value_usd": "20.0"}
+    b = {**row, "order_id": "B"}
+    for i, (status, value) in enumerate((("PLACED", "20.0"), ("DELIVERED", "15.0"), ("CANCELLED", "25.0"))):
+        land(layout, "order_events", f"date=2024-01-02/{i}.csv", names, {**row, "order_status": status, "order_value_usd": value}, b, at=1_700_000_000 + i)
+        for mark in (None, "2024-01-02"):  # the full run and the increment
+            pipeline.run_cleanse(spark, layout, mark)
+            pipeline.run_load(spark, layout, mark)
+            for path in (layout.cur("order_events"), layout.table("fact_order")):
+                assert stored(spark, path, "order_status", "order_value_usd")[0][1:] in ((status, value), (status, value + "0"))
+
+
+# ---------------------------------------------------------------------------
+# Days are replaced all or nothing
+# ---------------------------------------------------------------------------
+def test_a_crash_at_any_step_loses_no_row(spark, tmp_root, monkeypatch):
+    real = {n: getattr(storage, n) for n in ("_move", "_write_text", "remove")}
+
+    def frame(*rows):
+        return spark.createDataFrame([(k, DAY[d]) for k, d in rows], "order_id string, event_date date").coalesce(1)
+
+    old, new = frame(("A", 1), ("B", 2), ("C", 3), ("N", 0)), frame(("A", 4), ("B2", 2), ("N2", 0))  # day 1 empties
+    days = [DAY[d] for d in (0, 1, 2, 4)]
+    before = [("A", "2024-01-01"), ("B", "2024-01-02"), ("C", "2024-01-03"), ("N", "None")]
+    after = [("A", "2024-01-04"), ("B2", "2024-01-02"), ("C", "2024-01-03"), ("N2", "None")]
+    outcomes, done, at = set(), False, 0
+    while not done:
+        at, path, steps = at + 1, f"{tmp_root}/t{at}", []
+        storage.replace_days(spark, old, path, ["order_id"])
+
+        def failing(name, at=at, steps=steps):
+            def step(*a):
+                steps.append(name)
+                if len(steps) == at:
+                    raise RuntimeError("lost")
+                return real[name](*a)
+            return step
+
+        for n in real:
+            monkeypatch.setattr(storage, n, failing(n))
+        try:
+            storage.replace_days(spark, new, path, ["order_id"], days)
+            done = True
+        except RuntimeError:
+            pass
+        for n, f in real.items():
+            monkeypatch.setattr(storage, n, f)
+        storage.recover(spark, path)
+        got = stored(spark, path, "event_date")
+        assert got in (before, after), steps
+        assert not os.path.exists(path + ".swap-journal")
+        outcomes.add((len(steps) > 1, got == after))
+    # only a crash before the journal is there leaves the old days
+    assert at > 9 and outcomes == {(False, False), (True, True)}
+
+
+def test_rows_of_other_days_are_not_replaced_by_mistake(spark, tmp_root):
+    path = f"{tmp_root}/t"
+    put(spark, path, order("A", 1))
+    with pytest.raises(ValueError, match="not to be replaced"):
+        storage.replace_days(spark, batch(spark, order("B", 1)), path, ["order_id"], [DAY[2]])
+    assert [r[0] for r in stored(spark, path)] == ["A"]
+
+
+def test_a_full_run_drops_days_without_rows(spark, layout):
+    raw = layout.raw("order_events")
+    csv_names = ORDER_EVENTS.names
+    a = {"order_id": "A", "order_status": "PLACED", "placed_at": "2024-01-01T08:00:00", "event_date": "2024-01-01"}
+    land(layout, "order_events", "date=2024-01-01/0.csv", csv_names, a, at=1_700_000_000)
+    land(layout, "order_events", "date=2024-01-02/0.csv", csv_names, {**a, "order_id": "B", "event_date": "2024-01-02"}, at=1_700_000_000)
+    pipeline.run_cleanse(spark, layout)
+    land(layout, "order_events", "date=2024-01-05/0.csv", csv_names, {**a, "placed_at": "2024-01-05T08:00:00", "event_date": "2024-01-05"}, at=1_700_000_001)
+    assert os.path.isdir(raw) and pipeline.run_cleanse(spark, layout)["order_events"]["rows"] == 2
+    assert stored(spark, layout.cur("order_events"), "event_date") == [("A", "2024-01-05"), ("B", "2024-01-02")]
+
+
+# ---------------------------------------------------------------------------
+# Flat landings only when changed
+# ---------------------------------------------------------------------------
+def test_an_unchanged_returns_file_is_skipped_and_a_changed_one_touches_its_days(spark, layout):
+    names = RETURNS_DEFECTS.names
+    rows = [{"record_id": f"R{i}", "order_id": f"O{i}", "report_type": "RETURN", "reported_at": f"2024-01-0{i}T08:00:00",
+             "refund_issued": "True", "event_date": f"2024-01-0{i}"} for i in (1, 2, 3)]
+    land(layout, "returns_defects", "r.csv", names, *rows, at=1_700_000_000)
+    assert pipeline.run_cleanse(spark, layout)["returns_defects"]["rows"] == 3
+    assert pipeline.run_load(spark, layout)["fact_returns_defects"] == 3
+    assert pipeline.run_cleanse(spark, layout)["returns_defects"] is None
+    assert pipeline.run_load(spark, layout)["fact_returns_defects"] is None
+    table = layout.table("fact_returns_defects")
+    files = {d: sorted(os.listdir(f"{table}/{d}")) for d in os.listdir(table) if d.startswith("event")}
+    rows[1]["refund_issued"] = "False"  # withdrawn: same time, smaller value
+    land(layout, "returns_defects", "r.csv", names, *rows, at=1_700_000_001)
+    assert pipeline.run_cleanse(spark, layout)["returns_defects"]["rows"] == 3
+    assert pipeline.run_load(spark, layout)["fact_returns_defects"] == 1
+    now = {d: sorted(os.listdir(f"{table}/{d}")) for d in os.listdir(table) if d.startswith("event")}
+    assert {d for d in now if now[d] != files[d]} == {"event_date=2024-01-02"}
+    got = {r["record_id"]: r["refund_issued"] for r in spark.read.parquet(table).collect()}
+    assert got == {"R1": True, "R2": False, "R3": True}
+
+
+# ---------------------------------------------------------------------------
+# A shipment whose newest record is incomplete
+# ---------------------------------------------------------------------------
+def test_increments_and_stream_end_in_the_table_of_the_full_batch(spark, tmp_root):
+    names = SHIPMENT_TRACKING.names
+
+    def ship(sid, day, hour, order_id="O", status="SHIPPED"):
+        at = f"2024-01-0{day}T{hour:02}:00:00"
+        return {"shipment_id": sid, "order_id": order_id, "shipped_at": at, "delivery_status": status, "event_date": f"2024-01-0{day}"}
+
+    # K: complete, then incomplete and newer, then a late complete one of before; L comes back; M is incomplete first
+    days = [[ship("K", 1, 8), ship("L", 1, 8), ship("M", 1, 9, "")],
+            [ship("K", 2, 8, ""), ship("L", 2, 8, ""), ship("N", 2, 8)],
+            [ship("K", 3, 1) | {"shipped_at": "2024-01-01T20:00:00"}, ship("L", 3, 8, status="DELIVERED"), ship("M", 3, 1) | {"shipped_at": "2024-01-01T07:00:00"}],
+            [ship("N", 4, 8, "") | {"shipped_at": "2024-01-02T08:00:00"}]]  # a tie: the later arrival is incomplete
+    tables = {}
+    for kind in ("full", "increments", "stream1", "stream1000"):
+        layout = pipeline.Layout(f"{tmp_root}/{kind}/raw", f"{tmp_root}/{kind}/cur", f"{tmp_root}/{kind}/wh")
+        for d, rows in enumerate(days, 1):
+            land(layout, "shipment_tracking", f"date=2024-01-0{d}/x.csv", names, *rows, at=1_700_000_000 + d)
+            if kind == "increments":
+                pipeline.run_cleanse(spark, layout, f"2024-01-0{d}")
+                pipeline.run_load(spark, layout, f"2024-01-0{d}")
+        if kind == "full":
+            pipeline.run_cleanse(spark, layout)
+            pipeline.run_load(spark, layout)
+        elif kind != "increments":
+            start_ingest(spark, layout, "shipment_tracking", f"{tmp_root}/{kind}/ckpt", max_files=int(kind[6:])).awaitTermination()
+        table = spark.read.parquet(layout.table("fact_shipment")).drop("ingested_at", LOAD_SEQ)
+        tables[kind] = sorted(str(r) for r in table.select(sorted(table.columns)).collect())
+        ids = sorted(r["shipment_id"] for r in table.collect())
+        assert ids == ["L"], (kind, ids)
+    assert len({str(t) for t in tables.values()}) == 1
