@@ -8,7 +8,9 @@ leaves the band of its language (``BANDS``; ``None`` is the band of languages
 not listed). Word and repetition counts are measured in the same pass.
 
 One Arrow pass, no shuffle. Null or empty text: no words, measures 0, base rule
-fails. Null language: the default band. Repeated rows: one result row each.
+fails. Null language: the default band. Repeated rows: one result row each. Very
+long texts, runs of one character among them, are measured whole. ``measure``
+reads doc_id, lang and text; ``reject`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -127,7 +129,7 @@ def measure_slice(texts: pa.Array, ranks, pieces) -> dict[str, np.ndarray]:
     words, n_docs = Words(buf, off, NON_SPACE), len(off) - 1
     ids, distinct = words.encoded(buf)
     lead = (buf & 0xC0) != 0x80
-    coded = [np.array(ranks.encode_ordinary(t or ""), np.int64) for t in texts.to_pylist()]
+    coded = [np.array(tokenizers.encode_ordinary(ranks, t or ""), np.int64) for t in texts.to_pylist()]
     n_tokens = np.fromiter(map(len, coded), np.int64, n_docs)
     token = np.concatenate(coded) if n_docs else np.zeros(0, np.int64)
     return {

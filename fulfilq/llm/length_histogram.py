@@ -8,7 +8,8 @@ tokens remain when longer documents are cut there. Sums run in two levels
 one block of lengths.
 
 Null or empty text has length 0. Repeated rows count each. No rows: an empty
-histogram; totals and quantiles of it are 0 and None.
+histogram; totals and quantiles of it are 0 and None. Very long texts are encoded
+whole. Only doc_id and text are read, other columns may have any name.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fulfilq.llm import tokenizers
-from fulfilq.llm.common import slices
+from fulfilq.llm.common import materialize, slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 BLOCK = 1024
@@ -33,7 +34,7 @@ def lengths(docs: DataFrame, folder: str = tokenizers.FOLDER, vocabulary: str =
         enc = tokenizers.rank_encoder(shipped, vocabulary)
         for b in slices(batches, "text"):
             texts = b.column("text").to_pylist()
-            n = np.fromiter((len(enc.encode_ordinary(t or "")) for t in texts), np.int64, len(texts))
+            n = np.fromiter((len(tokenizers.encode_ordinary(enc, t or "")) for t in texts), np.int64, len(texts))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n)], ["doc_id", "n_tokens"])
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, n_tokens bigint")
@@ -46,6 +47,7 @@ def histogram(lens: DataFrame) -> DataFrame:
     """
     base = lens.groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
     base = base.withColumns({"tokens": F.col("n_tokens") * F.col("n_docs"), "block": F.floor(F.col("n_tokens") / BLOCK)})
+    base = materialize(base, "lengths")  # a row per distinct length; read twice, the texts are encoded once
     blocks = base.groupBy("block").agg(F.sum("n_docs").alias("bd"), F.sum("tokens").alias("bt"))
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +17,11 @@ MAX_BYTES = 64 << 20
 #: Splits text before the merges of the rank files (fixed value of those vocabularies).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: What white space means there (fixed values), and a length of run that the pattern still matches.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 1 << 16
+_LONG = re.compile(f"[{SPACES}]{{{LONG_RUN},}}")
+
 _loaded: dict = {}
 
 
@@ -38,6 +44,25 @@ def rank_encoder(shipped, name: str):
     return _loaded[name]
 
 
+def encode_ordinary(encoding, text: str) -> list[int]:
+    """Tokens of a whole text, as the encoding gives them, with white space runs of any length.
+
+    The pattern matches a run but for its last character (that one goes with the
+    word after it), or the whole run at the end of the text, as one piece; its
+    matcher overflows on runs near a million. Such a piece is cut out here and
+    encoded on its own; on either side of it the pattern matches as before.
+    """
+    if len(text) < LONG_RUN:
+        return encoding.encode_ordinary(text)
+    out, at = [], 0
+    for m in _LONG.finditer(text):
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        out += encoding.encode_ordinary(text[at : m.start()])
+        out += encoding._core_bpe.encode_single_piece(text[m.start() : end].encode())
+        at = end
+    return out + encoding.encode_ordinary(text[at:])
+
+
 def piece_encoder(shipped, name: str):
     """(sentencepiece processor, which ids are bytes) of a shipped model, built once per Python worker."""
     if name not in _loaded:
