@@ -16,11 +16,11 @@ with others; links make components by label propagation. Then, in buckets that
 still hold several components, the members outside the hub's are compared with
 those of other components, where two bounds leave a chance: the triangle
 inequality of the Jaccard distance over the hub (exact), and a longer one-bit
-signature whose estimate is less than three standard deviations below the
-threshold. Each comparison is exact (weighted Jaccard of the shingle sets,
+signature whose estimate is less than five standard deviations below the
+threshold. A bucket's comparisons are dealt over tasks by blocks of its members. Each comparison is exact (weighted Jaccard of the shingle sets,
 ``SIMILARITY`` or more). A pair of texts at the very threshold is missed with a
-probability of 0.002 by the bands and of 0.001 by the estimate, a closer one
-with less.
+probability of 0.002 by the bands and of less than 10^-6 by the estimate, a
+closer one with less.
 
 All state is written to the shared checkpoint folder between steps. Texts of
 1-4 words are one shingle. A text without words, or empty, has exact copies
@@ -47,7 +47,9 @@ COORDINATES = 128
 BANDS, ROWS = 21, 6
 #: Coordinates of the one-bit signature that estimates a pair's similarity, and the most differing bits of a candidate.
 BITS = 1024
-MOST_BITS = int(BITS / 2 * (1 - SIMILARITY) + 3 * np.sqrt(BITS * (1 - SIMILARITY) / 2 * (1 + SIMILARITY) / 2))
+MOST_BITS = int(BITS / 2 * (1 - SIMILARITY) + 5 * np.sqrt(BITS * (1 - SIMILARITY) / 2 * (1 + SIMILARITY) / 2))
+#: Pairs of a bucket that one task looks at, about, and the most parts of a bucket.
+TASK_PAIRS, MOST_PARTS = 1 << 22, 1 << 14
 #: Shingle sets that a comparing task holds, in bytes, about.
 BLOCK_BYTES = 16 << 20
 SLICE = 2 << 20
@@ -280,13 +282,19 @@ def classes(docs: DataFrame) -> DataFrame:
     outside = F.col("comp") != F.coalesce("hub_comp", "hub")
     in_open = m.withColumn("outside", outside).join(sets.select("node", "bits"), "node").drop("hub", "hub_comp")
     m = materialize(in_open, "dart-open")
-    x, y = m.where("outside").alias("x"), m.alias("y")
+    # a bucket of many members is cut into parts: a member outside is in one of them, all members are in each
+    count = m.groupBy("bucket").agg(F.count("*").alias("all"), F.count_if("outside").alias("out"))
+    parts = F.least(F.greatest(F.ceil(F.col("all") * F.col("out") / TASK_PAIRS), F.lit(1)), F.col("out"), F.lit(MOST_PARTS))
+    dealt = m.join(count.select("bucket", parts.cast("int").alias("parts")), "bucket")
+    x = dealt.where("outside").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).alias("x")
+    y = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
     differ = sum(
         (F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(BITS // 64)), F.lit(0)
     )
     # of two members outside one is x; a hub's distance to both bounds theirs: 1 - similarity is a metric
     rest = (
         (F.col("x.bucket") == F.col("y.bucket"))
+        & (F.col("x.part") == F.col("y.part"))
         & (F.col("x.comp") != F.col("y.comp"))
         & (~F.col("y.outside") | (F.col("x.node") < F.col("y.node")))
         & (F.abs(F.col("x.near") - F.col("y.near")) <= 1 - SIMILARITY + 1e-9)
