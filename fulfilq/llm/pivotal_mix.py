@@ -17,7 +17,8 @@ document: reruns agree.
 
 DataFrame functions only. Null text: size 0, no words taken. A null source is a
 source of its own, last in order. Repeated rows are units of their own. No
-rows: no result rows. Only id, source and size travel; texts do not.
+rows: no result rows. Only id, source and size travel; texts do not. Very long
+texts are counted whole. ``mixed`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MOST = 3
 FANOUT = 512
+#: Equal rows beyond which a key's texts are numbered in parts.
+HOT = 1024
 SEED = 20_11
 
 
@@ -200,18 +203,39 @@ def copies(u: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = SEED) ->
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = SEED) -> DataFrame:
-    """``docs`` as the mix takes them: one row per copy, with the copy's number in ``copy``."""
+    """``docs`` as the mix takes them: one row per copy, with the copy's number in ``copy`` (a column of that name is replaced)."""
     plan = copies(units(docs), weights, most, seed)
     # rows that are equal share their copies evenly, so a hot repeated row is a count, not a list
     by_row = plan.groupBy("id").agg(F.sum("copies").alias("__all"), F.count("*").alias("__m"))
-    by_row = by_row.select(F.col("id.doc_id").alias("__d"), F.col("id.row").alias("__r"), "__all", "__m")
-    names = docs.columns
-    d = docs.withColumns({"__doc": F.col("doc_id"), "__row": F.xxhash64("text")})
-    same = Window.partitionBy("__doc", "__row").orderBy("__doc")
-    d = d.withColumn("__nth", F.row_number().over(same))
-    d = d.join(by_row, F.col("__doc").eqNullSafe(F.col("__d")) & (F.col("__row") == F.col("__r")))
+    by_row = materialize(by_row.select(F.col("id.doc_id").alias("__d"), F.col("id.row").alias("__r"), "__all", "__m"), "mix-rows")
+    names = [c for c in docs.columns if c != "copy"]
+    d = docs.select(*names).withColumns({"__doc": F.col("doc_id"), "__row": F.xxhash64("text")})
+    hot = by_row.where(F.col("__m") > HOT).select("__d", "__r")
+    mine = F.col("__doc").eqNullSafe(F.col("__d")) & (F.col("__row") == F.col("__r"))
+    if hot.isEmpty():
+        d = numbered_rows(d, [])
+    else:
+        d = numbered_rows(d.join(hot, mine, "left_anti"), []).unionByName(numbered_hot_rows(d.join(hot, mine, "left_semi")))
+    d = d.join(by_row, mine)
     one_more = F.when(F.col("__nth") <= F.col("__all") % F.col("__m"), 1).otherwise(0)
     n = F.floor(F.col("__all") / F.col("__m")) + one_more
     copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n"))).alias("copy")
-    out = [F.col(c) for c in names if c != "copy"]
-    return d.withColumn("__n", n).where("__n > 0").select(*out, copy)
+    return d.withColumn("__n", n).where("__n > 0").select(*names, copy)
+
+
+def numbered_rows(d: DataFrame, salt: list[str]) -> DataFrame:
+    """Adds ``__nth`` (1, 2, ...) among the rows of a key (and salt)."""
+    return d.withColumn("__nth", F.row_number().over(Window.partitionBy("__doc", "__row", *salt).orderBy("__doc")))
+
+
+def numbered_hot_rows(d: DataFrame) -> DataFrame:
+    """The same for keys of many rows, in no one task: numbered by the partition they were written from, then moved on by the counts before."""
+    d = materialize(d.withColumn("__salt", F.spark_partition_id()), "mix-hot")
+    key = ["__doc", "__row", "__salt"]
+    before = Window.partitionBy("__doc", "__row").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per key and partition
+    offset = d.groupBy(*key).agg(F.count("*").alias("n")).withColumn("__before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    offset = offset.select(F.col("__doc").alias("__d0"), F.col("__row").alias("__r0"), F.col("__salt").alias("__s0"), "__before")
+    same = F.col("__doc").eqNullSafe(F.col("__d0")) & (F.col("__row") == F.col("__r0")) & (F.col("__salt") == F.col("__s0"))
+    out = numbered_rows(d, ["__salt"]).join(offset, same)
+    return out.withColumn("__nth", F.col("__nth") + F.col("__before")).drop("__salt", "__d0", "__r0", "__s0", "__before")

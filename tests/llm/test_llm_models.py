@@ -475,6 +475,41 @@ def test_mix_rounds_without_bias(spark):
         assert total[k] / (150 * runs) == pytest.approx(total["p", k], abs=0.06)
 
 
+def test_mix_numbers_a_hot_row_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(pivotal_mix, "HOT", 20)
+    rows = [row(700, "same words here")] * 300 + [row(None, None)] * 50 + [row(i, f"text {i} " * (i % 9), source="b") for i in range(40)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(6).withColumn("copy", F.lit("theirs"))
+    plan = {(r["id"]["doc_id"], r["id"]["row"]): r["n"] for r in pivotal_mix.copies(pivotal_mix.units(docs)).groupBy("id").agg(F.sum("copies").alias("n")).collect()}
+    got = pivotal_mix.mixed(docs)
+    assert got.columns == [*SCHEMA.names, "copy"] and dict(got.dtypes)["copy"] == "bigint"
+    n = collections.Counter(r["doc_id"] for r in got.collect())
+    assert n == {d: c for (d, _), c in plan.items() if c}
+    each = collections.Counter(r["copy"] for r in got.where("doc_id = 700").collect())
+    assert max(each) <= 3 and (len(each) == 1 or each[1] == 300)  # copies are shared evenly among the equal rows
+
+
+def test_dart_bucket_of_several_components_in_parts(spark, monkeypatch):
+    """Texts around two centres that share a band: the same classes however a bucket is cut."""
+    rng = np.random.default_rng(12)
+    words = [f"w{i}" for i in range(300)]
+    texts = []
+    for centre in range(3):
+        base = list(words)
+        for i in rng.integers(0, 300, 14 * centre):
+            base[i] = f"c{centre}x{i}"
+        for v in range(8):
+            t = list(base)
+            for i in rng.integers(0, 300, 2):
+                t[i] = f"v{centre}y{v}"
+            texts.append(" ".join(t))
+    docs = spark.createDataFrame([row(i, t) for i, t in enumerate(texts)], SCHEMA)
+    found = []
+    for pairs in (1 << 22, 4):
+        monkeypatch.setattr(dart_minhash, "TASK_PAIRS", pairs)
+        found.append(sorted((r["doc"], r["class_id"], r["class_size"]) for r in dart_minhash.classes(docs).collect()))
+    assert found[0] == found[1] and len({c for _, c, _ in found[0]}) >= 2
+
+
 def test_mix_edges(spark):
     out = pivotal_mix.copies(pivotal_mix.units(edge_docs(spark))).collect()
     assert len(out) == len(edge_rows())
