@@ -51,7 +51,7 @@ MOST_BITS = int(BITS / 2 * (1 - SIMILARITY) + 3 * np.sqrt(BITS * (1 - SIMILARITY
 #: Pairs of a bucket that one task looks at, about, and the most parts of a bucket.
 TASK_PAIRS, MOST_PARTS = 1 << 22, 1 << 14
 #: Shingle sets that a comparing task holds, in bytes, about.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SLICE = 2 << 20
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
