@@ -35,7 +35,6 @@ DEFAULT_SLA_HOURS = 48
 DEFECT_TYPES = ["Damaged in transit", "Wrong item", "Missing item", "Late delivery", "Packaging defect"]
 ROOT_CAUSES = ["Carrier", "Warehouse", "Supplier", "Customer error"]
 REPORT_TYPES = ["RETURN", "DEFECT"]
-REFERENCE_WAREHOUSE_IDS = ["FC_SEA1", "FC_LAX2", "FC_ORD3", "FC_JFK4", "FC_ATL5", "FC_DFW6"]
 DIM_DATE_START = "2024-01-01"
 DIM_DATE_END = "2027-12-31"
 PROCESSING_HOURS_FILL = -1.0
