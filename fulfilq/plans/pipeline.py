@@ -11,6 +11,7 @@ whose files did not change since the last run are skipped (``sources.ledger``).
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from dataclasses import dataclass
 
@@ -21,7 +22,7 @@ from fulfilq.operators import audit, cleanse, dims, marts
 from fulfilq.operators.upsert import changed_rows, meetings, newest, settle_quarantine, upsert_scd2, without_keys
 from fulfilq.schemas import GONE, LOAD_SEQ, SPECS
 from fulfilq.session import configure, input_bytes, sized_shuffles
-from fulfilq.sources import ledger, storage
+from fulfilq.sources import key_sketch, ledger, storage
 
 log = logging.getLogger(__name__)
 
@@ -149,9 +150,10 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, partiti
     For partitioned tables only the touched ``event_date`` days (NULL is one of
     them) are read, and their merged rows are written once and moved in by a
     journal. ``keys_may_move=True`` also finds the days where the batch's keys
-    live today (a join over the target's key, date and order columns only), so a
-    key whose date changed leaves no stale copy; with ``False`` only the batch's
-    own days are looked at: the cost follows the batch.
+    live today, so a key whose date changed leaves no stale copy: the key sketches
+    beside the days (``sources.key_sketch``) name the days that may hold one, and
+    only those days' key, date and order columns are joined. With ``False`` only
+    the batch's own days are looked at and no sketches are kept.
 
     Returns the batch metrics (rows, max partition date) observed while the
     batch was written, so counting costs no extra pass.
@@ -163,7 +165,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, partiti
     stored = storage.has_data(spark, path)
     if not marked and quarantined is None and (whole or not stored):
         if partitioned:
-            storage.replace_days(spark, batch, path, keys, observe=obs)
+            storage.replace_days(spark, batch, path, keys, observe=obs, sketch=key_sketch.write if keys_may_move else None)
         else:
             _replace_flat(spark, batch, path, keys, observe=obs)
         return obs[0].get
@@ -208,15 +210,19 @@ def _merge_days(spark, path, batch, keys, latest_by, keys_may_move, alone) -> li
     """Replace the touched days of the table by their merge with the batch; returns the scratch tables used."""
     part = storage.PART_COL
     marked = GONE in batch.columns
+    sketch = key_sketch.write if keys_may_move else None
 
     def live(df):
         return df.where(~F.col(GONE)).drop(GONE) if marked else df
 
     if alone:
-        storage.replace_days(spark, live(batch), path, keys)
+        storage.replace_days(spark, live(batch), path, keys, sketch=sketch)
         return []
     target = _target(spark, path, live(batch))
-    if not keys_may_move:
+    if keys_may_move:
+        may_hold = key_sketch.days_that_may_hold(spark, path, batch, keys)
+        target = target.where(_in_days([None if d == NULL_FOLDER else dt.date.fromisoformat(d) for d in sorted(may_hold)]))
+    else:
         target = target.where(_in_days([r[0] for r in batch.select(part).distinct().collect()]))
     hits = storage.materialize(spark, meetings(target, batch, keys, latest_by, [part]), "hits")
     # day values are bounded by the number of days, so they are collected as literals for partition pruning
@@ -225,14 +231,26 @@ def _merge_days(spark, path, batch, keys, latest_by, keys_may_move, alone) -> li
         batch = without_keys(batch, hits.where("stored_newer"), keys)
     leaving = {r[part] for r in met if not r["stored_newer"]}
     days = leaving | {r[0] for r in live(batch).select(part).distinct().collect()}
-    rest = target.where(_in_days(list(days)))
+    rest = _target(spark, path, live(batch)).where(_in_days(list(days)))
     if leaving:
         rest = without_keys(rest, hits.where(~F.col("stored_newer")), keys)
     if days:
-        storage.replace_days(spark, rest.unionByName(live(batch)), path, keys, list(days))
+        storage.replace_days(spark, rest.unionByName(live(batch)), path, keys, list(days), sketch=sketch)
     return [hits._scratch_path]
 
 
+def _check_surrogate_keys(spark: SparkSession, path: str, batch: DataFrame, keys, table: str, partitioned: bool) -> None:
+    """two business keys with one surrogate key, in the batch or between it and the table, fail the load."""
+    storage.recover(spark, path)
+    stored = None
+    if storage.has_data(spark, path):
+        stored = storage.read_curated(spark, path)
+        if partitioned:  # a key that collides sets the same bits, so its day is among these
+            may_hold = key_sketch.days_that_may_hold(spark, path, batch, keys)
+            stored = stored.where(_in_days([None if d == NULL_FOLDER else dt.date.fromisoformat(d) for d in sorted(may_hold)]))
+    key_sketch.check_collisions(stored, batch, keys, table)
+
+
 def _target(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The stored table with the columns of ``like``; one that it lacks (an older table) is NULL."""
     stored = storage.read_curated(spark, path)
@@ -291,6 +309,7 @@ def run_load(spark: SparkSession, layout: Layout, watermark=None,
                 batch = changed_rows(batch, _target(spark, path, batch), keys)
             left = spark.read.parquet(_quarantine(source)) if storage.has_data(spark, _quarantine(source)) else None
             with sized_shuffles(spark, input_bytes(spark, source)):
+                _check_surrogate_keys(spark, path, batch, keys, table, spec.table_partitioned)
                 m = upsert_table(spark, path, batch, keys, spec.table_partitioned,
                                  scd2=(table == "dim_warehouse"), keys_may_move=keys_may_move,
                                  latest_by=spec.latest_by, unique=True, quarantined=left)

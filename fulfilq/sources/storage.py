@@ -37,6 +37,8 @@ from fulfilq.session import scratch_path
 
 PART_COL = "event_date"
 FOLDER_COL = "date"
+#: Key sketches of a table's days, below its folder (``sources.key_sketch``).
+SKETCHES = "_keys"
 
 
 # ---------------------------------------------------------------------------
@@ -264,7 +266,7 @@ def day_folder(day, part_col: str = PART_COL) -> str:
 
 
 def replace_days(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], days: Sequence | None = None,
-                 part_col: str = PART_COL, observe=None) -> None:
+                 part_col: str = PART_COL, observe=None, sketch=None) -> None:
     """Make ``df`` the content of ``days`` (values of ``part_col``; ``None``: of the whole table), all or nothing.
 
     The new days are written beside the table, so ``df`` may read the days it
@@ -272,7 +274,9 @@ def replace_days(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[s
     point from which the change counts; the moves follow, and a crash among them
     is finished by the next ``recover``. A day of ``days`` without rows in ``df`` goes.
     Moves are renames: one file system, one writer per table. A reader that lists
-    the table during the moves may miss a day.
+    the table during the moves may miss a day. ``sketch(spark, staged, keys)`` may
+    write key sketches of the staged days; they are moved in with their days, and a
+    replaced day's old one goes.
     """
     recover(spark, path)
     run = uuid.uuid4().hex
@@ -286,7 +290,12 @@ def replace_days(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[s
     named = old if days is None else {day_folder(d, part_col) for d in days}
     if not new & old <= named:
         raise ValueError(f"rows of days that are not to be replaced: {sorted(new & old - named)}")
-    _write_text(spark, _journal(path), json.dumps({"staged": staged, "aside": aside, "new": sorted(new), "gone": sorted((named & old) - new)}))
+    if sketch is not None and new:
+        sketch(spark, staged, keys)
+    below = {f"{SKETCHES}/{n}" for n in files(spark, f"{staged}/{SKETCHES}")}
+    stale = {f"{SKETCHES}/{n}" for n in files(spark, f"{path.rstrip('/')}/{SKETCHES}") & named} - below
+    _write_text(spark, _journal(path), json.dumps({
+        "staged": staged, "aside": aside, "new": sorted(new | below), "gone": sorted((named & old) - new | stale)}))
     recover(spark, path)
 
 

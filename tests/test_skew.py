@@ -55,3 +55,36 @@ def test_hot_warehouse_mart_matches_plain_sums(spark):
     m2 = marts.shift_performance(fo).agg(F.sum("orders_processed").alias("n")).first()
     assert m6.total_orders == 3000 and m2.n == 3000 and m6.total_revenue_usd == 3000.0
     assert "HashAggregate" in _plan(marts.shift_performance(fo))
+
+
+def test_orphans_of_a_hot_id_stay_where_they_are(spark, monkeypatch):
+    from fulfilq.operators import quality
+
+    monkeypatch.setattr(quality, "HEAVY_IDS", 20)
+    n = 60_000
+    i = F.col("id")
+    # a third of all rows on an id without an order, another third on one with an order, nulls and 1,000 light ids
+    key = (F.when(i % 3 == 0, "HOT").when(i % 3 == 1, "SOLD").when(i % 300 == 2, F.lit(None))
+           .otherwise(F.concat(F.lit("k"), F.pmod(i, F.lit(1000)).cast("string"))))
+    rows = spark.range(0, n, 1, 8).select(key.alias("order_id"), i.alias("v"))
+    orders = spark.range(0, 1000, 2).select(F.concat(F.lit("k"), i.cast("string")).alias("order_id"), F.lit("SHIPPED").alias("order_status"))
+    orders = orders.unionByName(spark.createDataFrame([("SOLD", "SHIPPED"), ("HOT", "PLACED")], orders.schema))
+    got = quality.orphan_shipments(rows, orders)
+    sold = {r.order_id for r in orders.where("order_status = 'SHIPPED'").collect()}
+    assert sorted(r.v for r in got.collect()) == [r.v for r in rows.orderBy("v").collect() if r.order_id not in sold]
+    hot = got.where("order_id = 'HOT'").groupBy(F.spark_partition_id()).count().collect()
+    sizes = sorted(r["count"] for r in hot)
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+    plan = _plan(got)
+    assert "TakeOrderedAndProject" in plan  # the bound of what is broadcast
+
+
+def test_orphan_listing_without_rows(spark):
+    from fulfilq.operators import quality
+
+    none = spark.createDataFrame([], "order_id string, v long")
+    orders = spark.createDataFrame([("a", "SHIPPED")], "order_id string, order_status string")
+    assert quality.orphan_shipments(none, orders).count() == 0
+    some = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "order_id string, v long")
+    assert sorted(r.v for r in quality.orphan_shipments(some, orders.limit(0)).collect()) == [1, 2, 3]
+    assert sorted(r.v for r in quality.orphan_shipments(some, orders).collect()) == [2, 3]
