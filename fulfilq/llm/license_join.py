@@ -13,7 +13,9 @@ With ``across_lines`` (the registered query) a block also goes on over single
 line breaks, up to an empty line or the end of a sentence. There the 0.8 must be
 met in one line, as without it, or within ``SPAN`` times the notice's number of
 words, so a wrapped notice is found at any width and a long list of lines does
-not add up to one. The filters run on the whole block, which holds both.
+not add up to one. The filters run on the whole block, which holds both. A template
+may name words that such a line or stretch must hold beside the 0.8 (the
+licence's name), or must not hold (those that make it another licence).
 
 DataFrame functions only. Null or empty text: no words, no labels, score 0.
 Repeated rows: one result row each. No rows: no result.
@@ -38,19 +40,24 @@ SPAN = 2
 THRESHOLD = 0.8
 #: phrase -> label, found as consecutive words.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
-#: (label, notice): short public licence notices; the list is a parameter of the scan.
+#: (label, notice, words it must have, words it must not have): short public licence notices; the list is a
+#: parameter of the scan, the last two may be left out. The words that name a licence are not among the 0.2
+#: of a notice that may be missing.
 TEMPLATES = (
-    ("mit", "released under the MIT License"),
+    ("mit", "released under the MIT License", ("mit",)),
     ("mit", "permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
-    ("apache", "licensed under the Apache License, Version 2.0"),
-    ("gpl", "licensed under the GNU General Public License, version 3"),
-    ("gpl", "you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("apache", "licensed under the Apache License, Version 2.0", ("apache",)),
+    ("gpl", "licensed under the GNU General Public License, version 3", ("gnu",)),
+    ("gpl", "you can redistribute it and/or modify it under the terms of the GNU General Public License", ("gnu",)),
+    ("bsd", "released under the BSD License", ("bsd",)),
     ("bsd", "redistribution and use in source and binary forms, with or without modification, are permitted"),
-    ("mpl", "subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("cc-by-nc", "licensed under CC BY-NC 4.0"),
-    ("cc-by-sa", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
-    ("cc-by", "licensed under a Creative Commons Attribution 4.0 International License"),
-    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("mpl", "subject to the terms of the Mozilla Public License, v. 2.0", ("mozilla",)),
+    ("cc-by-nc", "licensed under CC BY-NC 4.0", ("cc", "nc")),
+    ("cc-by-sa", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", ("commons", "sharealike")),
+    ("cc-by", "licensed under a Creative Commons Attribution 4.0 International License", ("commons", "attribution"),
+     ("sharealike", "noncommercial", "noderivatives")),
+    ("cc-by", "licensed under CC BY 4.0", ("cc", "by"), ("nc", "sa", "nd")),
+    ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered",)),
 )
 #: Templates are a parameter; their tokens stay literals of the plan up to this bound.
 MOST_TOKENS = 20_000
@@ -61,12 +68,17 @@ def notice_words(notice: str) -> list[str]:
 
 
 def template_sets(templates=TEMPLATES) -> list[tuple[str, list[str]]]:
-    out = [(label, sorted(set(notice_words(notice)))) for label, notice in templates]
+    out = [(label, sorted(set(notice_words(notice)))) for label, notice, *_ in templates]
     if sum(len(t) for _, t in out) > MOST_TOKENS:
         raise ValueError(f"templates hold more than {MOST_TOKENS} tokens; scan in several calls")
     return out
 
 
+def named(templates=TEMPLATES) -> list[tuple[tuple[str, ...], tuple[str, ...]]]:
+    """Per template the words that a place must hold, and those that it must not."""
+    return [(tuple((rest[0] if rest else ())), tuple((rest[1] if len(rest) > 1 else ()))) for _, _, *rest in templates]
+
+
 def need(n: int, threshold: float = THRESHOLD) -> int:
     return max(1, math.ceil(n * threshold - 1e-9))
 
@@ -90,11 +102,16 @@ def blocks(docs: DataFrame, across_lines: bool = False) -> DataFrame:
     return docs.select("doc", "row", tokens.alias("tokens")).where(F.size("tokens") > 0)
 
 
-def closest(block: Column, t: Column, span: Column) -> Column:
-    """Most tokens of ``t`` in one line of ``block``, or in ``span`` consecutive words of it."""
+def fits(part: Column, must: Column, never: Column) -> Column:
+    """All words of ``must`` and none of ``never`` are in ``part``."""
+    return (F.size(F.array_except(must, part)) == 0) & ~F.arrays_overlap(never, part)
+
+
+def closest(block: Column, t: Column, span: Column, must: Column, never: Column) -> Column:
+    """Most tokens of ``t`` in one line of ``block``, or in ``span`` consecutive words of it; 0 where the line or words don't fit."""
 
     def held(part):
-        return F.size(F.array_intersect(t, part))
+        return F.when(fits(part, must, never), F.size(F.array_intersect(t, part))).otherwise(0)
 
     def let(value, use):
         # the value is computed once, not in every step of the loops inside
@@ -119,11 +136,17 @@ def frequencies(b: DataFrame, sets) -> dict[str, int]:
     return {t: found.get(t, 0) for t in every}
 
 
-def matches(b: DataFrame, sets, threshold: float = THRESHOLD, spans: list[int] | None = None) -> DataFrame:
+def matches(b: DataFrame, sets, threshold: float = THRESHOLD, spans: list[int] | None = None, names=None) -> DataFrame:
     """(doc, row, label, containment) of every block and template that meet the threshold.
 
     ``spans``: words of each template within which blocks across lines must meet it.
+    ``names``: the words of each template that must be there, and those that must not.
     """
+    names = names or [((), ())] * len(sets)
+
+    def words_of(some):
+        return F.array(*map(F.lit, some)).cast("array<string>")
+
     freq = frequencies(b, sets)
     order = {t: i for i, t in enumerate(sorted(freq, key=lambda t: (freq[t], t)))}
     index = []
@@ -139,6 +162,7 @@ def matches(b: DataFrame, sets, threshold: float = THRESHOLD, spans: list[int] |
             F.lit(token).alias("token"), F.lit(k).alias("template"), F.lit(label).alias("label"),
             F.lit(i).alias("at"), F.lit(least).alias("least"), F.array(*map(F.lit, tokens)).alias("t"),
             F.lit(spans[k] if spans else 0).alias("span"),
+            words_of(names[k][0]).alias("must"), words_of(names[k][1]).alias("never"),
         )
         for token, k, label, i, least, tokens in index
     ]
@@ -162,10 +186,12 @@ def matches(b: DataFrame, sets, threshold: float = THRESHOLD, spans: list[int] |
     room = 1 + F.least(F.size("t") - F.col("at") - 1, F.size("b") - F.array_position("b", F.col("token")).cast("int"))
     pairs = pairs.where(room >= F.col("least"))
     pairs = pairs.where(F.size(common) >= F.col("least"))
+    pairs = pairs.where(F.size(F.array_except("must", "tokens")) == 0)
     if not spans:
+        pairs = pairs.where(~F.arrays_overlap("never", "tokens"))
         return pairs.select("doc", "row", "label", (F.size(common) / F.size("t")).alias("containment"))
     # a generator again: only the pairs that are left are counted, and once
-    n = F.explode(F.array(closest(F.col("block"), F.col("t"), F.col("span"))))
+    n = F.explode(F.array(closest(*map(F.col, ("block", "t", "span", "must", "never")))))
     pairs = pairs.select("doc", "row", "label", "least", F.size("t").alias("size"), n.alias("n"))
     return pairs.where(F.col("n") >= F.col("least")).select("doc", "row", "label", (F.col("n") / F.col("size")).alias("containment"))
 
@@ -198,8 +224,8 @@ def scan(
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    spans = [SPAN * len(notice_words(notice)) for _, notice in templates] if across_lines else None
-    found = matches(blocks(d, across_lines), sets, threshold, spans)
+    spans = [SPAN * len(notice_words(notice)) for _, notice, *_ in templates] if across_lines else None
+    found = matches(blocks(d, across_lines), sets, threshold, spans, named(templates))
     found = found.groupBy(F.col("doc").alias("d"), F.col("row").alias("r")).agg(
         F.collect_set("label").alias("own"), F.max("containment").alias("best")
     )

@@ -48,32 +48,57 @@ from marked group by r, doc_id
 """
 
 
+def _list(some) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in some) + "]::varchar[]"
+
+
 def op5(templates=license_join.TEMPLATES) -> str:
+    """The scan across lines, as the query runs it: a notice is met in one line, or in SPAN times its words of a block."""
     sets = license_join.template_sets(templates)
-    values = ", ".join(f"({k}, '{label}', '{t}', {len(s)}, {license_join.need(len(s))})" for k, (label, s) in enumerate(sets) for t in s)
+    names = license_join.named(templates)
+    spans = [license_join.SPAN * len(license_join.notice_words(t[1])) for t in templates]
+    values = ", ".join(
+        f"({k}, '{label}', {_list(s)}, {license_join.need(len(s))}, {spans[k]}, {_list(names[k][0])}, {_list(names[k][1])})"
+        for k, (label, s) in enumerate(sets)
+    )
     union = " union all ".join(
         f"select r, '{label}' label, i - 1 pos from (select r, w, unnest(range(1, len(w) + 1)) i from d) "
         f"where list_slice(w, i, i + {len(p.split()) - 1}) = [{', '.join(repr(x) for x in p.split())}]"
         for p, label in license_join.PHRASES.items()
     )
+    # a mark before blanks and a digit keeps "v. 2.0" from ending a sentence: the patterns here know no lookahead
+    text = r"regexp_replace(coalesce(text, ''), '([.!?])([ \t\r\n]+[0-9])', '\1' || chr(1) || '\2', 'g')"
     return f"""
-with d as (select row_number() over () r, doc_id, text, {_words("text")} w from documents),
+with d as (select row_number() over () r, doc_id, {text} text, {_words("text")} w from documents),
 place as ({union}),
 base as (
   select r, count(*) n_base, min(pos) first_word, max(pos) last_word, string_agg(distinct label, ',' order by label) base_labels
   from place group by r
 ),
-t(k, label, token, size, need) as (values {values}),
+t(k, label, tokens, need, span, must, never) as (values {values}),
 block as (
-  select r, b, list_distinct({_words("block")}) w
+  select r, b, block, {_words("block")} w
   from (select r, unnest(s) block, unnest(range(1, len(s) + 1)) b
-        from (select r, regexp_split_to_array(coalesce(text, ''), '\\n|[.!?][ \\t]') s from d))
+        from (select r, regexp_split_to_array(text, '\\n[ \\t\\r]*\\n|[.!?](?:[ \\t]|\\r?\\n)') s from d))
+),
+tokens as (select k, need, unnest(tokens) token from t),
+near as (
+  select r, b, k from (select r, b, unnest(list_distinct(w)) token from block) join tokens using (token)
+  group by r, b, k, need having count(*) >= need
+),
+close as (select * from near join block using (r, b) join t using (k)),
+part as (
+  select r, label, tokens, need, must, never, {_words("line")} p from (
+    select r, label, tokens, need, must, never, unnest(regexp_split_to_array(block, '\\n|[.!?][ \\t]')) line from close)
+  union all
+  select r, label, tokens, need, must, never, list_slice(w, i, i + span - 1) p
+  from (select *, unnest(range(1, len(w) + 1)) i from close) where list_contains(tokens, w[i])
 ),
-common as (
-  select r, b, k, any_value(label) label, count(*) n, any_value(size) size, any_value(need) need
-  from (select r, b, unnest(w) token from block) join t using (token) group by r, b, k
+held as (
+  select r, label, len(list_intersect(tokens, p)) n, len(tokens) size, need from part
+  where list_has_all(p, must) and not list_has_any(p, never)
 ),
-found as (select r, label, n / size c from common where n >= need),
+found as (select r, label, n / size c from held where n >= need),
 own as (select r, max(c) best from found group by r),
 every as (select r, string_agg(distinct label, ',' order by label) labels
           from (select r, label from found union all select r, label from place) group by r)
