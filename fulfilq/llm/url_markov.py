@@ -10,9 +10,11 @@ from all labelled URLs (Spark partial histograms, summed by gram); shorter
 orders are their margins; each order is interpolated with the next shorter one
 by Witten-Bell smoothing.
 
-The threshold is calibrated on a fifth of the labelled URLs that training leaves
-out: the least score histogram bin at which no more than ``FALSE_BLOCK`` of the
-held-out accepted URLs would be blocked.
+The threshold is calibrated on the labelled URLs of a fifth of the hosts, which
+training leaves out whole (URLs of one host look alike, so a hold-out by URL
+would measure what the model has seen): the largest score histogram bin at which
+no more than ``FALSE_BLOCK`` of the held-out accepted URLs would be blocked, and
+never above 0. Without held-out accepted URLs it is 0.
 
 A null URL, or one without "://", has empty host and path; it is scored over
 the text it has, and an empty one is allowed. Without labelled URLs of both
@@ -173,7 +175,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
     p = p.withColumns({"rule": rule, "by_rule": verdict})
     labelled = p.where("by_rule is not null").select(
-        "url", (F.col("by_rule") == "allow").alias("accepted"), F.pmod(F.xxhash64("url"), F.lit(FOLDS)).alias("fold")
+        "url", (F.col("by_rule") == "allow").alias("accepted"), F.pmod(F.xxhash64("host"), F.lit(FOLDS)).alias("fold")
     )
     model = train(labelled.where("fold > 0").select("url", "accepted"))
     if model is None:
