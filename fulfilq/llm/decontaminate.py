@@ -7,8 +7,10 @@ once, all phrases are searched in it backwards together, occurrences are
 located by sampled suffix positions, and their spans merged per document. A
 shard border overlaps by a window, so a document of any length is covered.
 
-The benchmark comes in blocks of ``BLOCK_BYTES`` of text, each broadcast on its
-own; more blocks are more passes over the rows, chained without a shuffle.
+The distinct benchmark items come in blocks of ``BLOCK_BYTES`` of text. One block
+is searched in one lazy pass. With more, each is broadcast, searched and released
+before the next is collected, so driver and executors hold one block whatever the
+size of the benchmark; its hits are stored by row and merged at the end.
 
 Null or empty texts have no words and are clean; null or empty items give no
 window; an item with a null id counts under the empty id. Repeated rows: one
@@ -23,14 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fulfilq.llm.common import ALNUM, LOWER, Words, slices, text_buffer
+from fulfilq.llm.common import ALNUM, LOWER, Words, discard, materialize, slices, text_buffer
 from fulfilq.llm.fm_index import FMIndex
+from fulfilq.session import scratch_path
+from fulfilq.sources.storage import remove
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
 BLOCK_BYTES = 16 << 20
 
 SPANS = "array<struct<start:bigint,end:bigint>>"
+MARKS = ["__n_words", "__spans", "__items"]
 
 
 class Phrases:
@@ -112,61 +117,116 @@ def search(texts, p: Phrases, shard_words: int):
     return buf, off, words, hit, items
 
 
-def blocks_of(benchmark: DataFrame, block_bytes: int, window: int):
-    """The benchmark's phrases in broadcasts of bounded size."""
+def block_count(benchmark: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
+    """(the distinct items with text, number of blocks they are cut into)."""
     b = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), F.coalesce("text", F.lit("")).alias("text")
-    ).where(F.length("text") > 0)
+    )
+    b = b.where(F.length("text") > 0).distinct()
     total = b.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    for k in range(n):
-        part = b if n == 1 else b.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k)
-        rows = part.orderBy("id", "text").collect()
-        yield benchmark.sparkSession.sparkContext.broadcast(Phrases([r["id"] for r in rows], [r["text"] for r in rows], window))
+    return b, max(1, -(-total // block_bytes))
+
+
+def block(items: DataFrame, k: int, n: int, window: int):
+    """Broadcast of the phrases of block k of n: a block of items is all that the driver holds."""
+    part = items if n == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k)
+    rows = part.orderBy("id", "text").collect()
+    return items.sparkSession.sparkContext.broadcast(Phrases([r["id"] for r in rows], [r["text"] for r in rows], window))
 
 
 def hits(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """Adds to the rows of ``docs`` (must have text): __n_words, __spans (words, end exclusive, merged), __items."""
-    extra = f"__n_words bigint, __spans {SPANS}, __items array<string>"
-    out = docs.withColumns(
-        {
-            "__n_words": F.lit(0).cast("bigint"),
-            "__spans": F.array().cast(SPANS),
-            "__items": F.array().cast("array<string>"),
-        }
-    )
-    schema = T.StructType(docs.schema.fields + T._parse_datatype_string(extra).fields)
+    items, n = block_count(benchmark, block_bytes)
+    if n == 1:
+        return hits_of_block(docs, block(items, 0, 1, window), shard_words)
+    return hits_of_blocks(docs, items, n, window, shard_words)
+
+
+def hits_of_block(docs: DataFrame, shared, shard_words: int) -> DataFrame:
+    names = docs.columns
+
+    def run(batches):
+        p = shared.value
+        for b in slices(batches, "text"):
+            _, _, words, hit, found = search(b.column("text"), p, shard_words)
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in names), pa.array(words.count), span_column(words, hit), item_column(found, b.num_rows)],
+                [*names, *MARKS],
+            )
+
+    return docs.mapInArrow(run, marked_schema(docs))
+
+
+def hits_of_blocks(docs: DataFrame, items: DataFrame, n: int, window: int, shard_words: int) -> DataFrame:
+    """As ``hits``, one pass per block: what a block hits is written, and its broadcast released, before the next.
+
+    Only hit rows are written, by a row number of the stored documents, so a
+    pass costs reading the texts; the merged spans meet their rows in one join.
+    """
+    spark = docs.sparkSession
     names = docs.columns
-    for shared in blocks_of(benchmark, block_bytes, window):
+    stored = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "fm-documents")
+    path = scratch_path(spark, "fm-hits")
+    for k in range(n):
+        shared = block(items, k, n, window)
 
         def run(batches, shared=shared):
-            p = shared.value
             for b in slices(batches, "text"):
-                _, _, words, hit, items = search(b.column("text"), p, shard_words)
-                old_items, spans = b.column("__items").to_pylist(), b.column("__spans").to_pylist()
-                for d, s in enumerate(spans):  # spans of earlier blocks
-                    for x in s:
-                        hit[words.first[d] + x["start"] : words.first[d] + x["end"]] = True
-                new_items = {}
-                for d, i in items:
-                    new_items.setdefault(d, set()).add(i)
-                merged = [sorted({*o, *new_items.get(d, ())}) for d, o in enumerate(old_items)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(b.column(c) for c in names),
-                        pa.array(words.count),
-                        span_column(words, hit),
-                        pa.array(merged, pa.list_(pa.string())),
-                    ],
-                    [*names, "__n_words", "__spans", "__items"],
-                )
-
-        out = out.mapInArrow(run, schema)
+                _, _, words, hit, found = search(b.column("text"), shared.value, shard_words)
+                spans = span_column(words, hit)
+                some = pa.compute.greater(pa.compute.list_value_length(spans), 0)
+                every = [b.column("__row"), spans, item_column(found, b.num_rows)]
+                yield pa.RecordBatch.from_arrays(every, ["__row", "__spans", "__items"]).filter(some)
+
+        part = stored.select("__row", "text").mapInArrow(run, f"__row bigint, __spans {SPANS}, __items array<string>")
+        part.write.mode("append").parquet(path)
+        shared.destroy()
+    parts = spark.read.schema(part.schema).parquet(path)
+    of_row = parts.groupBy("__row").agg(
+        F.flatten(F.collect_list("__spans")).alias("__spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("__items")))).alias("__items"),
+    )
+
+    def merge(batches):
+        for b in slices(batches, "text"):
+            buf, off = text_buffer(b.column("text"))
+            words = Words(buf, off, ALNUM)
+            edges = np.zeros(len(words.doc) + 1, np.int64)
+            for first, spans in zip(words.first, b.column("__spans").to_pylist(), strict=False):
+                for s in spans or ():
+                    edges[first + s["start"]] += 1
+                    edges[first + s["end"]] -= 1
+            found = [x or [] for x in b.column("__items").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(b.column(c) for c in names),
+                    pa.array(words.count),
+                    span_column(words, np.cumsum(edges[:-1]) > 0),
+                    pa.array(found, pa.list_(pa.string())),
+                ],
+                [*names, *MARKS],
+            )
+
+    out = stored.join(of_row, "__row", "left").select(*names, "__spans", "__items").mapInArrow(merge, marked_schema(docs))
+    out._reads = [stored._scratch, path]  # tables that the lazy result reads
     return out
 
 
+def marked_schema(docs: DataFrame) -> T.StructType:
+    extra = f"__n_words bigint, __spans {SPANS}, __items array<string>"
+    return T.StructType(docs.schema.fields + T._parse_datatype_string(extra).fields)
+
+
+def item_column(found: list[tuple[int, str]], rows: int) -> pa.Array:
+    """The sorted ids of each document of a slice, from sorted (document, item id)."""
+    out = [[] for _ in range(rows)]
+    for d, i in found:
+        out[d].append(i)
+    return pa.array(out, pa.list_(pa.string()))
+
+
 def runs(words: Words, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, first word, end word) of the merged runs of hit words, word numbers over the slice."""
     n = len(hit)
@@ -191,49 +251,71 @@ def span_column(words: Words, hit: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(off), pairs)
 
 
-def cut(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
+def cut(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """``docs`` with every occurrence of a benchmark window cut out of the texts, columns unchanged.
 
     A cut leaves a line break. Texts are searched again until none is left (a
     cut can bring words together); a document without words left goes. n_chars,
-    where there is one, follows the text.
+    where there is one, follows the text. With one block of phrases a text is
+    searched again where it is; with more, the changed texts are searched again
+    together, block by block, and the result is a stored table. Both give the same rows.
+    """
+    items, n = block_count(benchmark, block_bytes)
+    if n == 1:
+        shared = block(items, 0, 1, window)
+        return cut_marked(hits_of_block(docs, shared, shard_words), docs, shared, shard_words).drop("__again")
+    spark = docs.sparkSession
+    path, left, last = scratch_path(spark, "fm-cut"), docs, None
+    while True:
+        marked = hits_of_blocks(left, items, n, window, shard_words)
+        now = materialize(cut_marked(marked, docs, None, shard_words), "fm-round")
+        for used in marked._reads if last is None else [*marked._reads, last._scratch]:
+            remove(spark, used)
+        now.where("not __again").drop("__again").write.mode("append").parquet(path)
+        left, last = now.where("__again").drop("__again"), now
+        if left.isEmpty():
+            discard(now)
+            return spark.read.schema(docs.schema).parquet(path)
+
+
+def cut_marked(marked: DataFrame, docs: DataFrame, shared, shard_words: int) -> DataFrame:
+    """Rows of ``marked`` (see ``hits``) with their spans cut out, and ``__again``: the text must be searched again.
+
+    With the broadcast phrases ``shared`` it is searched again at once until nothing is left.
     """
     names = docs.columns
-    marked = hits(docs, benchmark, window, shard_words)
-    # every block of phrases: the texts that a cut changed are searched again with each
-    shared = list(blocks_of(benchmark, BLOCK_BYTES, window))
 
     def run(batches):
         for b in slices(batches, "text"):
             old = b.column("text").to_pylist()
             buf, off = text_buffer(b.column("text"))
             words = Words(LOWER[buf], off, ALNUM)
-            new, keep = list(old), np.ones(len(old), bool)
+            new, keep, more = list(old), np.ones(len(old), bool), np.zeros(len(old), bool)
             for d, spans in enumerate(b.column("__spans").to_pylist()):
                 if not spans:
                     continue
                 data, at = bytes(buf[off[d] : off[d + 1]]), words.first[d]
                 places = [(words.start[at + s["start"]] - off[d], words.end[at + s["end"] - 1] - off[d]) for s in spans]
                 text = without(data, places)
-                while True:
-                    again = 0
-                    for block in shared:
-                        raw, _, w, hit, _ = search(pa.array([text.decode()], pa.large_string()), block.value, shard_words)
-                        _, s, e = runs(w, hit)
-                        again += len(s)
-                        text = without(bytes(raw), list(zip(w.start[s], w.end[e - 1], strict=True)))
-                    if not again:
+                while shared is not None:
+                    raw, _, w, hit, _ = search(pa.array([text.decode()], pa.large_string()), shared.value, shard_words)
+                    _, s, e = runs(w, hit)
+                    if not len(s):
                         break
-                new[d] = text.decode()
+                    text = without(bytes(raw), list(zip(w.start[s], w.end[e - 1], strict=True)))
+                new[d], more[d] = text.decode(), shared is None
                 keep[d] = bool(ALNUM[np.frombuffer(text, np.uint8)].any())
             cols = {c: b.column(c) for c in names}
             cols["text"] = pa.array(new, pa.string())
             if "n_chars" in cols:
                 sizes = [len(t) if t is not o else n for t, o, n in zip(new, old, cols["n_chars"].to_pylist(), strict=True)]
                 cols["n_chars"] = pa.array(sizes, cols["n_chars"].type)
+            cols["__again"] = pa.array(more)
             yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols)).filter(pa.array(keep))
 
-    return marked.mapInArrow(run, docs.schema)
+    return marked.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__again", T.BooleanType())]))
 
 
 def without(data: bytes, places: list[tuple[int, int]]) -> bytes:

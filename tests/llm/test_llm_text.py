@@ -5,6 +5,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import SparkContext
 from llm_cases import SCHEMA, alnum_words, edge_docs, edge_rows, low, no_docs, row
 
 from fulfilq.llm import decontaminate, fm_index, line_bitmap
@@ -94,6 +95,46 @@ def test_cut_leaves_no_window(spark):
     assert 6 not in kept or brute_hits(kept[6], items_rows())[1] == 0
 
 
+def one_alive(monkeypatch):
+    """Lets a test fail if a broadcast of phrases is made while another is alive; counts them."""
+    made, alive, begin = [], set(), SparkContext.broadcast
+
+    def broadcast(self, value):
+        b = begin(self, value)
+        if isinstance(value, decontaminate.Phrases):
+            assert not alive
+            alive.add(b)
+            made.append(len(value.patterns))
+            end = b.destroy
+            b.destroy = lambda *a, **k: (alive.discard(b), end(*a, **k))
+        return b
+
+    monkeypatch.setattr(SparkContext, "broadcast", broadcast)
+    return made
+
+
+def test_blocks_come_one_at_a_time(spark, monkeypatch):
+    items = spark.createDataFrame(items_rows() * 2, "item_id bigint, text string")
+    docs = spark.createDataFrame(decon_rows() * 3 + edge_rows(), SCHEMA).repartition(5)
+    marks = [*docs.columns, *decontaminate.MARKS]
+    one = sorted(map(str, decontaminate.hits(docs, items).select(marks).collect()))
+    whole = sorted(map(str, decontaminate.cut(docs, items).collect()))
+    made = one_alive(monkeypatch)
+    many = sorted(map(str, decontaminate.hits(docs, items, block_bytes=80).select(marks).collect()))
+    assert len(made) >= 3 and many == one
+    assert sorted(map(str, decontaminate.cut(docs, items, block_bytes=80).collect())) == whole
+
+
+def test_cut_of_many_blocks_searches_again(spark):
+    w = [f"q{i}" for i in range(40)]
+    nested = " ".join(w[:5] + w[20:30] + w[5:10])  # the inner window's cut makes the outer one
+    items = spark.createDataFrame([(1, " ".join(w[:10])), (2, " ".join(w[20:30]))], "item_id bigint, text string")
+    docs = spark.createDataFrame([row(1, nested), row(2, "clean " + nested + " end"), row(3, None)], SCHEMA)
+    for block in (decontaminate.BLOCK_BYTES, 20):
+        got = {r["doc_id"]: r["text"] for r in decontaminate.cut(docs, items, block_bytes=block).collect()}
+        assert got == {2: "clean \n end", 3: None}
+
+
 def test_decontamination_edges(spark):
     items = spark.createDataFrame(items_rows(), "item_id bigint, text string")
     assert decontaminate.hits(edge_docs(spark), items).count() == len(edge_rows())
