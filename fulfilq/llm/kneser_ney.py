@@ -25,16 +25,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fulfilq.llm.common import discard, materialize, slices, text_buffer
-from fulfilq.session import scratch_path
-from fulfilq.sources.storage import remove
 
 ORDER = 5
-SHARD_ROWS = 2_000_000
+#: Grams in the broadcast head of the model (16 bytes each).
+HEAD_ROWS = 2_000_000
+#: Steps of occurrence classes per factor 2: a step is a factor of 1.19.
+STEPS = 4
+#: Other grams of a text handed on in one row; a longer list goes in parts.
+PART = 100_000
 QUANTILE = 0.995
 #: Room above the quantile: prose that is new to the model stays, other kinds of text lie far above.
 SLACK = 1.25
@@ -68,14 +71,15 @@ def text_grams(texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_batches(batches):
-    """Distinct (lang, gram) of a task with their count in trusted texts."""
+    """Distinct (lang, gram) of a task with their count in trusted texts (c) and in all (n)."""
     langs: dict[str, int] = {}
-    keys, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys, sums = np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
 
     def rows():
         names = pa.array(list(langs), pa.string())
         lang = names.take(pa.array(keys >> (8 * ORDER)))
-        return pa.RecordBatch.from_arrays([lang, pa.array(keys & ((1 << 8 * ORDER) - 1)), pa.array(sums)], ["lang", "g", "c"])
+        counts = [pa.array(np.ascontiguousarray(x)) for x in sums.T]
+        return pa.RecordBatch.from_arrays([lang, pa.array(keys & ((1 << 8 * ORDER) - 1)), *counts], ["lang", "g", "c", "n"])
 
     for b in slices(batches, "text", SLICE):
         of = np.array([langs.setdefault(x, len(langs)) for x in b.column("lang").to_pylist()], np.int64)
@@ -83,16 +87,16 @@ def count_batches(batches):
         doc, gram = text_grams(b.column("text"))
         gram |= of[doc] << (8 * ORDER)
         new, n_new = np.unique(gram[trusted[doc]], return_counts=True)
-        rest = np.unique(gram[~trusted[doc]])
+        rest, n_rest = np.unique(gram[~trusted[doc]], return_counts=True)
         every = np.concatenate([keys, new, rest])
-        weight = np.concatenate([sums, n_new, np.zeros(len(rest), np.int64)])
+        weight = np.concatenate([sums, np.stack([n_new, n_new], 1), np.stack([np.zeros_like(n_rest), n_rest], 1)])
         order = np.argsort(every, kind="stable")
         every, weight = every[order], weight[order]
         first = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
         keys, sums = every[first], np.add.reduceat(weight, first) if len(first) else weight
         if len(keys) > HELD:
             yield rows()
-            keys, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            keys, sums = np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
     if len(keys):
         yield rows()
 
@@ -130,7 +134,7 @@ def discounts(counts: DataFrame) -> DataFrame:
 
 
 def probabilities(grams: DataFrame) -> DataFrame:
-    """Table of (lang, g, logp) of every gram of ``grams`` (lang, g, c) in a language with counts."""
+    """Table of (lang, g, logp, n) of every gram of ``grams`` (lang, g, c, n) in a language with counts."""
     steps = []
     counts, asked = {ORDER: grams.where("c > 0")}, {ORDER: grams.select("lang", "g")}
     for n in range(ORDER - 1, 0, -1):
@@ -161,7 +165,8 @@ def probabilities(grams: DataFrame) -> DataFrame:
         if n < ORDER:
             p = materialize(p, f"kn-p{n}")
             steps.append(p)
-    out = materialize(p.select("lang", "g", F.log("p").alias("logp")), "kn-model")
+    p = p.join(grams.select("lang", "g", "n"), ["lang", "g"])
+    out = materialize(p.select("lang", "g", F.log("p").alias("logp"), "n"), "kn-model")
     discard(*steps)
     return out
 
@@ -175,18 +180,44 @@ def by_language(t: pa.Table) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     return {x: (g[of == i], np.append(logp[of == i], 0.0)) for i, x in enumerate(lang.dictionary.to_pylist())}
 
 
-def score_with(d: DataFrame, shared) -> DataFrame:
-    """``d`` (with lang and text) without its text, and the ``logp`` and ``found`` that a broadcast shard gives it."""
-    names = [c for c in d.columns if c != "text"]
-    fields = [f for f in d.schema.fields if f.name != "text"]
-    schema = T.StructType([*fields, T.StructField("logp", T.DoubleType()), T.StructField("found", T.LongType())])
+def step(n):
+    """Class of a number of occurrences."""
+    return F.floor(F.log2(F.col(n)) * STEPS)
+
+
+def head_step(table: DataFrame, head_rows: int) -> int | None:
+    """Least class from which on the grams are at most ``head_rows``; None: they all are."""
+    sizes = {r["s"]: r["count"] for r in table.groupBy(step("n").alias("s")).count().collect()}  # at most 64 * STEPS rows
+    if sum(sizes.values()) <= head_rows:
+        return None
+    held, least = 0, max(sizes) + 1
+    for s in sorted(sizes, reverse=True):
+        held += sizes[s]
+        if held > head_rows:
+            break
+        least = s
+    return least
+
+
+def score_with(d: DataFrame, shared, tail: bool) -> DataFrame:
+    """Scores of the rows of ``d`` (doc_id, lang, held, text) by the broadcast head of the model.
+
+    A row number, doc_id, lang, held, ``logp`` and ``found`` (grams with a
+    probability there); with ``tail`` the other grams of the text ``g`` and how
+    often each occurs ``m``, in further rows of the same number where they are many.
+    """
+    schema = "row bigint, doc_id bigint, lang string, held boolean, logp double, found bigint, g array<bigint>, m array<bigint>"
+    names = ["row", "doc_id", "lang", "held", "logp", "found", "g", "m"]
 
     def run(batches):
         models = {x: (pa.array(keys), value) for x, (keys, value) in shared.value.items()}
+        row = TaskContext.get().partitionId() << 33
         for b in slices(batches, "text", SLICE):
             doc, gram = text_grams(b.column("text"))
-            of = np.array(b.column("lang").to_pylist(), object)
+            langs = b.column("lang").to_pylist()
+            of = np.array(langs, object)
             logp, found = np.zeros(len(of)), np.zeros(len(of), np.int64)
+            other = np.ones(len(doc), bool)
             for x in {*of} & {*models}:
                 keys, value = models[x]
                 mine = np.flatnonzero((of == x)[doc]) if len({*of}) > 1 else np.arange(len(doc))
@@ -194,53 +225,70 @@ def score_with(d: DataFrame, shared) -> DataFrame:
                 at = at.fill_null(len(keys)).to_numpy(zero_copy_only=False)
                 logp += np.bincount(doc[mine], weights=value[at], minlength=len(of))
                 found += np.bincount(doc[mine], weights=at < len(keys), minlength=len(of)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in names), pa.array(logp), pa.array(found)], [*names, "logp", "found"]
-            )
-
-    return d.mapInArrow(run, schema)
-
-
-def add_scores(d: DataFrame, table: DataFrame, shard_rows: int) -> DataFrame:
+                other[mine] = at == len(keys)
+            number = row + np.arange(len(of))
+            row += len(of)
+            own = [pa.array(number), *(b.column(c) for c in ("doc_id", "lang", "held")), pa.array(logp), pa.array(found)]
+            if not tail:
+                none = pa.nulls(len(of), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*own, none, none], names)
+                continue
+            rest = np.flatnonzero(other)
+            border = np.searchsorted(doc[rest], np.arange(len(of) + 1))
+            of_row, g, m = [], [], []
+            for k in range(len(of)):
+                every, times = np.unique(gram[rest[border[k] : border[k + 1]]], return_counts=True)
+                for i in range(0, max(1, len(every)), PART):
+                    of_row.append(k)
+                    g.append(every[i : i + PART])
+                    m.append(times[i : i + PART])
+            out = pa.RecordBatch.from_arrays(own, names[:-2]).take(pa.array(of_row))
+            # the score of a text counts once, in its first row
+            again = pa.array(np.append(False, np.diff(of_row) == 0))
+            for c, zero in (("logp", 0.0), ("found", 0)):
+                out = out.set_column(names.index(c), c, pa.compute.if_else(again, zero, out.column(c)))
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(g, kind), pa.array(m, kind)], names)
+
+    return d.select("doc_id", "lang", "held", "text").mapInArrow(run, schema)
+
+
+def add_scores(d: DataFrame, table: DataFrame, head_rows: int) -> DataFrame:
     """Table of the rows of ``d`` (doc_id, lang, text, held) without text, with ``logp`` and ``found`` (bytes with a probability)."""
-    context = d.sparkSession.sparkContext
-    d = d.select("doc_id", "lang", "held", "text")
-    n = max(1, -(-table.count() // shard_rows))
-    if n == 1:
-        shared = context.broadcast(by_language(table.toArrow()))
-        out = materialize(score_with(d, shared), "kn-scored")
-        shared.destroy()
-        return out
-    # rows of one id, language and text have one score: 128 bits stand for the text
-    d = d.withColumns({"x": F.xxhash64("text"), "y": F.xxhash64(F.lit(1), "text")})
-    path = scratch_path(d.sparkSession, "kn-parts")
-    for k in range(n):
-        part = table.where(F.pmod(F.xxhash64("lang", "g"), F.lit(n)) == k)
-        shared = context.broadcast(by_language(part.toArrow()))
-        scored = score_with(d, shared).withColumn("shard", F.lit(k))
-        scored.write.mode("append").parquet(path)
-        shared.destroy()
-    parts = d.sparkSession.read.schema(scored.schema).parquet(path)
-    key = ["doc_id", "lang", "held", "x", "y"]
-    once = parts.groupBy(*key, "shard").agg(F.max("logp").alias("logp"), F.max("found").alias("found"), F.count("*").alias("rows"))
-    total = once.groupBy(*key).agg(F.sum("logp").alias("logp"), F.sum("found").alias("found"), F.max("rows").alias("rows"))
-    # repeated rows: one result each
-    again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows")))
-    out = total.select("doc_id", "lang", "held", "logp", "found", again).drop("col")
+    least = head_step(table, head_rows)
+    head = table if least is None else table.where(step("n") >= least)
+    shared = d.sparkSession.sparkContext.broadcast(by_language(head.select("lang", "g", "logp").toArrow()))
+    # the row numbers hold because the rows are stored before they are used
+    passed = materialize(score_with(d, shared, least is not None), "kn-passed")
+    shared.destroy()
+    if least is None:
+        return passed.drop("row", "g", "m")
+    rest = table.where(step("n") < least).select("lang", "g", F.col("logp").alias("p"))
+    asked = passed.select("row", "lang", F.explode(F.arrays_zip("g", "m")).alias("x")).select("row", "lang", "x.g", "x.m")
+    # summed by row within each task of the join before the rows meet again
+    more = asked.join(rest, ["lang", "g"]).groupBy("row").agg(F.sum(F.col("p") * F.col("m")).alias("logp"), F.sum("m").alias("found"))
+    own = passed.groupBy("row").agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in ("doc_id", "lang", "held")], F.sum("logp").alias("a"), F.sum("found").alias("b")
+    )
+    out = own.join(more, "row", "left").select(
+        "doc_id", "lang", "held",
+        (F.col("a") + F.coalesce("logp", F.lit(0.0))).alias("logp"),
+        (F.col("b") + F.coalesce("found", F.lit(0))).alias("found"),
+    )
     out = materialize(out, "kn-scored")
-    remove(d.sparkSession, path)
+    discard(passed)
     return out
 
 
 def classify(
-    docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE, slack: float = SLACK, shard_rows: int = SHARD_ROWS
+    docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE, slack: float = SLACK, head_rows: int = HEAD_ROWS
 ) -> DataFrame:
     """doc_id, lang, n_bytes, log_likelihood, perplexity, threshold, kept of every row of ``docs`` (doc_id, lang, text)."""
     d = flagged(docs, trusted_ids)
-    parts = d.mapInArrow(count_batches, "lang string, g bigint, c bigint")
-    grams = materialize(parts.groupBy("lang", "g").agg(F.sum("c").alias("c")), "kn-grams")
+    parts = d.mapInArrow(count_batches, "lang string, g bigint, c bigint, n bigint")
+    grams = materialize(parts.groupBy("lang", "g").agg(F.sum("c").alias("c"), F.sum("n").alias("n")), "kn-grams")
     table = probabilities(grams)
-    scored = add_scores(d, table, shard_rows)
+    scored = add_scores(d, table, head_rows)
     discard(grams, table)
     scored = scored.withColumn("perplexity", F.when(F.col("found") > 0, F.exp(-F.col("logp") / F.col("found"))))
     at = F.percentile_approx("perplexity", quantile, 10_000)

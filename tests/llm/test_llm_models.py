@@ -63,14 +63,14 @@ class PlainKneserNey:
         return sum(math.log(self.p(b[i : i + self.order])) for i in range(len(b) - self.order + 1))
 
 
-@pytest.mark.parametrize("shard_rows", [2_000_000, 500])
-def test_kneser_ney_by_hand(spark, shard_rows):
+@pytest.mark.parametrize("head_rows", [2_000_000, 500, 0])
+def test_kneser_ney_by_hand(spark, head_rows):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.col("lang").isin("de", "es"))
     trusted = docs.where("doc_id % 3 = 0").select("doc_id")
     flags = {r["doc_id"]: (r["trusted"], r["held"]) for r in kneser_ney.flagged(docs, trusted).collect()}
     rows = docs.collect()
     models = {x: PlainKneserNey([r["text"] for r in rows if r["lang"] == x and flags[r["doc_id"]][0]]) for x in ("de", "es")}
-    got = {r["doc_id"]: r for r in kneser_ney.classify(docs, trusted, shard_rows=shard_rows).collect()}
+    got = {r["doc_id"]: r for r in kneser_ney.classify(docs, trusted, head_rows=head_rows).collect()}
     assert len(got) == len(rows)
     limits = {}
     for r in rows:
@@ -102,28 +102,37 @@ def test_kneser_ney_edges(spark):
     assert kneser_ney.classify(edge_docs(spark), ids.where("doc_id < 0")).where("kept").count() == len(edge_rows())
 
 
-def test_kneser_ney_holds_one_shard_at_a_time(spark, monkeypatch):
-    made, alive = [], []
-    plain = type(spark.sparkContext).broadcast
+def test_kneser_ney_head_is_bounded_and_the_rest_is_joined(spark, monkeypatch):
+    sizes, made, plain = [], [], type(spark.sparkContext).broadcast
 
     def broadcast(self, value):
-        alive.append(sum(os.path.exists(b._path) for b in made))
+        sizes.append(sum(len(keys) for keys, _ in value.values()))
         made.append(plain(self, value))
         return made[-1]
 
     monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    monkeypatch.setattr(kneser_ney, "PART", 50)  # a text's other grams come in parts
     ids = spark.createDataFrame([(1,), (2,), (3,), (8,), (9,)], "doc_id bigint")
     docs = edge_docs(spark).where("doc_id is null or doc_id <> 7")
     docs = docs.unionByName(docs)
-    whole = kneser_ney.classify(docs, ids).collect()
-    assert alive == [0]
-    shards = kneser_ney.classify(docs, ids, shard_rows=20).collect()
-    assert len(alive) > 3 and not any(alive) and not any(os.path.exists(b._path) for b in made)
 
     def shown(rows):
         return sorted(str([round(x, 6) if isinstance(x, float) else x for x in r]) for r in rows)
 
-    assert len(whole) == docs.count() and shown(shards) == shown(whole)
+    whole = shown(kneser_ney.classify(docs, ids).collect())
+    assert len(whole) == docs.count() and len(sizes) == 1 and sizes[0] > 100
+    for rows in (60, 0):
+        assert shown(kneser_ney.classify(docs, ids, head_rows=rows).collect()) == whole
+        assert sizes[-1] <= rows
+    assert 0 < sizes[1] and len(sizes) == 3 and not any(os.path.exists(b._path) for b in made)
+
+
+def test_kneser_ney_head_takes_the_most_frequent(spark):
+    rows = [("en", i, -1.0, n) for i, n in enumerate([1] * 50 + [2] * 20 + [16] * 5 + [1000] * 3)]
+    table = spark.createDataFrame(rows, "lang string, g bigint, logp double, n bigint")
+    at = {k: kneser_ney.head_step(table, k) for k in (0, 2, 3, 7, 8, 30, 77, 78)}
+    kept = {k: None if s is None else table.where(kneser_ney.step("n") >= s).count() for k, s in at.items()}
+    assert kept == {0: 0, 2: 0, 3: 3, 7: 3, 8: 8, 30: 28, 77: 28, 78: None}
 
 
 def test_kneser_ney_sees_case(spark):
