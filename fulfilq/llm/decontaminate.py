@@ -265,7 +265,7 @@ def cut(
     items, n = block_count(benchmark, block_bytes)
     if n == 1:
         shared = block(items, 0, 1, window)
-        return cut_marked(hits_of_block(docs, shared, shard_words), docs, shared, shard_words).drop("__again")
+        return cut_marked(docs, docs, shared, shard_words).drop("__again")
     spark = docs.sparkSession
     path, left, last = scratch_path(spark, "fm-cut"), docs, None
     while True:
@@ -283,17 +283,22 @@ def cut(
 def cut_marked(marked: DataFrame, docs: DataFrame, shared, shard_words: int) -> DataFrame:
     """Rows of ``marked`` (see ``hits``) with their spans cut out, and ``__again``: the text must be searched again.
 
-    With the broadcast phrases ``shared`` it is searched again at once until nothing is left.
+    With the broadcast phrases ``shared`` the rows need no spans: one Python pass
+    searches a text, cuts it and searches it again until nothing is left.
     """
     names = docs.columns
 
     def run(batches):
         for b in slices(batches, "text"):
             old = b.column("text").to_pylist()
-            buf, off = text_buffer(b.column("text"))
-            words = Words(LOWER[buf], off, ALNUM)
+            if shared is None:
+                buf, off = text_buffer(b.column("text"))
+                words, found = Words(LOWER[buf], off, ALNUM), b.column("__spans")
+            else:
+                buf, off, words, hit, _ = search(b.column("text"), shared.value, shard_words)
+                found = span_column(words, hit)
             new, keep, more = list(old), np.ones(len(old), bool), np.zeros(len(old), bool)
-            for d, spans in enumerate(b.column("__spans").to_pylist()):
+            for d, spans in enumerate(found.to_pylist()):
                 if not spans:
                     continue
                 data, at = bytes(buf[off[d] : off[d + 1]]), words.first[d]
