@@ -16,8 +16,10 @@ the same bits, so ``collisions`` needs to look at the named days only.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,11 +47,11 @@ def _has_all(keys: Sequence[str]) -> Column:
     return known
 
 
-def _bit(h: Column, i: int) -> Column:
-    """Place of the key's ``i``-th bit in its block: double hashing on a second hash."""
+def _walk(h: Column) -> tuple[Column, Column]:
+    """Place of the key's first bit in its block and the step to each next one: double hashing on a second hash."""
     second = F.xxhash64(h, F.lit(1))
     step = F.shiftright(second, 32).bitwiseOR(F.lit(1))
-    return F.pmod(F.pmod(second, F.lit(BLOCK_BITS)) + F.lit(i) * F.pmod(step, F.lit(BLOCK_BITS)), F.lit(BLOCK_BITS))
+    return F.pmod(second, F.lit(BLOCK_BITS)), F.pmod(step, F.lit(BLOCK_BITS))
 
 
 def fingerprints(spark: SparkSession, path: str, part_col: str = storage.PART_COL) -> dict[str, int]:
@@ -70,26 +72,65 @@ def write(spark: SparkSession, path: str, keys: Sequence[str], part_col: str = s
     if not sizes:
         return
     shape = []
-    for r in sizes:
+    for i, r in enumerate(sizes):
         folder = storage.day_folder(r["day"], part_col)
         blocks = 1 << max(0, (r["n"] - 1) // KEYS_PER_BLOCK).bit_length()
-        shape.append((r["day"], folder.split("=", 1)[1], blocks, prints[folder]))
-    days = spark.createDataFrame(shape, f"d {rows.schema['day'].dataType.simpleString()}, folder string, blocks bigint, made_of bigint")
+        shape.append((i, r["day"], folder.split("=", 1)[1], blocks, prints[folder]))
     # one row per day: bounded by the calendar
-    placed = rows.join(F.broadcast(days), F.col("day").eqNullSafe(F.col("d")))
-    placed = placed.select("folder", "blocks", "made_of", F.pmod("h", F.col("blocks")).alias("block"),
-                           F.explode(F.array(*[_bit(F.col("h"), i) for i in range(BITS)])).alias("bit"))
-    # words are filled by a hash aggregate with partial sums; a block then gathers its at most 512 words
-    words = placed.groupBy("folder", "blocks", "made_of", "block", F.shiftright("bit", 6).cast("int").alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
-    filled = F.map_from_entries(F.collect_list(F.struct("word", "bits")))
-    bits = words.groupBy("folder", "blocks", "made_of", "block").agg(filled.alias("filled"))
-    bits = bits.withColumn("bits", F.transform(
-        F.sequence(F.lit(0), F.lit(BLOCK_BITS // 64 - 1)), lambda i: F.coalesce(F.element_at("filled", i), F.lit(0).cast("bigint")))).drop("filled")
-    out = bits.withColumn(part_col, F.col("folder")).drop("folder")
+    days = F.broadcast(spark.createDataFrame(
+        shape, f"place int, d {rows.schema['day'].dataType.simpleString()}, folder string, blocks bigint, made_of bigint"))
+    first, step = _walk(F.col("h"))
+    placed = rows.join(days, F.col("day").eqNullSafe(F.col("d"))).select(
+        "place", F.pmod("h", F.col("blocks")).alias("block"), first.cast("int").alias("first"), step.cast("int").alias("step"))
+    # a key is one narrow row of the shuffle; its bits are set where its block is gathered
+    gathered = placed.repartition("place", "block").sortWithinPartitions("place", "block")
+    filled = gathered.mapInArrow(_fill_blocks, "place int, block bigint, bits array<bigint>")
+    out = filled.join(days, "place").select("blocks", "made_of", "block", "bits", F.col("folder").alias(part_col))
     out.hint("rebalance", part_col).write.partitionBy(part_col).parquet(f"{path.rstrip('/')}/{FOLDER}")
 
 
+#: Blocks whose bits are spread out at once (32 kB each).
+BLOCKS_AT_ONCE = 256
+
+
+def _fill_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per block with its bits as 64-bit words, of keys sorted by block; holds a few blocks, and one open between batches."""
+    open_key, open_bits = None, None
+
+    def rows(keys, flags):
+        words = np.packbits(flags, axis=1, bitorder="little").view("<i8")
+        flat = pa.array(words.ravel(), pa.int64())
+        ends = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * words.shape[1], pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys[:, 0], pa.int32()), pa.array(keys[:, 1], pa.int64()), pa.ListArray.from_arrays(ends, flat)],
+            ["place", "block", "bits"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("place", "block")], axis=1)
+        first, step = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("first", "step"))
+        starts = np.concatenate([[0], 1 + np.flatnonzero((key[1:] != key[:-1]).any(axis=1))])
+        for lo in range(0, len(starts), BLOCKS_AT_ONCE):
+            some = starts[lo:lo + BLOCKS_AT_ONCE]
+            end = starts[lo + len(some)] if lo + len(some) < len(starts) else len(key)
+            of = np.repeat(np.arange(len(some)), np.diff(np.append(some, end)))
+            flags = np.zeros((len(some), BLOCK_BITS), dtype=bool)
+            for i in range(BITS):
+                flags[of, (first[some[0]:end] + i * step[some[0]:end]) % BLOCK_BITS] = True
+            keys = key[some]
+            if open_key is not None:
+                if (keys[0] == open_key).all():
+                    flags[0] |= open_bits
+                else:
+                    yield rows(open_key[None], open_bits[None])
+            open_key, open_bits = keys[-1], flags[-1].copy()
+            if len(some) > 1:
+                yield rows(keys[:-1], flags[:-1])
+    if open_key is not None:
+        yield rows(open_key[None], open_bits[None])
+
+
 def _is_set(bits: Column, place: Column) -> Column:
     return F.getbit(F.get(bits, F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")) == 1
 
@@ -116,11 +157,13 @@ def days_that_may_hold(spark: SparkSession, path: str, batch: DataFrame, keys: S
         return out
     levels = sorted({r["blocks"] for r in known if r["day"] in valid})
     h = batch.where(_has_all(keys)).select(key_hash(keys).alias("h"))
-    at = h.select("h", F.explode(F.array(*[F.lit(n).cast("bigint") for n in levels])).alias("blocks"))
-    at = at.withColumn("block", F.pmod("h", F.col("blocks")))
+    first, step = _walk(F.col("h"))
+    at = h.select("h", first.cast("int").alias("first"), step.cast("int").alias("step"),
+                  F.explode(F.array(*[F.lit(n).cast("bigint") for n in levels])).alias("blocks"))
+    at = at.select("blocks", F.pmod("h", F.col("blocks")).alias("block"), "first", "step")
     on = (F.col("s.blocks") == F.col("k.blocks")) & (F.col("s.block") == F.col("k.block"))
-    for i in range(BITS):
-        on = on & _is_set(F.col("s.bits"), _bit(F.col("k.h"), i))
+    for i in range(BITS):  # every (key, day) is looked at: the key's hash is taken before, most looks end at the first bit
+        on = on & _is_set(F.col("s.bits"), (F.col("k.first") + F.lit(i) * F.col("k.step")).bitwiseAND(F.lit(BLOCK_BITS - 1)))
     held = sketch.where(F.col("day").isin(sorted(valid))).alias("s").join(at.alias("k"), on, "left_semi")
     return out | {r["day"] for r in held.select("day").distinct().collect()}
 
@@ -133,9 +176,12 @@ def collisions(stored: DataFrame | None, batch: DataFrame, keys: Sequence[str])
     def narrow(df):
         return df.where(_has_all(keys)).select(key_hash(keys).alias("sk"), F.struct(*[F.col(k).cast("string") for k in keys]).alias("key"))
 
-    # a key holds one value of "key" unless it collides, so the extremes of a group show it: no lists, hot keys pre-aggregated
     ours = narrow(batch)
-    found = ours.groupBy("sk").agg(F.min("key").alias("a"), F.max("key").alias("b")).where(F.col("a") != F.col("b"))
+    # only hashes that come twice need their keys compared: of a batch with one row per key next to none.
+    # A key holds one value of "key" unless it collides, so the extremes of a group show it: no lists, hot keys pre-aggregated
+    twice = ours.groupBy("sk").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sk")
+    found = ours.join(twice, "sk", "left_semi").groupBy("sk").agg(
+        F.min("key").alias("a"), F.max("key").alias("b")).where(F.col("a") != F.col("b"))
     if stored is None:
         return found
     met = narrow(stored).alias("t").join(ours.distinct().alias("u"), (F.col("t.sk") == F.col("u.sk")) & (F.col("t.key") != F.col("u.key")))

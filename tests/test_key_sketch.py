@@ -131,3 +131,50 @@ def test_a_collision_with_a_stored_key_of_another_day_is_found_through_the_sketc
 def test_composite_keys(spark):
     rows_ = spark.createDataFrame([("w", dt.date(2024, 1, 1)), ("w", dt.date(2024, 1, 2)), ("w", None)], "warehouse_id string, d date")
     key_sketch.check_collisions(rows_, rows_, ["warehouse_id", "d"], "dim")
+
+
+def test_a_block_is_filled_whole_however_its_keys_are_dealt_over_batches():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    n = 5_000
+    block = np.sort(rng.integers(0, 700, n))  # more blocks than are spread out at once, most of them over a batch's end
+    first, step = rng.integers(0, key_sketch.BLOCK_BITS, (2, n))
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array(block // 400, pa.int32()), pa.array(block, pa.int64()), pa.array(first, pa.int32()), pa.array(step, pa.int32())],
+        ["place", "block", "first", "step"])
+    want = {}
+    for b, f, s in zip(block.tolist(), first.tolist(), step.tolist(), strict=True):
+        words = want.setdefault((b // 400, b), [0] * (key_sketch.BLOCK_BITS // 64))
+        for i in range(key_sketch.BITS):
+            at = (f + i * s) % key_sketch.BLOCK_BITS
+            words[at // 64] |= 1 << at % 64
+    for size in (n, 7, 1_000):
+        parts = [whole.slice(lo, size) for lo in range(0, n, size)]
+        got = [r for out in key_sketch._fill_blocks(iter([whole.slice(0, 0), *parts])) for r in out.to_pylist()]
+        assert len(got) == len(want)
+        assert {(r["place"], r["block"]): [w % 2**64 for w in r["bits"]] for r in got} == want
+    assert list(key_sketch._fill_blocks(iter([]))) == []
+
+
+def test_a_sketch_shuffles_a_row_per_key_not_per_bit(spark, tmp_root, monkeypatch):
+    frame = type(spark.range(0))
+    plans, write = [], frame.write.fget
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df)
+
+    rows(spark, 100).write.partitionBy("event_date").parquet(f"{tmp_root}/t")
+    monkeypatch.setattr(frame, "write", property(seen))
+    key_sketch.write(spark, f"{tmp_root}/t", KEYS)
+    assert plans and not any("Generate" in p or "bit_or" in p for p in plans)
+
+
+def test_only_hashes_that_come_twice_have_their_keys_compared(spark, monkeypatch):
+    monkeypatch.setattr(key_sketch, "key_hash", weak)
+    batch = spark.createDataFrame([("A",), ("A",), ("DDDD",), ("BB",), ("BB",), (None,)], "order_id string")
+    found = key_sketch.collisions(None, batch, KEYS)
+    assert [(*r.a, *r.b) for r in found.collect()] == [("A", "DDDD")]
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
