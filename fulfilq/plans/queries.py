@@ -397,7 +397,8 @@ def _stored_upsert(spark, table, rows, keys, latest_by, roles, before):
     and the same time, and then as they are: the later arrival wins.
     """
     configure(spark)
-    rows = rows.drop("ingested_at")
+    # both batches are unions of filters of it, which cannot move below its dedup: it is computed once
+    rows = storage.materialize(spark, rows.drop("ingested_at"), "snapshot")
     early = F.col("event_date") <= F.lit(BATCH_CUT).cast("date")
     dated = F.when(~roles["undated"], F.col("event_date"))
 

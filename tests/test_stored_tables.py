@@ -396,3 +396,28 @@ def test_increments_and_stream_end_in_the_table_of_the_full_batch(spark, tmp_roo
         ids = sorted(r["shipment_id"] for r in table.collect())
         assert ids == ["L"], (kind, ids)
     assert len({str(t) for t in tables.values()}) == 1
+
+
+def test_a_load_reads_the_curated_files_and_looks_up_their_keys_once(spark, layout, monkeypatch):
+    storage.write_landing(orders(spark, order("A", 1), order("B", 2), order("N", 0)), layout.raw("order_events"))
+    pipeline.run_cleanse(spark, layout)
+    assert pipeline.run_load(spark, layout)["fact_order"] == 3
+    staged, asked = [], []
+    copy, ask = storage.materialize, pipeline.key_sketch.days_that_may_hold
+    monkeypatch.setattr(storage, "materialize", lambda s, df, name, *a, **k: staged.append(name) or copy(s, df, name, *a, **k))
+    monkeypatch.setattr(pipeline.key_sketch, "days_that_may_hold", lambda *a, **k: asked.append(a[1]) or ask(*a, **k))
+    assert pipeline.run_load(spark, layout)["fact_order"] == 3
+    assert staged == ["hits"] and asked == [layout.table("fact_order")]
+    assert [r[0] for r in stored(spark, layout.table("fact_order"))] == ["A", "B", "N"]
+
+
+def test_both_batches_come_from_one_copy_of_the_facts(spark, monkeypatch):
+    from fulfilq.plans import queries
+
+    staged, copy = [], storage.materialize
+    monkeypatch.setattr(storage, "materialize", lambda s, df, name, *a, **k: staged.append(name) or copy(s, df, name, *a, **k))
+    facts = batch(spark, order("A", 3), order("B", 20))
+    never = F.lit(False)
+    roles = dict.fromkeys(("undated", "moved", "stale", "twice", "tie"), never)
+    left = queries._stored_upsert(spark, "orders", facts, ["order_id"], "placed_at", roles, {})
+    assert staged[0] == "snapshot" and sorted(r.order_id for r in left.collect()) == ["A", "B"]
