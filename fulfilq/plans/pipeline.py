@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from fulfilq.operators import audit, cleanse, dims, marts
 from fulfilq.operators.upsert import changed_rows, meetings, newest, settle_quarantine, upsert_scd2, without_keys
 from fulfilq.schemas import GONE, LOAD_SEQ, SPECS
-from fulfilq.session import configure, input_bytes, sized_shuffles
+from fulfilq.session import configure, input_bytes, releases_shuffles, sized_shuffles
 from fulfilq.sources import key_sketch, ledger, storage
 
 log = logging.getLogger(__name__)
@@ -60,6 +60,7 @@ class Layout:
         return f"{self.warehouse.rstrip('/')}/_audit/files"
 
 
+@releases_shuffles
 def land(spark: SparkSession, layout: Layout, raw: dict[str, DataFrame]) -> None:
     """Write raw datasets into the landing zone (the simulator's output format)."""
     for name, df in raw.items():
@@ -72,6 +73,7 @@ def _mark(watermark, table: str) -> str | None:
     return None if mark is None else str(mark)
 
 
+@releases_shuffles
 def run_cleanse(spark: SparkSession, layout: Layout, watermark=None) -> dict[str, dict | None]:
     """Raw -> curated for the four datasets.
 
@@ -134,6 +136,7 @@ def _replace_flat(spark: SparkSession, df: DataFrame, path: str, keys, observe=N
     storage.swap_in(spark, staged, path)
 
 
+@releases_shuffles
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, partitioned: bool,
                  scd2: bool = False, keys_may_move: bool = True, latest_by: str | None = None,
                  unique: bool = False, whole: bool = False, quarantined: DataFrame | None = None,
@@ -287,6 +290,7 @@ def _in_days(days: list):
 NULL_FOLDER = storage.NULL_FOLDER
 
 
+@releases_shuffles
 def run_load(spark: SparkSession, layout: Layout, watermark=None,
              job_name: str = "fulfilq_load", keys_may_move: bool = True) -> dict[str, int | None]:
     """Curated -> star tables via upsert, with an audit row per target.

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fulfilq.schemas import LOAD_SEQ, raw_schema
-from fulfilq.session import scratch_path
+from fulfilq.session import releases_shuffles, scratch_path
 
 PART_COL = "event_date"
 FOLDER_COL = "date"
@@ -365,6 +365,7 @@ def remove(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+@releases_shuffles
 def materialize(spark: SparkSession, df: DataFrame, name: str, observe=None) -> DataFrame:
     """Write ``df`` to a fresh path in the shared checkpoint folder and read it back.
 
