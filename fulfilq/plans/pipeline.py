@@ -62,9 +62,9 @@ class Layout:
 
 @releases_shuffles
 def land(spark: SparkSession, layout: Layout, raw: dict[str, DataFrame]) -> None:
-    """Write raw datasets into the landing zone (the simulator's output format)."""
+    """Write raw datasets into the landing zone (the simulator's output format, compressed: text is the largest copy of a run)."""
     for name, df in raw.items():
-        storage.write_landing(df, layout.raw(name), partitioned=SPECS[name].partitioned)
+        storage.write_landing(df, layout.raw(name), partitioned=SPECS[name].partitioned, compressed=True)
 
 
 def _mark(watermark, table: str) -> str | None:
@@ -108,7 +108,7 @@ def run_cleanse(spark: SparkSession, layout: Layout, watermark=None) -> dict[str
         unknown = storage.unknown_columns(spark, layout.raw(name), spec.schema, mark)
         if unknown:
             log.warning("%s: columns %s are not part of the dataset and were not read", name, unknown)
-        with sized_shuffles(spark, sum(f.size for f in files)):
+        with sized_shuffles(spark, storage.text_bytes(files)):
             raw_obs = Observation(f"{name}_raw")
             typed = cleanse.cast_columns(raw, spec.schema)
             nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in spec.schema.names]

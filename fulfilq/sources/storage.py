@@ -152,16 +152,30 @@ def text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in names])
 
 
-def write_landing(df: DataFrame, path: str, partitioned: bool = True, date_col: str = PART_COL) -> None:
-    """Land a dataset as CSV with header; ``date=`` folders, missing date -> ``unknown``."""
+def write_landing(df: DataFrame, path: str, partitioned: bool = True, date_col: str = PART_COL,
+                  compressed: bool = False) -> None:
+    """Land a dataset as CSV with header; ``date=`` folders, missing date -> ``unknown``.
+
+    ``compressed``: as ``.csv.gz``. A file is what one task wrote, so reading it in one task is no bottleneck.
+    """
     out = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    options = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"} if compressed else {}
     writer = out
     if partitioned:
         writer = out.withColumn(FOLDER_COL, F.coalesce(F.col(date_col), F.lit("unknown")))
         writer = writer.hint("rebalance", FOLDER_COL)
-        writer.write.mode("overwrite").option("header", True).partitionBy(FOLDER_COL).csv(path)
+        writer.write.mode("overwrite").option("header", True).options(**options).partitionBy(FOLDER_COL).csv(path)
     else:
-        writer.write.mode("overwrite").option("header", True).csv(path)
+        writer.write.mode("overwrite").option("header", True).options(**options).csv(path)
+
+
+#: Landed text is about this many times its compressed size.
+TEXT_PER_COMPRESSED = 7
+
+
+def text_bytes(files: Sequence[FileInfo]) -> int:
+    """About the size of the files' text: what they hold decides on the shuffles, not what they weigh."""
+    return sum(f.size * (TEXT_PER_COMPRESSED if f.path.endswith(".gz") else 1) for f in files)
 
 
 # ---------------------------------------------------------------------------

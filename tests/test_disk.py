@@ -1,4 +1,4 @@
-"""What a run leaves on disk: no shuffle files of finished jobs (literal frames)."""
+"""What a run leaves on disk: no shuffle files of finished jobs, compressed landings (literal frames)."""
 
 import os
 import time
@@ -6,7 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from fulfilq.plans import pipeline
-from fulfilq.schemas import ORDER_EVENTS
+from fulfilq.schemas import LOAD_SEQ, ORDER_EVENTS
 from fulfilq.session import _FILE_CLEANUP, released_shuffles
 from fulfilq.sources import storage
 
@@ -59,3 +59,22 @@ def test_the_session_keeps_its_own_setting(spark):
             assert spark.conf.get(_FILE_CLEANUP) == "true"
         assert spark.conf.get(_FILE_CLEANUP) == own
     spark.conf.set(_FILE_CLEANUP, was) if was is not None else spark.conf.unset(_FILE_CLEANUP)
+
+
+def test_landed_text_is_compressed_and_reads_as_it_was(spark, tmp_root):
+    layout = pipeline.Layout(f"{tmp_root}/raw", f"{tmp_root}/cur", f"{tmp_root}/wh")
+    raw = raw_orders(spark)
+    pipeline.land(spark, layout, {"order_events": raw})
+    storage.write_landing(raw, f"{tmp_root}/plain")
+    landed, plain = (storage.landed_files(spark, p) for p in (layout.raw("order_events"), f"{tmp_root}/plain"))
+    weigh = [sum(f.size for f in files) for files in (landed, plain)]
+    assert 3 * weigh[0] < weigh[1] == storage.text_bytes(plain)
+    assert storage.text_bytes(landed) > weigh[1] / 2  # sizes the shuffles: near the text's size
+
+    def rows(path, mark=None):
+        got = storage.read_landing(spark, path, ORDER_EVENTS, True, mark).drop(LOAD_SEQ)
+        return sorted(map(str, pipeline.cleanse.cast_columns(got, ORDER_EVENTS).collect()))
+
+    assert rows(layout.raw("order_events")) == rows(f"{tmp_root}/plain") == sorted(map(str, raw.collect()))
+    assert rows(layout.raw("order_events"), "2024-01-09") == rows(f"{tmp_root}/plain", "2024-01-09")
+    assert storage.unknown_columns(spark, layout.raw("order_events"), ORDER_EVENTS) == []
