@@ -94,12 +94,14 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], latest_by:
 
 
 def settle_quarantine(batch: DataFrame, quarantine: DataFrame | None, keys: Sequence[str],
-                      latest_by: str) -> tuple[DataFrame, DataFrame]:
+                      latest_by: str, keep=None) -> tuple[DataFrame, DataFrame]:
     """(batch without the rows that a quarantined record beats, the new quarantine).
 
     The quarantine remembers the keys whose newest record is incomplete, with
     that record's time and order of arrival: a complete but older record that
     comes later must not bring the key back. It is small: one row per such key.
+    ``keep`` writes the keys that both hold and reads them back: they are looked for
+    once, and the whole batch is joined with them only if some of its rows are beaten.
     """
     keys = list(keys)
     shape = [F.col(k) for k in keys] + [F.col(latest_by).cast("timestamp").alias(latest_by),
@@ -107,7 +109,10 @@ def settle_quarantine(batch: DataFrame, quarantine: DataFrame | None, keys: Sequ
     if quarantine is None:
         return batch, batch.where(GONE).select(*shape)
     met = meetings(quarantine, batch, keys, latest_by)
-    batch = without_keys(batch, met.where("stored_newer"), keys)
+    if keep is not None:
+        met = keep(met)
+    if keep is None or not met.where("stored_newer").isEmpty():
+        batch = without_keys(batch, met.where("stored_newer"), keys)
     left = without_keys(quarantine, met.where(~F.col("stored_newer")), keys)
     return batch, left.unionByName(batch.where(GONE).select(*shape))
 

@@ -197,7 +197,13 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, partiti
         remembered = None
         if marked:
             old = None if whole or not storage.has_data(spark, _quarantine(path)) else spark.read.parquet(_quarantine(path))
-            batch, remembered = settle_quarantine(batch, old, keys, latest_by)
+
+            def keep(met):
+                met = storage.materialize(spark, met, "met")
+                scratch.append(met._scratch_path)
+                return met
+
+            batch, remembered = settle_quarantine(batch, old, keys, latest_by, keep)
         if quarantined is not None:
             more = quarantined.select(*keys, latest_by, LOAD_SEQ).withColumn(GONE, F.lit(True))
             # a quarantined key that the batch brings is one the upstream table holds again

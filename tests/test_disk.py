@@ -5,8 +5,9 @@ import time
 
 from pyspark.sql import functions as F
 
+from fulfilq.operators import upsert as ups
 from fulfilq.plans import pipeline
-from fulfilq.schemas import LOAD_SEQ, ORDER_EVENTS
+from fulfilq.schemas import GONE, LOAD_SEQ, ORDER_EVENTS
 from fulfilq.session import _FILE_CLEANUP, released_shuffles
 from fulfilq.sources import storage
 
@@ -78,3 +79,29 @@ def test_landed_text_is_compressed_and_reads_as_it_was(spark, tmp_root):
     assert rows(layout.raw("order_events")) == rows(f"{tmp_root}/plain") == sorted(map(str, raw.collect()))
     assert rows(layout.raw("order_events"), "2024-01-09") == rows(f"{tmp_root}/plain", "2024-01-09")
     assert storage.unknown_columns(spark, layout.raw("order_events"), ORDER_EVENTS) == []
+
+
+def test_a_batch_without_beaten_rows_is_not_joined_with_the_quarantine(spark):
+    shape = f"k string, at timestamp, {LOAD_SEQ} bigint"
+
+    def frame(*rows, gone=None):
+        df = spark.createDataFrame([(k, None, seq) for k, seq in rows], shape).withColumn("at", F.timestamp_seconds(F.lit(0)))
+        return df if gone is None else df.withColumn(GONE, F.coalesce(F.col("k").isin(gone), F.lit(False)))
+
+    def settle(batch, keep):
+        got, left = ups.settle_quarantine(batch, frame(("a", 5), ("b", 5)), ("k",), "at", keep)
+        return got, *[sorted(map(str, df.select("k", LOAD_SEQ).collect())) for df in (got, left)]
+
+    kept = []
+
+    def keep(met):
+        kept.append(met)
+        return spark.createDataFrame(met.collect(), met.schema)
+
+    fresh = frame(("a", 6), ("c", 1), (None, 1), gone=["c"])
+    for batch, joined in ((fresh, False), (frame(("a", 4), ("b", 7), ("c", 1), (None, 1), gone=["c"]), True)):
+        plain, quick = settle(batch, None), settle(batch, keep)
+        assert plain[1:] == quick[1:]
+        assert ("LeftAnti" in quick[0]._jdf.queryExecution().optimizedPlan().toString()) == joined
+    assert len(kept) == 2
+    assert settle(fresh, keep)[2] == ["Row(k='b', load_seq=5)", "Row(k='c', load_seq=1)"]
