@@ -370,6 +370,7 @@ def q_pipeline_audit(spark, sf_dir):
     layout = pipeline.Layout(f"{root}/raw", f"{root}/curated", f"{root}/warehouse")
     pipeline.land(spark, layout, fixtures.raw_datasets(spark, sf_dir))
     pipeline.run_cleanse(spark, layout)
+    storage.remove(spark, layout.landing)  # the load reads the curated files only
     pipeline.run_load(spark, layout)
     audit_rows = spark.read.parquet(layout.audit).select(
         "job_name", "target_table", "rows_loaded", "run_status", "watermark_date")
@@ -417,6 +418,7 @@ def _stored_upsert(spark, table, rows, keys, latest_by, roles, before):
     path = scratch_path(spark, f"stored-{table}")
     for batch in (first, second):
         pipeline.upsert_table(spark, path, batch, keys, True, latest_by=latest_by)
+    storage.remove(spark, rows._scratch_path)
     doubles = {c: F.col(c).cast("double") for c, t in rows.dtypes if t.startswith("decimal")}
     return storage.read_curated(spark, path).withColumns(doubles).select(*rows.columns[1:])
 
@@ -462,6 +464,8 @@ def q_watermark_advance(spark, sf_dir):
         pipeline.run_cleanse(spark, layout, since)
         pipeline.run_load(spark, layout, since)
         marks.append(audit.resolve_watermarks(spark, layout.audit, targets))
+    for done in (layout.landing, layout.curated):  # the result reads the tables only
+        storage.remove(spark, done)
     parts = [
         storage.read_curated(spark, layout.table(t)).agg(
             F.lit(t).alias("target_table"), F.lit(marks[0][t]).cast("date").alias("first_mark"),
@@ -523,7 +527,9 @@ def _cleansed(spark, sf_dir):
     root = scratch_path(spark, "cleansed")
     layout = pipeline.Layout(f"{root}/raw", f"{root}/curated", f"{root}/warehouse")
     pipeline.land(spark, layout, fixtures.raw_datasets(spark, sf_dir))
-    return layout, pipeline.run_cleanse(spark, layout)
+    got = pipeline.run_cleanse(spark, layout)
+    storage.remove(spark, layout.landing)  # what comes later reads the curated files only
+    return layout, got
 
 
 def q_curated_files_smoke(spark, sf_dir):
@@ -533,7 +539,8 @@ def q_curated_files_smoke(spark, sf_dir):
 
 def q_cleanse_counts(spark, sf_dir):
     """S16 + A15: rows read, kept and removed per dataset, as the run reports them (one row per dataset)."""
-    _, got = _cleansed(spark, sf_dir)
+    layout, got = _cleansed(spark, sf_dir)
+    storage.remove(spark, layout.curated)  # the counts are all that is returned
     rows = [(n, r["raw_rows"], r["rows"], r["removed"]) for n, r in got.items()]
     return spark.createDataFrame(rows, "dataset string, raw_rows bigint, curated_rows bigint, removed_rows bigint")
 

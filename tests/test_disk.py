@@ -6,9 +6,9 @@ import time
 from pyspark.sql import functions as F
 
 from fulfilq.operators import upsert as ups
-from fulfilq.plans import pipeline
+from fulfilq.plans import pipeline, queries
 from fulfilq.schemas import GONE, LOAD_SEQ, ORDER_EVENTS
-from fulfilq.session import _FILE_CLEANUP, released_shuffles
+from fulfilq.session import _FILE_CLEANUP, checkpoint_dir, released_shuffles
 from fulfilq.sources import storage
 
 
@@ -105,3 +105,26 @@ def test_a_batch_without_beaten_rows_is_not_joined_with_the_quarantine(spark):
         assert ("LeftAnti" in quick[0]._jdf.queryExecution().optimizedPlan().toString()) == joined
     assert len(kept) == 2
     assert settle(fresh, keep)[2] == ["Row(k='b', load_seq=5)", "Row(k='c', load_seq=1)"]
+
+
+def test_queries_leave_only_what_their_result_reads(spark, tmp_root):
+    n, at = 400, F.timestamp_seconds(F.lit(790_000_000) + F.col("id") * 7200)
+    orders = spark.range(n).select(F.col("id").alias("o_orderkey"), (F.col("id") % 31).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+                                   (F.col("id") * 1.5).alias("o_totalprice"), at.alias("o_orderdate"))
+    lines = spark.range(2 * n).select((F.col("id") % n).alias("l_orderkey"), F.col("id").alias("l_partkey"), (F.col("id") % 13).alias("l_suppkey"),
+                                      (F.col("id") % 3).cast("int").alias("l_linenumber"), F.lit("N").alias("l_returnflag"),
+                                      F.lit("O").alias("l_linestatus"), at.alias("l_shipdate"))
+    orders.write.parquet(f"{tmp_root}/orders.parquet")
+    lines.write.parquet(f"{tmp_root}/lineitem.parquet")
+    scratch = f"{checkpoint_dir(spark)}/fulfilq-tables".removeprefix("file:")
+
+    def left_by_query(name):
+        before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+        rows = queries.QUERIES[name](spark, tmp_root).collect()
+        new = [f"{scratch}/{d}" for d in set(os.listdir(scratch)) - before]
+        return len(rows), sorted(os.path.basename(d).rsplit("-", 1)[0] + "/" + x for d in new for x in os.listdir(d)
+                                 if x in ("raw", "curated") or "snapshot" in d)
+
+    assert left_by_query("cleanse_counts") == (4, [])
+    got = left_by_query("stored_upsert_shipments")
+    assert got[0] > n and got[1] == []
